@@ -26,3 +26,83 @@ def aged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features_clean(joined(spark, sf_dir), adapters.AS_OF)
+
+
+# ---------------------------------------------------------------- PySpark path
+from pyspark.sql import functions as F  # noqa: E402
+
+from churnlab.operators import prep  # noqa: E402
+from churnlab.operators.members import drop_incomplete  # noqa: E402
+from churnlab.operators.assemble import rare_bucketed  # noqa: E402
+from churnlab.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, IMPUTE_COLUMNS, LOG_COLUMNS  # noqa: E402
+from churnlab.session import cut_lineage  # noqa: E402
+
+SPLIT_WEIGHTS = (0.7, 0.2, 0.1)
+SPLIT_NAMES = ("train", "test", "validation")
+SPLIT_SEED = 200
+
+
+def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prep.split_assign(clean(spark, sf_dir), SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED).drop(
+        "registration_init_time")
+
+
+def final_parts(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> dict:
+    """split -> mean-impute (fit on train) -> index (fit on train) ->
+    oversample train. Returns the frames and the fitted models.
+
+    The split frame feeds two fits, a class count and the output, so its
+    lineage is cut once with a reliable checkpoint instead of being recomputed
+    from the raw tables four times.
+    """
+    s = split(spark, sf_dir)
+    if checkpoint:
+        s = cut_lineage(s)
+    is_train = F.col("split") == "train"
+    imputer = prep.fit_mean_imputer(s.where(is_train), IMPUTE_COLUMNS)
+    imputed = prep.impute_mean(s, imputer, IMPUTE_COLUMNS)
+    indexer = prep.fit_string_indexer(imputed.where(is_train), CATEGORICAL_COLUMNS)
+    indexed = prep.string_index(imputed, indexer, CATEGORICAL_COLUMNS)
+    train = indexed.where(is_train)
+    over = prep.oversample(train)
+    final = over.unionByName(indexed.where(~is_train))
+    typed = final.select(
+        "split", *[F.col(c).cast("double") if c not in ("msno", "is_churn", "bd") else F.col(c)
+                   for c in FEATURE_COLUMNS])
+    return {"split": s, "imputer": imputer, "imputed": imputed, "indexer": indexer,
+            "indexed": indexed, "train": train, "oversampled": over, "final": typed}
+
+
+def final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return final_parts(spark, sf_dir)["final"]
+
+
+# ----------------------------------------------------------------- pandas path
+EDA_SEED = 123
+EDA_REQUIRED = ["city", "gender", "registered_via", "registration_init_time"]
+OUTLIER_COLUMNS = ["regist_trans", "regist_cancels", "total_secs", "tenure"]
+SCALE_COLUMNS = ["regist_trans", "mst_frq_plan_days", "revenue", "regist_cancels", "bd", "tenure"]
+
+
+def eda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows complete in member fields, age capped, tenure, rare buckets over
+    the kept rows, 80/20 key-hash split (seed 123)."""
+    df = drop_incomplete(joined(spark, sf_dir), EDA_REQUIRED)
+    df = tenure_years(age_capped(df), adapters.AS_OF)
+    df = rare_bucketed(df)
+    return prep.split_assign(df, (0.8, 0.2), ("train", "test"), EDA_SEED)
+
+
+def eda_prepared(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> dict:
+    e = eda(spark, sf_dir)
+    if checkpoint:
+        e = cut_lineage(e)
+    is_train = F.col("split") == "train"
+    medians = prep.fit_median_imputer(e.where(is_train), LOG_COLUMNS)
+    imputed = prep.impute_with(e, medians)
+    out_stats = prep.fit_outlier_means(imputed.where(is_train), OUTLIER_COLUMNS)
+    tamed = prep.outliers_to_mean(imputed.where(is_train), out_stats).unionByName(imputed.where(~is_train))
+    scale_stats = prep.fit_standardizer(tamed.where(is_train), SCALE_COLUMNS)
+    scaled = prep.standardize(tamed, scale_stats)
+    return {"eda": e, "medians": medians, "imputed": imputed, "outlier_stats": out_stats,
+            "tamed": tamed, "scale_stats": scale_stats, "scaled": scaled}

@@ -123,25 +123,112 @@ SELECT * REPLACE (CAST(coalesce(CASE WHEN bd > 80 THEN 0 ELSE bd END, 0) AS INTE
        datediff('day', {parse_ymd('registration_init_time')}, {AS_OF_DATE}) / 365.0 AS tenure
 FROM features_joined""")
 
-_CAT_UNION = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM aged"
-    for c in ("registered_via", "mst_frq_pay_met", "city"))
+def _counts_body(base: str) -> str:
+    union = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM {base}"
+        for c in ("registered_via", "mst_frq_pay_met", "city"))
+    return (f"SELECT feature, value, count(value) AS n, "
+            f"count(value) / (SELECT CAST(count(*) AS DOUBLE) FROM {base}) AS share "
+            f"FROM ({union}) GROUP BY feature, value")
 
-view("category_counts", ["aged"], f"""
-SELECT feature, value, count(value) AS n, count(value) / (SELECT CAST(count(*) AS DOUBLE) FROM aged) AS share
-FROM ({_CAT_UNION}) GROUP BY feature, value""")
 
-_kept = lambda c: (f"coalesce((SELECT any_value(value) FROM category_counts k WHERE k.feature = '{c}' "
-                   f"AND k.share >= 0.005 AND k.value = CAST(a.{c} AS VARCHAR)), 'other')")
+def _kept(c: str, counts: str) -> str:
+    return (f"coalesce((SELECT any_value(value) FROM {counts} k WHERE k.feature = '{c}' "
+            f"AND k.share >= 0.005 AND k.value = CAST(a.{c} AS VARCHAR)), 'other')")
+
+
+def _bucketed(counts: str) -> str:
+    return ", ".join(f"{_kept(c, counts)} AS {c}" for c in ("registered_via", "mst_frq_pay_met", "city"))
+
+
+view("category_counts", ["aged"], _counts_body("aged"))
 
 view("features_clean", ["aged", "category_counts"], f"""
-SELECT a.* REPLACE ({_kept('registered_via')} AS registered_via, {_kept('mst_frq_pay_met')} AS mst_frq_pay_met,
-                    {_kept('city')} AS city,
+SELECT a.* REPLACE ({_bucketed('category_counts')},
                     ln(1 + regist_trans) AS regist_trans, ln(1 + mst_frq_plan_days) AS mst_frq_plan_days,
                     ln(1 + revenue) AS revenue, ln(1 + regist_cancels) AS regist_cancels)
 FROM aged a""")
 
 
+def _bucket(seed: int) -> str:
+    return f"CAST(('0x' || substr(md5(msno || '|{seed}'), 1, 8)) AS BIGINT) % 1000"
+
+
+view("split", ["features_clean"], f"""
+SELECT * EXCLUDE (registration_init_time, _b),
+       CASE WHEN _b < 700 THEN 'train' WHEN _b < 900 THEN 'test' ELSE 'validation' END AS split
+FROM (SELECT *, {_bucket(200)} AS _b FROM features_clean) s""")
+
+IMPUTE = ["num_25", "num_50", "num_75", "num_985", "num_100", "num_unq", "total_secs", "tenure"]
+CATS = ["city", "gender", "registered_via", "qtr_trans", "mst_frq_pay_met", "is_auto_renew"]
+
+view("imputed", ["split"], "SELECT * REPLACE (" + ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), (SELECT avg({c}) FROM split WHERE split = 'train')) AS {c}" for c in IMPUTE)
+    + ") FROM split")
+
+for _c in CATS:
+    view(f"vocab_{_c}", ["imputed"], f"""
+SELECT value, row_number() OVER (ORDER BY n DESC, value ASC) - 1 AS ix
+FROM (SELECT coalesce(CAST({_c} AS VARCHAR), 'other') AS value, count(*) AS n
+      FROM imputed WHERE split = 'train' GROUP BY 1) v""")
+
+view("indexed", ["imputed"] + [f"vocab_{c}" for c in CATS], "SELECT a.* REPLACE (" + ", ".join(
+    f"CAST(coalesce((SELECT ix FROM vocab_{c} v WHERE v.value = coalesce(CAST(a.{c} AS VARCHAR), 'other')), "
+    f"(SELECT count(*) FROM vocab_{c})) AS DOUBLE) AS {c}" for c in CATS) + ") FROM imputed a")
+
+view("class_balance", ["indexed"], """
+SELECT count(*) FILTER (WHERE is_churn = 0) AS n_major, count(*) FILTER (WHERE is_churn = 1) AS n_minor,
+       CAST(count(*) FILTER (WHERE is_churn = 0) // nullif(count(*) FILTER (WHERE is_churn = 1), 0) AS INTEGER) AS ratio
+FROM indexed WHERE split = 'train'""")
+
+FEATURES = ["msno", "is_churn", "regist_trans", "mst_frq_plan_days", "revenue", "regist_cancels", "bd", "tenure",
+            "num_25", "num_50", "num_75", "num_985", "num_100", "num_unq", "total_secs",
+            "city", "gender", "registered_via", "qtr_trans", "mst_frq_pay_met", "is_auto_renew"]
+FEATURE_DOUBLES = [c for c in FEATURES if c not in ("msno", "is_churn", "bd")]
+
+view("final", ["indexed", "class_balance"], f"""
+SELECT split, {", ".join(c if c in ("msno", "is_churn", "bd") else f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)}
+FROM (SELECT i.*, unnest(range(CASE WHEN split = 'train' AND is_churn = 1
+                                    THEN (SELECT greatest(coalesce(ratio, 1), 1) FROM class_balance) ELSE 1 END)) AS _rep
+      FROM indexed i) r""")
+
+# pandas path
+view("eda_base", ["features_joined"], f"""
+SELECT * REPLACE (CAST(coalesce(CASE WHEN bd > 80 THEN 0 ELSE bd END, 0) AS INTEGER) AS bd),
+       datediff('day', {parse_ymd('registration_init_time')}, {AS_OF_DATE}) / 365.0 AS tenure
+FROM features_joined
+WHERE city IS NOT NULL AND gender IS NOT NULL AND registered_via IS NOT NULL AND registration_init_time IS NOT NULL""")
+
+view("eda_counts", ["eda_base"], _counts_body("eda_base"))
+
+view("eda", ["eda_base", "eda_counts"], f"""
+SELECT a.* REPLACE ({_bucketed('eda_counts')}),
+       CASE WHEN {_bucket(123)} < 800 THEN 'train' ELSE 'test' END AS split
+FROM eda_base a""")
+
+LOGS = ["num_25", "num_50", "num_75", "num_985", "num_100", "num_unq", "total_secs"]
+view("eda_imputed", ["eda"], "SELECT * REPLACE (" + ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), (SELECT CAST(median({c}) AS DOUBLE) FROM eda WHERE split = 'train')) AS {c}"
+    for c in LOGS) + ") FROM eda")
+
+OUTLIER = ["regist_trans", "regist_cancels", "total_secs", "tenure"]
+view("eda_stats", ["eda_imputed"], "SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in OUTLIER) + " FROM eda_imputed WHERE split = 'train'")
+view("eda_inliers", ["eda_imputed", "eda_stats"], "SELECT " + ", ".join(
+    f"avg(CASE WHEN abs(({c} - m_{c}) / s_{c}) < 3 THEN {c} END) AS in_{c}" for c in OUTLIER)
+    + " FROM eda_imputed, eda_stats WHERE split = 'train'")
+view("eda_tamed", ["eda_imputed", "eda_stats", "eda_inliers"], "SELECT i.* REPLACE (" + ", ".join(
+    f"CASE WHEN split = 'train' AND abs(({c} - m_{c}) / s_{c}) > 3 THEN in_{c} ELSE CAST({c} AS DOUBLE) END AS {c}"
+    for c in OUTLIER) + ") FROM eda_imputed i, eda_stats, eda_inliers")
+
+SCALE = ["regist_trans", "mst_frq_plan_days", "revenue", "regist_cancels", "bd", "tenure"]
+view("eda_scale_stats", ["eda_tamed"], "SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SCALE) + " FROM eda_tamed WHERE split = 'train'")
+view("eda_scaled", ["eda_tamed", "eda_scale_stats"], "SELECT t.* REPLACE (" + ", ".join(
+    f"(CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END AS {c}" for c in SCALE)
+    + ") FROM eda_tamed t, eda_scale_stats")
+
+
 def _order(names: list[str]) -> list[str]:
     seen: list[str] = []
 

@@ -1 +1,80 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for F10-F21 (split, impute, encode, rebalance, final frame)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from churnlab.operators import prep
+from churnlab.plans import features
+from churnlab.plans.oracle import CATS, FEATURE_DOUBLES, IMPUTE, LOGS, OUTLIER, SCALE, with_views
+from churnlab.plans.registry import register
+
+
+@register("split_assign", with_views("SELECT msno, split FROM split", "split"))
+def q_split_assign(spark, sf_dir):
+    return features.split(spark, sf_dir).select("msno", "split")
+
+
+@register("impute_mean", with_views(f"SELECT msno, split, {', '.join(IMPUTE)} FROM imputed", "imputed"),
+          round_cols=tuple(IMPUTE))
+def q_impute_mean(spark, sf_dir):
+    return features.final_parts(spark, sf_dir)["imputed"].select("msno", "split", *IMPUTE)
+
+
+@register("impute_median", with_views(f"SELECT msno, split, {', '.join(LOGS)} FROM eda_imputed", "eda_imputed"),
+          round_cols=tuple(LOGS))
+def q_impute_median(spark, sf_dir):
+    return features.eda_prepared(spark, sf_dir)["imputed"].select("msno", "split", *LOGS)
+
+
+@register("string_index", with_views(f"SELECT msno, split, {', '.join(CATS)} FROM indexed", "indexed"))
+def q_string_index(spark, sf_dir):
+    return features.final_parts(spark, sf_dir)["indexed"].select("msno", "split", *CATS)
+
+
+_LONG = " UNION ALL ".join(
+    f"SELECT msno, '{c}_' || CAST({c} AS VARCHAR) AS name FROM eda WHERE {c} IS NOT NULL" for c in CATS)
+
+
+@register("one_hot", with_views(f"""
+SELECT msno, coalesce(COLUMNS(* EXCLUDE (msno)), 0)
+FROM (PIVOT (SELECT msno, name, 1 AS v FROM ({_LONG}) l) ON name USING max(v) GROUP BY msno) p""", "eda"))
+def q_one_hot(spark, sf_dir):
+    e = features.eda(spark, sf_dir).select("msno", *CATS)
+    return prep.one_hot(e, prep.category_levels(e, CATS))
+
+
+@register("undummy", with_views(f"SELECT msno, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in CATS)} FROM eda",
+                                "eda"))
+def q_undummy(spark, sf_dir):
+    e = features.eda(spark, sf_dir).select("msno", *CATS)
+    return prep.undummy(prep.one_hot(e, prep.category_levels(e, CATS)), CATS).select("msno", *CATS)
+
+
+@register("outliers_to_mean", with_views(
+    f"SELECT msno, {', '.join(OUTLIER)} FROM eda_tamed WHERE split = 'train'", "eda_tamed"),
+    round_cols=tuple(OUTLIER))
+def q_outliers_to_mean(spark, sf_dir):
+    p = features.eda_prepared(spark, sf_dir)
+    return p["tamed"].where(F.col("split") == "train").select("msno", *OUTLIER)
+
+
+@register("standardize", with_views(f"SELECT msno, split, {', '.join(SCALE)} FROM eda_scaled", "eda_scaled"),
+          round_cols=tuple(SCALE))
+def q_standardize(spark, sf_dir):
+    return features.eda_prepared(spark, sf_dir)["scaled"].select("msno", "split", *SCALE)
+
+
+@register("class_balance", with_views("SELECT * FROM class_balance", "class_balance"))
+def q_class_balance(spark, sf_dir):
+    return prep.class_balance(features.final_parts(spark, sf_dir)["train"])
+
+
+@register("oversampled", with_views("SELECT msno, is_churn FROM final WHERE split = 'train'", "final"))
+def q_oversampled(spark, sf_dir):
+    return features.final_parts(spark, sf_dir)["oversampled"].select("msno", "is_churn")
+
+
+@register("features_final", with_views("SELECT * FROM final", "final"), round_cols=tuple(FEATURE_DOUBLES))
+def q_features_final(spark, sf_dir):
+    return features.final(spark, sf_dir)
