@@ -1 +1,89 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for the evaluation family (M5-M12, S7, S8) on the
+deterministic ``predictions`` view."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from churnlab.operators import evaluation as ev
+from churnlab.plans.oracle import with_views
+from churnlab.plans.registry import register
+from churnlab.sources import adapters
+
+_CM = """SELECT count(*) FILTER (WHERE is_churn = 0 AND prediction = 0) AS tn,
+       count(*) FILTER (WHERE is_churn = 0 AND prediction = 1) AS fp,
+       count(*) FILTER (WHERE is_churn = 1 AND prediction = 0) AS fn,
+       count(*) FILTER (WHERE is_churn = 1 AND prediction = 1) AS tp FROM predictions"""
+
+_RATES = f"""SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
+       coalesce((tp + tn) / nullif(tp + tn + fp + fn, 0), 0) AS accuracy,
+       coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1,
+       tp / nullif(tp + fn, 0) AS tpr, tn / nullif(tn + fp, 0) AS tnr FROM ({_CM}) c"""
+
+_REPORT = f"""SELECT (tpr + tnr) / 2 AS auc_score, round(recall * 100, 2) AS recall, round(precision * 100, 2) AS precision,
+       round(accuracy * 100, 2) AS accuracy, round(f1 * 100, 2) AS f1 FROM ({_RATES}) r"""
+
+_CUM = """SELECT threshold, pos, neg,
+       sum(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+       sum(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+       sum(pos) OVER () AS P, sum(neg) OVER () AS N
+FROM (SELECT CAST(score AS DOUBLE) AS threshold, count(*) FILTER (WHERE is_churn = 1) AS pos,
+             count(*) FILTER (WHERE is_churn = 0) AS neg FROM predictions GROUP BY 1) s"""
+
+
+def _preds(spark, sf_dir):
+    return adapters.predictions(spark, sf_dir)
+
+
+@register("label_at_threshold", with_views("""
+SELECT msno, CASE WHEN score >= 0.5 THEN 1.0 ELSE 0.0 END AS label_050,
+       CASE WHEN score >= 0.8 THEN 1.0 ELSE 0.0 END AS label_080 FROM predictions""", "predictions"))
+def q_label_at_threshold(spark, sf_dir):
+    p = _preds(spark, sf_dir)
+    p = ev.label_at_threshold(p, "score", 0.5, "label_050")
+    return ev.label_at_threshold(p, "score", 0.8, "label_080").select("msno", "label_050", "label_080")
+
+
+@register("confusion_matrix", with_views(_CM, "predictions"))
+def q_confusion_matrix(spark, sf_dir):
+    return ev.confusion_matrix(_preds(spark, sf_dir))
+
+
+@register("roc_curve", with_views(
+    f"SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, tp / P AS tpr, fp / N AS fpr FROM ({_CUM}) c",
+    "predictions"), round_cols=("tpr", "fpr"))
+def q_roc_curve(spark, sf_dir):
+    return ev.roc_curve(_preds(spark, sf_dir))
+
+
+@register("pr_curve", with_views(
+    f"SELECT threshold, tp / nullif(tp + fp, 0) AS precision, tp / P AS recall FROM ({_CUM}) c", "predictions"),
+    round_cols=("precision", "recall"))
+def q_pr_curve(spark, sf_dir):
+    return ev.pr_curve(_preds(spark, sf_dir))
+
+
+@register("auc_prob", with_views(
+    f"SELECT CAST(sum(neg * (2 * tp - pos)) AS DOUBLE) / (2.0 * any_value(P) * any_value(N)) AS auc FROM ({_CUM}) c",
+    "predictions"), round_cols=("auc",))
+def q_auc_prob(spark, sf_dir):
+    return ev.auc_prob(_preds(spark, sf_dir))
+
+
+@register("eval_report", with_views(_REPORT, "predictions"), round_cols=("auc_score",))
+def q_eval_report(spark, sf_dir):
+    return ev.eval_report(_preds(spark, sf_dir))
+
+
+@register("auc_gate", with_views(f"""
+SELECT auc_score, 0.75 AS threshold, coalesce(auc_score > 0.75, false) AS passed FROM ({_REPORT}) r""",
+    "predictions"), round_cols=("auc_score",))
+def q_auc_gate(spark, sf_dir):
+    return ev.auc_gate(ev.report_json(ev.eval_report(_preds(spark, sf_dir))))
+
+
+@register("model_quality", with_views(f"""
+SELECT tn, fp, fn, tp, accuracy, precision, recall, f1, tpr, tnr, (tpr + tnr) / 2 AS auc_hard FROM ({_RATES}) r""",
+    "predictions"), round_cols=("accuracy", "precision", "recall", "f1", "tpr", "tnr", "auc_hard"))
+def q_model_quality(spark, sf_dir):
+    return ev.rates(ev.confusion_matrix(_preds(spark, sf_dir)))
