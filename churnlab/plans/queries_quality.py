@@ -1 +1,244 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: bias (Q6-Q13), data quality (Q1-Q5), descriptive
+statistics (A6-A10, F20, O2)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from churnlab.operators import bias, profile, quality
+from churnlab.plans import features
+from churnlab.plans.oracle import parse_ymd, view, with_views
+from churnlab.plans.registry import register
+from churnlab.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS
+from churnlab.sources import adapters
+
+
+# ----------------------------------------------------------------- bias
+def bias_frame(spark, sf_dir):
+    j = features.joined(spark, sf_dir).select("msno", "is_churn", "gender", "bd")
+    return j.join(adapters.predictions(spark, sf_dir).select("msno", "prediction"), "msno")
+
+
+_BIAS_VIEW = """(SELECT j.msno, j.is_churn, j.gender, j.bd, p.prediction, coalesce(j.gender IN ('female'), false) AS d
+ FROM features_joined j JOIN predictions p USING (msno))"""
+
+
+def _kl(p, q):
+    return f"(CASE WHEN ({p}) = 0 THEN 0.0 WHEN ({q}) = 0 THEN NULL ELSE ({p}) * ln(({p}) / ({q})) END)"
+
+
+_PRE = f"""
+SELECT n_a, n_d, (n_a - n_d) / nullif(n_a + n_d, 0) AS ci, qa - qd AS dpl,
+       {_kl('(1 - qa)', '(1 - qd)')} + {_kl('qa', 'qd')} AS kl,
+       ({_kl('(1 - qa)', '((1 - qa) + (1 - qd)) / 2')} + {_kl('qa', '(qa + qd) / 2')}
+        + {_kl('(1 - qd)', '((1 - qa) + (1 - qd)) / 2')} + {_kl('qd', '(qa + qd) / 2')}) / 2 AS js,
+       sqrt(((1 - qa) - (1 - qd)) * ((1 - qa) - (1 - qd)) + (qa - qd) * (qa - qd)) AS lp,
+       (abs((1 - qa) - (1 - qd)) + abs(qa - qd)) / 2 AS tvd,
+       greatest(abs((1 - qa) - (1 - qd)), abs(qa - qd)) AS ks
+FROM (SELECT *, n_a1 / nullif(n_a, 0) AS qa, n_d1 / nullif(n_d, 0) AS qd
+      FROM (SELECT *, n_a1 + n_a0 AS n_a, n_d1 + n_d0 AS n_d
+            FROM (SELECT count(*) FILTER (WHERE NOT d AND is_churn = 1) AS n_a1,
+                         count(*) FILTER (WHERE NOT d AND is_churn = 0) AS n_a0,
+                         count(*) FILTER (WHERE d AND is_churn = 1) AS n_d1,
+                         count(*) FILTER (WHERE d AND is_churn = 0) AS n_d0 FROM {_BIAS_VIEW} b) c) c2) c3"""
+
+_PRE_COLS = ("ci", "dpl", "kl", "js", "lp", "tvd", "ks")
+
+
+@register("bias_pretrain", with_views(_PRE, "features_joined", "predictions"), round_cols=_PRE_COLS)
+def q_bias_pretrain(spark, sf_dir):
+    return bias.pretraining_bias(bias_frame(spark, sf_dir), "is_churn", "gender", ["female"])
+
+
+def _cdd_sql(label):
+    return f"""
+SELECT sum(n * (coalesce(nd0 / nullif(n0, 0), 0.0) - coalesce(nd1 / nullif(n1, 0), 0.0))) / CAST(sum(n) AS DOUBLE) AS cdd
+FROM (SELECT bd, count(*) AS n, count(*) FILTER (WHERE {label} = 0) AS n0, count(*) FILTER (WHERE {label} = 1) AS n1,
+             count(*) FILTER (WHERE d AND {label} = 0) AS nd0, count(*) FILTER (WHERE d AND {label} = 1) AS nd1
+      FROM {_BIAS_VIEW} b GROUP BY bd) g"""
+
+
+@register("bias_cddl", with_views(_cdd_sql("is_churn"), "features_joined", "predictions"), round_cols=("cdd",))
+def q_bias_cddl(spark, sf_dir):
+    return bias.conditional_demographic_disparity(bias_frame(spark, sf_dir), "is_churn", "gender", ["female"], "bd")
+
+
+@register("bias_cddpl", with_views(_cdd_sql("prediction"), "features_joined", "predictions"), round_cols=("cdd",))
+def q_bias_cddpl(spark, sf_dir):
+    return bias.conditional_demographic_disparity(bias_frame(spark, sf_dir), "prediction", "gender", ["female"], "bd")
+
+
+def _side(s, cond):
+    return ", ".join(
+        f"count(*) FILTER (WHERE {cond} AND is_churn = {y} AND prediction = {p}) AS {n}_{s}"
+        for n, y, p in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0)))
+
+
+def _r(a, b):
+    return f"({a}) / nullif({b}, 0)"
+
+
+_POST = f"""
+SELECT {_r('tp_a + fp_a', 'n_a')} - {_r('tp_d + fp_d', 'n_d')} AS dppl,
+       {_r('tp_d + fp_d', 'n_d')} / nullif({_r('tp_a + fp_a', 'n_a')}, 0) AS di,
+       {_r('tp_a + fn_a', 'tp_a + fp_a')} - {_r('tp_d + fn_d', 'tp_d + fp_d')} AS dcacc,
+       {_r('tn_d + fp_d', 'tn_d + fn_d')} - {_r('tn_a + fp_a', 'tn_a + fn_a')} AS dcr,
+       {_r('tp_a', 'tp_a + fn_a')} - {_r('tp_d', 'tp_d + fn_d')} AS rd,
+       {_r('tp_a', 'tp_a + fp_a')} - {_r('tp_d', 'tp_d + fp_d')} AS dar,
+       {_r('tn_d', 'tn_d + fn_d')} - {_r('tn_a', 'tn_a + fn_a')} AS drr,
+       {_r('tp_a + tn_a', 'n_a')} - {_r('tp_d + tn_d', 'n_d')} AS ad,
+       {_r('fn_d', 'fp_d')} - {_r('fn_a', 'fp_a')} AS te,
+       {_r('tn_a', 'tn_a + fp_a')} - {_r('tn_d', 'tn_d + fp_d')} AS sd
+FROM (SELECT *, tp_a + fp_a + fn_a + tn_a AS n_a, tp_d + fp_d + fn_d + tn_d AS n_d
+      FROM (SELECT {_side('a', 'NOT d')}, {_side('d', 'd')} FROM {_BIAS_VIEW} b) c) c2"""
+
+_POST_COLS = ("dppl", "di", "dcacc", "dcr", "rd", "dar", "drr", "ad", "te", "sd")
+
+
+@register("bias_posttrain", with_views(_POST, "features_joined", "predictions"), round_cols=_POST_COLS)
+def q_bias_posttrain(spark, sf_dir):
+    return bias.posttraining_bias(bias_frame(spark, sf_dir), "is_churn", "prediction", "gender", ["female"])
+
+
+# -------------------------------------------------------------- quality
+PROFILE_COLS = [c for c in FEATURE_COLUMNS if c != "msno"]
+_INTEGRAL = {"is_churn", "bd"}
+
+
+def _profile_sql(where, table="final", cols=None):
+    parts = []
+    for c in cols or PROFILE_COLS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS feature, count(*) AS n, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, avg({x}) AS mean, "
+            f"sum({x}) AS total, stddev_samp({x}) AS std, min({x}) AS min, max({x}) AS max, "
+            f"count(DISTINCT {c}) AS n_distinct, {'true' if c in _INTEGRAL else 'false'} AS integral "
+            f"FROM {table} WHERE {where}")
+    return " UNION ALL ".join(parts)
+
+
+_STATS = ("mean", "total", "std", "min", "max")
+
+
+def _profile(spark, sf_dir, split):
+    f = features.final(spark, sf_dir).where(F.col("split") == split)
+    return quality.profile_table(f, PROFILE_COLS, exact_distinct=True).withColumnRenamed("column", "feature")
+
+
+@register("profile_table", with_views(_profile_sql("split = 'train'"), "final"), round_cols=_STATS)
+def q_profile_table(spark, sf_dir):
+    return _profile(spark, sf_dir, "train")
+
+
+_CONSTRAINTS = """SELECT feature, coalesce((n - n_missing) / nullif(n, 0), 1.0) AS completeness,
+       coalesce(min >= 0, true) AS non_negative, integral FROM ({p}) p"""
+
+
+@register("suggest_constraints", with_views(_CONSTRAINTS.format(p=_profile_sql("split = 'train'")), "final"),
+          round_cols=("completeness",))
+def q_suggest_constraints(spark, sf_dir):
+    return quality.suggest_constraints(_profile(spark, sf_dir, "train").withColumnRenamed("feature", "column")) \
+        .withColumnRenamed("column", "feature")
+
+
+view("profile_base", ["final"], _profile_sql("split = 'train'"))
+# incoming data: validation rows before imputation and encoding (numeric columns only)
+_RAW_NUMERIC = [c for c in PROFILE_COLS if c not in CATEGORICAL_COLUMNS]
+view("profile_current", ["split"], _profile_sql("split = 'validation'", "split", _RAW_NUMERIC))
+view("drift_join", ["profile_base", "profile_current"], """
+SELECT b.feature, coalesce((b.n - b.n_missing) / nullif(b.n, 0), 1.0) AS completeness,
+       coalesce(b.min >= 0, true) AS non_negative, b.mean AS b_mean, b.std AS b_std,
+       c.mean AS c_mean, c.min AS c_min, coalesce((c.n - c.n_missing) / nullif(c.n, 0), 1.0) AS c_compl,
+       c.feature IS NOT NULL AS present
+FROM profile_base b LEFT JOIN profile_current c USING (feature)""")
+
+_DRIFT = """
+SELECT feature, 'missing_column' AS "check", CAST(NULL AS DOUBLE) AS baseline_value, CAST(NULL AS DOUBLE) AS observed_value
+FROM drift_join WHERE NOT present
+UNION ALL SELECT feature, 'completeness', completeness, c_compl FROM drift_join WHERE c_compl < completeness
+UNION ALL SELECT feature, 'non_negative', 0.0, c_min FROM drift_join WHERE non_negative AND c_min < 0
+UNION ALL SELECT feature, 'mean_shift', b_mean, c_mean FROM drift_join WHERE abs(c_mean - b_mean) > 1.0 * b_std"""
+
+
+@register("drift_violations", with_views(_DRIFT, "drift_join"), round_cols=("baseline_value", "observed_value"))
+def q_drift_violations(spark, sf_dir):
+    """Training baseline vs incoming (un-imputed, un-encoded) validation rows."""
+    base = quality.profile_table(features.final(spark, sf_dir).where(F.col("split") == "train"), PROFILE_COLS,
+                                 exact_distinct=True)
+    raw = features.split(spark, sf_dir).where(F.col("split") == "validation")
+    cur = quality.profile_table(raw, _RAW_NUMERIC, exact_distinct=True)
+    return quality.drift_violations(base, cur).withColumnRenamed("column", "feature")
+
+
+# ----------------------------------------------------------- descriptive
+@register("dist_churn", with_views("""
+SELECT is_churn, count(*) AS n, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM train) AS share
+FROM train GROUP BY is_churn""", "train"), round_cols=("share",))
+def q_dist_churn(spark, sf_dir):
+    return profile.value_counts(adapters.train(spark, sf_dir), "is_churn")
+
+
+def _dist_sql(expr, name):
+    return with_views(f"""
+SELECT {expr} AS {name}, count(*) AS n, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM transactions) AS share
+FROM transactions GROUP BY 1""", "transactions")
+
+
+@register("dist_plan_days", _dist_sql("payment_plan_days", "payment_plan_days"), round_cols=("share",))
+def q_dist_plan_days(spark, sf_dir):
+    return profile.value_counts(adapters.transactions(spark, sf_dir), "payment_plan_days")
+
+
+@register("dist_pay_method", _dist_sql("payment_method_id", "payment_method_id"), round_cols=("share",))
+def q_dist_pay_method(spark, sf_dir):
+    return profile.value_counts(adapters.transactions(spark, sf_dir), "payment_method_id")
+
+
+@register("dist_quarter", _dist_sql(f"CAST(quarter({parse_ymd('transaction_date')}) AS INTEGER)", "quarter"),
+          round_cols=("share",))
+def q_dist_quarter(spark, sf_dir):
+    from churnlab.functions import yyyymmdd_to_date
+    return profile.value_counts(adapters.transactions(spark, sf_dir),
+                                F.quarter(yyyymmdd_to_date("transaction_date")), "quarter")
+
+
+_AUDIT_COLS = [c for c in FEATURE_COLUMNS if c != "msno"]
+
+
+@register("null_audit", with_views(" UNION ALL ".join(
+    f"SELECT split, '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM split GROUP BY split"
+    for c in _AUDIT_COLS), "split"))
+def q_null_audit(spark, sf_dir):
+    return profile.null_audit(features.split(spark, sf_dir), _AUDIT_COLS, by="split")
+
+
+_JOINED_COLS = ["msno", "is_churn", "regist_trans", "mst_frq_pay_met", "mst_frq_plan_days", "revenue", "is_auto_renew",
+                "regist_cancels", "qtr_trans", "city", "bd", "gender", "registered_via", "registration_init_time",
+                "num_25", "num_50", "num_75", "num_985", "num_100", "num_unq", "total_secs"]
+
+
+@register("missing_pct", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(count(*) FILTER (WHERE {c} IS NULL) / CAST(count(*) AS DOUBLE) * 100, 2) "
+    f"AS pct_missing FROM features_joined" for c in _JOINED_COLS), "features_joined"))
+def q_missing_pct(spark, sf_dir):
+    return profile.missing_pct(features.joined(spark, sf_dir), _JOINED_COLS)
+
+
+@register("plan_days_revenue", with_views("SELECT msno, mst_frq_plan_days, revenue FROM txn_features", "txn_features"))
+def q_plan_days_revenue(spark, sf_dir):
+    from churnlab.operators.transactions import txn_features
+    return txn_features(adapters.transactions(spark, sf_dir)).select("msno", "mst_frq_plan_days", "revenue")
+
+
+@register("tenure_revenue", with_views("SELECT msno, tenure, revenue FROM aged", "aged"), round_cols=("tenure",))
+def q_tenure_revenue(spark, sf_dir):
+    return features.aged(spark, sf_dir).select("msno", "tenure", "revenue")
+
+
+@register("top_revenue", with_views("""
+SELECT msno, revenue, regist_trans FROM txn_features ORDER BY revenue DESC NULLS LAST, msno ASC LIMIT 10""",
+    "txn_features"))
+def q_top_revenue(spark, sf_dir):
+    from churnlab.operators.transactions import txn_features
+    t = txn_features(adapters.transactions(spark, sf_dir)).select("msno", "revenue", "regist_trans")
+    return profile.top_n(t, "revenue", 10, "msno")
