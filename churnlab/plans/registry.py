@@ -69,3 +69,4 @@ def _load_all() -> None:
     from churnlab.plans import queries_eval  # noqa: F401
     from churnlab.plans import queries_quality  # noqa: F401
     from churnlab.plans import queries_models  # noqa: F401
+    from churnlab.plans import queries_sources  # noqa: F401
