@@ -1 +1,97 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for the model family (M1-M4), SHAP.
+
+Trained models are deterministic (fixed seeds) but their values depend on
+MLlib, so only A13 has a SQL oracle; the rest are rows-only checks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from churnlab.operators import explain, model as mdl
+from churnlab.plans import features
+from churnlab.plans.oracle import with_views
+from churnlab.plans.registry import register
+from churnlab.schemas import CATEGORICAL_COLUMNS
+from churnlab.sources.csv_io import export_dir
+
+NUMERIC_INPUTS = [c for c in mdl.FEATURE_INPUTS if c not in CATEGORICAL_COLUMNS]
+_CACHE: dict = {}
+
+
+def _frames(spark, sf_dir):
+    key = ("frames", sf_dir, id(spark))
+    if key not in _CACHE:
+        f = features.final(spark, sf_dir)
+        _CACHE[key] = {s: f.where(F.col("split") == s) for s in ("train", "test", "validation")}
+    return _CACHE[key]
+
+
+def _model(spark, sf_dir):
+    key = ("model", sf_dir, id(spark))
+    if key not in _CACHE:
+        _CACHE[key] = mdl.train_gbt(_frames(spark, sf_dir)["train"])
+    return _CACHE[key]
+
+
+@register("train_gbt")
+def q_train_gbt(spark, sf_dir):
+    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())])
+    return spark.createDataFrame(mdl.feature_importances(_model(spark, sf_dir)), schema)
+
+
+@register("loss_curve")
+def q_loss_curve(spark, sf_dir):
+    fr = _frames(spark, sf_dir)
+    return mdl.loss_curve(_model(spark, sf_dir), {"train": fr["train"], "test": fr["test"]})
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    """Fit, persist to shared storage, reload, score held-out rows; label and
+    prediction are appended to the input row."""
+    path = export_dir(spark, "gbt_model")
+    mdl.save_model(_model(spark, sf_dir), path)
+    loaded = mdl.load_model(path)
+    fr = _frames(spark, sf_dir)
+    held_out = fr["test"].unionByName(fr["validation"])
+    return mdl.score(loaded, held_out).select("msno", "split", "is_churn", "score", "prediction")
+
+
+@register("tune_gbt")
+def q_tune_gbt(spark, sf_dir):
+    fr = _frames(spark, sf_dir)
+    return mdl.tune_gbt(fr["train"], fr["validation"])
+
+
+def _mode_sql(c):
+    return (f"(SELECT v FROM (SELECT {c} AS v, count(*) AS n FROM final WHERE split = 'train' AND {c} IS NOT NULL "
+            f"GROUP BY 1) m ORDER BY n DESC, v ASC LIMIT 1) AS {c}")
+
+
+@register("shap_baseline", with_views(
+    "SELECT " + ", ".join([_mode_sql(c) for c in CATEGORICAL_COLUMNS]
+                          + [f"(SELECT avg({c}) FROM final WHERE split = 'train') AS {c}" for c in NUMERIC_INPUTS]),
+    "final"), round_cols=tuple(NUMERIC_INPUTS))
+def q_shap_baseline(spark, sf_dir):
+    return explain.shap_baseline(_frames(spark, sf_dir)["train"], CATEGORICAL_COLUMNS, NUMERIC_INPUTS)
+
+
+def _shap(spark, sf_dir):
+    key = ("shap", sf_dir, id(spark))
+    if key not in _CACHE:
+        base = explain.shap_baseline(_frames(spark, sf_dir)["train"], CATEGORICAL_COLUMNS, NUMERIC_INPUTS).first()
+        _CACHE[key] = explain.shap_local(_model(spark, sf_dir), _frames(spark, sf_dir)["test"], base.asDict(),
+                                         mdl.FEATURE_INPUTS, "msno", n_samples=59, seed=123)
+    return _CACHE[key]
+
+
+@register("shap_local")
+def q_shap_local(spark, sf_dir):
+    return _shap(spark, sf_dir)
+
+
+@register("shap_global")
+def q_shap_global(spark, sf_dir):
+    return explain.shap_global(_shap(spark, sf_dir))
