@@ -2,9 +2,10 @@
 
 Rare-category bucketing keeps a value only when its share of ALL rows is at
 least ``min_share``. The set of kept values therefore has at most
-``1/min_share`` members (200 at 0.5%), a bound that does not grow with the
-data, so it is the side we broadcast. The unbounded rare set is never
-collected to the driver or inlined as a literal list.
+``1/min_share`` members per column (200 at 0.5%), a bound that does not grow
+with the data: that set is fitted with ONE aggregate over all bucketed columns
+and applied as a projection (no join, no second pass per column). The
+unbounded rare set is never collected or inlined.
 """
 
 from __future__ import annotations
@@ -59,28 +60,46 @@ def rare_categories(df: DataFrame, cols: list[str] = RARE_COLUMNS, min_share: fl
     return category_counts(df, cols).where(F.col("share") < min_share)
 
 
-def rare_bucketed(df: DataFrame, cols: list[str] = RARE_COLUMNS, min_share: float = RARE_SHARE) -> DataFrame:
-    """Each listed column becomes a string; rare or NULL values become 'other'."""
+def frequent_values(df: DataFrame, cols: list[str] = RARE_COLUMNS,
+                    min_share: float = RARE_SHARE) -> dict[str, list[str]]:
+    """Values kept per column: at most ``1/min_share`` each, by arithmetic."""
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be in (0, 1]")
-    frequent = category_counts(df, cols).where(F.col("share") >= min_share).select("feature", "value")
-    out = df
-    for c in cols:
-        keep = F.broadcast(  # at most 1/min_share rows per feature
-            frequent.where(F.col("feature") == c).select(F.col("value").alias(f"_kept_{c}"))
-        )
-        out = (out.join(keep, out[c].cast("string") == keep[f"_kept_{c}"], "left")
-                  .withColumn(c, F.coalesce(F.col(f"_kept_{c}"), F.lit(OTHER)))
-                  .drop(f"_kept_{c}"))
-    return out
+    rows = category_counts(df, cols).where(F.col("share") >= min_share).select("feature", "value").collect()
+    kept = {c: [] for c in cols}
+    for r in rows:
+        kept[r["feature"]].append(r["value"])
+    return kept
+
+
+def apply_buckets(df: DataFrame, kept: dict[str, list[str]]) -> DataFrame:
+    """Each listed column becomes a string; values outside ``kept`` (and NULL) become 'other'."""
+    exprs = {}
+    for c, values in kept.items():
+        s = F.col(c).cast("string")
+        hit = s.isin(sorted(values)) if values else F.lit(False)
+        exprs[c] = F.when(hit, s).otherwise(F.lit(OTHER))
+    return df.withColumns(exprs)
+
+
+def rare_bucketed(df: DataFrame, cols: list[str] = RARE_COLUMNS, min_share: float = RARE_SHARE) -> DataFrame:
+    return apply_buckets(df, frequent_values(df, cols, min_share))
 
 
 def log1p_features(df: DataFrame, cols: list[str] = LOG1P_COLUMNS) -> DataFrame:
     return df.withColumns({c: F.log1p(F.col(c)) for c in cols})
 
 
-def features_clean(joined: DataFrame, as_of: _dt.date, min_share: float = RARE_SHARE) -> DataFrame:
-    """Age cap, tenure, rare buckets and log1p, in the reference order."""
+def features_clean(joined: DataFrame, as_of: _dt.date, min_share: float = RARE_SHARE,
+                   checkpoint: bool = True) -> DataFrame:
+    """Age cap, tenure, rare buckets and log1p, in the reference order.
+
+    The per-user frame feeds the bucket fit and the output, so its lineage is
+    cut once (reliable checkpoint) instead of recomputing the joins twice.
+    """
     df = tenure_years(age_capped(joined), as_of)
+    if checkpoint:
+        from churnlab.session import cut_lineage
+        df = cut_lineage(df)
     df = rare_bucketed(df, RARE_COLUMNS, min_share)
     return log1p_features(df)

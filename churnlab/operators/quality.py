@@ -18,29 +18,48 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Exact (feature, n_distinct) for many columns: (column, value) pairs are
+    de-duplicated map-side, then counted per column. Avoids the Expand that
+    several ``count(DISTINCT ...)`` in one aggregate would replicate every
+    other aggregate through."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                                for c in cols]))
+    return (df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
+              .distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct")))
+
+
 def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = False) -> DataFrame:
-    """(column, n, n_missing, mean, total, std, min, max, n_distinct) per numeric column.
+    """(column, n, n_missing, mean, total, std, min, max, n_distinct, integral) per numeric column.
 
-    ``exact_distinct`` uses exact distinct counts (an Expand over the columns);
-    the default HyperLogLog++ sketch keeps the aggregate single-pass at scale.
+    Moments come from ONE aggregate turned into one row per column with
+    ``inline``; distinct counts are exact (``distinct_counts``) or a
+    HyperLogLog++ sketch inside the same aggregate.
     """
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     cols = cols or [c for c, t in types.items() if isinstance(t, _NUMERIC)]
-    distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count_if(F.col(c).isNull()).alias(f"m{i}"), F.avg(x).alias(f"a{i}"), F.sum(x).alias(f"s{i}"),
-                 F.stddev_samp(x).alias(f"d{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 distinct(F.col(c)).alias(f"k{i}")]
+                 F.stddev_samp(x).alias(f"d{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(F.col(c)).alias(f"k{i}"))
     wide = df.agg(*aggs)
     rows = F.array(*[F.struct(
         F.lit(c).alias("column"), F.col("_n").alias("n"), F.col(f"m{i}").alias("n_missing"),
         F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("total"), F.col(f"d{i}").alias("std"),
         F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
-        F.col(f"k{i}").cast("bigint").alias("n_distinct"),
+        (F.lit(None) if exact_distinct else F.col(f"k{i}")).cast("bigint").alias("n_distinct"),
         F.lit(isinstance(types[c], _INTEGRAL)).alias("integral")) for i, c in enumerate(cols)])
-    return wide.select(F.inline(rows))
+    prof = wide.select(F.inline(rows))
+    if exact_distinct:
+        dc = distinct_counts(df, cols)  # one row per column
+        prof = (prof.drop("n_distinct").join(F.broadcast(dc), "column", "left")
+                    .withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)).cast("bigint"))
+                    .select("column", "n", "n_missing", "mean", "total", "std", "min", "max", "n_distinct",
+                            "integral"))
+    return prof
 
 
 def suggest_constraints(profile: DataFrame) -> DataFrame:

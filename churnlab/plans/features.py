@@ -51,13 +51,11 @@ def final_parts(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> di
     """split -> mean-impute (fit on train) -> index (fit on train) ->
     oversample train. Returns the frames and the fitted models.
 
-    The split frame feeds two fits, a class count and the output, so its
-    lineage is cut once with a reliable checkpoint instead of being recomputed
-    from the raw tables four times.
+    The split frame feeds two fits, a class count and the output; it is a cheap
+    projection of the checkpointed per-user frame, so the raw tables are read
+    once.
     """
-    s = split(spark, sf_dir)
-    if checkpoint:
-        s = cut_lineage(s)
+    s = split(spark, sf_dir)  # its per-user base is already checkpointed in ``clean``
     is_train = F.col("split") == "train"
     imputer = prep.fit_mean_imputer(s.where(is_train), IMPUTE_COLUMNS)
     imputed = prep.impute_mean(s, imputer, IMPUTE_COLUMNS)
@@ -88,15 +86,13 @@ def eda(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows complete in member fields, age capped, tenure, rare buckets over
     the kept rows, 80/20 key-hash split (seed 123)."""
     df = drop_incomplete(joined(spark, sf_dir), EDA_REQUIRED)
-    df = tenure_years(age_capped(df), adapters.AS_OF)
+    df = cut_lineage(tenure_years(age_capped(df), adapters.AS_OF))
     df = rare_bucketed(df)
     return prep.split_assign(df, (0.8, 0.2), ("train", "test"), EDA_SEED)
 
 
 def eda_prepared(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> dict:
     e = eda(spark, sf_dir)
-    if checkpoint:
-        e = cut_lineage(e)
     is_train = F.col("split") == "train"
     medians = prep.fit_median_imputer(e.where(is_train), LOG_COLUMNS)
     imputed = prep.impute_with(e, medians)
