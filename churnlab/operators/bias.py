@@ -100,3 +100,21 @@ def posttraining_bias(df: DataFrame, label: str = "is_churn", pred: str = "predi
         (ratio(b["fn"], b["fp"]) - ratio(a["fn"], a["fp"])).alias("te"),
         (ratio(a["tn"], a["obs0"]) - ratio(b["tn"], b["obs0"])).alias("sd"),
     )
+
+
+def flip_test(model, rows: DataFrame, facet: str, facet_values: list, counterfactual_value,
+              pred: str = "prediction") -> DataFrame:
+    """Q14 counterfactual flip test: each facet-d row is scored as is and with
+    its facet value replaced by ``counterfactual_value`` (facet a); FT =
+    (#(0 -> 1) - #(1 -> 0)) / n_d. Two narrow ``transform`` passes over the
+    same rows, no pairing of rows, so it is exact and linear in n_d."""
+    d = rows.where(_in_facet(facet, list(facet_values)))
+    extra = ("features", "rawPrediction", "probability", pred)
+    base_cols = [c for c in d.columns if c not in extra]
+    first = model.transform(d.select(*base_cols)).select(*base_cols, F.col(pred).alias("_p0"))
+    swapped = first.withColumn(facet, F.lit(counterfactual_value).cast(d.schema[facet].dataType))
+    second = model.transform(swapped).select("_p0", F.col(pred).alias("_p1"))
+    c = second.agg(F.count(F.lit(1)).alias("n_d"),
+                   F.count_if((F.col("_p0") == 0) & (F.col("_p1") == 1)).alias("n_up"),
+                   F.count_if((F.col("_p0") == 1) & (F.col("_p1") == 0)).alias("n_down"))
+    return c.withColumn("ft", ratio(F.col("n_up") - F.col("n_down"), "n_d"))

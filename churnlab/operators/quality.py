@@ -113,3 +113,19 @@ def choose_baseline(skip_check: bool, register_new: bool) -> dict:
 def latest_approved(registry: DataFrame, version: str = "version", approved: str = "approved") -> DataFrame:
     """Latest approved version of a versioned baseline table (one aggregate)."""
     return registry.where(F.col(approved)).agg(F.max(version).alias("version"))
+
+
+def baseline_choices(registry: DataFrame, flags: DataFrame, version: str = "version",
+                     approved: str = "approved") -> DataFrame:
+    """Apply the baseline truth table to every (skip_check, register_new) row
+    of ``flags``: a new baseline gets the next version number; otherwise the
+    latest approved version is used. Both numbers are scalar subqueries over
+    the (versioned) registry."""
+    latest = registry.where(F.col(approved)).select(F.max(version)).scalar()
+    nxt = registry.select(F.coalesce(F.max(version), F.lit(0)) + 1).scalar()
+    new = F.col("register_new")
+    return flags.select(
+        "skip_check", "register_new",
+        F.when(new, F.lit("new")).otherwise(F.lit("existing")).alias("baseline"),
+        F.when(new, nxt).otherwise(latest).alias("version_used"),
+        (~F.col("skip_check")).alias("check_runs"))

@@ -20,10 +20,17 @@ NUMERIC_INPUTS = [c for c in mdl.FEATURE_INPUTS if c not in CATEGORICAL_COLUMNS]
 _CACHE: dict = {}
 
 
+def _parts(spark, sf_dir):
+    key = ("parts", sf_dir, id(spark))
+    if key not in _CACHE:
+        _CACHE[key] = features.final_parts(spark, sf_dir)
+    return _CACHE[key]
+
+
 def _frames(spark, sf_dir):
     key = ("frames", sf_dir, id(spark))
     if key not in _CACHE:
-        f = features.final(spark, sf_dir)
+        f = _parts(spark, sf_dir)["final"]
         _CACHE[key] = {s: f.where(F.col("split") == s) for s in ("train", "test", "validation")}
     return _CACHE[key]
 
@@ -95,3 +102,16 @@ def q_shap_local(spark, sf_dir):
 @register("shap_global")
 def q_shap_global(spark, sf_dir):
     return explain.shap_global(_shap(spark, sf_dir))
+
+
+@register("bias_flip_test")
+def q_bias_flip_test(spark, sf_dir):
+    """Held-out rows with gender 'female' re-scored as 'male' (indices from the
+    fitted indexer)."""
+    from churnlab.operators import bias
+    idx = _parts(spark, sf_dir)["indexer"]
+    labels = dict(zip(idx.getInputCols(), idx.labelsArray))["gender"]
+    fr = _frames(spark, sf_dir)
+    held_out = fr["test"].unionByName(fr["validation"])
+    return bias.flip_test(_model(spark, sf_dir), held_out, "gender", [float(labels.index("female"))],
+                          float(labels.index("male")))

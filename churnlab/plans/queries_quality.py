@@ -242,3 +242,30 @@ def q_top_revenue(spark, sf_dir):
     from churnlab.operators.transactions import txn_features
     t = txn_features(adapters.transactions(spark, sf_dir)).select("msno", "revenue", "regist_trans")
     return profile.top_n(t, "revenue", 10, "msno")
+
+
+# --------------------------------------------------------- baseline choice
+_SPLIT_VERSION = {"train": 1, "test": 2, "validation": 3}
+
+
+def baseline_registry(spark, sf_dir):
+    """Versioned baselines: one profile per split of the final frame
+    (train v1, test v2 approved; validation v3 pending)."""
+    f = features.final(spark, sf_dir)
+    v = F.when(F.col("split") == "train", 1).when(F.col("split") == "test", 2).otherwise(3)
+    return f.groupBy(v.alias("version")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+        "approved", F.col("version") < 3)
+
+
+@register("baseline_used", with_views("""
+SELECT f.skip_check, f.register_new, CASE WHEN f.register_new THEN 'new' ELSE 'existing' END AS baseline,
+       CASE WHEN f.register_new THEN (SELECT coalesce(max(v), 0) + 1 FROM r)
+            ELSE (SELECT max(v) FROM r WHERE approved) END AS version_used,
+       NOT f.skip_check AS check_runs
+FROM (VALUES (true, true), (false, false), (false, true), (true, false)) f(skip_check, register_new)
+""".replace("FROM r", "FROM (SELECT DISTINCT CASE split WHEN 'train' THEN 1 WHEN 'test' THEN 2 ELSE 3 END AS v, "
+            "CASE split WHEN 'validation' THEN false ELSE true END AS approved FROM final) r"), "final"))
+def q_baseline_used(spark, sf_dir):
+    flags = spark.createDataFrame([(True, True), (False, False), (False, True), (True, False)],
+                                  "skip_check boolean, register_new boolean")
+    return quality.baseline_choices(baseline_registry(spark, sf_dir), flags)
