@@ -103,18 +103,20 @@ def string_index(df: DataFrame, model, cols: list[str]) -> DataFrame:
 
 # ------------------------------------------------------ F15/F16 one-hot
 def category_levels(df: DataFrame, cols: list[str], max_levels: int = 1000) -> dict[str, list[str]]:
-    """Distinct levels per column (one aggregate). Categorical columns only:
-    raises rather than truncating when a column has too many levels."""
+    """Distinct levels per column. (column, level) pairs are de-duplicated on
+    the cluster; only after the per-column counts are checked against
+    ``max_levels`` (raising, never truncating) do the levels, at most
+    ``len(cols) * max_levels`` values, come to the driver."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v")) for c in cols]))
-    rows = (df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
-              .groupBy("f").agg(F.count_distinct("v").alias("n"), F.sort_array(F.collect_set("v")).alias("levels"))
-              .where(F.col("n") <= max_levels)).collect()
-    got = {r["f"]: list(r["levels"]) for r in rows}
-    missing = [c for c in cols if c not in got]
-    too_many = [c for c in missing if df.where(F.col(c).isNotNull()).limit(1).count()]
+    levels = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull()).distinct()
+    counts = {r["f"]: r["n"] for r in levels.groupBy("f").agg(F.count(F.lit(1)).alias("n")).collect()}
+    too_many = sorted(c for c, n in counts.items() if n > max_levels)
     if too_many:
         raise ValueError(f"columns with more than {max_levels} levels: {too_many}")
-    return {c: got.get(c, []) for c in cols}
+    got: dict[str, list[str]] = {c: [] for c in cols}
+    for r in levels.collect():
+        got[r["f"]].append(r["v"])
+    return {c: sorted(v) for c, v in got.items()}
 
 
 def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:

@@ -32,3 +32,40 @@ def test_rare_bucketing_is_a_projection(spark):
     plan = _plan(features.clean(spark, SF_SMALL))
     # reads the checkpointed per-user frame; bucketing adds no join or exchange
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_curves_never_window_all_rows_in_one_partition(spark):
+    from churnlab.operators import evaluation as ev
+    import re
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(ev.roc_curve(adapters.predictions(spark, SF_SMALL)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # the per-score window is partitioned by slice; only the bounded offsets table
+    # (one row per slice) uses an unpartitioned window
+    windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[", plan)
+    assert any("_slice" in w for w in windows)
+
+
+def test_shap_solver_adds_no_shuffle(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+    from churnlab.operators import explain
+
+    df = spark.range(50).select(F.col("id").cast("string").alias("msno"), (F.col("id") % 7).cast("double").alias("a"),
+                                (F.col("id") % 2).cast("int").alias("label"))
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a"], outputCol="features"),
+                             LogisticRegression(labelCol="label")]).fit(df)
+    plan = _plan(explain.shap_local(model, df, {"a": 0.0}, ["a"], n_samples=5))
+    assert "Exchange" not in plan
+
+
+def test_one_hot_levels_reject_high_cardinality(spark):
+    import pytest
+    from churnlab.operators import prep
+    df = spark.range(50).selectExpr("cast(id as string) as c")
+    with pytest.raises(ValueError):
+        prep.category_levels(df, ["c"], max_levels=10)
