@@ -15,14 +15,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_SLICES = 1024
+
+
 def _slice_expr(key: str, bounds: list[float]):
+    """Index of the first bound >= key (len(bounds) if none), as a balanced
+    binary tree of comparisons: about log2(slices) tests per row."""
     c = F.col(key)
-    if not bounds:
-        return F.lit(0)
-    expr = F.when(c <= F.lit(bounds[0]), F.lit(0))
-    for i, b in enumerate(bounds[1:], start=1):
-        expr = expr.when(c <= F.lit(b), F.lit(i))
-    return expr.otherwise(F.lit(len(bounds)))
+
+    def tree(lo: int, hi: int):  # answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c <= F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(bounds))
 
 
 def quantile_bounds(df: DataFrame, key: str, buckets: int, group: str | None = None,
@@ -46,7 +53,7 @@ def running_totals(df: DataFrame, key: str, sum_cols: list[str], group: str | No
     """Add ``prefix + c`` = sum of ``c`` over rows of the same group with key <= this key."""
     spark = df.sparkSession
     if buckets is None:
-        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        buckets = min(MAX_SLICES, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     bounds = quantile_bounds(df, key, buckets, group)
     if group is None:
         slice_col = _slice_expr(key, bounds.get(None, []))

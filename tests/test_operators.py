@@ -189,3 +189,25 @@ def test_shap_linear_model_exact(spark):
     for r in local.groupBy("msno").agg(F.sum("shap_value").alias("s"), F.first("f_x").alias("fx"),
                                        F.first("f_baseline").alias("fb")).collect():
         assert r.s == pytest.approx(r.fx - r.fb, abs=1e-9)
+
+
+def test_running_totals_match_global_cumsum(spark):
+    from churnlab.functions.running import running_totals
+    import random
+    rnd = random.Random(3)
+    rows = [(g, float(v), rnd.randint(1, 5)) for g in ("x", "y") for v in rnd.sample(range(10000), 300)]
+    df = spark.createDataFrame(rows, "g string, v double, k int")
+    got = {(r.g, r.v): r.cum_k for r in running_totals(df, "v", ["k"], group="g", buckets=7).collect()}
+    for g in ("x", "y"):
+        acc = 0
+        for _, v, k in sorted(r for r in rows if r[0] == g):
+            acc += k
+            assert got[(g, v)] == acc
+
+
+def test_members_key_unique(spark):
+    from churnlab.sources import adapters
+    from conftest import SF_SMALL
+    assemble.assert_unique_key(adapters.members(spark, SF_SMALL), "msno")
+    with pytest.raises(ValueError):
+        assemble.assert_unique_key(spark.createDataFrame([("a",), ("a",)], "msno string"), "msno")
