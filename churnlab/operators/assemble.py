@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from churnlab.operators.members import age_capped, tenure_years
 from churnlab.schemas import LOG1P_COLUMNS, RARE_COLUMNS
 
+# Rare-category share threshold and bucket label.
 RARE_SHARE = 0.005
 OTHER = "other"
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from churnlab.functions import ratio, ratio_or_zero
 from churnlab.functions.running import running_totals
 
+# Fixed value: quality gate, hard-label AUC strictly above this.
 AUC_GATE = 0.75
 
 

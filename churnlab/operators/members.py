@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from churnlab.functions import years_between, yyyymmdd_to_date
 
+# Age cap, right-closed age bins and their labels.
 AGE_CAP = 80
-# Right-closed age bins and their labels.
 AGE_BINS = [10, 18, 35, 55, 99]
 AGE_LABELS = ["Teenagers", "Young Adult", "Middle Age Adult", "Elderly"]
 

@@ -1,7 +1,7 @@
 """M1-M5: boosted-tree classifier on MLlib, persistence, scoring, loss curve, tuning.
 
-The reference trains XGBoost on one machine; here the same interface (depth 5,
-eta 0.2, subsample 0.7, 50 rounds) is an MLlib ``GBTClassifier`` inside a
+The original trains a single-machine boosted-tree library; here the same interface
+(depth 5, eta 0.2, subsample 0.7, 50 rounds) is an MLlib ``GBTClassifier`` inside a
 ``Pipeline`` so assembling, fitting and scoring run as Spark jobs, and the
 fitted pipeline is saved/loaded as one unit.
 """
@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from churnlab.schemas import FEATURE_COLUMNS
 
 FEATURE_INPUTS = FEATURE_COLUMNS[2:]
+# The reference's boosted-tree settings.
 DEFAULT_PARAMS = dict(maxDepth=5, stepSize=0.2, subsamplingRate=0.7, maxIter=50, minInstancesPerNode=6)
 
 

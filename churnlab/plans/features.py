@@ -37,6 +37,7 @@ from churnlab.operators.assemble import rare_bucketed  # noqa: E402
 from churnlab.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, IMPUTE_COLUMNS, LOG_COLUMNS  # noqa: E402
 from churnlab.session import cut_lineage  # noqa: E402
 
+# Split weights/seeds and the column lists of each step.
 SPLIT_WEIGHTS = (0.7, 0.2, 0.1)
 SPLIT_NAMES = ("train", "test", "validation")
 SPLIT_SEED = 200
@@ -76,6 +77,7 @@ def final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- pandas path
+# Fixed values (pandas path): 80/20 split seed, required member fields, outlier and scaling columns.
 EDA_SEED = 123
 EDA_REQUIRED = ["city", "gender", "registered_via", "registration_init_time"]
 OUTLIER_COLUMNS = ["regist_trans", "regist_cancels", "total_secs", "tenure"]

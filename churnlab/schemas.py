@@ -35,7 +35,8 @@ USER_LOGS = T.StructType([
     T.StructField("total_secs", T.DoubleType()),
 ])
 
-# Column order every consumer of the modelling frame declares.
+# Fixed values (must equal the reference's): feature column order every consumer of the
+# modelling frame declares, and the column groups each step works on.
 FEATURE_COLUMNS = [
     "msno", "is_churn", "regist_trans", "mst_frq_plan_days", "revenue", "regist_cancels", "bd", "tenure",
     "num_25", "num_50", "num_75", "num_985", "num_100", "num_unq", "total_secs",
