@@ -26,3 +26,10 @@ def years_between(end: _dt.date | str, start) -> Column:
     """``datediff(end, start) / 365`` as a double (the reference's tenure rule)."""
     end_lit = F.lit(end if isinstance(end, _dt.date) else _dt.date.fromisoformat(end))
     return F.datediff(end_lit, _col(start)) / F.lit(365.0)
+
+
+def iso_utc(c) -> Column:
+    """ISO-8601 text with milliseconds and ``Z`` for a UTC wall-clock
+    ``TIMESTAMP_NTZ`` (the feature-record event-time format); no session
+    time zone is involved."""
+    return F.date_format(_col(c).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

@@ -30,6 +30,17 @@ def shap_baseline(train: DataFrame, categorical: list[str], numeric: list[str])
                      *[F.avg(c).alias(c) for c in numeric])
 
 
+def kmeans_baselines(train: DataFrame, features: list[str], k: int = 2, seed: int = 123) -> list[dict]:
+    """``k`` background rows: MLlib k-means centres of the training rows
+    (k is a parameter, so only k small rows reach the driver)."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    vec = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="skip").transform(train)
+    centres = KMeans(k=k, seed=seed, featuresCol="_v").fit(vec).clusterCenters()
+    return [dict(zip(features, map(float, c))) for c in centres]
+
+
 def sample_masks(n_features: int, n_samples: int, seed: int) -> np.ndarray:
     """Coalitions drawn from the Shapley kernel: size s with probability
     proportional to (M-1)/(s(M-s)), then a uniform subset of that size."""
@@ -59,14 +70,20 @@ def _solve(z: np.ndarray, y: np.ndarray, delta: float) -> np.ndarray:
     return np.append(head, delta - head.sum())
 
 
-def shap_local(model: PipelineModel, rows: DataFrame, baseline: dict, features: list[str], id_col: str = "msno",
+def shap_local(model: PipelineModel, rows: DataFrame, baseline, features: list[str], id_col: str = "msno",
                n_samples: int = 59, seed: int = 123, score_index: int = 1) -> DataFrame:
-    """(id, feature, shap_value, f_x, f_baseline) for every input row."""
+    """(id, feature, shap_value, f_x, f_baseline) for every input row.
+
+    ``baseline`` is one row (dict) or a small background set (list of dicts,
+    e.g. ``kmeans_baselines``); with several, f(z) is the mean over them."""
+    backgrounds = baseline if isinstance(baseline, list) else [baseline]
     masks = sample_masks(len(features), n_samples, seed)
     mask_col = F.array(*[F.array(*[F.lit(int(v)) for v in z]) for z in masks])
-    exploded = rows.select(id_col, *features, F.posexplode(mask_col).alias("_k", "_z"))
+    bg_col = F.array(*[F.array(*[F.lit(float(b[f])) for f in features]) for b in backgrounds])
+    exploded = (rows.select(id_col, *features, F.posexplode(mask_col).alias("_k", "_z"))
+                    .select("*", F.explode(bg_col).alias("_b")))
     blended = exploded.select(id_col, "_k", *[
-        F.when(F.col("_z")[j] == 1, F.col(f).cast("double")).otherwise(F.lit(baseline[f]).cast("double")).alias(f)
+        F.when(F.col("_z")[j] == 1, F.col(f).cast("double")).otherwise(F.col("_b")[j]).alias(f)
         for j, f in enumerate(features)])
     scored = model.transform(blended).select(id_col, "_k", vector_to_array("probability")[score_index].alias("_f"))
     mask_arr = masks.astype(float)
@@ -74,7 +91,7 @@ def shap_local(model: PipelineModel, rows: DataFrame, baseline: dict, features:
     def solve_batch(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for key, g in pdf.groupby(id_col, sort=False):
-            f = g.set_index("_k")["_f"]
+            f = g.groupby("_k")["_f"].mean()  # mean over the background rows
             fx, fb = float(f.loc[0]), float(f.loc[1])
             ks = [k for k in f.index if k >= 2]
             phi = _solve(mask_arr[ks], f.loc[ks].to_numpy() - fb, fx - fb) if ks else np.zeros(len(features))

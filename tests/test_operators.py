@@ -211,3 +211,27 @@ def test_members_key_unique(spark):
     assemble.assert_unique_key(adapters.members(spark, SF_SMALL), "msno")
     with pytest.raises(ValueError):
         assemble.assert_unique_key(spark.createDataFrame([("a",), ("a",)], "msno string"), "msno")
+
+
+def test_iso_utc_text(spark):
+    from churnlab.functions import iso_utc
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 2, 3, 4, 5, 678000),)], "t timestamp_ntz")
+    assert df.select(iso_utc("t").alias("s")).first().s == "2020-01-02T03:04:05.678Z"
+
+
+def test_shap_background_set_efficiency(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from churnlab.operators import explain
+
+    df = spark.range(60).select(F.col("id").cast("string").alias("msno"), (F.col("id") % 7).cast("double").alias("a"),
+                                (F.col("id") % 5).cast("double").alias("b"), (F.col("id") % 2).cast("int").alias("label"))
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"),
+                             LogisticRegression(labelCol="label")]).fit(df)
+    bgs = explain.kmeans_baselines(df, ["a", "b"], k=2)
+    assert len(bgs) == 2
+    local = explain.shap_local(model, df, bgs, ["a", "b"], n_samples=20)
+    sums = local.groupBy("msno").agg(F.sum("shap_value").alias("s"), F.first("f_x").alias("fx"),
+                                     F.first("f_baseline").alias("fb")).collect()
+    assert len(sums) == 60 and all(abs(r.s - (r.fx - r.fb)) < 1e-9 for r in sums)
