@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlab.operators.assemble import features_clean, features_joined
+from churnlab.operators.assemble import features_clean
 from churnlab.operators.logs import log_means
 from churnlab.operators.members import age_capped, members_filled, tenure_years
-from churnlab.operators.transactions import txn_features
+from churnlab.operators.transactions import labelled_txn_features
 from churnlab.sources import adapters
 
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features_joined(
-        adapters.train(spark, sf_dir),
-        txn_features(adapters.transactions(spark, sf_dir)),
-        members_filled(adapters.members(spark, sf_dir)),
-        log_means(adapters.user_logs(spark, sf_dir)),
-    )
+    """labels + transaction features (one fused aggregate over the history)
+    LEFT JOIN members LEFT JOIN log means."""
+    labelled = labelled_txn_features(adapters.transaction_history(spark, sf_dir), "activity_date",
+                                     adapters.AS_OF, adapters.HORIZON_DAYS)
+    return (labelled.join(members_filled(adapters.members(spark, sf_dir)), on="msno", how="left")
+                    .join(log_means(adapters.user_logs(spark, sf_dir)), on="msno", how="left"))
 
 
 def aged(spark: SparkSession, sf_dir: str) -> DataFrame:

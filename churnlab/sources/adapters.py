@@ -29,6 +29,16 @@ def _ntz(d: _dt.date):
 
 def transactions(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").where(F.col("o_orderdate") < _ntz(as_of))
+    return _transaction_columns(o)
+
+
+def transaction_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All transactions (before and after the cut-off) with their activity date."""
+    o = read_table(spark, sf_dir, "orders")
+    return _transaction_columns(o, with_activity_date=True)
+
+
+def _transaction_columns(o: DataFrame, with_activity_date: bool = False) -> DataFrame:
     method = F.substring("o_orderpriority", 1, 1).cast("int")
     bucket = F.col("o_orderkey") % 20
     plan_days = F.when(bucket < 15, 30).when(bucket < 19, 7).otherwise(90).cast("int")
@@ -44,6 +54,7 @@ def transactions(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> D
         date_to_yyyymmdd(day).alias("transaction_date"),
         date_to_yyyymmdd(F.date_add(day, plan_days)).alias("membership_expire_date"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).cast("int").alias("is_cancel"),
+        *([day.alias("activity_date")] if with_activity_date else []),
     )
 
 

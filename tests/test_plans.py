@@ -69,3 +69,19 @@ def test_one_hot_levels_reject_high_cardinality(spark):
     df = spark.range(50).selectExpr("cast(id as string) as c")
     with pytest.raises(ValueError):
         prep.category_levels(df, ["c"], max_levels=10)
+
+
+def test_joined_scans_orders_once_and_equals_generic_join(spark):
+    from churnlab.operators.assemble import features_joined
+    from churnlab.operators.logs import log_means
+    from churnlab.operators.members import members_filled
+    fused = features.joined(spark, SF_SMALL)
+    plan = _plan(fused)
+    assert plan.count("orders.parquet") == 1
+    generic = features_joined(adapters.train(spark, SF_SMALL), txn_features(adapters.transactions(spark, SF_SMALL)),
+                              members_filled(adapters.members(spark, SF_SMALL)),
+                              log_means(adapters.user_logs(spark, SF_SMALL)))
+    cols = sorted(fused.columns)
+    assert cols == sorted(generic.columns)
+    assert fused.select(cols).exceptAll(generic.select(cols)).count() == 0
+    assert generic.select(cols).exceptAll(fused.select(cols)).count() == 0
