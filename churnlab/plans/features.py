@@ -48,7 +48,7 @@ def split(spark: SparkSession, sf_dir: str) -> DataFrame:
         "registration_init_time")
 
 
-def final_parts(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> dict:
+def final_parts(spark: SparkSession, sf_dir: str) -> dict:
     """split -> mean-impute (fit on train) -> index (fit on train) ->
     oversample train. Returns the frames and the fitted models.
 
@@ -93,14 +93,25 @@ def eda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.split_assign(df, (0.8, 0.2), ("train", "test"), EDA_SEED)
 
 
-def eda_prepared(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> dict:
+def eda_imputed(spark: SparkSession, sf_dir: str) -> tuple:
     e = eda(spark, sf_dir)
+    medians = prep.fit_median_imputer(e.where(F.col("split") == "train"), LOG_COLUMNS)
+    return e, medians, prep.impute_with(e, medians)
+
+
+def eda_tamed(spark: SparkSession, sf_dir: str) -> tuple:
+    """Outliers replaced on the training rows only (test rows untouched)."""
+    e, medians, imputed = eda_imputed(spark, sf_dir)
     is_train = F.col("split") == "train"
-    medians = prep.fit_median_imputer(e.where(is_train), LOG_COLUMNS)
-    imputed = prep.impute_with(e, medians)
-    out_stats = prep.fit_outlier_means(imputed.where(is_train), OUTLIER_COLUMNS)
-    tamed = prep.outliers_to_mean(imputed.where(is_train), out_stats).unionByName(imputed.where(~is_train))
-    scale_stats = prep.fit_standardizer(tamed.where(is_train), SCALE_COLUMNS)
+    stats = prep.fit_outlier_means(imputed.where(is_train), OUTLIER_COLUMNS)
+    tamed = prep.outliers_to_mean(imputed.where(is_train), stats).unionByName(imputed.where(~is_train))
+    return e, medians, imputed, stats, tamed
+
+
+def eda_prepared(spark: SparkSession, sf_dir: str) -> dict:
+    """pandas path: median impute -> outliers (train) -> standardise (fit on train)."""
+    e, medians, imputed, out_stats, tamed = eda_tamed(spark, sf_dir)
+    scale_stats = prep.fit_standardizer(tamed.where(F.col("split") == "train"), SCALE_COLUMNS)
     scaled = prep.standardize(tamed, scale_stats)
     return {"eda": e, "medians": medians, "imputed": imputed, "outlier_stats": out_stats,
             "tamed": tamed, "scale_stats": scale_stats, "scaled": scaled}

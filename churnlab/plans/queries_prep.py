@@ -24,7 +24,7 @@ def q_impute_mean(spark, sf_dir):
 @register("impute_median", with_views(f"SELECT msno, split, {', '.join(LOGS)} FROM eda_imputed", "eda_imputed"),
           round_cols=tuple(LOGS))
 def q_impute_median(spark, sf_dir):
-    return features.eda_prepared(spark, sf_dir)["imputed"].select("msno", "split", *LOGS)
+    return features.eda_imputed(spark, sf_dir)[2].select("msno", "split", *LOGS)
 
 
 @register("string_index", with_views(f"SELECT msno, split, {', '.join(CATS)} FROM indexed", "indexed"))
@@ -55,8 +55,8 @@ def q_undummy(spark, sf_dir):
     f"SELECT msno, {', '.join(OUTLIER)} FROM eda_tamed WHERE split = 'train'", "eda_tamed"),
     round_cols=tuple(OUTLIER))
 def q_outliers_to_mean(spark, sf_dir):
-    p = features.eda_prepared(spark, sf_dir)
-    return p["tamed"].where(F.col("split") == "train").select("msno", *OUTLIER)
+    tamed = features.eda_tamed(spark, sf_dir)[-1]
+    return tamed.where(F.col("split") == "train").select("msno", *OUTLIER)
 
 
 @register("standardize", with_views(f"SELECT msno, split, {', '.join(SCALE)} FROM eda_scaled", "eda_scaled"),
