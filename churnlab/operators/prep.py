@@ -48,29 +48,42 @@ def impute_mean(df: DataFrame, model, cols: list[str]) -> DataFrame:
     return model.transform(df.withColumns({c: F.col(c).cast("double") for c in cols}))
 
 
-def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """Exact medians (mean of the two middle values for even n), all columns
-    in one distributed pass.
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation between order statistics
+    (rank h = (n-1)p + 1), all columns in one distributed pass:
+    (column, q_<i> for each p in ``probs``). The median is p = 0.5 (mean of
+    the two middle values for even n).
 
     Values are counted per (column, distinct value) with map-side combine,
     then a running count along the value order (sliced by quantile bounds,
-    see ``running_totals``) finds the one or two middle ranks. Only one or
-    two numbers per column return to the driver.
+    see ``running_totals``) finds the ranks; one row per column comes back.
     """
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("f"), F.col(c).cast("double").alias("v")) for c in cols]))
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
     counts = (df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
-                .groupBy("f", "v").agg(F.count(F.lit(1)).alias("k")))
-    ranked = running_totals(counts, "v", ["k"], group="f")
-    sizes = counts.groupBy("f").agg(F.sum("k").alias("n"))  # one row per column
-    ranked = ranked.join(F.broadcast(sizes), "f")
+                .groupBy("column", "v").agg(F.count(F.lit(1)).alias("k")))
+    ranked = running_totals(counts, "v", ["k"], group="column")
+    sizes = counts.groupBy("column").agg(F.sum("k").alias("n"))  # one row per column
+    ranked = ranked.join(F.broadcast(sizes), "column")
     n, cum, k = F.col("n"), F.col("cum_k"), F.col("k")
-    r1 = F.floor((n + 1) / 2)
-    r2 = F.floor(n / 2) + 1
     covers = lambda r: (r > cum - k) & (r <= cum)
-    rows = ranked.groupBy("f").agg(F.max(F.when(covers(r1), F.col("v"))).alias("a"),
-                                   F.max(F.when(covers(r2), F.col("v"))).alias("b")).collect()
-    got = {r["f"]: (r["a"] + r["b"]) / 2.0 for r in rows if r["a"] is not None}
+    aggs = [F.first("n").alias("n")]
+    for i, p in enumerate(probs):
+        h = (n - 1) * F.lit(float(p)) + 1
+        aggs += [F.max(F.when(covers(F.floor(h)), F.col("v"))).alias(f"_lo{i}"),
+                 F.max(F.when(covers(F.ceil(h)), F.col("v"))).alias(f"_hi{i}")]
+    per = ranked.groupBy("column").agg(*aggs)
+    out = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(float(p)) + 1
+        frac = h - F.floor(h)
+        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * frac).alias(f"q_{i}"))
+    return per.select("column", *out)
+
+
+def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    """Exact medians; one or two numbers per column return to the driver."""
+    got = {r["column"]: r["q_0"] for r in exact_quantiles(df, cols, [0.5]).collect()}
     return {c: got.get(c) for c in cols}
 
 

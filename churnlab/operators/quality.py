@@ -29,12 +29,18 @@ def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
               .distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct")))
 
 
+QUANTILES = (0.25, 0.5, 0.75)
+
+
 def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = False) -> DataFrame:
-    """(column, n, n_missing, mean, total, std, min, max, n_distinct, integral) per numeric column.
+    """(column, n, n_missing, mean, total, std, min, max, n_distinct, integral,
+    p25, p50, p75) per numeric column.
 
     Moments come from ONE aggregate turned into one row per column with
-    ``inline``; distinct counts are exact (``distinct_counts``) or a
-    HyperLogLog++ sketch inside the same aggregate.
+    ``inline``. With ``exact_distinct`` distinct counts and quartiles are exact
+    (``distinct_counts``, ``exact_quantiles``: map-side de-duplication and
+    sliced running counts); otherwise a HyperLogLog++ sketch and
+    ``percentile_approx`` inside the same aggregate.
     """
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     cols = cols or [c for c, t in types.items() if isinstance(t, _NUMERIC)]
@@ -44,41 +50,98 @@ def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct:
         aggs += [F.count_if(F.col(c).isNull()).alias(f"m{i}"), F.avg(x).alias(f"a{i}"), F.sum(x).alias(f"s{i}"),
                  F.stddev_samp(x).alias(f"d{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
         if not exact_distinct:
-            aggs.append(F.approx_count_distinct(F.col(c)).alias(f"k{i}"))
+            aggs += [F.approx_count_distinct(F.col(c)).alias(f"k{i}"),
+                     F.percentile_approx(x, list(QUANTILES), 10000).alias(f"q{i}")]
     wide = df.agg(*aggs)
     rows = F.array(*[F.struct(
         F.lit(c).alias("column"), F.col("_n").alias("n"), F.col(f"m{i}").alias("n_missing"),
         F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("total"), F.col(f"d{i}").alias("std"),
         F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
         (F.lit(None) if exact_distinct else F.col(f"k{i}")).cast("bigint").alias("n_distinct"),
-        F.lit(isinstance(types[c], _INTEGRAL)).alias("integral")) for i, c in enumerate(cols)])
+        F.lit(isinstance(types[c], _INTEGRAL)).alias("integral"),
+        *[(F.lit(None).cast("double") if exact_distinct else F.col(f"q{i}")[j]).alias(q)
+          for j, q in enumerate(_QNAMES)]) for i, c in enumerate(cols)])
     prof = wide.select(F.inline(rows))
     if exact_distinct:
+        from churnlab.operators.prep import exact_quantiles
         dc = distinct_counts(df, cols)  # one row per column
-        prof = (prof.drop("n_distinct").join(F.broadcast(dc), "column", "left")
+        qs = exact_quantiles(df, cols, list(QUANTILES)).select(
+            "column", *[F.col(f"q_{j}").alias(q) for j, q in enumerate(_QNAMES)])
+        prof = (prof.drop("n_distinct", *_QNAMES).join(F.broadcast(dc), "column", "left")
+                    .join(F.broadcast(qs), "column", "left")
                     .withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)).cast("bigint"))
-                    .select("column", "n", "n_missing", "mean", "total", "std", "min", "max", "n_distinct",
-                            "integral"))
+                    .select(*PROFILE_FIELDS))
     return prof
 
 
-def suggest_constraints(profile: DataFrame) -> DataFrame:
-    """Per column: completeness, non-negativity and integral type, as observed."""
-    return profile.select(
+_QNAMES = ("p25", "p50", "p75")
+PROFILE_FIELDS = ["column", "n", "n_missing", "mean", "total", "std", "min", "max", "n_distinct", "integral", *_QNAMES]
+
+
+def _domain_key(df: DataFrame, c: str):
+    """Text form of a category value; fractional values are rounded to 6 places
+    so the domain does not depend on the last bit of a computed double."""
+    t = df.schema[c].dataType
+    col = F.round(F.col(c), 6) if isinstance(t, (T.FloatType, T.DoubleType)) else F.col(c)
+    return col.cast("string")
+
+
+def category_domains(df: DataFrame, profile: DataFrame, max_values: int = 20) -> DataFrame:
+    """(column, domain): the sorted, comma-joined observed values of every
+    column with at most ``max_values`` distinct values (per the profile).
+    Columns are chosen from the profile (one row per column) before any value
+    list is built, so every list is bounded by ``max_values``."""
+    small = [r["column"] for r in profile.where(F.col("n_distinct") <= max_values).select("column").collect()]
+    if not small:
+        return df.sparkSession.createDataFrame([], "column string, domain string")
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _domain_key(df, c).alias("v"))
+                                for c in small]))
+    vals = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull()).distinct()
+    return vals.groupBy("column").agg(F.array_join(F.sort_array(F.collect_list("v")), ",").alias("domain"))
+
+
+def suggest_constraints(profile: DataFrame, domains: DataFrame | None = None) -> DataFrame:
+    """Per column: completeness, non-negativity, integral type and (for
+    low-cardinality columns) the category domain, as observed."""
+    out = profile.select(
         "column",
         F.coalesce(ratio(F.col("n") - F.col("n_missing"), "n"), F.lit(1.0)).alias("completeness"),
         F.coalesce(F.col("min") >= 0, F.lit(True)).alias("non_negative"),
         "integral",
     )
-
-
-def drift_violations(baseline: DataFrame, current: DataFrame, mean_shift_stds: float = 1.0) -> DataFrame:
+    if domains is not None:
+        out = out.join(F.broadcast(domains), "column", "left")  # one row per column
+    return out
+
+
+def domain_violations(current_rows: DataFrame, domains: DataFrame) -> DataFrame:
+    """(column, check='domain', baseline_value=NULL, observed_value=#rows whose
+    non-null value lies outside the baseline domain), one aggregate. Domains
+    are bounded lists (``category_domains``), applied as ``isin``."""
+    dom = {r["column"]: r["domain"].split(",") for r in domains.collect() if r["column"] in current_rows.columns}
+    spark = current_rows.sparkSession
+    schema = "column string, check string, baseline_value double, observed_value double"
+    if not dom:
+        return spark.createDataFrame([], schema)
+    counts = current_rows.agg(*[
+        F.count_if(F.col(c).isNotNull() & ~_domain_key(current_rows, c).isin(v)).alias(f"_{i}")
+        for i, (c, v) in enumerate(dom.items())])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit("domain").alias("check"),
+                              F.lit(None).cast("double").alias("baseline_value"),
+                              F.col(f"_{i}").cast("double").alias("observed_value"))
+                     for i, c in enumerate(dom)])
+    return counts.select(F.inline(rows)).where(F.col("observed_value") > 0)
+
+
+def drift_violations(baseline: DataFrame, current: DataFrame, mean_shift_stds: float = 1.0,
+                     domains: DataFrame | None = None, current_rows: DataFrame | None = None) -> DataFrame:
     """One row per violated check: (column, check, baseline_value, observed_value).
 
     Checks: completeness fell; negative values where the baseline had none;
     mean moved by more than ``mean_shift_stds`` baseline standard deviations;
-    column missing from the current data. Both inputs are profiles (one row
-    per column), so the join is small and bounded by the column count.
+    column missing from the current data; with ``domains`` and the current
+    rows, values outside a baseline category domain. Profiles are one row per
+    column, so their join is small and bounded by the column count.
     """
     b = suggest_constraints(baseline).join(
         baseline.select("column", F.col("mean").alias("b_mean"), F.col("std").alias("b_std")), "column")
@@ -100,7 +163,10 @@ def drift_violations(baseline: DataFrame, current: DataFrame, mean_shift_stds: f
                  F.coalesce(F.abs(F.col("c_mean") - F.col("b_mean")) > F.lit(mean_shift_stds) * F.col("b_std"),
                             F.lit(False)).alias("bad")),
     )
-    return (j.select("column", F.inline(checks)).where("bad").drop("bad"))
+    out = j.select("column", F.inline(checks)).where("bad").drop("bad")
+    if domains is not None and current_rows is not None:
+        out = out.unionByName(domain_violations(current_rows, domains))
+    return out
 
 
 def choose_baseline(skip_check: bool, register_new: bool) -> dict:

@@ -112,12 +112,13 @@ def _profile_sql(where, table="final", cols=None):
         parts.append(
             f"SELECT '{c}' AS feature, count(*) AS n, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, avg({x}) AS mean, "
             f"sum({x}) AS total, stddev_samp({x}) AS std, min({x}) AS min, max({x}) AS max, "
-            f"count(DISTINCT {c}) AS n_distinct, {'true' if c in _INTEGRAL else 'false'} AS integral "
+            f"count(DISTINCT {c}) AS n_distinct, {'true' if c in _INTEGRAL else 'false'} AS integral, "
+            f"quantile_cont({x}, 0.25) AS p25, quantile_cont({x}, 0.5) AS p50, quantile_cont({x}, 0.75) AS p75 "
             f"FROM {table} WHERE {where}")
     return " UNION ALL ".join(parts)
 
 
-_STATS = ("mean", "total", "std", "min", "max")
+_STATS = ("mean", "total", "std", "min", "max", "p25", "p50", "p75")
 
 
 def _profile(spark, sf_dir, split):
@@ -130,15 +131,29 @@ def q_profile_table(spark, sf_dir):
     return _profile(spark, sf_dir, "train")
 
 
-_CONSTRAINTS = """SELECT feature, coalesce((n - n_missing) / nullif(n, 0), 1.0) AS completeness,
-       coalesce(min >= 0, true) AS non_negative, integral FROM ({p}) p"""
+def _key_sql(c):
+    return f"CAST({c} AS VARCHAR)" if c in _INTEGRAL else f"CAST(round({c}, 6) AS VARCHAR)"
 
 
-@register("suggest_constraints", with_views(_CONSTRAINTS.format(p=_profile_sql("split = 'train'")), "final"),
+def _domain_sql(c, where="split = 'train'"):
+    return (f"SELECT '{c}' AS feature, CASE WHEN count(*) <= 20 THEN string_agg(v, ',' ORDER BY v) END AS domain "
+            f"FROM (SELECT DISTINCT {_key_sql(c)} AS v FROM final WHERE {where} AND {c} IS NOT NULL) d")
+
+
+view("domains", ["final"], " UNION ALL ".join(_domain_sql(c) for c in PROFILE_COLS))
+
+_CONSTRAINTS = """SELECT p.feature, coalesce((n - n_missing) / nullif(n, 0), 1.0) AS completeness,
+       coalesce(min >= 0, true) AS non_negative, integral, d.domain
+FROM ({p}) p LEFT JOIN domains d ON d.feature = p.feature AND d.domain IS NOT NULL"""
+
+
+@register("suggest_constraints", with_views(_CONSTRAINTS.format(p=_profile_sql("split = 'train'")), "domains"),
           round_cols=("completeness",))
 def q_suggest_constraints(spark, sf_dir):
-    return quality.suggest_constraints(_profile(spark, sf_dir, "train").withColumnRenamed("feature", "column")) \
-        .withColumnRenamed("column", "feature")
+    train = features.final(spark, sf_dir).where(F.col("split") == "train")
+    prof = quality.profile_table(train, PROFILE_COLS, exact_distinct=True)
+    return (quality.suggest_constraints(prof, quality.category_domains(train, prof))
+            .withColumnRenamed("column", "feature"))
 
 
 view("profile_base", ["final"], _profile_sql("split = 'train'"))
@@ -157,17 +172,26 @@ SELECT feature, 'missing_column' AS "check", CAST(NULL AS DOUBLE) AS baseline_va
 FROM drift_join WHERE NOT present
 UNION ALL SELECT feature, 'completeness', completeness, c_compl FROM drift_join WHERE c_compl < completeness
 UNION ALL SELECT feature, 'non_negative', 0.0, c_min FROM drift_join WHERE non_negative AND c_min < 0
-UNION ALL SELECT feature, 'mean_shift', b_mean, c_mean FROM drift_join WHERE abs(c_mean - b_mean) > 1.0 * b_std"""
+UNION ALL SELECT feature, 'mean_shift', b_mean, c_mean FROM drift_join WHERE abs(c_mean - b_mean) > 1.0 * b_std
+UNION ALL SELECT * FROM (""" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, 'domain', CAST(NULL AS DOUBLE),
+        CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND NOT list_contains(
+             string_split((SELECT domain FROM domains WHERE feature = '{c}'), ','), {_key_sql(c)})) AS DOUBLE) AS o
+        FROM split WHERE split = 'validation' AND (SELECT domain FROM domains WHERE feature = '{c}') IS NOT NULL"""
+    for c in _RAW_NUMERIC) + ") dv WHERE o > 0"
 
 
-@register("drift_violations", with_views(_DRIFT, "drift_join"), round_cols=("baseline_value", "observed_value"))
+@register("drift_violations", with_views(_DRIFT, "drift_join", "domains"),
+          round_cols=("baseline_value", "observed_value"))
 def q_drift_violations(spark, sf_dir):
     """Training baseline vs incoming (un-imputed, un-encoded) validation rows."""
-    base = quality.profile_table(features.final(spark, sf_dir).where(F.col("split") == "train"), PROFILE_COLS,
-                                 exact_distinct=True)
+    train = features.final(spark, sf_dir).where(F.col("split") == "train")
+    base = quality.profile_table(train, PROFILE_COLS, exact_distinct=True)
     raw = features.split(spark, sf_dir).where(F.col("split") == "validation")
     cur = quality.profile_table(raw, _RAW_NUMERIC, exact_distinct=True)
-    return quality.drift_violations(base, cur).withColumnRenamed("column", "feature")
+    domains = quality.category_domains(train, base)
+    return quality.drift_violations(base, cur, domains=domains, current_rows=raw.select(*_RAW_NUMERIC)) \
+        .withColumnRenamed("column", "feature")
 
 
 # ----------------------------------------------------------- descriptive

@@ -235,3 +235,21 @@ def test_shap_background_set_efficiency(spark):
     sums = local.groupBy("msno").agg(F.sum("shap_value").alias("s"), F.first("f_x").alias("fx"),
                                      F.first("f_baseline").alias("fb")).collect()
     assert len(sums) == 60 and all(abs(r.s - (r.fx - r.fb)) < 1e-9 for r in sums)
+
+
+def test_domain_constraint_and_violation(spark):
+    base = spark.createDataFrame([(i % 3, float(i)) for i in range(60)], "c int, x double")
+    prof = quality.profile_table(base, exact_distinct=True)
+    doms = {r.column: r.domain for r in quality.category_domains(base, prof).collect()}
+    assert doms == {"c": "0,1,2"}  # x has 60 distinct values: no domain
+    cur = spark.createDataFrame([(1, 1.0), (5, 2.0), (None, 3.0)], "c int, x double")
+    v = quality.drift_violations(prof, quality.profile_table(cur, exact_distinct=True),
+                                 domains=quality.category_domains(base, prof), current_rows=cur)
+    got = {(r.column, r.check): r.observed_value for r in v.collect()}
+    assert got[("c", "domain")] == 1.0
+
+
+def test_exact_quantiles_interpolate(spark):
+    df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4)], "a double")
+    r = prep.exact_quantiles(df, ["a"], [0.25, 0.5, 0.75]).first()
+    assert (r.q_0, r.q_1, r.q_2) == (1.75, 2.5, 3.25)
