@@ -253,3 +253,16 @@ def test_exact_quantiles_interpolate(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4)], "a double")
     r = prep.exact_quantiles(df, ["a"], [0.25, 0.5, 0.75]).first()
     assert (r.q_0, r.q_1, r.q_2) == (1.75, 2.5, 3.25)
+
+
+def test_feature_job_writes_three_splits(spark):
+    import tempfile
+    from churnlab.plans import features
+    from churnlab.plans.job import write_splits
+    from churnlab.schemas import FEATURES
+    from conftest import SF_SMALL
+    final = features.final(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="churnlab-job-", dir="/tmp")
+    paths = write_splits(final, out, fmt="csv")
+    total = sum(spark.read.schema(FEATURES).csv(p).count() for p in paths.values())
+    assert total == final.count()
