@@ -14,7 +14,6 @@ the narrow assemble/score stages, so the per-row solve runs in
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd

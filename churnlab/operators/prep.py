@@ -58,10 +58,20 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
     then a running count along the value order (sliced by quantile bounds,
     see ``running_totals``) finds the ranks; one row per column comes back.
     """
+    return quantiles_from_counts(long_value_counts(df, cols), probs)
+
+
+def long_value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, v, k): rows per distinct non-null value of each column, one
+    aggregate with map-side combine (the input of exact quantiles and exact
+    distinct counts)."""
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
-    counts = (df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
-                .groupBy("column", "v").agg(F.count(F.lit(1)).alias("k")))
+    return (df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
+              .groupBy("column", "v").agg(F.count(F.lit(1)).alias("k")))
+
+
+def quantiles_from_counts(counts: DataFrame, probs: list[float]) -> DataFrame:
     ranked = running_totals(counts, "v", ["k"], group="column")
     sizes = counts.groupBy("column").agg(F.sum("k").alias("n"))  # one row per column
     ranked = ranked.join(F.broadcast(sizes), "column")

@@ -63,9 +63,10 @@ def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct:
           for j, q in enumerate(_QNAMES)]) for i, c in enumerate(cols)])
     prof = wide.select(F.inline(rows))
     if exact_distinct:
-        from churnlab.operators.prep import exact_quantiles
-        dc = distinct_counts(df, cols)  # one row per column
-        qs = exact_quantiles(df, cols, list(QUANTILES)).select(
+        from churnlab.operators.prep import long_value_counts, quantiles_from_counts
+        counts = long_value_counts(df, cols)  # shared by distinct counts and quartiles
+        dc = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))  # one row per column
+        qs = quantiles_from_counts(counts, list(QUANTILES)).select(
             "column", *[F.col(f"q_{j}").alias(q) for j, q in enumerate(_QNAMES)])
         prof = (prof.drop("n_distinct", *_QNAMES).join(F.broadcast(dc), "column", "left")
                     .join(F.broadcast(qs), "column", "left")

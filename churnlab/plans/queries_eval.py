@@ -3,7 +3,6 @@ deterministic ``predictions`` view."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from churnlab.operators import evaluation as ev
 from churnlab.plans.oracle import with_views

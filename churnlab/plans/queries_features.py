@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from churnlab.operators import assemble, logs, members, transactions
 from churnlab.plans import features

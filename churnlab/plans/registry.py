@@ -9,12 +9,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlab.operators import assemble, logs, members, transactions
-from churnlab.operators.labels import churn_label
-from churnlab.plans import features
-from churnlab.plans.oracle import with_views
-from churnlab.sources import adapters
-
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
