@@ -3,9 +3,10 @@
 History rows carry a record key, an ``event_time``, a write sequence and a
 ``deleted`` flag, and are appended as Parquet partitioned by event month (so
 time-bounded reads prune partitions). Before the write the rows are range-
-partitioned on (month, key): each task writes a contiguous slice, so a month
-produces a few files rather than one per task, and a hot month is still split
-across tasks by key range. Dataset rules:
+partitioned on (month, key, row hash): each task writes a contiguous slice, so
+a month produces a few files rather than one per task, a hot month is split
+across tasks by key range, and a hot key within a month by the (deterministic)
+row hash. Dataset rules:
 
 * one row per (key, event_time): the latest write wins;
 * a deletion at time t removes the key's records with event_time <= t;
@@ -31,7 +32,8 @@ def append_history(df: DataFrame, path: str, event_time: str = "event_time", key
     if "deleted" not in df.columns:
         out = out.withColumn("deleted", F.lit(False))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (out.repartitionByRange(n, "event_month", key)
+    row_hash = F.xxhash64(*[F.col(c) for c in out.columns])
+    (out.repartitionByRange(n, "event_month", key, row_hash)
         .write.mode("append").partitionBy("event_month").parquet(path))
 
 

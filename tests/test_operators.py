@@ -266,3 +266,17 @@ def test_feature_job_writes_three_splits(spark):
     paths = write_splits(final, out, fmt="csv")
     total = sum(spark.read.schema(FEATURES).csv(p).count() for p in paths.values())
     assert total == final.count()
+
+
+def test_history_append_splits_a_hot_key(spark):
+    import tempfile
+    from churnlab.sources import feature_table as ft
+    ts = dt.datetime(2020, 5, 1)
+    rows = [("hot", ts, i, i, False) for i in range(3000)] + [(f"k{i}", ts, i, i, False) for i in range(100)]
+    h = spark.createDataFrame(rows, "msno string, event_time timestamp_ntz, write_seq int, v int, deleted boolean")
+    path = tempfile.mkdtemp(prefix="churnlab-hist-", dir="/tmp") + "/h"
+    ft.append_history(h, path, num_partitions=8)
+    back = ft.read_history(spark, path)
+    assert back.count() == 3100
+    files = back.where("msno = 'hot'").select(F.input_file_name().alias("f")).distinct().count()
+    assert files > 1   # the hot key was written by several tasks
