@@ -21,6 +21,11 @@ def _in_facet(facet: str, values: list) -> Column:
     return F.coalesce(F.col(facet).isin(values), F.lit(False))
 
 
+def facet_column(df: DataFrame, facet) -> str:
+    """A facet is given by name or by 0-based column position (headerless data)."""
+    return df.columns[facet] if isinstance(facet, int) else facet
+
+
 def _kl_term(p: Column, q: Column) -> Column:
     return F.when(p == 0, F.lit(0.0)).when(q == 0, F.lit(None).cast("double")).otherwise(p * F.ln(p / q))
 
@@ -34,7 +39,7 @@ def label_counts(df: DataFrame, label: str, facet: str, facet_values: list) -> D
 
 def pretraining_bias(df: DataFrame, label: str = "is_churn", facet: str = "gender",
                      facet_values: list = ("female",)) -> DataFrame:
-    c = label_counts(df, label, facet, list(facet_values))
+    c = label_counts(df, label, facet_column(df, facet), list(facet_values))
     n_a = F.col("n_a1") + F.col("n_a0")
     n_d = F.col("n_d1") + F.col("n_d0")
     qa, qd = ratio("n_a1", n_a), ratio("n_d1", n_d)
@@ -60,7 +65,7 @@ def conditional_demographic_disparity(df: DataFrame, label: str, facet: str, fac
     """Size-weighted mean over groups of DD = n_d0/n0 - n_d1/n1 (a term whose
     label class is empty in the group counts as 0). Two aggregates: per group
     (map-side combined), then global."""
-    d, y = _in_facet(facet, list(facet_values)), F.col(label)
+    d, y = _in_facet(facet_column(df, facet), list(facet_values)), F.col(label)
     per = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"),
@@ -71,7 +76,7 @@ def conditional_demographic_disparity(df: DataFrame, label: str, facet: str, fac
 
 def posttraining_bias(df: DataFrame, label: str = "is_churn", pred: str = "prediction", facet: str = "gender",
                       facet_values: list = ("female",)) -> DataFrame:
-    d, y, p = _in_facet(facet, list(facet_values)), F.col(label), F.col(pred)
+    d, y, p = _in_facet(facet_column(df, facet), list(facet_values)), F.col(label), F.col(pred)
     aggs = []
     for name, f in (("a", ~d), ("d", d)):
         aggs += [F.count_if(f & (y == 1) & (p == 1)).alias(f"tp_{name}"),

@@ -280,3 +280,11 @@ def test_history_append_splits_a_hot_key(spark):
     assert back.count() == 3100
     files = back.where("msno = 'hot'").select(F.input_file_name().alias("f")).distinct().count()
     assert files > 1   # the hot key was written by several tasks
+
+
+def test_facet_by_position(spark):
+    rows = [("female", 1, 1.0), ("female", 0, 1.0), ("male", 1, 0.0), ("male", 0, 0.0)]
+    df = spark.createDataFrame(rows, "gender string, is_churn int, prediction double")
+    by_name = bias.posttraining_bias(df, facet="gender").first()
+    by_pos = bias.posttraining_bias(df, facet=0).first()
+    assert by_name == by_pos and by_name.dppl == -1.0
