@@ -288,3 +288,15 @@ def test_facet_by_position(spark):
     by_name = bias.posttraining_bias(df, facet="gender").first()
     by_pos = bias.posttraining_bias(df, facet=0).first()
     assert by_name == by_pos and by_name.dppl == -1.0
+
+
+def test_churn_label_by_expiry(spark):
+    from churnlab.operators.labels import churn_label_by_expiry
+    d = dt.date
+    rows = [("a", d(1998, 12, 1), d(1998, 12, 31)), ("a", d(1999, 1, 20), d(1999, 2, 20)),   # renewed in grace
+            ("b", d(1998, 12, 1), d(1998, 12, 31)), ("b", d(1999, 3, 1), d(1999, 4, 1)),     # too late
+            ("c", d(1998, 6, 1), d(1998, 7, 1)), ("c", d(1998, 12, 20), d(1999, 3, 20)),
+            ("c", d(1999, 4, 1), d(1999, 5, 1))]                                              # last expiry counts
+    df = spark.createDataFrame(rows, "msno string, t date, e date")
+    got = {r.msno: r.is_churn for r in churn_label_by_expiry(df, "msno", "t", "e", d(1999, 1, 1)).collect()}
+    assert got == {"a": 0, "b": 1, "c": 0}
