@@ -185,9 +185,10 @@ UNION ALL SELECT * FROM (""" + " UNION ALL ".join(
           round_cols=("baseline_value", "observed_value"))
 def q_drift_violations(spark, sf_dir):
     """Training baseline vs incoming (un-imputed, un-encoded) validation rows."""
-    train = features.final(spark, sf_dir).where(F.col("split") == "train")
+    parts = features.final_parts(spark, sf_dir)
+    train = parts["final"].where(F.col("split") == "train")
     base = quality.profile_table(train, PROFILE_COLS, exact_distinct=True)
-    raw = features.split(spark, sf_dir).where(F.col("split") == "validation")
+    raw = parts["split"].where(F.col("split") == "validation")
     cur = quality.profile_table(raw, _RAW_NUMERIC, exact_distinct=True)
     domains = quality.category_domains(train, base)
     return quality.drift_violations(base, cur, domains=domains, current_rows=raw.select(*_RAW_NUMERIC)) \
