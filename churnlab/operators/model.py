@@ -115,3 +115,29 @@ def tune_gbt(train: DataFrame, valid: DataFrame, n_trials: int = 6, parallel: in
                            T.StructField("step_size", T.DoubleType()), T.StructField("max_depth", T.IntegerType()),
                            T.StructField("max_iter", T.IntegerType()), T.StructField("val_logloss", T.DoubleType())])
     return train.sparkSession.createDataFrame(rows, schema).withColumn("best", F.col("trial") == best)
+
+
+def scoring_unit(imputer_model, indexer_model, trained: PipelineModel, impute_cols: list[str],
+                 categorical: list[str], passthrough: list[str], inputs: list[str] = FEATURE_INPUTS) -> PipelineModel:
+    """One persistable unit from already fitted parts: cast/fill -> mean
+    imputation -> string indexing -> assembling -> the trained classifier.
+
+    It scores raw (un-imputed, un-indexed) rows carrying ``passthrough`` plus the
+    imputed and categorical columns; the vector layout equals the one the
+    classifier was trained on (indexed columns in the same slots). The fitted
+    imputer and indexer are used as fitted (their column names unchanged)."""
+    from pyspark.ml.feature import SQLTransformer
+
+    cols = ([f"`{c}`" for c in passthrough if c not in impute_cols and c not in categorical]
+            + [f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in impute_cols]
+            + [f"coalesce(CAST(`{c}` AS STRING), 'other') AS `{c}`" for c in categorical])
+    prep_sql = SQLTransformer(statement=f"SELECT {', '.join(cols)} FROM __THIS__")
+    outs = dict(zip(indexer_model.getInputCols(), indexer_model.getOutputCols()))
+    assembler = VectorAssembler(inputCols=[outs.get(c, c) for c in inputs], outputCol="features",
+                                handleInvalid="keep")
+    return PipelineModel(stages=[prep_sql, imputer_model, indexer_model, assembler, trained.stages[-1]])
+
+
+def score_raw(unit: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
+    out = unit.transform(df).withColumn("score", vector_to_array("probability")[1])
+    return out.select(*keep, "score", "prediction")

@@ -13,7 +13,7 @@ from churnlab.operators import explain, model as mdl
 from churnlab.plans import features
 from churnlab.plans.oracle import with_views
 from churnlab.plans.registry import register
-from churnlab.schemas import CATEGORICAL_COLUMNS
+from churnlab.schemas import CATEGORICAL_COLUMNS, IMPUTE_COLUMNS
 from churnlab.sources.csv_io import export_dir
 
 NUMERIC_INPUTS = [c for c in mdl.FEATURE_INPUTS if c not in CATEGORICAL_COLUMNS]
@@ -56,14 +56,17 @@ def q_loss_curve(spark, sf_dir):
 
 @register("score_batch")
 def q_score_batch(spark, sf_dir):
-    """Fit, persist to shared storage, reload, score held-out rows; label and
-    prediction are appended to the input row."""
-    path = export_dir(spark, "gbt_model")
-    mdl.save_model(_model(spark, sf_dir), path)
+    """Persist imputer + indexer + classifier as ONE unit on shared storage,
+    reload it and score the raw held-out rows; label and prediction are kept
+    with the input row's key."""
+    parts = _parts(spark, sf_dir)
+    raw = parts["split"].where(F.col("split") != "train")
+    unit = mdl.scoring_unit(parts["imputer"], parts["indexer"], _model(spark, sf_dir), IMPUTE_COLUMNS,
+                            CATEGORICAL_COLUMNS, raw.columns)
+    path = export_dir(spark, "scoring_unit")
+    mdl.save_model(unit, path)
     loaded = mdl.load_model(path)
-    fr = _frames(spark, sf_dir)
-    held_out = fr["test"].unionByName(fr["validation"])
-    return mdl.score(loaded, held_out).select("msno", "split", "is_churn", "score", "prediction")
+    return mdl.score_raw(loaded, raw, ["msno", "split", "is_churn"])
 
 
 @register("tune_gbt")

@@ -62,3 +62,16 @@ def test_model_beats_majority_baseline(spark):
     assert scored.count() == fr["test"].count() + fr["validation"].count()
     curve = mdl.loss_curve(m, {"train": fr["train"]}).orderBy("iteration").collect()
     assert len(curve) == 50 and curve[-1].logloss < curve[0].logloss
+
+
+def test_saved_scoring_unit_equals_scoring_prepared_rows(spark):
+    """Raw rows through the persisted unit == prepared rows through the classifier."""
+    from conftest import SF_ORACLE
+    from churnlab.plans import queries_models as qm
+    from churnlab.operators import model as mdl
+    unit_scores = {(r.msno, r.split): (r.score, r.prediction) for r in qm.q_score_batch(spark, SF_ORACLE).collect()}
+    fr = qm._frames(spark, SF_ORACLE)
+    direct = mdl.score(qm._model(spark, SF_ORACLE), fr["test"].unionByName(fr["validation"]))
+    got = {(r.msno, r.split): (r.score, r.prediction) for r in direct.select("msno", "split", "score", "prediction").collect()}
+    assert got.keys() == unit_scores.keys()
+    assert all(abs(got[k][0] - unit_scores[k][0]) < 1e-12 and got[k][1] == unit_scores[k][1] for k in got)
