@@ -112,3 +112,25 @@ def auc_prob(df: DataFrame, truth: str = "is_churn", score: str = "score") -> Da
     c = _cumulative(df, truth, score)
     area = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")))
     return c.agg(F.try_divide(area.cast("double"), 2.0 * F.first("P") * F.first("N")).alias("auc"))
+
+
+QUALITY_METRICS = ("accuracy", "precision", "recall", "f1", "auc_hard")
+
+
+def model_quality_report(baseline: DataFrame, current: DataFrame, tolerance: float = 0.05,
+                         metrics: tuple[str, ...] = QUALITY_METRICS) -> DataFrame:
+    """Q5 check: (metric, baseline_value, observed_value, violated) per metric
+    of ``rates``; violated = fell by more than ``tolerance`` below the
+    baseline. Both inputs are one-row ``rates`` frames; baseline values enter
+    as scalar subqueries."""
+    base = {m: baseline.select(F.col(m)).scalar() for m in metrics}
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), base[m].alias("baseline_value"),
+                              F.col(m).alias("observed_value")) for m in metrics])
+    out = current.select(F.inline(rows))
+    return out.withColumn("violated", F.coalesce(
+        F.col("observed_value") < F.col("baseline_value") - F.lit(tolerance), F.lit(False)))
+
+
+def model_quality_violations(baseline: DataFrame, current: DataFrame, tolerance: float = 0.05,
+                             metrics: tuple[str, ...] = QUALITY_METRICS) -> DataFrame:
+    return model_quality_report(baseline, current, tolerance, metrics).where("violated").drop("violated")

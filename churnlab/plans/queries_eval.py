@@ -4,6 +4,8 @@ deterministic ``predictions`` view."""
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from churnlab.operators import evaluation as ev
 from churnlab.plans.oracle import with_views
 from churnlab.plans.registry import register
@@ -86,3 +88,38 @@ SELECT tn, fp, fn, tp, accuracy, precision, recall, f1, tpr, tnr, (tpr + tnr) /
     "predictions"), round_cols=("accuracy", "precision", "recall", "f1", "tpr", "tnr", "auc_hard"))
 def q_model_quality(spark, sf_dir):
     return ev.rates(ev.confusion_matrix(_preds(spark, sf_dir)))
+
+
+def _rates_sql(where):
+    return f"""SELECT *, (tpr + tnr) / 2 AS auc_hard FROM (
+SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
+       coalesce((tp + tn) / nullif(tp + tn + fp + fn, 0), 0) AS accuracy,
+       coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1,
+       tp / nullif(tp + fn, 0) AS tpr, tn / nullif(tn + fp, 0) AS tnr
+FROM (SELECT count(*) FILTER (WHERE is_churn = 0 AND prediction = 0) AS tn,
+             count(*) FILTER (WHERE is_churn = 0 AND prediction = 1) AS fp,
+             count(*) FILTER (WHERE is_churn = 1 AND prediction = 0) AS fn,
+             count(*) FILTER (WHERE is_churn = 1 AND prediction = 1) AS tp
+      FROM predictions WHERE {where}) c) r"""
+
+
+_SPLIT200 = "CAST(('0x' || substr(md5(msno || '|200'), 1, 8)) AS BIGINT) % 1000"
+_MQ_TOL = 0.05
+
+
+_MQ_BODY = (f"SELECT *, coalesce(observed_value < baseline_value - {_MQ_TOL}, false) AS violated FROM ("
+            + " UNION ALL ".join(
+                f"SELECT '{m}' AS metric, b.{m} AS baseline_value, c.{m} AS observed_value "
+                f"FROM ({_rates_sql(_SPLIT200 + ' < 700')}) b, ({_rates_sql(_SPLIT200 + ' >= 700')}) c"
+                for m in ev.QUALITY_METRICS) + ") v")
+
+
+@register("model_quality_check", with_views(_MQ_BODY, "predictions"), round_cols=("baseline_value", "observed_value"))
+def q_model_quality_check(spark, sf_dir):
+    """Q5 check: quality on held-out users (split != train) against the
+    training users' baseline; a metric is violated when it fell by more than 0.05."""
+    from churnlab.operators.prep import split_assign
+    p = split_assign(_preds(spark, sf_dir))
+    base = ev.rates(ev.confusion_matrix(p.where(F.col("split") == "train")))
+    cur = ev.rates(ev.confusion_matrix(p.where(F.col("split") != "train")))
+    return ev.model_quality_report(base, cur, _MQ_TOL)

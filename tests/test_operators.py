@@ -300,3 +300,11 @@ def test_churn_label_by_expiry(spark):
     df = spark.createDataFrame(rows, "msno string, t date, e date")
     got = {r.msno: r.is_churn for r in churn_label_by_expiry(df, "msno", "t", "e", d(1999, 1, 1)).collect()}
     assert got == {"a": 0, "b": 1, "c": 0}
+
+
+def test_model_quality_violations(spark):
+    b = spark.createDataFrame([(1, 1.0), (0, 0.0), (1, 1.0), (0, 0.0)], "is_churn int, prediction double")
+    good = ev.rates(ev.confusion_matrix(b))
+    bad = ev.rates(ev.confusion_matrix(spark.createDataFrame([(1, 0.0), (0, 1.0)], "is_churn int, prediction double")))
+    assert ev.model_quality_violations(good, good).count() == 0
+    assert {r.metric for r in ev.model_quality_violations(good, bad).collect()} == set(ev.QUALITY_METRICS)
