@@ -75,3 +75,21 @@ def test_saved_scoring_unit_equals_scoring_prepared_rows(spark):
     got = {(r.msno, r.split): (r.score, r.prediction) for r in direct.select("msno", "split", "score", "prediction").collect()}
     assert got.keys() == unit_scores.keys()
     assert all(abs(got[k][0] - unit_scores[k][0]) < 1e-12 and got[k][1] == unit_scores[k][1] for k in got)
+
+
+def test_tuning_successive_halving(spark):
+    from conftest import SF_SMALL
+    from churnlab.plans import queries_models as qm
+    from churnlab.operators import model as mdl
+    fr = qm._frames(spark, SF_SMALL)
+    rows = mdl.tune_gbt(fr["train"], fr["validation"], n_trials=4, parallel=2, min_iter=1, max_iter=4,
+                        eta=2).collect()
+    by_rung = {}
+    for r in rows:
+        by_rung.setdefault(r.rung, []).append(r)
+    rungs = sorted(by_rung)
+    assert [len(by_rung[k]) for k in rungs] == [4, 2, 1]          # halving of survivors
+    assert [by_rung[k][0].max_iter for k in rungs] == [1, 2, 4]    # growing budget
+    best = {r.trial for r in rows if r.best}
+    assert len(best) == 1 and best == {by_rung[rungs[-1]][0].trial}
+    assert all(1 <= r.max_depth <= 10 and 0 < r.step_size < 1 for r in rows)
