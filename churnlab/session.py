@@ -45,17 +45,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, registering it with the context.
 
-    The cluster's ``spark.checkpoint.dir`` wins; a scratch folder is created
-    only when nothing is configured (local tests).
+    The cluster's ``spark.checkpoint.dir`` (read from the context's conf) wins;
+    a scratch folder is created only when nothing is configured (local tests).
+    The folder is registered through ``SparkContext.setCheckpointDir``: the
+    setting itself is a core config that cannot be changed at runtime.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="churnlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

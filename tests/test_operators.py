@@ -308,3 +308,37 @@ def test_model_quality_violations(spark):
     bad = ev.rates(ev.confusion_matrix(spark.createDataFrame([(1, 0.0), (0, 1.0)], "is_churn int, prediction double")))
     assert ev.model_quality_violations(good, good).count() == 0
     assert {r.metric for r in ev.model_quality_violations(good, bad).collect()} == set(ev.QUALITY_METRICS)
+
+
+def test_checkpoint_dir_fallback_without_runtime_conf_change():
+    """With no configured folder, a scratch folder is registered on the context
+    only (spark.checkpoint.dir cannot be set at runtime)."""
+    from churnlab.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def getConf(self):
+            return Conf()
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Sess:
+        sparkContext = Ctx()
+
+        class conf:  # any runtime set would fail the test
+            @staticmethod
+            def set(*a):
+                raise AssertionError("runtime conf change")
+
+    got = checkpoint_dir(Sess())
+    assert got.startswith("/tmp/churnlab-ckpt-") and Sess.sparkContext.dir == got
