@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from churnlab.operators.assemble import features_clean
+from churnlab.operators import prep
+from churnlab.operators.assemble import features_clean, rare_bucketed
 from churnlab.operators.logs import log_means
-from churnlab.operators.members import age_capped, members_filled, tenure_years
+from churnlab.operators.members import age_capped, drop_incomplete, members_filled, tenure_years
 from churnlab.operators.transactions import labelled_txn_features
+from churnlab.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, IMPUTE_COLUMNS, LOG_COLUMNS
+from churnlab.session import cut_lineage
 from churnlab.sources import adapters
 
 
@@ -29,13 +33,6 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- PySpark path
-from pyspark.sql import functions as F  # noqa: E402
-
-from churnlab.operators import prep  # noqa: E402
-from churnlab.operators.members import drop_incomplete  # noqa: E402
-from churnlab.operators.assemble import rare_bucketed  # noqa: E402
-from churnlab.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, IMPUTE_COLUMNS, LOG_COLUMNS  # noqa: E402
-from churnlab.session import cut_lineage  # noqa: E402
 
 # Split weights/seeds and the column lists of each step.
 SPLIT_WEIGHTS = (0.7, 0.2, 0.1)
