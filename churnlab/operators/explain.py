@@ -70,11 +70,14 @@ def _solve(z: np.ndarray, y: np.ndarray, delta: float) -> np.ndarray:
 
 
 def shap_local(model: PipelineModel, rows: DataFrame, baseline, features: list[str], id_col: str = "msno",
-               n_samples: int = 59, seed: int = 123, score_index: int = 1) -> DataFrame:
+               n_samples: int = 59, seed: int = 123, score_index: int = 1,
+               output_col: str = "probability") -> DataFrame:
     """(id, feature, shap_value, f_x, f_baseline) for every input row.
 
     ``baseline`` is one row (dict) or a small background set (list of dicts,
-    e.g. ``kmeans_baselines``); with several, f(z) is the mean over them."""
+    e.g. ``kmeans_baselines``); with several, f(z) is the mean over them. The
+    explained output is ``output_col[score_index]`` for a vector column (class
+    probability) or ``output_col`` itself for a numeric one (regression)."""
     backgrounds = baseline if isinstance(baseline, list) else [baseline]
     masks = sample_masks(len(features), n_samples, seed)
     mask_col = F.array(*[F.array(*[F.lit(int(v)) for v in z]) for z in masks])
@@ -84,7 +87,10 @@ def shap_local(model: PipelineModel, rows: DataFrame, baseline, features: list[s
     blended = exploded.select(id_col, "_k", *[
         F.when(F.col("_z")[j] == 1, F.col(f).cast("double")).otherwise(F.col("_b")[j]).alias(f)
         for j, f in enumerate(features)])
-    scored = model.transform(blended).select(id_col, "_k", vector_to_array("probability")[score_index].alias("_f"))
+    out = model.transform(blended)
+    is_numeric = out.schema[output_col].dataType.typeName() in ("double", "float", "integer", "long")
+    f_col = F.col(output_col).cast("double") if is_numeric else vector_to_array(output_col)[score_index]
+    scored = out.select(id_col, "_k", f_col.alias("_f"))
     mask_arr = masks.astype(float)
 
     def solve_batch(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -342,3 +342,24 @@ def test_checkpoint_dir_fallback_without_runtime_conf_change():
 
     got = checkpoint_dir(Sess())
     assert got.startswith("/tmp/churnlab-ckpt-") and Sess.sparkContext.dir == got
+
+
+def test_shap_linear_regression_exact(spark):
+    """Linear model: KernelSHAP value = coefficient x (x - baseline)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from churnlab.operators import explain
+
+    df = spark.range(40).select(F.col("id").cast("string").alias("msno"), (F.col("id") % 7).cast("double").alias("a"),
+                                (F.col("id") % 5).cast("double").alias("b"), (F.col("id") % 3).cast("double").alias("c"))
+    df = df.withColumn("y", 2 * F.col("a") - 3 * F.col("b") + 0.5 * F.col("c") + 1)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b", "c"], outputCol="features"),
+                             LinearRegression(labelCol="y", regParam=0.0)]).fit(df)
+    coef = dict(zip(["a", "b", "c"], model.stages[-1].coefficients.toArray()))
+    base = {"a": 1.0, "b": 2.0, "c": 0.5}
+    local = explain.shap_local(model, df, base, ["a", "b", "c"], n_samples=30, seed=7, output_col="prediction")
+    x = {r.msno: r for r in df.collect()}
+    for r in local.collect():
+        expected = coef[r.feature] * (x[r.msno][r.feature] - base[r.feature])
+        assert abs(r.shap_value - expected) < 1e-8
