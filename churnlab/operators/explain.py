@@ -29,6 +29,13 @@ def shap_baseline(train: DataFrame, categorical: list[str], numeric: list[str])
                      *[F.avg(c).alias(c) for c in numeric])
 
 
+def first_row_baseline(train: DataFrame, features: list[str], key: str = "msno") -> dict:
+    """The 'first row' baseline, made deterministic: the row with the smallest
+    key (a distributed top-1, no sort of the whole frame)."""
+    row = train.orderBy(F.col(key).asc()).limit(1).select(*features).first()
+    return row.asDict() if row else {}
+
+
 def kmeans_baselines(train: DataFrame, features: list[str], k: int = 2, seed: int = 123) -> list[dict]:
     """``k`` background rows: MLlib k-means centres of the training rows
     (k is a parameter, so only k small rows reach the driver)."""

@@ -363,3 +363,9 @@ def test_shap_linear_regression_exact(spark):
     for r in local.collect():
         expected = coef[r.feature] * (x[r.msno][r.feature] - base[r.feature])
         assert abs(r.shap_value - expected) < 1e-8
+
+
+def test_first_row_baseline(spark):
+    from churnlab.operators import explain
+    df = spark.createDataFrame([("b", 2.0), ("a", 1.0), ("c", 3.0)], "msno string, x double").repartition(3)
+    assert explain.first_row_baseline(df, ["x"]) == {"x": 1.0}
