@@ -15,8 +15,10 @@ from churnlab.sources import adapters
 
 # ----------------------------------------------------------------- bias
 def bias_frame(spark, sf_dir):
+    """Labels, facet, group and predictions per user; the predictions are a
+    projection of the labelled frame (no second scan, no join)."""
     j = features.joined(spark, sf_dir).select("msno", "is_churn", "gender", "bd")
-    return j.join(adapters.predictions(spark, sf_dir).select("msno", "prediction"), "msno")
+    return adapters.with_predictions(j).drop("score")
 
 
 _BIAS_VIEW = """(SELECT j.msno, j.is_churn, j.gender, j.bd, p.prediction, coalesce(j.gender IN ('female'), false) AS d

@@ -101,11 +101,14 @@ def train(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF, horizon_day
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deterministic synthetic scores for the evaluation family: hash score,
-    raised by 0.2 for churners, capped at 1; hard label at 0.5."""
-    t = train(spark, sf_dir)
+    """Deterministic synthetic scores for the evaluation family (see ``with_predictions``)."""
+    return with_predictions(train(spark, sf_dir)).select("msno", "is_churn", "score", "prediction")
+
+
+def with_predictions(labelled: DataFrame) -> DataFrame:
+    """Add the synthetic score (hash score, raised by 0.2 for churners, capped
+    at 1) and the hard label at 0.5 to any frame of (msno, is_churn): a pure
+    projection, so frames that already carry the labels need no join."""
     score = F.least(F.lit(1.0), hash_unit("msno", "score") + F.lit(0.2) * F.col("is_churn"))
-    return t.select(
-        "msno", "is_churn", score.alias("score"),
-        F.when(score >= 0.5, 1.0).otherwise(0.0).alias("prediction"),
-    )
+    return labelled.withColumns({
+        "score": score, "prediction": F.when(score >= 0.5, 1.0).otherwise(0.0)})
