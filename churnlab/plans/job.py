@@ -44,7 +44,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--csv", action="store_true", help="headerless CSV instead of Parquet")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("churnlab-feature-job").getOrCreate()
+    spark = (SparkSession.builder.appName("churnlab-feature-job")
+             .config("spark.ui.enabled", "false").getOrCreate())
     from churnlab.session import checkpoint_dir
     checkpoint_dir(spark)
     print(run_feature_job(spark, a.sf_dir, a.out, "csv" if a.csv else "parquet"))

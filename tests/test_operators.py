@@ -369,3 +369,18 @@ def test_first_row_baseline(spark):
     from churnlab.operators import explain
     df = spark.createDataFrame([("b", 2.0), ("a", 1.0), ("c", 3.0)], "msno string, x double").repartition(3)
     assert explain.first_row_baseline(df, ["x"]) == {"x": 1.0}
+
+
+def test_feature_job_cli(tmp_path):
+    """The job runs as a module from the command line and writes three splits."""
+    import os
+    import subprocess
+    import sys
+    from conftest import SF_SMALL
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = str(tmp_path / "features")
+    env = {**os.environ, "PYTHONPATH": repo}
+    r = subprocess.run([sys.executable, "-m", "churnlab.plans.job", "--sf-dir", SF_SMALL, "--out", out],
+                       cwd=repo, env=env, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert sorted(os.listdir(out)) == ["test", "train", "validation"]
