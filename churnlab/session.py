@@ -50,7 +50,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The folder is registered through ``SparkContext.setCheckpointDir``: the
     setting itself is a core config that cannot be changed at runtime.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="churnlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     current = sc.getCheckpointDir()
     if current:
         return current
