@@ -13,9 +13,9 @@ row hash. Dataset rules:
   a key whose latest record is a deletion has no rows;
 * ``as_of``: the latest surviving record per key with event_time <= as_of.
 
-All steps are aggregates (``max_by`` with partial aggregation) plus one join
-to a one-row-per-key aggregate; no per-key window, so a hot key is combined
-map-side rather than sorted in a single task.
+All steps are aggregates (``max_by`` with partial aggregation) plus one salted
+join to a one-row-per-deleted-key aggregate; no per-key window, so a hot key is
+combined map-side or spread over salts rather than sorted in a single task.
 """
 
 from __future__ import annotations
@@ -48,10 +48,19 @@ def _latest_per_event(history: DataFrame, key: str, event_time: str, seq: str, c
 
 
 def feature_dataset(history: DataFrame, cols: list[str], key: str = "msno", event_time: str = "event_time",
-                    seq: str = "write_seq") -> DataFrame:
+                    seq: str = "write_seq", salts: int = 16) -> DataFrame:
+    """Records of each key newer than its last deletion.
+
+    The records are joined to the per-key deletion time. A hot key would put a
+    third of the records into one join task, so the join is salted: each
+    record gets a deterministic salt in [0, salts) from its event time, and the
+    deletion table (one row per deleted key, far smaller than the records) is
+    replicated once per salt. The join key is (key, salt)."""
     rec = _latest_per_event(history, key, event_time, seq, cols)
-    last_del = (rec.where("deleted").groupBy(key).agg(F.max(event_time).alias("_deleted_at")))
-    kept = rec.join(last_del, key, "left").where(
+    last_del = rec.where("deleted").groupBy(key).agg(F.max(event_time).alias("_deleted_at"))
+    salted_del = last_del.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted_rec = rec.withColumn("_salt", F.pmod(F.xxhash64(F.col(event_time)), F.lit(salts)).cast("int"))
+    kept = salted_rec.join(salted_del, [key, "_salt"], "left").where(
         ~F.col("deleted") & (F.col("_deleted_at").isNull() | (F.col(event_time) > F.col("_deleted_at"))))
     return kept.select(key, event_time, *cols)
 

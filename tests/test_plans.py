@@ -85,3 +85,15 @@ def test_joined_scans_orders_once_and_equals_generic_join(spark):
     assert cols == sorted(generic.columns)
     assert fused.select(cols).exceptAll(generic.select(cols)).count() == 0
     assert generic.select(cols).exceptAll(fused.select(cols)).count() == 0
+
+
+def test_feature_dataset_join_is_salted(spark):
+    from churnlab.plans.queries_sources import history_records
+    from churnlab.sources import feature_table as ft
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(ft.feature_dataset(history_records(spark, SF_SMALL), ["actual_amount_paid"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    join_lines = [line for line in plan.splitlines() if "Join" in line]
+    assert join_lines and all("_salt" in line for line in join_lines)
