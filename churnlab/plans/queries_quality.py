@@ -276,12 +276,16 @@ _SPLIT_VERSION = {"train": 1, "test": 2, "validation": 3}
 
 
 def baseline_registry(spark, sf_dir):
-    """Versioned baselines: one profile per split of the final frame
-    (train v1, test v2 approved; validation v3 pending)."""
+    """Versioned baselines: the profile of each split of the final frame, one
+    version per split (train v1, test v2 approved; validation v3 pending), in
+    long form (version, approved, column statistics...)."""
     f = features.final(spark, sf_dir)
-    v = F.when(F.col("split") == "train", 1).when(F.col("split") == "test", 2).otherwise(3)
-    return f.groupBy(v.alias("version")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-        "approved", F.col("version") < 3)
+    out = None
+    for split, version in _SPLIT_VERSION.items():
+        prof = quality.profile_table(f.where(F.col("split") == split), PROFILE_COLS).withColumns({
+            "version": F.lit(version), "approved": F.lit(split != "validation")})
+        out = prof if out is None else out.unionByName(prof)
+    return out
 
 
 @register("baseline_used", with_views("""
