@@ -93,3 +93,31 @@ def test_tuning_successive_halving(spark):
     best = {r.trial for r in rows if r.best}
     assert len(best) == 1 and best == {by_rung[rungs[-1]][0].trial}
     assert all(1 <= r.max_depth <= 10 and 0 < r.step_size < 1 for r in rows)
+
+
+def test_txn_features_hot_user_matches_brute_force(spark):
+    """One user holding a third of all transactions: the fused aggregate agrees
+    with a direct computation (smallest value on mode ties)."""
+    from collections import Counter
+    from conftest import SF_ORACLE
+    from churnlab.sources import adapters
+    from churnlab.operators.transactions import txn_features
+    t = adapters.transactions(spark, SF_ORACLE)
+    hot = t.withColumn("msno", F.when(F.xxhash64("transaction_date", "actual_amount_paid") % 3 == 0,
+                                      F.lit("hot")).otherwise(F.col("msno")))
+    got = txn_features(hot).where("msno = 'hot'").first()
+    rows = hot.where("msno = 'hot'").toPandas()
+
+    def mode(values):
+        c = Counter(v for v in values if v is not None)
+        top = max(c.values())
+        return min(v for v, n in c.items() if n == top)
+
+    quarters = [(int(str(d)[4:6]) - 1) // 3 + 1 for d in rows["transaction_date"]]
+    assert got.regist_trans == len(rows)
+    assert got.revenue == int(rows["actual_amount_paid"].sum())
+    assert got.regist_cancels == int(rows["is_cancel"].sum())
+    assert got.mst_frq_pay_met == mode(rows["payment_method_id"])
+    assert got.mst_frq_plan_days == mode(rows["payment_plan_days"])
+    assert got.is_auto_renew == mode(rows["is_auto_renew"])
+    assert got.qtr_trans == mode(quarters)
