@@ -18,18 +18,38 @@ from pyspark.sql import functions as F
 MAX_SLICES = 1024
 
 
-def _slice_expr(key: str, bounds: list[float]):
-    """Index of the first bound >= key (len(bounds) if none), as a balanced
-    binary tree of comparisons: about log2(slices) tests per row."""
-    c = F.col(key)
+def _sliced(df: DataFrame, key: str, bounds: dict, group: str | None) -> DataFrame:
+    """Add ``_slice``: the index of the key's slice within its group.
 
-    def tree(lo: int, hi: int):  # answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c <= F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    MLlib's ``Bucketizer`` does a binary search over the bounds in the JVM, so
+    the per-row cost is about log2(slices) comparisons and the plan stays
+    small however many slices there are (a comparison tree of hundreds of
+    branches per group would exceed the 64 KB generated-method limit). With
+    groups, each group gets its own split array through a per-group input
+    column that is NULL outside the group."""
+    from pyspark.ml.feature import Bucketizer
 
-    return tree(0, len(bounds))
+    def splits(b):
+        return [float("-inf")] + list(b) + [float("inf")]
+
+    if group is None:
+        b = bounds.get(None, [])
+        if not b:
+            return df.withColumn("_slice", F.lit(0))
+        out = Bucketizer(splits=splits(b), inputCol="_key_d", outputCol="_slice_d").transform(
+            df.withColumn("_key_d", F.col(key).cast("double")))
+        return out.withColumn("_slice", F.col("_slice_d").cast("int")).drop("_key_d", "_slice_d")
+    groups = [g for g, b in bounds.items() if b]
+    if not groups:
+        return df.withColumn("_slice", F.lit(0))
+    ins = [f"_in_{i}" for i in range(len(groups))]
+    outs = [f"_out_{i}" for i in range(len(groups))]
+    staged = df.withColumns({
+        c: F.when(F.col(group) == F.lit(g), F.col(key).cast("double")) for c, g in zip(ins, groups)})
+    bucketed = Bucketizer(splitsArray=[splits(bounds[g]) for g in groups], inputCols=ins, outputCols=outs,
+                          handleInvalid="keep").transform(staged)
+    return (bucketed.withColumn("_slice", F.coalesce(*[F.col(o) for o in outs], F.lit(0.0)).cast("int"))
+                    .drop(*ins, *outs))
 
 
 def quantile_bounds(df: DataFrame, key: str, buckets: int, group: str | None = None,
@@ -55,18 +75,8 @@ def running_totals(df: DataFrame, key: str, sum_cols: list[str], group: str | No
     if buckets is None:
         buckets = min(MAX_SLICES, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     bounds = quantile_bounds(df, key, buckets, group)
-    if group is None:
-        slice_col = _slice_expr(key, bounds.get(None, []))
-    else:
-        slice_col = F.lit(0)
-        cases = None
-        for g, b in bounds.items():
-            cond = F.col(group) == F.lit(g)
-            cases = F.when(cond, _slice_expr(key, b)) if cases is None else cases.when(cond, _slice_expr(key, b))
-        if cases is not None:
-            slice_col = cases.otherwise(F.lit(0))
     parts = [group] if group else []
-    sliced = df.withColumn("_slice", slice_col)
+    sliced = _sliced(df, key, bounds, group)
     local_w = (Window.partitionBy(*parts, "_slice").orderBy(F.col(key))
                .rowsBetween(Window.unboundedPreceding, 0))
     local = sliced.withColumns({f"_loc_{c}": F.sum(c).over(local_w) for c in sum_cols})
