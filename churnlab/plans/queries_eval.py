@@ -37,8 +37,8 @@ def _preds(spark, sf_dir):
 
 
 @register("label_at_threshold", with_views("""
-SELECT msno, CASE WHEN score >= 0.5 THEN 1.0 ELSE 0.0 END AS label_050,
-       CASE WHEN score >= 0.8 THEN 1.0 ELSE 0.0 END AS label_080 FROM predictions""", "predictions"))
+SELECT msno, CAST(CASE WHEN score >= 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label_050,
+       CAST(CASE WHEN score >= 0.8 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label_080 FROM predictions""", "predictions"))
 def q_label_at_threshold(spark, sf_dir):
     p = _preds(spark, sf_dir)
     p = ev.label_at_threshold(p, "score", 0.5, "label_050")
@@ -77,7 +77,7 @@ def q_eval_report(spark, sf_dir):
 
 
 @register("auc_gate", with_views(f"""
-SELECT auc_score, 0.75 AS threshold, coalesce(auc_score > 0.75, false) AS passed FROM ({_REPORT}) r""",
+SELECT auc_score, CAST(0.75 AS DOUBLE) AS threshold, coalesce(auc_score > 0.75, false) AS passed FROM ({_REPORT}) r""",
     "predictions"), round_cols=("auc_score",))
 def q_auc_gate(spark, sf_dir):
     return ev.auc_gate(ev.report_json(ev.eval_report(_preds(spark, sf_dir))))

@@ -11,6 +11,8 @@ from churnlab.sources.tables import TABLES, table_path
 from conftest import SF_SMALL
 
 _SQL = E.oracle_sql()
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 _Q = E.queries()
 
 
@@ -42,6 +44,9 @@ def test_matches_oracle(spark, con, name):
     sdf = _Q[name](spark, SF_SMALL)
     res = con.sql(_SQL[name])
     assert sorted(sdf.columns) == sorted(res.columns)
+    duck_types = dict(zip(res.columns, map(str, res.types)))
+    for f in sdf.schema.fields:
+        assert _TYPES.get(f.dataType.simpleString()) == duck_types[f.name], (f.name, f.dataType, duck_types[f.name])
     idx = [res.columns.index(c) for c in sdf.columns]
     assert _rows(sdf.collect()) == _rows(res.fetchall(), idx)
 
