@@ -310,38 +310,51 @@ def test_model_quality_violations(spark):
     assert {r.metric for r in ev.model_quality_violations(good, bad).collect()} == set(ev.QUALITY_METRICS)
 
 
-def test_checkpoint_dir_fallback_without_runtime_conf_change():
-    """With no configured folder, a scratch folder is registered on the context
-    only (spark.checkpoint.dir cannot be set at runtime)."""
-    from churnlab.session import checkpoint_dir
+class _Context:
+    """A context without a configured folder."""
+
+    def __init__(self, master):
+        self.master, self.dir = master, None
 
-    class Conf:
-        def get(self, key, default=None):
-            return default
+    def getCheckpointDir(self):
+        return self.dir
 
-    class Ctx:
-        def __init__(self):
-            self.dir = None
+    def getConf(self):
+        return {}
 
-        def getCheckpointDir(self):
-            return self.dir
+    def setCheckpointDir(self, d):
+        self.dir = d
 
-        def getConf(self):
-            return Conf()
 
-        def setCheckpointDir(self, d):
-            self.dir = d
+class _Session:
+    def __init__(self, master):
+        self.sparkContext = _Context(master)
 
-    class Sess:
-        sparkContext = Ctx()
 
-        class conf:  # any runtime set would fail the test
-            @staticmethod
-            def set(*a):
-                raise AssertionError("runtime conf change")
+def test_checkpoint_dir_needs_a_shared_folder_on_a_cluster():
+    from churnlab.session import checkpoint_dir
+
+    local = _Session("local[4]")
+    assert checkpoint_dir(local) == local.sparkContext.dir
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://https://host"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_dir(_Session(master))
+
+
+def test_scratch_tables_are_dropped(spark):
+    import os
 
-    got = checkpoint_dir(Sess())
-    assert got.startswith("/tmp/churnlab-ckpt-") and Sess.sparkContext.dir == got
+    from churnlab import session
+
+    df = session.cut_lineage(spark.range(10), "dropped")
+    path = session._SCRATCH[-1][1]
+    local = path.removeprefix("file:")
+    assert df.count() == 10 and os.path.isdir(local)
+    mine = [x for x in session._SCRATCH if x[1] != path]
+    session._SCRATCH[:] = [x for x in session._SCRATCH if x[1] == path]
+    assert session.drop_scratch(spark) == 1
+    session._SCRATCH[:] = mine
+    assert not os.path.exists(local)
 
 
 def test_shap_linear_regression_exact(spark):
