@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +49,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "_text", limit: int = SLICE
     """Slices of a batch with about ``limit`` bytes of text each, one row at least."""
     if not batch.num_rows:
         return
-    size = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+    size = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
     part = (np.cumsum(size) - size) // limit
     cuts = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):

@@ -35,6 +35,14 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlab.llm.suffix_dedup import suffix_dedup
+
+    out = suffix_dedup(read_table(spark, sf_dir, "documents"), width=100)
+    return out.select("doc_id", F.col("n_bytes").cast("long").alias("n_bytes"), "n_removed",
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlab.llm.exact_dedup import exact_dedup
 
@@ -48,6 +56,46 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlab.llm.quality_rules import quality_rules
+
+    return quality_rules(read_table(spark, sf_dir, "documents"), max_lost=0.5)
+
+
+def _op7_sql() -> str:
+    from churnlab.llm.quality_rules import PHRASES
+
+    word, symbol = r"[^\x20\x09-\x0D]+", "[#*$%&|<>]"
+    phrases = " OR ".join(f"contains(translate(line, '{_UPPER}', '{_LOWER}'), '{p}')" for p in PHRASES)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{word}') AS w FROM documents),
+raw AS (SELECT doc_id, i, s[i] AS line, len(regexp_extract_all(s[i], '{word}')) AS n
+        FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i
+              FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM d))),
+judged AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS dup,
+             10 * len(regexp_extract_all(line, '{symbol}')) > strlen(line)
+             OR 10 * len(regexp_extract_all(line, '[!?]{{2}}([\x20\x09-\x0D]|$)')) > 3 * n
+             OR len(regexp_extract_all(line, ' (\||\x{{BB}}) ')) >= 3 OR {phrases} AS fails
+           FROM raw WHERE n > 0),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dup) AS n_dup_lines,
+            count(*) FILTER (WHERE fails) AS n_failed_lines, coalesce(sum(n) FILTER (WHERE fails), 0) AS lost_words
+          FROM judged GROUP BY doc_id),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 4], ' ')) AS times
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM windows WHERE times > 1)
+            GROUP BY doc_id),
+counted AS (
+  SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         len(regexp_extract_all(text, '{symbol}')) AS n_symbols, coalesce(l.n_dup_lines, 0) AS n_dup_lines,
+         coalesce(r.n, 0) AS n_repeat_words, coalesce(l.n_lines, 0) AS n_lines, coalesce(l.n_failed_lines, 0) AS n_failed_lines,
+         coalesce(l.lost_words, 0)::BIGINT AS lost_words
+  FROM d LEFT JOIN lines l USING (doc_id) LEFT JOIN repeats r USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 2 * lost_words <= n_words AS kept
+FROM counted
+"""
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlab.llm.simhash import simhash_components
 
@@ -56,7 +104,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
 }
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op5_exact_dedup": OP5_SQL}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": _op7_sql()}
