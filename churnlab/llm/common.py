@@ -23,8 +23,8 @@ SLICE_BYTES = 8 << 20
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def with_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_id long, _doc, _text): one row per input row, ``_id`` unique.
+def with_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(_id long, _doc, _text, *keep): one row per input row, ``_id`` unique.
 
     Where the id column is integral, without nulls and unique, ``_id`` is that
     column and nothing is moved. Otherwise rows are sorted by (id with nulls
@@ -34,15 +34,15 @@ def with_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     ship_package(docs.sparkSession)
     base = docs.select(F.col(f"`{id_col}`").alias("_doc"),
-                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"), *keep)
     if isinstance(base.schema["_doc"].dataType, _INTEGRAL):
         clash = base.groupBy("_doc").count().where(F.col("_doc").isNull() | (F.col("count") > 1))
         if clash.isEmpty():
-            return base.select(F.col("_doc").cast("long").alias("_id"), "_doc", "_text")
+            return base.select(F.col("_doc").cast("long").alias("_id"), "_doc", "_text", *keep)
     ordered = base.withColumn("_h", F.xxhash64("_text"))
     ordered = (ordered.repartitionByRange(F.col("_doc").asc_nulls_first(), "_h")
                .sortWithinPartitions(F.col("_doc").asc_nulls_first(), "_text").drop("_h"))
-    return cut_lineage(ordered.select(F.monotonically_increasing_id().alias("_id"), "_doc", "_text"), "ids")
+    return cut_lineage(ordered.select(F.monotonically_increasing_id().alias("_id"), "_doc", "_text", *keep), "ids")
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "_text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -35,6 +35,22 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlab.llm.warc import warc_round_trip
+
+    return warc_round_trip(read_table(spark, sf_dir, "pages"), min_revisit=1000)
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN top END AS refers_to
+FROM q
+"""
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlab.llm.suffix_dedup import suffix_dedup
 
@@ -43,6 +59,15 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from churnlab.llm.packing import best_fit_packing
+
+    return best_fit_packing(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            capacity=1024, end_id=2)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlab.llm.exact_dedup import exact_dedup
 
@@ -104,9 +129,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_warc": op2_warc,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
 }
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": _op7_sql()}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": _op7_sql()}
