@@ -127,6 +127,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlab.llm.quality_gbt import quality_scores
+
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=4, held_out=2, threshold=0.7)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlab.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5, held_out=0, threshold=0.5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_warc": op2_warc,
@@ -135,5 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": _op7_sql()}
