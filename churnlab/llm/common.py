@@ -66,3 +66,21 @@ def utf8(batch: pa.RecordBatch, column: str = "_text") -> tuple[np.ndarray, np.n
 
 def sha256_hex(col: str) -> Column:
     return F.sha2(F.encode(F.col(col), "UTF-8"), 256)
+
+
+def with_rest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``with_ids`` with all other columns of a row in ``_rest``, for ``restored``."""
+    others = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c not in (id_col, text_col)]
+    rest = F.struct(F.col(f"`{text_col}`").isNull().alias("null_text"), *others)
+    return with_ids(docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), rest.alias("_rest")),
+                    "i", "t", keep=("_rest",))
+
+
+def restored(rows: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``with_rest`` (with _doc, _text, _rest) as rows of ``docs``."""
+    out = []
+    for k, c in enumerate(docs.columns):
+        value = (F.col("_doc") if c == id_col else F.when(~F.col("_rest.null_text"), F.col("_text")) if c == text_col
+                 else F.col(f"_rest.c{k}"))
+        out.append(value.alias(c))
+    return rows.select(*out)

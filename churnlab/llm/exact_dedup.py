@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import sha256_hex, with_ids
+from churnlab.llm.common import restored, sha256_hex, with_ids, with_rest
 from churnlab.session import cut_lineage
 
 
@@ -56,3 +56,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.when(F.col("keep_row").isNull(), F.col("_doc")).otherwise(F.col("keep_id")).alias("keep_id"),
                       F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
                       (F.coalesce("keep_row", "_id") == F.col("_id")).alias("kept"), "text_sha256")
+
+
+def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 64) -> DataFrame:
+    """The rows that stay, with all columns of ``docs``."""
+    base = with_rest(docs, id_col, text_col)
+    gone = cut_lineage(exact_groups(base.drop("_rest"), prefix).where("_id != keep_row").select("_id"), "copies")
+    return restored(base.join(gone, "_id", "left_anti"), docs, id_col, text_col)

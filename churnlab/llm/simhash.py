@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import with_ids
+from churnlab.llm.common import restored, with_ids, with_rest
 from churnlab.llm.components import components
 from churnlab.session import cut_lineage
 
@@ -118,3 +118,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = near_groups(with_ids(docs, id_col, text_col), shingle, radius)
     return out.select(F.col("_doc").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                       F.col("least._doc").alias("component_id"))
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 4) -> DataFrame:
+    """The first row of each component, with all columns of ``docs``."""
+    base = with_rest(docs, id_col, text_col)
+    groups = near_groups(base.drop("_rest"), shingle, radius)
+    gone = cut_lineage(groups.where(F.col("_id") != F.col("least._id")).select("_id"), "near_copies")
+    return restored(base.join(gone, "_id", "left_anti"), docs, id_col, text_col)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.llm._anchors import MAX_BUFFER, runs
-from churnlab.llm.common import text_slices, utf8, with_ids
+from churnlab.llm.common import restored, text_slices, utf8, with_ids, with_rest
 from churnlab.session import cut_lineage
 
 #: Kinds of rows, in the order in which a reducer needs them.
@@ -232,3 +232,19 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = cut_repeats(with_ids(docs, id_col, text_col), width)
     return out.select(F.col("_doc").alias(id_col), (F.octet_length("kept_bytes") + F.col("n_removed")).alias("n_bytes"),
                       "n_removed", "spans", "kept_bytes")
+
+
+def _as_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        text = [b.decode("utf-8", "ignore") for b in batch.column("kept_bytes").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(text, pa.string())], ["_id", "_text"])
+
+
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 100) -> DataFrame:
+    """``docs`` with repeated strings cut out of the text; characters of which
+    only a part is left go as well. All rows stay, texts without a repeat as they are."""
+    base = with_rest(docs, id_col, text_col)
+    cut = cut_repeats(base.drop("_rest"), width).where(F.col("n_removed") > 0).select("_id", "kept_bytes")
+    cut = cut_lineage(cut.mapInArrow(_as_text, "_id long, _text string"), "cut_texts").withColumnRenamed("_text", "_new")
+    rows = base.join(cut, "_id", "left").withColumn("_text", F.coalesce("_new", "_text")).drop("_new")
+    return restored(rows, docs, id_col, text_col)
