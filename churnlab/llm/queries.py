@@ -92,7 +92,7 @@ def _op7_sql() -> str:
 
     word, symbol = r"[^\x20\x09-\x0D]+", "[#*$%&|<>]"
     phrases = " OR ".join(f"contains(translate(line, '{_UPPER}', '{_LOWER}'), '{p}')" for p in PHRASES)
-    return f"""
+    return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{word}') AS w FROM documents),
 raw AS (SELECT doc_id, i, s[i] AS line, len(regexp_extract_all(s[i], '{word}')) AS n
         FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i
