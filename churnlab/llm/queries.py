@@ -81,6 +81,15 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from churnlab.llm.sp_lattice import sp_encode
+
+    docs = read_table(spark, sf_dir, "documents")
+    return sp_encode(docs, public_tokenizers.path("piece_bpe_32k.model"), columns=("n_ids", "ids_crc32", "decoded_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlab.llm.quality_rules import quality_rules
 
@@ -145,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
     "op9_quality_classifier": op9_quality_classifier,
