@@ -1,12 +1,13 @@
-"""Distributed running sums along a numeric order key.
-
-A global ``Window.orderBy`` runs on ONE partition. Instead the key range is cut
-into ``buckets`` slices at approximate quantiles (``buckets - 1`` boundary
-values per group, collected once so every branch of the plan sees the same
-slices); each slice is a window partition of about ``rows / buckets`` rows,
-and the totals of earlier slices (at most ``groups x buckets`` rows) are
-broadcast back as offsets. Input rows must be unique on (group, key):
-aggregate by key first, which also keeps a hot key to a single row.
+"""Distributed running sums along an order key.
+
+A global ``Window.orderBy`` runs on ONE partition. Instead the rows are
+range-partitioned on (group, key); each range partition is a slice, so there
+are as many slices as the shuffle has partitions, sized by the data and not by
+a constant. A slice is a window partition of its own, and the totals of the
+slices before it are added. The placed rows are written out once, since both the
+local sums and the totals must see the same slices. Input rows must be unique
+on (group, key): aggregate by key first, which also keeps a hot key to a single
+row.
 """
 
 from __future__ import annotations
@@ -14,77 +15,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-MAX_SLICES = 1024
-
-
-def _sliced(df: DataFrame, key: str, bounds: dict, group: str | None) -> DataFrame:
-    """Add ``_slice``: the index of the key's slice within its group.
-
-    MLlib's ``Bucketizer`` does a binary search over the bounds in the JVM, so
-    the per-row cost is about log2(slices) comparisons and the plan stays
-    small however many slices there are (a comparison tree of hundreds of
-    branches per group would exceed the 64 KB generated-method limit). With
-    groups, each group gets its own split array through a per-group input
-    column that is NULL outside the group."""
-    from pyspark.ml.feature import Bucketizer
-
-    def splits(b):
-        return [float("-inf")] + list(b) + [float("inf")]
-
-    if group is None:
-        b = bounds.get(None, [])
-        if not b:
-            return df.withColumn("_slice", F.lit(0))
-        out = Bucketizer(splits=splits(b), inputCol="_key_d", outputCol="_slice_d").transform(
-            df.withColumn("_key_d", F.col(key).cast("double")))
-        return out.withColumn("_slice", F.col("_slice_d").cast("int")).drop("_key_d", "_slice_d")
-    groups = [g for g, b in bounds.items() if b]
-    if not groups:
-        return df.withColumn("_slice", F.lit(0))
-    ins = [f"_in_{i}" for i in range(len(groups))]
-    outs = [f"_out_{i}" for i in range(len(groups))]
-    staged = df.withColumns({
-        c: F.when(F.col(group) == F.lit(g), F.col(key).cast("double")) for c, g in zip(ins, groups)})
-    bucketed = Bucketizer(splitsArray=[splits(bounds[g]) for g in groups], inputCols=ins, outputCols=outs,
-                          handleInvalid="keep").transform(staged)
-    return (bucketed.withColumn("_slice", F.coalesce(*[F.col(o) for o in outs], F.lit(0.0)).cast("int"))
-                    .drop(*ins, *outs))
-
-
-def quantile_bounds(df: DataFrame, key: str, buckets: int, group: str | None = None,
-                    accuracy: int = 10000) -> dict:
-    """{group value (or None): sorted distinct boundary values}."""
-    if buckets <= 1:
-        return {}
-    probs = [i / buckets for i in range(1, buckets)]
-    q = F.percentile_approx(F.col(key).cast("double"), probs, accuracy).alias("q")
-    rows = (df.groupBy(group).agg(q) if group else df.agg(q).withColumn("g", F.lit(None))).collect()
-    out = {}
-    for r in rows:
-        g = r[0] if group else None
-        qs = r["q"] or []
-        out[g] = sorted(set(float(x) for x in qs if x is not None))
-    return out
+from churnlab.session import cut_lineage
 
 
 def running_totals(df: DataFrame, key: str, sum_cols: list[str], group: str | None = None,
-                   buckets: int | None = None, prefix: str = "cum_") -> DataFrame:
-    """Add ``prefix + c`` = sum of ``c`` over rows of the same group with key <= this key."""
-    spark = df.sparkSession
-    if buckets is None:
-        buckets = min(MAX_SLICES, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    bounds = quantile_bounds(df, key, buckets, group)
+                   slices: int | None = None, prefix: str = "cum_", total_prefix: str = "all_") -> DataFrame:
+    """Add ``prefix + c`` = sum of ``c`` over rows of the same group with key <=
+    this key, and ``total_prefix + c`` = its sum over the group. ``slices`` fixes
+    the number of slices (by default the session's shuffle partitions)."""
     parts = [group] if group else []
-    sliced = _sliced(df, key, bounds, group)
-    local_w = (Window.partitionBy(*parts, "_slice").orderBy(F.col(key))
-               .rowsBetween(Window.unboundedPreceding, 0))
-    local = sliced.withColumns({f"_loc_{c}": F.sum(c).over(local_w) for c in sum_cols})
-    totals = sliced.groupBy(*parts, "_slice").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    # groups x buckets rows: bounded by construction
-    prev_w = Window.partitionBy(*parts).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    order = [*parts, key]
+    placed = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    placed = cut_lineage(placed.withColumn("_slice", F.spark_partition_id()), "running")
+    local_w = Window.partitionBy(*parts, "_slice").orderBy(F.col(key)).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumns({f"_loc_{c}": F.sum(c).over(local_w) for c in sum_cols})
+    # One row per (group, slice): as many as shuffle partitions, and one more for each group.
+    totals = placed.groupBy(*parts, "_slice").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    whole = Window.partitionBy(*parts)
+    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*parts, "_slice", *[
-        F.coalesce(F.sum(f"_tot_{c}").over(prev_w), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    out = local.join(F.broadcast(offsets), on=[*parts, "_slice"], how="inner")
+        F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols], *[
+        F.sum(f"_tot_{c}").over(whole).alias(f"{total_prefix}{c}") for c in sum_cols])
+    out = local.join(offsets, on=[*parts, "_slice"], how="inner")
     out = out.withColumns({f"{prefix}{c}": F.col(f"_loc_{c}") + F.col(f"_off_{c}") for c in sum_cols})
     return out.drop("_slice", *[f"_loc_{c}" for c in sum_cols], *[f"_off_{c}" for c in sum_cols])

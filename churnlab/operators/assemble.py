@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.operators.members import age_capped, tenure_years
+from churnlab.session import cut_lineage
 from churnlab.schemas import LOG1P_COLUMNS, RARE_COLUMNS
 
 # Rare-category share threshold and bucket label.
@@ -46,15 +47,16 @@ def category_counts(df: DataFrame, cols: list[str] = RARE_COLUMNS) -> DataFrame:
     """(feature, value, n, share) for several columns in ONE aggregate.
 
     ``n`` counts non-null values, so the NULL group has n = 0 and is always
-    rare; ``share`` is over all rows.
+    rare; ``share`` is over all rows, whose number is the sum of one column's
+    row counts (written out, so that the input is read once).
     """
-    total = df.select(F.count(F.lit(1))).scalar()
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols
     ]))
-    counted = (df.select(pairs.alias("p")).select("p.*")
-                 .groupBy("feature", "value").agg(F.count("value").alias("n")))
-    return counted.withColumn("share", F.col("n") / total)
+    counted = cut_lineage(df.select(pairs.alias("p")).select("p.*").groupBy("feature", "value")
+                          .agg(F.count("value").alias("n"), F.count(F.lit(1)).alias("_rows")), "category_counts")
+    total = counted.where(F.col("feature") == cols[0]).select(F.sum("_rows")).scalar()
+    return counted.select("feature", "value", "n", (F.col("n") / total).alias("share"))
 
 
 def rare_categories(df: DataFrame, cols: list[str] = RARE_COLUMNS, min_share: float = RARE_SHARE) -> DataFrame:
@@ -84,6 +86,8 @@ def apply_buckets(df: DataFrame, kept: dict[str, list[str]]) -> DataFrame:
 
 
 def rare_bucketed(df: DataFrame, cols: list[str] = RARE_COLUMNS, min_share: float = RARE_SHARE) -> DataFrame:
+    """The fit and the output both read the frame, so it is written out once."""
+    df = cut_lineage(df, "bucketed")
     return apply_buckets(df, frequent_values(df, cols, min_share))
 
 
@@ -91,16 +95,10 @@ def log1p_features(df: DataFrame, cols: list[str] = LOG1P_COLUMNS) -> DataFrame:
     return df.withColumns({c: F.log1p(F.col(c)) for c in cols})
 
 
-def features_clean(joined: DataFrame, as_of: _dt.date, min_share: float = RARE_SHARE,
-                   checkpoint: bool = True) -> DataFrame:
+def features_clean(joined: DataFrame, as_of: _dt.date, min_share: float = RARE_SHARE) -> DataFrame:
     """Age cap, tenure, rare buckets and log1p, in the reference order.
 
-    The per-user frame feeds the bucket fit and the output, so its lineage is
-    cut once (reliable checkpoint) instead of recomputing the joins twice.
+    The per-user frame feeds the bucket fit and the output; ``rare_bucketed``
+    writes it out once, so the joins are not computed twice.
     """
-    df = tenure_years(age_capped(joined), as_of)
-    if checkpoint:
-        from churnlab.session import cut_lineage
-        df = cut_lineage(df)
-    df = rare_bucketed(df, RARE_COLUMNS, min_share)
-    return log1p_features(df)
+    return log1p_features(rare_bucketed(tenure_years(age_capped(joined), as_of), RARE_COLUMNS, min_share))

@@ -79,8 +79,18 @@ def auc_gate(report_doc: DataFrame, threshold: float = AUC_GATE,
                              F.coalesce(v > F.lit(threshold), F.lit(False)).alias("passed"))
 
 
+def unusable_scores(df: DataFrame, truth: str = "is_churn", score: str = "score") -> DataFrame:
+    """One row: how many rows the curves leave out, for want of a score, because
+    it is not a number, or for want of a label 0 or 1."""
+    s, y = F.col(score).cast("double"), F.col(truth)
+    return df.agg(F.count_if(s.isNull()).alias("null_score"), F.count_if(F.isnan(s)).alias("nan_score"),
+                  F.count_if(y.isNull() | ~y.isin(0, 1)).alias("no_label"))
+
+
 def _score_counts(df: DataFrame, truth: str, score: str) -> DataFrame:
-    return df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    """Rows without a usable score or label are left out (``unusable_scores`` counts them)."""
+    s = F.col(score).cast("double")
+    return df.where(s.isNotNull() & ~F.isnan(s) & F.col(truth).isin(0, 1)).groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(truth) == 1).alias("pos"), F.count_if(F.col(truth) == 0).alias("neg"))
 
 
@@ -88,10 +98,8 @@ def _cumulative(df: DataFrame, truth: str, score: str) -> DataFrame:
     """One row per distinct score: tp/fp = positives/negatives scored >= it."""
     counts = _score_counts(df, truth, score).withColumn("_desc", -F.col("threshold"))
     cum = running_totals(counts, "_desc", ["pos", "neg"])
-    P = counts.select(F.sum("pos")).scalar()  # scalar subqueries, one value each
-    N = counts.select(F.sum("neg")).scalar()
     return cum.select("threshold", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                      P.alias("P"), N.alias("N"))
+                      F.col("all_pos").alias("P"), F.col("all_neg").alias("N"))
 
 
 def roc_curve(df: DataFrame, truth: str = "is_churn", score: str = "score") -> DataFrame:
@@ -109,9 +117,15 @@ def pr_curve(df: DataFrame, truth: str = "is_churn", score: str = "score") -> Da
 def auc_prob(df: DataFrame, truth: str = "is_churn", score: str = "score") -> DataFrame:
     """Trapezoid area under the ROC curve from (0,0), exact with ties:
     sum over distinct scores of neg * (tp_before + tp_after) / 2, over P*N."""
-    c = _cumulative(df, truth, score)
-    area = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")))
-    return c.agg(F.try_divide(area.cast("double"), 2.0 * F.first("P") * F.first("N")).alias("auc"))
+    return auc_of(_cumulative(df, truth, score))
+
+
+def auc_of(cumulative: DataFrame) -> DataFrame:
+    """The area from (neg, pos, tp, P, N) rows. Products of counts exceed a long
+    from some 2e9 rows a class, so they are decimals."""
+    big = lambda c: c.cast("decimal(19,0)")
+    area = F.sum((big(F.col("neg")) * big(2 * F.col("tp") - F.col("pos"))).cast("decimal(38,0)"))
+    return cumulative.agg(F.try_divide(area.cast("double"), F.lit(2.0) * F.first("P").cast("double") * F.first("N").cast("double")).alias("auc"))
 
 
 QUALITY_METRICS = ("accuracy", "precision", "recall", "f1", "auc_hard")

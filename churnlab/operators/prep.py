@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.functions import hash_bucket
+from churnlab.functions.hashing import MODULO
 from churnlab.functions.running import running_totals
 
 OTHER = "other"
@@ -25,11 +26,11 @@ def split_assign(df: DataFrame, weights=(0.7, 0.2, 0.1), names=("train", "test",
     if len(weights) != len(names):
         raise ValueError("weights and names differ in length")
     total = float(sum(weights))
-    bucket = hash_bucket(key, seed, 1000)
+    bucket = hash_bucket(key, seed, MODULO)
     edges, acc = [], 0.0
     for w in weights[:-1]:
         acc += w / total
-        edges.append(int(round(acc * 1000)))
+        edges.append(int(round(acc * MODULO)))
     expr = None
     for edge, name in zip(edges, names[:-1]):
         expr = F.when(bucket < edge, F.lit(name)) if expr is None else expr.when(bucket < edge, F.lit(name))
@@ -151,22 +152,33 @@ def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     return df.withColumns(exprs).drop(*levels.keys())
 
 
-def undummy(df: DataFrame, prefixes: list[str]) -> DataFrame:
+def undummy(df: DataFrame, prefixes: list[str], levels: dict[str, list[str]] | None = None) -> DataFrame:
     """Inverse of one_hot: ``{prefix}_{level}`` columns -> one ``prefix`` column.
 
-    The level is the text after the last ``_``; names are inspected on the
-    driver (schema only), values stay on the executors.
+    The level is all that follows the prefix and ``_``, whatever it holds. Where
+    one prefix begins another (``a`` and ``a_b``), a column belongs to the
+    longest one that fits; ``levels`` (as given to one_hot) settles any other
+    doubt. Names are inspected on the driver, values stay on the executors.
     """
     out = df
     for p in prefixes:
-        dummies = [c for c in out.columns if c.startswith(p + "_") and "_" not in c[len(p) + 1:]]
+        if levels is not None:
+            dummies = [f"{p}_{v}" for v in levels[p]]
+        else:
+            longer = [q + "_" for q in prefixes if q.startswith(p + "_")]
+            dummies = [c for c in out.columns if c.startswith(p + "_") and not c.startswith(tuple(longer))]
         if not dummies:
             continue
-        level = F.coalesce(*[F.when(F.col(d) == 1, F.lit(d.rsplit("_", 1)[1])) for d in dummies])
-        out = out.withColumn(p, level).drop(*dummies)
+        level = F.coalesce(*[F.when(F.col(_quoted(d)) == 1, F.lit(d[len(p) + 1:])) for d in dummies])
+        keep = [F.col(_quoted(c)) for c in out.columns if c not in set(dummies) and c != p]
+        out = out.select(*keep, level.alias(p))
     return out
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 # ------------------------------------------------------------ F17 outliers
 def fit_outlier_means(train: DataFrame, cols: list[str], z: float = 3.0) -> dict[str, dict]:
     """Per column: mean, sample std, mean of inliers (|z| < z) and the number

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlab.session import cut_lineage
+
 
 def value_counts(df: DataFrame, col, name: str | None = None) -> DataFrame:
-    """(value, n, share): frequency table with each value's share of all rows."""
+    """(value, n, share): frequency table, most frequent first (ties by value),
+    with each value's share of all rows. One scan: the total is the sum of the
+    counts, which are written out before they are read twice."""
     c = F.col(col) if isinstance(col, str) else col
     name = name or (col if isinstance(col, str) else "value")
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (df.groupBy(c.alias(name)).agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("share", F.col("n") / total))
+    counts = cut_lineage(df.groupBy(c.alias(name)).agg(F.count(F.lit(1)).alias("n")), "value_counts")
+    total = counts.select(F.sum("n")).scalar()
+    return counts.withColumn("share", F.col("n") / total).orderBy(F.desc("n"), F.col(name).asc_nulls_first())
 
 
 def null_audit(df: DataFrame, cols: list[str], by: str | None = None) -> DataFrame:

@@ -20,8 +20,8 @@ def parse_ymd(expr: str) -> str:
 
 
 def hash_unit(key_expr: str, salt: str) -> str:
-    return (f"CAST(CAST(('0x' || substr(md5(CAST({key_expr} AS VARCHAR) || '|{salt}'), 1, 8)) AS BIGINT) % 1000"
-            f" AS DOUBLE) / 1000.0")
+    return (f"CAST(CAST(('0x' || substr(md5(CAST({key_expr} AS VARCHAR) || '|{salt}'), 1, 8)) AS BIGINT) % 1000000"
+            f" AS DOUBLE) / 1000000.0")
 
 
 def mode_sql(table: str, key: str, expr: str, alias: str) -> str:
@@ -61,7 +61,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS msno,
        CASE c_custkey % 3 WHEN 1 THEN 'male' WHEN 2 THEN 'female' END AS gender,
        CAST(CASE WHEN c_custkey % 300 = 0 THEN 13 ELSE 3 + c_custkey % 5 END AS INTEGER) AS registered_via,
        {ymd("DATE '1995-01-01' + CAST(c_custkey % 1000 AS INTEGER)")} AS registration_init_time
-FROM customer WHERE c_custkey % 10 <> 7""")
+FROM customer""")
 
 view("user_logs", [], f"""
 SELECT CAST(user_id AS VARCHAR) AS msno, {ymd('CAST(ts AS DATE)')} AS date,
@@ -151,12 +151,12 @@ FROM aged a""")
 
 
 def _bucket(seed: int) -> str:
-    return f"CAST(('0x' || substr(md5(msno || '|{seed}'), 1, 8)) AS BIGINT) % 1000"
+    return f"CAST(('0x' || substr(md5(msno || '|{seed}'), 1, 8)) AS BIGINT) % 1000000"
 
 
 view("split", ["features_clean"], f"""
 SELECT * EXCLUDE (registration_init_time, _b),
-       CASE WHEN _b < 700 THEN 'train' WHEN _b < 900 THEN 'test' ELSE 'validation' END AS split
+       CASE WHEN _b < 700000 THEN 'train' WHEN _b < 900000 THEN 'test' ELSE 'validation' END AS split
 FROM (SELECT *, {_bucket(200)} AS _b FROM features_clean) s""")
 
 IMPUTE = ["num_25", "num_50", "num_75", "num_985", "num_100", "num_unq", "total_secs", "tenure"]
@@ -203,7 +203,7 @@ view("eda_counts", ["eda_base"], _counts_body("eda_base"))
 
 view("eda", ["eda_base", "eda_counts"], f"""
 SELECT a.* REPLACE ({_bucketed('eda_counts')}),
-       CASE WHEN {_bucket(123)} < 800 THEN 'train' ELSE 'test' END AS split
+       CASE WHEN {_bucket(123)} < 800000 THEN 'train' ELSE 'test' END AS split
 FROM eda_base a""")
 
 LOGS = ["num_25", "num_50", "num_75", "num_985", "num_100", "num_unq", "total_secs"]

@@ -103,14 +103,14 @@ FROM (SELECT count(*) FILTER (WHERE is_churn = 0 AND prediction = 0) AS tn,
       FROM predictions WHERE {where}) c) r"""
 
 
-_SPLIT200 = "CAST(('0x' || substr(md5(msno || '|200'), 1, 8)) AS BIGINT) % 1000"
+_SPLIT200 = "CAST(('0x' || substr(md5(msno || '|200'), 1, 8)) AS BIGINT) % 1000000"
 _MQ_TOL = 0.05
 
 
 _MQ_BODY = (f"SELECT *, coalesce(observed_value < baseline_value - {_MQ_TOL}, false) AS violated FROM ("
             + " UNION ALL ".join(
                 f"SELECT '{m}' AS metric, b.{m} AS baseline_value, c.{m} AS observed_value "
-                f"FROM ({_rates_sql(_SPLIT200 + ' < 700')}) b, ({_rates_sql(_SPLIT200 + ' >= 700')}) c"
+                f"FROM ({_rates_sql(_SPLIT200 + ' < 700000')}) b, ({_rates_sql(_SPLIT200 + ' >= 700000')}) c"
                 for m in ev.QUALITY_METRICS) + ") v")
 
 

@@ -8,6 +8,7 @@ from churnlab.operators import prep
 from churnlab.plans import features
 from churnlab.plans.oracle import CATS, FEATURE_DOUBLES, IMPUTE, LOGS, OUTLIER, SCALE, with_views
 from churnlab.plans.registry import register
+from churnlab.schemas import LEVELS
 
 
 @register("split_assign", with_views("SELECT msno, split FROM split", "split"))
@@ -32,23 +33,19 @@ def q_string_index(spark, sf_dir):
     return features.final_parts(spark, sf_dir)["indexed"].select("msno", "split", *CATS)
 
 
-_LONG = " UNION ALL ".join(
-    f"SELECT msno, '{c}_' || CAST({c} AS VARCHAR) AS name FROM eda WHERE {c} IS NOT NULL" for c in CATS)
-
-
-@register("one_hot", with_views(f"""
-SELECT msno, coalesce(COLUMNS(* EXCLUDE (msno)), 0)
-FROM (PIVOT (SELECT msno, name, 1 AS v FROM ({_LONG}) l) ON name USING max(v) GROUP BY msno) p""", "eda"))
+@register("one_hot", with_views("SELECT msno, " + ", ".join(
+    f"CASE WHEN CAST({c} AS VARCHAR) = '{v}' THEN 1 ELSE 0 END AS \"{c}_{v}\"" for c, lv in LEVELS.items() for v in lv)
+    + " FROM eda", "eda"))
 def q_one_hot(spark, sf_dir):
-    e = features.eda(spark, sf_dir).select("msno", *CATS)
-    return prep.one_hot(e, prep.category_levels(e, CATS))
+    """Columns of the declared levels, so the schema doesn't depend on the data."""
+    return prep.one_hot(features.eda(spark, sf_dir).select("msno", *CATS), LEVELS)
 
 
 @register("undummy", with_views(f"SELECT msno, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in CATS)} FROM eda",
                                 "eda"))
 def q_undummy(spark, sf_dir):
     e = features.eda(spark, sf_dir).select("msno", *CATS)
-    return prep.undummy(prep.one_hot(e, prep.category_levels(e, CATS)), CATS).select("msno", *CATS)
+    return prep.undummy(prep.one_hot(e, LEVELS), CATS, LEVELS).select("msno", *CATS)
 
 
 @register("outliers_to_mean", with_views(

@@ -59,3 +59,13 @@ PREDICTIONS = T.StructType([
     T.StructField("is_churn", T.IntegerType()),
     T.StructField("prediction", T.DoubleType()),
 ])
+
+# Declared levels of the categorical columns after rare bucketing (one-hot output).
+LEVELS = {
+    "city": [*map(str, range(25)), "99", "other"],
+    "gender": ["male", "female", "other"],
+    "registered_via": ["3", "4", "5", "6", "7", "13", "other"],
+    "qtr_trans": ["1", "2", "3", "4"],
+    "mst_frq_pay_met": ["1", "2", "3", "4", "5", "other"],
+    "is_auto_renew": ["0", "1"],
+}

@@ -29,6 +29,9 @@ def write_csv(df: DataFrame, path: str, header: bool = True, max_records_per_fil
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
-    """Header or headerless CSV; columns are named by ``schema`` position,
-    all part files of the folder are read (not just the first)."""
-    return spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").csv(path)
+    """Header or headerless CSV; all part files of the folder are read (not just
+    the first). Without a header, columns are named by ``schema`` position. With
+    one, its names must be the schema's, in order: a file whose columns stand
+    otherwise fails, and is not read under wrong names."""
+    return (spark.read.schema(schema).option("header", header).option("mode", "FAILFAST")
+            .option("enforceSchema", not header).csv(path))

@@ -9,29 +9,23 @@ duplicating it (the stream checkpoint makes the replay exactly-once).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from churnlab.operators.quality import drift_violations, profile_table
-from churnlab.session import checkpoint_dir
 
 
 def drift_monitor(stream: DataFrame, baseline_profile: DataFrame, cols: list[str], sink_path: str,
-                  checkpoint_location: str | None = None, available_now: bool = True,
+                  checkpoint_location: str, available_now: bool = True,
                   processing_time: str | None = None, mean_shift_stds: float = 1.0) -> StreamingQuery:
-    spark = stream.sparkSession
-    ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "streams", os.path.basename(sink_path))
-
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         cur = profile_table(batch, cols)
         v = drift_violations(baseline_profile, cur, mean_shift_stds).withColumn("epoch_id", F.lit(epoch_id))
         (v.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy("epoch_id").parquet(sink_path))
 
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_location)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:

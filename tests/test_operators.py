@@ -197,7 +197,7 @@ def test_running_totals_match_global_cumsum(spark):
     rnd = random.Random(3)
     rows = [(g, float(v), rnd.randint(1, 5)) for g in ("x", "y") for v in rnd.sample(range(10000), 300)]
     df = spark.createDataFrame(rows, "g string, v double, k int")
-    got = {(r.g, r.v): r.cum_k for r in running_totals(df, "v", ["k"], group="g", buckets=7).collect()}
+    got = {(r.g, r.v): r.cum_k for r in running_totals(df, "v", ["k"], group="g", slices=7).collect()}
     for g in ("x", "y"):
         acc = 0
         for _, v, k in sorted(r for r in rows if r[0] == g):
