@@ -71,6 +71,11 @@ def write_report(report: DataFrame, path: str) -> None:
     report_json(report).write.mode("overwrite").text(path)
 
 
+def read_report(spark, path: str) -> DataFrame:
+    """The written document, one row (``report``)."""
+    return spark.read.text(path).select(F.col("value").alias("report"))
+
+
 def auc_gate(report_doc: DataFrame, threshold: float = AUC_GATE,
              path: str = "$.classification_metrics.auc_score.value") -> DataFrame:
     """Read one JSON path of the report and test it STRICTLY above the threshold."""

@@ -3,25 +3,26 @@
 KernelSHAP per row x with baseline b: coalition masks z (seeded, shared by all
 rows; the all-ones and all-zeros masks are always included) give blended inputs
 z*x + (1-z)*b; the model scores all of them in one distributed
-``model.transform``; then, per row, a least-squares fit of f(z) - f(b) on the
-masks under the efficiency constraint sum(phi) = f(x) - f(b).
+``model.transform``. The least-squares fit of f(z) - f(b) on the masks, under the
+efficiency constraint sum(phi) = f(x) - f(b), is linear in the scores and has one
+matrix for all rows: it is computed once, and a row's values are weighted sums of
+its scores, which Spark aggregates before any shuffle.
 
-The mask expansion is a per-row ``explode`` by a fixed, parameter-bounded
-factor (no join). Rows of one id stay contiguous in their partition through
-the narrow assemble/score stages, so the per-row solve runs in
-``mapInPandas`` without shuffling the rows x samples blow-up.
+The mask expansion is a per-row ``explode`` by a fixed, parameter-bounded factor
+(no join). Each input row is explained by itself, also where ids repeat.
 """
 
 from __future__ import annotations
 
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlab.session import cut_lineage
+
 
 def shap_baseline(train: DataFrame, categorical: list[str], numeric: list[str]) -> DataFrame:
     """One row: smallest mode of each categorical, mean of each numeric."""
@@ -38,11 +39,14 @@ def first_row_baseline(train: DataFrame, features: list[str], key: str = "msno")
 
 def kmeans_baselines(train: DataFrame, features: list[str], k: int = 2, seed: int = 123) -> list[dict]:
     """``k`` background rows: MLlib k-means centres of the training rows
-    (k is a parameter, so only k small rows reach the driver)."""
+    (k is a parameter, so only k small rows reach the driver). A missing value
+    counts as its column's mean, so every row takes part."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    vec = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="skip").transform(train)
+    means = train.agg(*[F.avg(f).alias(f) for f in features]).first().asDict()
+    filled = train.select(*[F.coalesce(F.col(f).cast("double"), F.lit(means[f] or 0.0)).alias(f) for f in features])
+    vec = VectorAssembler(inputCols=features, outputCol="_v").transform(filled)
     centres = KMeans(k=k, seed=seed, featuresCol="_v").fit(vec).clusterCenters()
     return [dict(zip(features, map(float, c))) for c in centres]
 
@@ -65,21 +69,29 @@ def sample_masks(n_features: int, n_samples: int, seed: int) -> np.ndarray:
     return np.stack(masks)
 
 
-def _solve(z: np.ndarray, y: np.ndarray, delta: float) -> np.ndarray:
-    """min ||y - z phi||^2 s.t. sum(phi) = delta (last coefficient eliminated)."""
-    m = z.shape[1]
-    if m == 1:
-        return np.array([delta])
-    a = z[:, :-1] - z[:, [-1]]
-    rhs = y - z[:, -1] * delta
-    head, *_ = np.linalg.lstsq(a, rhs, rcond=None)
-    return np.append(head, delta - head.sum())
+def solution(masks: np.ndarray) -> np.ndarray:
+    """C with phi = C @ f for the scores f of the masks (f[0]: the row itself,
+    f[1]: the baseline): least squares under sum(phi) = f[0] - f[1], the last
+    coefficient eliminated."""
+    n, m = masks.shape
+    out = np.zeros((m, n))
+    z = masks[2:].astype(float)
+    if m > 1 and len(z):
+        inverse = np.linalg.pinv(z[:, :-1] - z[:, [-1]])
+        out[:-1, 2:] = inverse
+        out[:-1, 0] = -inverse @ z[:, -1]
+        out[:-1, 1] = inverse @ (z[:, -1] - 1)
+    delta = np.zeros(n)
+    delta[:2] = 1, -1
+    out[-1] = delta - out[:-1].sum(axis=0)
+    return out
 
 
 def shap_local(model: PipelineModel, rows: DataFrame, baseline, features: list[str], id_col: str = "msno",
                n_samples: int = 59, seed: int = 123, score_index: int = 1,
                output_col: str = "probability") -> DataFrame:
-    """(id, feature, shap_value, f_x, f_baseline) for every input row.
+    """(id, row, feature, shap_value, f_x, f_baseline) for every input row; ``row``
+    numbers the rows, whatever their ids.
 
     ``baseline`` is one row (dict) or a small background set (list of dicts,
     e.g. ``kmeans_baselines``); with several, f(z) is the mean over them. The
@@ -87,50 +99,28 @@ def shap_local(model: PipelineModel, rows: DataFrame, baseline, features: list[s
     probability) or ``output_col`` itself for a numeric one (regression)."""
     backgrounds = baseline if isinstance(baseline, list) else [baseline]
     masks = sample_masks(len(features), n_samples, seed)
+    weights = solution(masks) / len(backgrounds)
+    # Written out with their numbers, so that a task run anew numbers the same rows.
+    numbered = cut_lineage(rows.select(id_col, *features).withColumn("row", F.monotonically_increasing_id()), "explained")
     mask_col = F.array(*[F.array(*[F.lit(int(v)) for v in z]) for z in masks])
     bg_col = F.array(*[F.array(*[F.lit(float(b[f])) for f in features]) for b in backgrounds])
-    exploded = (rows.select(id_col, *features, F.posexplode(mask_col).alias("_k", "_z"))
-                    .select("*", F.explode(bg_col).alias("_b")))
-    blended = exploded.select(id_col, "_k", *[
+    exploded = (numbered.select(id_col, "row", *features, F.posexplode(mask_col).alias("_k", "_z"))
+                .select("*", F.explode(bg_col).alias("_b")))
+    blended = exploded.select(id_col, "row", "_k", *[
         F.when(F.col("_z")[j] == 1, F.col(f).cast("double")).otherwise(F.col("_b")[j]).alias(f)
         for j, f in enumerate(features)])
     out = model.transform(blended)
     is_numeric = out.schema[output_col].dataType.typeName() in ("double", "float", "integer", "long")
     f_col = F.col(output_col).cast("double") if is_numeric else vector_to_array(output_col)[score_index]
-    scored = out.select(id_col, "_k", f_col.alias("_f"))
-    mask_arr = masks.astype(float)
-
-    def solve_batch(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for key, g in pdf.groupby(id_col, sort=False):
-            f = g.groupby("_k")["_f"].mean()  # mean over the background rows
-            fx, fb = float(f.loc[0]), float(f.loc[1])
-            ks = [k for k in f.index if k >= 2]
-            phi = _solve(mask_arr[ks], f.loc[ks].to_numpy() - fb, fx - fb) if ks else np.zeros(len(features))
-            out.append(pd.DataFrame({id_col: key, "feature": features, "shap_value": phi,
-                                     "f_x": fx, "f_baseline": fb}))
-        return pd.concat(out) if out else pd.DataFrame(
-            {id_col: [], "feature": [], "shap_value": [], "f_x": [], "f_baseline": []})
-
-    def per_partition(batches):
-        carry = None
-        for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if pdf.empty:
-                continue
-            last = pdf[id_col].iloc[-1]
-            tail = pdf[id_col] == last
-            carry = pdf[tail]
-            done = pdf[~tail]
-            if len(done):
-                yield solve_batch(done)
-        if carry is not None and len(carry):
-            yield solve_batch(carry)
-
-    id_type = rows.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {id_type}, feature string, shap_value double, f_x double, f_baseline double"
-    return scored.mapInPandas(per_partition, schema)
+    k = F.col("_k")
+    sums = [F.sum(F.col("_f") * F.array(*[F.lit(float(v)) for v in w])[k]) for w in weights]
+    share = 1.0 / len(backgrounds)
+    solved = (out.select(id_col, "row", "_k", f_col.alias("_f")).groupBy("row", id_col)
+              .agg(F.array(*sums).alias("phi"), F.sum(F.when(k == 0, F.col("_f") * share)).alias("f_x"),
+                   F.sum(F.when(k == 1, F.col("_f") * share)).alias("f_baseline")))
+    named = F.posexplode(F.array(*[F.lit(f) for f in features])).alias("_j", "feature")
+    return (solved.select(id_col, "row", "phi", "f_x", "f_baseline", named)
+            .select(id_col, "row", "feature", F.col("phi")[F.col("_j")].alias("shap_value"), "f_x", "f_baseline"))
 
 
 def shap_global(local: DataFrame) -> DataFrame:

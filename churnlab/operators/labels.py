@@ -35,15 +35,18 @@ def churn_label_by_expiry(history: DataFrame, key: str, date_col: str, expire_co
     """The subscription rule: churn = no new transaction within ``grace_days``
     after the expiry of the last membership bought before ``as_of``.
 
-    Still one aggregate: the expiry of the last pre-cut-off transaction is a
-    ``max_by``, the next transaction is the earliest one on or after the cut-off
-    (ties on the last date take the latest expiry)."""
+    Still one aggregate: the expiry of the last pre-cut-off transaction is the
+    maximum of (date, expiry), the next transaction is the earliest one on or
+    after the cut-off (ties on the last date take the latest expiry). Where the
+    last transaction has no expiry, its own date counts as the expiry, so every
+    user with a transaction before the cut-off gets a label."""
     d, cut = F.col(date_col), F.lit(as_of)
     before = d < cut
     per_user = history.groupBy(key).agg(
-        F.max_by(F.when(before, F.col(expire_col)), F.when(before, F.struct(d, F.col(expire_col)))).alias("_exp"),
+        F.max(F.when(before, F.struct(d.alias("d"), F.col(expire_col).alias("e")))).alias("_last"),
         F.min(F.when(d >= cut, d)).alias("_next"),
     )
-    renewed = F.col("_next").isNotNull() & (F.col("_next") <= F.date_add("_exp", grace_days))
-    return per_user.where(F.col("_exp").isNotNull()).select(
+    expiry = F.coalesce("_last.e", "_last.d")
+    renewed = F.col("_next").isNotNull() & (F.col("_next") <= F.date_add(expiry, grace_days))
+    return per_user.where(F.col("_last").isNotNull()).select(
         key, F.when(renewed, 0).otherwise(1).cast("int").alias("is_churn"))

@@ -83,12 +83,13 @@ def _logloss(model: PipelineModel, df: DataFrame, label: str) -> float:
 
 def tune_gbt(train: DataFrame, valid: DataFrame, n_trials: int = 6, parallel: int = 3, min_iter: int = 1,
              max_iter: int = 10, eta: int = 3, seed: int = 42, label: str = "is_churn",
-             inputs: list[str] = FEATURE_INPUTS) -> DataFrame:
+             inputs: list[str] = FEATURE_INPUTS) -> tuple[DataFrame, PipelineModel]:
     """Seeded random search over stepSize in (0,1) and maxDepth in [1,10] with
     successive halving on maxIter (from ``min_iter`` up to ``max_iter``, keeping
     the best 1/eta each rung). Each fit is an ordinary Spark job; up to
-    ``parallel`` fits are submitted at once from a thread pool. Returns one row
-    per (trial, rung) with the validation log-loss and the winning trial flagged."""
+    ``parallel`` fits are submitted at once from a thread pool. The frames are
+    read by every fit: pass written ones. Returns one row per (trial, rung) with
+    the validation log-loss and the winning trial flagged, and the fitted winner."""
     rnd = random.Random(seed)
     trials = [dict(trial=i, stepSize=round(rnd.uniform(0.01, 0.99), 4), maxDepth=rnd.randint(1, 10))
               for i in range(n_trials)]
@@ -102,19 +103,20 @@ def tune_gbt(train: DataFrame, valid: DataFrame, n_trials: int = 6, parallel: in
 
     def run(t, iters):
         m = train_gbt(train, inputs, label, seed, maxIter=iters, stepSize=t["stepSize"], maxDepth=t["maxDepth"])
-        return t, iters, _logloss(m, valid, label)
+        return t, iters, _logloss(m, valid, label), m
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         for r, iters in enumerate(rungs):
             results = list(pool.map(lambda t: run(t, iters), alive))
-            rows += [(t["trial"], r, t["stepSize"], t["maxDepth"], iters, loss) for t, _, loss in results]
+            rows += [(t["trial"], r, t["stepSize"], t["maxDepth"], iters, loss) for t, _, loss, _ in results]
             keep = max(1, math.ceil(len(alive) / eta))
-            alive = [t for t, _, _ in sorted(results, key=lambda x: (x[2], x[0]["trial"]))[:keep]]
+            ranked = sorted(results, key=lambda x: (x[2], x[0]["trial"]))
+            alive, winner = [t for t, *_ in ranked[:keep]], ranked[0][3]
     best = alive[0]["trial"]
     schema = T.StructType([T.StructField("trial", T.IntegerType()), T.StructField("rung", T.IntegerType()),
                            T.StructField("step_size", T.DoubleType()), T.StructField("max_depth", T.IntegerType()),
                            T.StructField("max_iter", T.IntegerType()), T.StructField("val_logloss", T.DoubleType())])
-    return train.sparkSession.createDataFrame(rows, schema).withColumn("best", F.col("trial") == best)
+    return train.sparkSession.createDataFrame(rows, schema).withColumn("best", F.col("trial") == best), winner
 
 
 def scoring_unit(imputer_model, indexer_model, trained: PipelineModel, impute_cols: list[str],

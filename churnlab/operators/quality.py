@@ -13,42 +13,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.functions import ratio
+from churnlab.session import cut_lineage
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Exact (feature, n_distinct) for many columns: (column, value) pairs are
-    de-duplicated map-side, then counted per column. Avoids the Expand that
-    several ``count(DISTINCT ...)`` in one aggregate would replicate every
-    other aggregate through."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-                                for c in cols]))
-    return (df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
-              .distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct")))
-
-
 QUANTILES = (0.25, 0.5, 0.75)
 
 
 def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = False) -> DataFrame:
     """(column, n, n_missing, mean, total, std, min, max, n_distinct, integral,
-    p25, p50, p75) per numeric column.
-
-    Moments come from ONE aggregate turned into one row per column with
-    ``inline``. With ``exact_distinct`` distinct counts and quartiles are exact
-    (``distinct_counts``, ``exact_quantiles``: map-side de-duplication and
-    sliced running counts); otherwise a HyperLogLog++ sketch and
-    ``percentile_approx`` inside the same aggregate.
+    p25, p50, p75, type, min_text, max_text) per column, of any atomic type.
+
+    Counts and moments come from ONE aggregate turned into one row per column
+    with ``inline``. Moments and quartiles are NULL where a column is not numeric;
+    there ``min_text``/``max_text`` hold its range in text form. With
+    ``exact_distinct`` distinct counts and quartiles are exact: rows are counted
+    per (column, value) once, written out, and both read that table; otherwise a
+    HyperLogLog++ sketch and ``percentile_approx`` inside the same aggregate.
     """
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    cols = cols or [c for c, t in types.items() if isinstance(t, _NUMERIC)]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = cols or [c for c, t in types.items() if isinstance(t, T.AtomicType)]
+    numeric = {c for c in cols if isinstance(types[c], _NUMERIC)}
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
         aggs += [F.count_if(F.col(c).isNull()).alias(f"m{i}"), F.avg(x).alias(f"a{i}"), F.sum(x).alias(f"s{i}"),
-                 F.stddev_samp(x).alias(f"d{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+                 F.stddev_samp(x).alias(f"d{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 *[(f(c).cast("string") if c not in numeric else F.lit(None).cast("string")).alias(f"{n}{i}")
+                   for f, n in ((F.min, "lt"), (F.max, "ht"))]]
         if not exact_distinct:
             aggs += [F.approx_count_distinct(F.col(c)).alias(f"k{i}"),
                      F.percentile_approx(x, list(QUANTILES), 10000).alias(f"q{i}")]
@@ -60,78 +54,77 @@ def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct:
         (F.lit(None) if exact_distinct else F.col(f"k{i}")).cast("bigint").alias("n_distinct"),
         F.lit(isinstance(types[c], _INTEGRAL)).alias("integral"),
         *[(F.lit(None).cast("double") if exact_distinct else F.col(f"q{i}")[j]).alias(q)
-          for j, q in enumerate(_QNAMES)]) for i, c in enumerate(cols)])
+          for j, q in enumerate(_QNAMES)],
+        F.lit(types[c].simpleString()).alias("type"), F.col(f"lt{i}").alias("min_text"),
+        F.col(f"ht{i}").alias("max_text")) for i, c in enumerate(cols)])
     prof = wide.select(F.inline(rows))
     if exact_distinct:
-        from churnlab.operators.prep import long_value_counts, quantiles_from_counts
-        counts = long_value_counts(df, cols)  # shared by distinct counts and quartiles
+        from churnlab.operators.prep import quantiles_from_counts
+        counts = cut_lineage(value_pairs(df, cols).where(F.col("value").isNotNull())
+                             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("k")), "value_counts")
         dc = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))  # one row per column
-        qs = quantiles_from_counts(counts, list(QUANTILES)).select(
+        numbers = counts.where(F.col("column").isin(sorted(numeric))).withColumn("v", F.col("value").cast("double"))
+        # values equal as doubles (beyond 2^53) are one step of the running count
+        numbers = numbers.groupBy("column", "v").agg(F.sum("k").alias("k"))
+        qs = quantiles_from_counts(numbers, list(QUANTILES)).select(
             "column", *[F.col(f"q_{j}").alias(q) for j, q in enumerate(_QNAMES)])
-        prof = (prof.drop("n_distinct", *_QNAMES).join(F.broadcast(dc), "column", "left")
-                    .join(F.broadcast(qs), "column", "left")
+        prof = (prof.drop("n_distinct", *_QNAMES).join(dc, "column", "left").join(qs, "column", "left")
                     .withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)).cast("bigint"))
                     .select(*PROFILE_FIELDS))
     return prof
 
 
 _QNAMES = ("p25", "p50", "p75")
-PROFILE_FIELDS = ["column", "n", "n_missing", "mean", "total", "std", "min", "max", "n_distinct", "integral", *_QNAMES]
+PROFILE_FIELDS = ["column", "n", "n_missing", "mean", "total", "std", "min", "max", "n_distinct", "integral", *_QNAMES,
+                  "type", "min_text", "max_text"]
 
 
-def _domain_key(df: DataFrame, c: str):
-    """Text form of a category value; fractional values are rounded to 6 places
-    so the domain does not depend on the last bit of a computed double."""
-    t = df.schema[c].dataType
-    col = F.round(F.col(c), 6) if isinstance(t, (T.FloatType, T.DoubleType)) else F.col(c)
-    return col.cast("string")
+def value_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value) of every row: values in text form, whole numbers in decimal
+    and fractions in their shortest exact form, so no two values are merged."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]))
+    return df.select(pairs.alias("p")).select("p.*")
 
 
-def category_domains(df: DataFrame, profile: DataFrame, max_values: int = 20) -> DataFrame:
-    """(column, domain): the sorted, comma-joined observed values of every
-    column with at most ``max_values`` distinct values (per the profile).
-    Columns are chosen from the profile (one row per column) before any value
-    list is built, so every list is bounded by ``max_values``."""
-    small = [r["column"] for r in profile.where(F.col("n_distinct") <= max_values).select("column").collect()]
-    if not small:
-        return df.sparkSession.createDataFrame([], "column string, domain string")
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _domain_key(df, c).alias("v"))
-                                for c in small]))
-    vals = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull()).distinct()
-    return vals.groupBy("column").agg(F.array_join(F.sort_array(F.collect_list("v")), ",").alias("domain"))
+def category_domains(df: DataFrame, categorical: list[str] | None = None) -> DataFrame:
+    """(column, value): the observed values of the declared categorical columns
+    (by default those of type string), one row each, whatever their number."""
+    cols = categorical if categorical is not None else [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, value string")
+    return value_pairs(df, cols).where(F.col("value").isNotNull()).distinct()
 
 
 def suggest_constraints(profile: DataFrame, domains: DataFrame | None = None) -> DataFrame:
-    """Per column: completeness, non-negativity, integral type and (for
-    low-cardinality columns) the category domain, as observed."""
+    """Per column: type, completeness, non-negativity, whether whole numbers, and
+    for columns with a category domain the number of its values (the values
+    themselves stay rows of ``domains``)."""
     out = profile.select(
-        "column",
+        "column", "type",
         F.coalesce(ratio(F.col("n") - F.col("n_missing"), "n"), F.lit(1.0)).alias("completeness"),
         F.coalesce(F.col("min") >= 0, F.lit(True)).alias("non_negative"),
         "integral",
     )
     if domains is not None:
-        out = out.join(F.broadcast(domains), "column", "left")  # one row per column
+        sizes = domains.groupBy("column").agg(F.count(F.lit(1)).alias("domain_size"))
+        out = out.join(sizes, "column", "left")
     return out
 
 
 def domain_violations(current_rows: DataFrame, domains: DataFrame) -> DataFrame:
     """(column, check='domain', baseline_value=NULL, observed_value=#rows whose
-    non-null value lies outside the baseline domain), one aggregate. Domains
-    are bounded lists (``category_domains``), applied as ``isin``."""
-    dom = {r["column"]: r["domain"].split(",") for r in domains.collect() if r["column"] in current_rows.columns}
-    spark = current_rows.sparkSession
-    schema = "column string, check string, baseline_value double, observed_value double"
-    if not dom:
-        return spark.createDataFrame([], schema)
-    counts = current_rows.agg(*[
-        F.count_if(F.col(c).isNotNull() & ~_domain_key(current_rows, c).isin(v)).alias(f"_{i}")
-        for i, (c, v) in enumerate(dom.items())])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit("domain").alias("check"),
-                              F.lit(None).cast("double").alias("baseline_value"),
-                              F.col(f"_{i}").cast("double").alias("observed_value"))
-                     for i, c in enumerate(dom)])
-    return counts.select(F.inline(rows)).where(F.col("observed_value") > 0)
+    non-null value lies outside the baseline domain). Rows are counted per
+    (column, value) before the anti-join with the domain rows."""
+    have = {r["column"] for r in domains.select("column").distinct().collect()}  # column names
+    cols = [c for c in current_rows.columns if c in have]
+    if not cols:
+        return current_rows.sparkSession.createDataFrame(
+            [], "column string, check string, baseline_value double, observed_value double")
+    counts = (value_pairs(current_rows, cols).where(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("k")))
+    outside = counts.join(domains, ["column", "value"], "left_anti").groupBy("column").agg(F.sum("k").alias("k"))
+    return outside.select("column", F.lit("domain").alias("check"), F.lit(None).cast("double").alias("baseline_value"),
+                          F.col("k").cast("double").alias("observed_value"))
 
 
 def drift_violations(baseline: DataFrame, current: DataFrame, mean_shift_stds: float = 1.0,
@@ -140,19 +133,23 @@ def drift_violations(baseline: DataFrame, current: DataFrame, mean_shift_stds: f
 
     Checks: completeness fell; negative values where the baseline had none;
     mean moved by more than ``mean_shift_stds`` baseline standard deviations;
-    column missing from the current data; with ``domains`` and the current
-    rows, values outside a baseline category domain. Profiles are one row per
+    column missing from the current data, or of another type there (reported
+    without values); with ``domains`` and the current rows, values outside a
+    baseline category domain. Profiles are one row per
     column, so their join is small and bounded by the column count.
     """
-    b = suggest_constraints(baseline).join(
+    b = suggest_constraints(baseline).withColumnRenamed("type", "b_type").join(
         baseline.select("column", F.col("mean").alias("b_mean"), F.col("std").alias("b_std")), "column")
     cur = current.select("column", F.col("mean").alias("c_mean"), F.col("min").alias("c_min"),
                          F.coalesce(ratio(F.col("n") - F.col("n_missing"), "n"), F.lit(1.0)).alias("c_compl"),
-                         F.lit(True).alias("present"))
+                         F.col("type").alias("c_type"), F.lit(True).alias("present"))
     j = b.join(F.broadcast(cur), "column", "left")
     checks = F.array(
         F.struct(F.lit("missing_column").alias("check"), F.lit(None).cast("double").alias("baseline_value"),
                  F.lit(None).cast("double").alias("observed_value"), F.col("present").isNull().alias("bad")),
+        F.struct(F.lit("type").alias("check"), F.lit(None).cast("double").alias("baseline_value"),
+                 F.lit(None).cast("double").alias("observed_value"),
+                 F.coalesce(F.col("c_type") != F.col("b_type"), F.lit(False)).alias("bad")),
         F.struct(F.lit("completeness").alias("check"), F.col("completeness").alias("baseline_value"),
                  F.col("c_compl").alias("observed_value"),
                  F.coalesce(F.col("c_compl") < F.col("completeness"), F.lit(False)).alias("bad")),
@@ -170,29 +167,32 @@ def drift_violations(baseline: DataFrame, current: DataFrame, mean_shift_stds: f
     return out
 
 
-def choose_baseline(skip_check: bool, register_new: bool) -> dict:
-    """Baseline truth table: a new baseline is computed when ``register_new``,
-    otherwise the supplied / latest approved one is used; the drift check runs
-    only when ``skip_check`` is false."""
-    return {"baseline": "new" if register_new else "existing", "check_runs": not skip_check}
+def write_baseline(profile: DataFrame, path: str, version: int, approved: bool) -> None:
+    """Store a profile as one version of a baseline table (appended; a version
+    is never overwritten)."""
+    row = profile.withColumns({"version": F.lit(version), "approved": F.lit(approved)})
+    row.write.mode("append").partitionBy("version").parquet(path)
 
 
-def latest_approved(registry: DataFrame, version: str = "version", approved: str = "approved") -> DataFrame:
-    """Latest approved version of a versioned baseline table (one aggregate)."""
-    return registry.where(F.col(approved)).agg(F.max(version).alias("version"))
+def read_baselines(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def baseline_choices(registry: DataFrame, flags: DataFrame, version: str = "version",
                      approved: str = "approved") -> DataFrame:
     """Apply the baseline truth table to every (skip_check, register_new) row
     of ``flags``: a new baseline gets the next version number; otherwise the
-    latest approved version is used. Both numbers are scalar subqueries over
-    the (versioned) registry."""
-    latest = registry.where(F.col(approved)).select(F.max(version)).scalar()
-    nxt = registry.select(F.coalesce(F.max(version), F.lit(0)) + 1).scalar()
+    latest approved version is used. ``n_columns`` and ``n_rows`` describe the
+    stored baseline that an existing version names (NULL for a new one)."""
+    stored = registry.groupBy(version).agg(F.max(approved).alias("_approved"), F.count(F.lit(1)).alias("n_columns"),
+                                           F.max("n").alias("n_rows"))
+    latest = stored.where("_approved").select(F.max(version)).scalar()
+    nxt = stored.select(F.coalesce(F.max(version), F.lit(0)) + 1).scalar()
     new = F.col("register_new")
-    return flags.select(
+    chosen = flags.select(
         "skip_check", "register_new",
         F.when(new, F.lit("new")).otherwise(F.lit("existing")).alias("baseline"),
         F.when(new, nxt).otherwise(latest).alias("version_used"),
         (~F.col("skip_check")).alias("check_runs"))
+    described = stored.select(F.col(version).alias("version_used"), F.lit("existing").alias("baseline"), "n_columns", "n_rows")
+    return chosen.join(described, ["version_used", "baseline"], "left")

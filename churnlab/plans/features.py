@@ -85,8 +85,7 @@ def eda(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows complete in member fields, age capped, tenure, rare buckets over
     the kept rows, 80/20 key-hash split (seed 123)."""
     df = drop_incomplete(joined(spark, sf_dir), EDA_REQUIRED)
-    df = cut_lineage(tenure_years(age_capped(df), adapters.AS_OF))
-    df = rare_bucketed(df)
+    df = rare_bucketed(tenure_years(age_capped(df), adapters.AS_OF))
     return prep.split_assign(df, (0.8, 0.2), ("train", "test"), EDA_SEED)
 
 

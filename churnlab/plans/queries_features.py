@@ -38,6 +38,24 @@ def q_churn_label(spark, sf_dir):
     return adapters.train(spark, sf_dir)
 
 
+@register("churn_label_expiry", with_views(f"""
+SELECT msno, CAST(CASE WHEN nxt IS NOT NULL AND nxt <= expires + 30 THEN 0 ELSE 1 END AS INTEGER) AS is_churn
+FROM (SELECT msno, coalesce(any_value(expires) FILTER (WHERE rn = 1), any_value(day) FILTER (WHERE rn = 1)) AS expires,
+             any_value(nxt) AS nxt
+      FROM (SELECT h.msno, day, expires, nxt, row_number() OVER (PARTITION BY h.msno ORDER BY day DESC, expires DESC NULLS LAST) AS rn
+            FROM (SELECT msno, {parse_ymd('transaction_date')} AS day, {parse_ymd('membership_expire_date')} AS expires
+                  FROM transactions) h
+            LEFT JOIN (SELECT CAST(o_custkey AS VARCHAR) AS msno, min(CAST(o_orderdate AS DATE)) AS nxt FROM orders
+                       WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00' GROUP BY 1) n USING (msno)) r
+      GROUP BY msno) t""", "transactions"))
+def q_churn_label_expiry(spark, sf_dir):
+    """The subscription rule: no new transaction within 30 days of the membership's expiry."""
+    from churnlab.functions import yyyymmdd_to_date
+    from churnlab.operators.labels import churn_label_by_expiry
+    h = adapters.transaction_history(spark, sf_dir).withColumn("expires", yyyymmdd_to_date("membership_expire_date"))
+    return churn_label_by_expiry(h, "msno", "activity_date", "expires", adapters.AS_OF, 30)
+
+
 @register("members_filled", with_views("SELECT * FROM members_filled", "members_filled"))
 def q_members_filled(spark, sf_dir):
     return members.members_filled(adapters.members(spark, sf_dir))

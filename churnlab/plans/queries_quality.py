@@ -10,7 +10,9 @@ from churnlab.plans import features
 from churnlab.plans.oracle import parse_ymd, view, with_views
 from churnlab.plans.registry import register
 from churnlab.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS
+from churnlab.session import cut_lineage
 from churnlab.sources import adapters
+from churnlab.sources.csv_io import export_dir
 
 
 # ----------------------------------------------------------------- bias
@@ -103,98 +105,88 @@ def q_bias_posttrain(spark, sf_dir):
 
 
 # -------------------------------------------------------------- quality
+# The checked table is the split per-user frame before imputation and encoding;
+# its training rows are the baseline, its validation rows the incoming data.
 PROFILE_COLS = [c for c in FEATURE_COLUMNS if c != "msno"]
-_INTEGRAL = {"is_churn", "bd"}
+_TYPES = {c: "string" for c in ("city", "gender", "registered_via", "mst_frq_pay_met")} | {
+    c: "int" for c in ("is_churn", "bd", "qtr_trans", "is_auto_renew")}
 
 
-def _profile_sql(where, table="final", cols=None):
+def _profile_sql(where, table="split"):
     parts = []
-    for c in cols or PROFILE_COLS:
-        x = f"CAST({c} AS DOUBLE)"
+    for c in PROFILE_COLS:
+        t = _TYPES.get(c, "double")
+        x = f"CAST({c} AS DOUBLE)" if t != "string" else "CAST(NULL AS DOUBLE)"
+        quartiles = ", ".join(f"quantile_cont({x}, {q}) AS p{round(100 * q)}" for q in (0.25, 0.5, 0.75))
+        text = (f"min({c})", f"max({c})") if t == "string" else ("CAST(NULL AS VARCHAR)",) * 2
         parts.append(
             f"SELECT '{c}' AS feature, count(*) AS n, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, avg({x}) AS mean, "
             f"sum({x}) AS total, stddev_samp({x}) AS std, min({x}) AS min, max({x}) AS max, "
-            f"count(DISTINCT {c}) AS n_distinct, {'true' if c in _INTEGRAL else 'false'} AS integral, "
-            f"quantile_cont({x}, 0.25) AS p25, quantile_cont({x}, 0.5) AS p50, quantile_cont({x}, 0.75) AS p75 "
-            f"FROM {table} WHERE {where}")
+            f"count(DISTINCT {c}) AS n_distinct, {'true' if t == 'int' else 'false'} AS integral, {quartiles}, "
+            f"'{t}' AS type, {text[0]} AS min_text, {text[1]} AS max_text FROM {table} WHERE {where}")
     return " UNION ALL ".join(parts)
 
 
 _STATS = ("mean", "total", "std", "min", "max", "p25", "p50", "p75")
 
 
-def _profile(spark, sf_dir, split):
-    f = features.final(spark, sf_dir).where(F.col("split") == split)
-    return quality.profile_table(f, PROFILE_COLS, exact_distinct=True).withColumnRenamed("column", "feature")
+def _rows(spark, sf_dir):
+    """(training rows, validation rows), from one written table."""
+    table = cut_lineage(features.split(spark, sf_dir), "checked")
+    return tuple(table.where(F.col("split") == x).select(*PROFILE_COLS) for x in ("train", "validation"))
 
 
-@register("profile_table", with_views(_profile_sql("split = 'train'"), "final"), round_cols=_STATS)
+@register("profile_table", with_views(_profile_sql("split = 'train'"), "split"), round_cols=_STATS)
 def q_profile_table(spark, sf_dir):
-    return _profile(spark, sf_dir, "train")
+    prof = quality.profile_table(_rows(spark, sf_dir)[0], PROFILE_COLS, exact_distinct=True)
+    return prof.withColumnRenamed("column", "feature")
 
 
-def _key_sql(c):
-    return f"CAST({c} AS VARCHAR)" if c in _INTEGRAL else f"CAST(round({c}, 6) AS VARCHAR)"
+view("domains", ["split"], " UNION ALL ".join(
+    f"SELECT DISTINCT '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM split WHERE split = 'train' AND {c} IS NOT NULL"
+    for c in CATEGORICAL_COLUMNS))
+view("profile_base", ["split"], _profile_sql("split = 'train'"))
+view("profile_current", ["split"], _profile_sql("split = 'validation'"))
 
+_CONSTRAINTS = """SELECT p.feature, p.type, coalesce((n - n_missing) / nullif(n, 0), 1.0) AS completeness,
+       coalesce(min >= 0, true) AS non_negative, integral, d.domain_size
+FROM profile_base p LEFT JOIN (SELECT feature, count(*) AS domain_size FROM domains GROUP BY feature) d ON d.feature = p.feature"""
 
-def _domain_sql(c, where="split = 'train'"):
-    return (f"SELECT '{c}' AS feature, CASE WHEN count(*) <= 20 THEN string_agg(v, ',' ORDER BY v) END AS domain "
-            f"FROM (SELECT DISTINCT {_key_sql(c)} AS v FROM final WHERE {where} AND {c} IS NOT NULL) d")
 
-
-view("domains", ["final"], " UNION ALL ".join(_domain_sql(c) for c in PROFILE_COLS))
-
-_CONSTRAINTS = """SELECT p.feature, coalesce((n - n_missing) / nullif(n, 0), 1.0) AS completeness,
-       coalesce(min >= 0, true) AS non_negative, integral, d.domain
-FROM ({p}) p LEFT JOIN domains d ON d.feature = p.feature AND d.domain IS NOT NULL"""
-
-
-@register("suggest_constraints", with_views(_CONSTRAINTS.format(p=_profile_sql("split = 'train'")), "domains"),
-          round_cols=("completeness",))
+@register("suggest_constraints", with_views(_CONSTRAINTS, "profile_base", "domains"), round_cols=("completeness",))
 def q_suggest_constraints(spark, sf_dir):
-    train = features.final(spark, sf_dir).where(F.col("split") == "train")
-    prof = quality.profile_table(train, PROFILE_COLS, exact_distinct=True)
-    return (quality.suggest_constraints(prof, quality.category_domains(train, prof))
-            .withColumnRenamed("column", "feature"))
+    train = _rows(spark, sf_dir)[0]
+    prof = quality.profile_table(train, PROFILE_COLS)
+    domains = quality.category_domains(train, CATEGORICAL_COLUMNS)
+    return quality.suggest_constraints(prof, domains).withColumnRenamed("column", "feature")
 
 
-view("profile_base", ["final"], _profile_sql("split = 'train'"))
-# incoming data: validation rows before imputation and encoding (numeric columns only)
-_RAW_NUMERIC = [c for c in PROFILE_COLS if c not in CATEGORICAL_COLUMNS]
-view("profile_current", ["split"], _profile_sql("split = 'validation'", "split", _RAW_NUMERIC))
 view("drift_join", ["profile_base", "profile_current"], """
 SELECT b.feature, coalesce((b.n - b.n_missing) / nullif(b.n, 0), 1.0) AS completeness,
        coalesce(b.min >= 0, true) AS non_negative, b.mean AS b_mean, b.std AS b_std,
-       c.mean AS c_mean, c.min AS c_min, coalesce((c.n - c.n_missing) / nullif(c.n, 0), 1.0) AS c_compl,
-       c.feature IS NOT NULL AS present
-FROM profile_base b LEFT JOIN profile_current c USING (feature)""")
+       c.mean AS c_mean, c.min AS c_min, coalesce((c.n - c.n_missing) / nullif(c.n, 0), 1.0) AS c_compl
+FROM profile_base b JOIN profile_current c USING (feature)""")
 
 _DRIFT = """
-SELECT feature, 'missing_column' AS "check", CAST(NULL AS DOUBLE) AS baseline_value, CAST(NULL AS DOUBLE) AS observed_value
-FROM drift_join WHERE NOT present
-UNION ALL SELECT feature, 'completeness', completeness, c_compl FROM drift_join WHERE c_compl < completeness
+SELECT feature, 'completeness' AS "check", completeness AS baseline_value, c_compl AS observed_value
+FROM drift_join WHERE c_compl < completeness
 UNION ALL SELECT feature, 'non_negative', 0.0, c_min FROM drift_join WHERE non_negative AND c_min < 0
-UNION ALL SELECT feature, 'mean_shift', b_mean, c_mean FROM drift_join WHERE abs(c_mean - b_mean) > 1.0 * b_std
-UNION ALL SELECT * FROM (""" + " UNION ALL ".join(
-    f"""SELECT '{c}' AS feature, 'domain', CAST(NULL AS DOUBLE),
-        CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND NOT list_contains(
-             string_split((SELECT domain FROM domains WHERE feature = '{c}'), ','), {_key_sql(c)})) AS DOUBLE) AS o
-        FROM split WHERE split = 'validation' AND (SELECT domain FROM domains WHERE feature = '{c}') IS NOT NULL"""
-    for c in _RAW_NUMERIC) + ") dv WHERE o > 0"
+UNION ALL SELECT feature, 'mean_shift', b_mean, c_mean FROM drift_join WHERE abs(c_mean - b_mean) > 0.05 * b_std
+UNION ALL SELECT feature, 'domain', CAST(NULL AS DOUBLE), CAST(count(*) AS DOUBLE) FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM split WHERE split = 'validation' AND {c} IS NOT NULL"
+    for c in CATEGORICAL_COLUMNS) + """) v WHERE NOT EXISTS (SELECT 1 FROM domains d WHERE d.feature = v.feature AND d.value = v.value)
+GROUP BY feature"""
 
 
 @register("drift_violations", with_views(_DRIFT, "drift_join", "domains"),
           round_cols=("baseline_value", "observed_value"))
 def q_drift_violations(spark, sf_dir):
-    """Training baseline vs incoming (un-imputed, un-encoded) validation rows."""
-    parts = features.final_parts(spark, sf_dir)
-    train = parts["final"].where(F.col("split") == "train")
-    base = quality.profile_table(train, PROFILE_COLS, exact_distinct=True)
-    raw = parts["split"].where(F.col("split") == "validation")
-    cur = quality.profile_table(raw, _RAW_NUMERIC, exact_distinct=True)
-    domains = quality.category_domains(train, base)
-    return quality.drift_violations(base, cur, domains=domains, current_rows=raw.select(*_RAW_NUMERIC)) \
-        .withColumnRenamed("column", "feature")
+    """Training baseline against the validation rows: the same columns, in the same form."""
+    train, incoming = _rows(spark, sf_dir)
+    base, cur = (quality.profile_table(x, PROFILE_COLS) for x in (train, incoming))
+    domains = quality.category_domains(train, CATEGORICAL_COLUMNS)
+    return (quality.drift_violations(base, cur, mean_shift_stds=0.05, domains=domains, current_rows=incoming)
+            .withColumnRenamed("column", "feature"))
 
 
 # ----------------------------------------------------------- descriptive
@@ -276,26 +268,26 @@ _SPLIT_VERSION = {"train": 1, "test": 2, "validation": 3}
 
 
 def baseline_registry(spark, sf_dir):
-    """Versioned baselines: the profile of each split of the final frame, one
-    version per split (train v1, test v2 approved; validation v3 pending), in
-    long form (version, approved, column statistics...)."""
-    f = features.final(spark, sf_dir)
-    out = None
+    """A stored table of versioned baselines: the profile of each split, one
+    version per split (train v1, test v2 approved; validation v3 pending)."""
+    table = cut_lineage(features.split(spark, sf_dir), "checked")
+    path = export_dir(spark, "baselines")
     for split, version in _SPLIT_VERSION.items():
-        prof = quality.profile_table(f.where(F.col("split") == split), PROFILE_COLS).withColumns({
-            "version": F.lit(version), "approved": F.lit(split != "validation")})
-        out = prof if out is None else out.unionByName(prof)
-    return out
+        prof = quality.profile_table(table.where(F.col("split") == split), PROFILE_COLS)
+        quality.write_baseline(prof, path, version, approved=split != "validation")
+    return quality.read_baselines(spark, path)
 
 
-@register("baseline_used", with_views("""
+@register("baseline_used", with_views(f"""
 SELECT f.skip_check, f.register_new, CASE WHEN f.register_new THEN 'new' ELSE 'existing' END AS baseline,
        CASE WHEN f.register_new THEN (SELECT coalesce(max(v), 0) + 1 FROM r)
             ELSE (SELECT max(v) FROM r WHERE approved) END AS version_used,
-       NOT f.skip_check AS check_runs
+       NOT f.skip_check AS check_runs,
+       CASE WHEN NOT f.register_new THEN CAST({len(PROFILE_COLS)} AS BIGINT) END AS n_columns,
+       CASE WHEN NOT f.register_new THEN (SELECT n FROM r WHERE approved ORDER BY v DESC LIMIT 1) END AS n_rows
 FROM (VALUES (true, true), (false, false), (false, true), (true, false)) f(skip_check, register_new)
-""".replace("FROM r", "FROM (SELECT DISTINCT CASE split WHEN 'train' THEN 1 WHEN 'test' THEN 2 ELSE 3 END AS v, "
-            "CASE split WHEN 'validation' THEN false ELSE true END AS approved FROM final) r"), "final"))
+""".replace("FROM r", "FROM (SELECT CASE split WHEN 'train' THEN 1 WHEN 'test' THEN 2 ELSE 3 END AS v, "
+            "split <> 'validation' AS approved, count(*) AS n FROM split GROUP BY split) r"), "split"))
 def q_baseline_used(spark, sf_dir):
     flags = spark.createDataFrame([(True, True), (False, False), (False, True), (True, False)],
                                   "skip_check boolean, register_new boolean")

@@ -64,16 +64,21 @@ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY msno, even
                             FROM history) h WHERE rn = 1""")
 
 
-@register("feature_history_append", with_views(
-    "SELECT msno, event_time, write_seq, actual_amount_paid, payment_plan_days, payment_method_id, deleted, "
-    "CAST(date_trunc('month', event_time) AS DATE) AS event_month FROM history", "history"))
-def q_feature_history_append(spark, sf_dir):
+def written_history(spark, sf_dir):
+    """The history as a table on shared storage: two appends (records, then
+    deletions), read back."""
     path = csv_io.export_dir(spark, "feature_history")
     recs = history_records(spark, sf_dir)
-    # two appends (non-deletions, then deletions) into one table
     feature_table.append_history(recs.where(~F.col("deleted")), path)
     feature_table.append_history(recs.where(F.col("deleted")), path)
-    return feature_table.read_history(spark, path).select(
+    return feature_table.read_history(spark, path)
+
+
+@register("feature_history_append", with_views(
+    "SELECT msno, event_time, write_seq, actual_amount_paid, payment_plan_days, payment_method_id, deleted, "
+    "CAST(date_trunc('month', event_time) AS DATE) AS event_month FROM history", "history"))
+def q_feature_history_append(spark, sf_dir):
+    return written_history(spark, sf_dir).select(
         "msno", "event_time", "write_seq", *HISTORY_COLS, "deleted", "event_month")
 
 
@@ -83,7 +88,7 @@ WHERE NOT deleted AND event_time > coalesce((SELECT max(event_time) FROM history
                                              WHERE x.msno = d.msno AND x.deleted), TIMESTAMP '1900-01-01')""",
     "history_dedup"))
 def q_feature_dataset(spark, sf_dir):
-    return feature_table.feature_dataset(history_records(spark, sf_dir), HISTORY_COLS)
+    return feature_table.feature_dataset(written_history(spark, sf_dir), HISTORY_COLS)
 
 
 @register("feature_dataset_asof", with_views(f"""
@@ -92,4 +97,4 @@ SELECT msno, event_time, {', '.join(HISTORY_COLS)} FROM (
   FROM history WHERE event_time <= TIMESTAMP '{ASOF.isoformat(sep=' ')}') h
 WHERE rn = 1 AND NOT deleted""", "history"))
 def q_feature_dataset_asof(spark, sf_dir):
-    return feature_table.feature_dataset_asof(history_records(spark, sf_dir), ASOF, HISTORY_COLS)
+    return feature_table.feature_dataset_asof(written_history(spark, sf_dir), ASOF, HISTORY_COLS)

@@ -13,9 +13,9 @@ row hash. Dataset rules:
   a key whose latest record is a deletion has no rows;
 * ``as_of``: the latest surviving record per key with event_time <= as_of.
 
-All steps are aggregates (``max_by`` with partial aggregation) plus one salted
-join to a one-row-per-deleted-key aggregate; no per-key window, so a hot key is
-combined map-side or spread over salts rather than sorted in a single task.
+All steps are aggregates (``max_by`` with partial aggregation) plus one join to
+the written one-row-per-deleted-key table; no per-key window, so a hot key is
+combined map-side or split at run time rather than sorted in a single task.
 """
 
 from __future__ import annotations
@@ -25,6 +25,17 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlab.functions.dates import iso_utc
+from churnlab.session import cut_lineage
+
+
+def stamped(df: DataFrame, event_time: str = "event_time", at: _dt.datetime | None = None) -> DataFrame:
+    """Records of one write with their event time: ``at`` (now, in UTC, if not
+    given) for all of them, beside its ISO text."""
+    at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    out = df.withColumn(event_time, F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
+    return out.withColumn(f"{event_time}_iso", iso_utc(F.col(event_time)))
+
 
 def append_history(df: DataFrame, path: str, event_time: str = "event_time", key: str = "msno",
                    num_partitions: int | None = None) -> None:
@@ -48,27 +59,28 @@ def _latest_per_event(history: DataFrame, key: str, event_time: str, seq: str, c
 
 
 def feature_dataset(history: DataFrame, cols: list[str], key: str = "msno", event_time: str = "event_time",
-                    seq: str = "write_seq", salts: int = 16) -> DataFrame:
+                    seq: str = "write_seq") -> DataFrame:
     """Records of each key newer than its last deletion.
 
-    The records are joined to the per-key deletion time. A hot key would put a
-    third of the records into one join task, so the join is salted: each
-    record gets a deterministic salt in [0, salts) from its event time, and the
-    deletion table (one row per deleted key, far smaller than the records) is
-    replicated once per salt. The join key is (key, salt)."""
-    rec = _latest_per_event(history, key, event_time, seq, cols)
-    last_del = rec.where("deleted").groupBy(key).agg(F.max(event_time).alias("_deleted_at"))
-    salted_del = last_del.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted_rec = rec.withColumn("_salt", F.pmod(F.xxhash64(F.col(event_time)), F.lit(salts)).cast("int"))
-    kept = salted_rec.join(salted_del, [key, "_salt"], "left").where(
-        ~F.col("deleted") & (F.col("_deleted_at").isNull() | (F.col(event_time) > F.col("_deleted_at"))))
+    The deletion side reads key, time, sequence and flag only, and is written
+    out (one row per deleted key). Both sides of the join then have a shuffle of
+    their own, so Spark can split the partition of a key that holds much of the
+    records, into as many parts as its measured size asks for."""
+    latest = history.groupBy(key, event_time).agg(F.max_by("deleted", seq).alias("deleted"))
+    deletions = cut_lineage(latest.where("deleted").groupBy(key).agg(F.max(event_time).alias("_deleted_at")), "deletions")
+    rec = _latest_per_event(history, key, event_time, seq, cols).where(~F.col("deleted"))
+    kept = rec.join(deletions, key, "left").where(F.col("_deleted_at").isNull() | (F.col(event_time) > F.col("_deleted_at")))
     return kept.select(key, event_time, *cols)
 
 
 def feature_dataset_asof(history: DataFrame, as_of: _dt.datetime, cols: list[str], key: str = "msno",
                          event_time: str = "event_time", seq: str = "write_seq") -> DataFrame:
+    """The latest surviving record per key up to ``as_of``. On a written history
+    the months after it are not read."""
     cut = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     h = history.where(F.col(event_time) <= cut)
+    if "event_month" in history.columns:
+        h = h.where(F.col("event_month") <= F.lit(as_of.date().replace(day=1)))
     payload = F.struct(F.col(event_time), *[F.col(c) for c in cols], F.col("deleted"))
     latest = (h.groupBy(key).agg(F.max_by(payload, F.struct(F.col(event_time), F.col(seq))).alias("r"))
                 .select(key, "r.*"))

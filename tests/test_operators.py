@@ -131,11 +131,20 @@ def test_bias_identical_and_empty_facets(spark):
     assert empty.dpl is None and empty.kl is None
 
 
-def test_baseline_truth_table():
-    cases = {(True, True): "new", (False, False): "existing", (False, True): "new", (True, False): "existing"}
-    for (skip, reg), expected in cases.items():
-        got = quality.choose_baseline(skip, reg)
-        assert got["baseline"] == expected and got["check_runs"] == (not skip)
+def test_baseline_truth_table(spark, tmp_path):
+    """The choice follows the stored versions, and changes when they do."""
+    path = str(tmp_path / "baselines")
+    flags = spark.createDataFrame([(True, True), (False, False)], "skip_check boolean, register_new boolean")
+
+    def choices():
+        got = quality.baseline_choices(quality.read_baselines(spark, path), flags).collect()
+        return {r.baseline: (r.version_used, r.check_runs, r.n_rows) for r in got}
+    quality.write_baseline(quality.profile_table(spark.range(5)), path, 1, True)
+    assert choices() == {"new": (2, False, None), "existing": (1, True, 5)}
+    quality.write_baseline(quality.profile_table(spark.range(9)), path, 2, False)
+    assert choices() == {"new": (3, False, None), "existing": (1, True, 5)}
+    quality.write_baseline(quality.profile_table(spark.range(7)), path, 3, True)
+    assert choices() == {"new": (4, False, None), "existing": (3, True, 7)}
 
 
 def test_drift_found_and_clean_silent(spark):
@@ -238,15 +247,74 @@ def test_shap_background_set_efficiency(spark):
 
 
 def test_domain_constraint_and_violation(spark):
-    base = spark.createDataFrame([(i % 3, float(i)) for i in range(60)], "c int, x double")
+    """Domains are rows: any number of values, and any text in them."""
+    base = spark.createDataFrame([(i % 50, float(i), f"a,{i % 3}") for i in range(200)], "c int, x double, t string")
     prof = quality.profile_table(base, exact_distinct=True)
-    doms = {r.column: r.domain for r in quality.category_domains(base, prof).collect()}
-    assert doms == {"c": "0,1,2"}  # x has 60 distinct values: no domain
-    cur = spark.createDataFrame([(1, 1.0), (5, 2.0), (None, 3.0)], "c int, x double")
-    v = quality.drift_violations(prof, quality.profile_table(cur, exact_distinct=True),
-                                 domains=quality.category_domains(base, prof), current_rows=cur)
+    doms = quality.category_domains(base, ["c", "t"])
+    assert {(r.column, r.value) for r in doms.collect()} == {("c", str(i)) for i in range(50)} | {("t", f"a,{i}") for i in range(3)}
+    assert {r.column for r in quality.category_domains(base).collect()} == {"t"}
+    cur = spark.createDataFrame([(1, 1.0, "a,1"), (77, 2.0, "a"), (None, 3.0, None)], "c int, x double, t string")
+    v = quality.drift_violations(prof, quality.profile_table(cur, exact_distinct=True), domains=doms, current_rows=cur)
     got = {(r.column, r.check): r.observed_value for r in v.collect()}
-    assert got[("c", "domain")] == 1.0
+    assert got[("c", "domain")] == 1.0 and got[("t", "domain")] == 1.0 and ("x", "domain") not in got
+
+
+def test_profile_of_every_type(spark):
+    df = spark.sql("""SELECT * FROM VALUES (9007199254740992, 'x', DATE '2020-01-01', true), (9007199254740993, NULL, DATE '2021-01-01', true)
+                      AS t(big, s, d, b)""")
+    got = {r.column: r for r in quality.profile_table(df, exact_distinct=True).collect()}
+    assert got["big"].n_distinct == 2 and got["s"].n_distinct == 1 and got["d"].n_distinct == 2 and got["b"].n_distinct == 1
+    assert (got["d"].type, got["d"].min_text, got["d"].max_text) == ("date", "2020-01-01", "2021-01-01")
+    assert got["s"].n_missing == 1 and got["s"].mean is None and got["big"].type == "bigint"
+    other = df.withColumn("d", F.col("d").cast("string")).drop("b")
+    bad = {(r.column, r.check) for r in quality.drift_violations(quality.profile_table(df), quality.profile_table(other)).collect()}
+    assert ("d", "type") in bad and ("b", "missing_column") in bad
+
+
+def test_curves_without_usable_scores(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, 0.6), (0, None), (0, float("nan")), (None, 0.5)], "is_churn int, score double")
+    assert ev.auc_prob(df).first().auc == 1.0
+    assert sorted(r.threshold for r in ev.roc_curve(df).collect()) == [0.1, 0.6, 0.9]
+    assert tuple(ev.unusable_scores(df).first()) == (1, 1, 1)
+
+
+def test_area_of_billions_of_rows(spark):
+    n = 5_000_000_000
+    rows = spark.createDataFrame([(n, n, n, 0, 2 * n, 2 * n), (n, n, 2 * n, 0, 2 * n, 2 * n)],
+                                 "neg long, pos long, tp long, fp long, P long, N long")
+    assert ev.auc_of(rows).first().auc == pytest.approx((0.5 * n * n + 1.5 * n * n) / (4.0 * n * n))
+
+
+def test_undummy_levels_with_signs(spark):
+    df = spark.createDataFrame([("1", "Young_Adult", "x"), ("2", "1.0", "y"), ("3", "a`b", "x_y")], "msno string, g string, g_h string")
+    levels = prep.category_levels(df, ["g", "g_h"])
+    back = prep.undummy(prep.one_hot(df, levels), ["g", "g_h"])
+    assert sorted(map(tuple, back.select("msno", "g", "g_h").collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_csv_header_must_match(spark, tmp_path):
+    from churnlab.sources import csv_io
+    df = spark.createDataFrame([("1", "2")], "b string, a string")
+    path = csv_io.write_csv(df, str(tmp_path / "x"))
+    assert csv_io.read_csv(spark, path, df.schema).first().a == "2"
+    with pytest.raises(Exception, match="(?i)header|field names"):
+        csv_io.read_csv(spark, path, df.select("a", "b").schema).collect()
+
+
+def test_asof_reads_only_earlier_months(spark, tmp_path):
+    from churnlab.sources import feature_table as ft
+    df = spark.sql("""SELECT cast(id % 5 AS string) AS msno, TIMESTAMP_NTZ '1998-01-15 00:00:00' + make_interval(0, cast(id % 6 AS int)) AS event_time,
+                      id AS write_seq, id AS x, false AS deleted FROM range(60)""")
+    ft.append_history(df, str(tmp_path / "h"))
+    plan = ft.feature_dataset_asof(ft.read_history(spark, str(tmp_path / "h")), dt.datetime(1998, 3, 20), ["x"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in text and plan.count() == 5
+
+
+def test_stamped(spark):
+    from churnlab.sources.feature_table import stamped
+    r = stamped(spark.range(1), at=dt.datetime(2024, 5, 6, 7, 8, 9)).first()
+    assert r.event_time == dt.datetime(2024, 5, 6, 7, 8, 9) and r.event_time_iso == "2024-05-06T07:08:09.000Z"
 
 
 def test_exact_quantiles_interpolate(spark):
@@ -396,4 +464,47 @@ def test_feature_job_cli(tmp_path):
     r = subprocess.run([sys.executable, "-m", "churnlab.plans.job", "--sf-dir", SF_SMALL, "--out", out],
                        cwd=repo, env=env, capture_output=True, text=True, timeout=600)
     assert r.returncode == 0, r.stderr[-2000:]
-    assert sorted(os.listdir(out)) == ["test", "train", "validation"]
+    assert {x for x in os.listdir(out) if x[0] not in "._"} == {"split=test", "split=train", "split=validation"}
+
+
+def test_model_job_report_is_that_of_its_predictions(spark, tmp_path):
+    """Features, fit, score, report and gate: the written report equals metrics
+    counted in plain Python from the written predictions."""
+    import json
+
+    from conftest import SF_SMALL
+    from churnlab.plans.job import run_model_job
+    paths = run_model_job(spark, SF_SMALL, str(tmp_path), maxIter=3)
+    rows = [r for r in spark.read.parquet(paths["predictions"]).collect() if r.split == "test"]
+    tp = sum(r.is_churn == 1 and r.prediction == 1 for r in rows)
+    tn = sum(r.is_churn == 0 and r.prediction == 0 for r in rows)
+    pos, neg, named = sum(r.is_churn == 1 for r in rows), sum(r.is_churn == 0 for r in rows), sum(r.prediction == 1 for r in rows)
+    report = json.loads(ev.read_report(spark, paths["report"]).first().report)["classification_metrics"]
+    assert report["auc_score"]["value"] == pytest.approx((tp / pos + tn / neg) / 2)
+    assert report["accuracy"]["value"] == pytest.approx(100 * (tp + tn) / len(rows), abs=0.006)
+    assert report["recall"]["value"] == pytest.approx(100 * tp / pos, abs=0.006)
+    assert report["precision"]["value"] == pytest.approx(100 * tp / max(1, named), abs=0.006)
+    gate = ev.auc_gate(ev.read_report(spark, paths["report"])).first()
+    assert gate.passed == (report["auc_score"]["value"] > 0.75) and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_shap_explains_every_row_with_a_repeated_id(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from churnlab.operators import explain
+    df = spark.range(30).selectExpr("'u' AS msno", "cast(id AS double) AS a", "cast(id % 4 AS double) AS b", "cast(3 * id - id % 4 AS double) AS y")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"), LinearRegression(labelCol="y")]).fit(df)
+    got = explain.shap_local(model, df, {"a": 0.0, "b": 0.0}, ["a", "b"], n_samples=12, output_col="prediction").collect()
+    per: dict = {}
+    for r in got:
+        per.setdefault(r.row, []).append(r)
+    assert len(per) == 30 and all(len(x) == 2 for x in per.values())
+    assert all(abs(sum(r.shap_value for r in x) - (x[0].f_x - x[0].f_baseline)) < 1e-9 for x in per.values())
+    assert len({round(x[0].f_x, 6) for x in per.values()}) == 30
+
+
+def test_kmeans_baselines_keep_rows_with_missing_values(spark):
+    from churnlab.operators import explain
+    df = spark.createDataFrame([(0.0, 1.0), (None, 1.0), (10.0, None), (10.0, 3.0)], "a double, b double")
+    assert len(explain.kmeans_baselines(df, ["a", "b"], k=2)) == 2

@@ -48,7 +48,7 @@ def test_curves_never_window_all_rows_in_one_partition(spark):
     assert any("_slice" in w for w in windows)
 
 
-def test_shap_solver_adds_no_shuffle(spark):
+def test_shap_solver_is_one_partial_aggregate(spark):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
@@ -60,7 +60,8 @@ def test_shap_solver_adds_no_shuffle(spark):
     model = Pipeline(stages=[VectorAssembler(inputCols=["a"], outputCol="features"),
                              LogisticRegression(labelCol="label")]).fit(df)
     plan = _plan(explain.shap_local(model, df, {"a": 0.0}, ["a"], n_samples=5))
-    assert "Exchange" not in plan
+    assert plan.count("Exchange") == 1 and "partial_sum" in plan  # a row's sums, not its samples, are shuffled
+    assert "InPandas" not in plan and "EvalPython" not in plan
 
 
 def test_one_hot_levels_reject_high_cardinality(spark):
@@ -87,13 +88,29 @@ def test_joined_scans_orders_once_and_equals_generic_join(spark):
     assert generic.select(cols).exceptAll(fused.select(cols)).count() == 0
 
 
-def test_feature_dataset_join_is_salted(spark):
-    from churnlab.plans.queries_sources import history_records
+def test_feature_dataset_splits_a_hot_key(spark):
+    """Both join sides have a shuffle of their own, so a hot key's partition is split."""
     from churnlab.sources import feature_table as ft
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        plan = _plan(ft.feature_dataset(history_records(spark, SF_SMALL), ["actual_amount_paid"]))
+        h = spark.sql("""SELECT if(id % 3 = 0, 'hot', cast(id % 997 AS string)) AS msno,
+                         TIMESTAMP_NTZ '2000-01-01 00:00:00' + make_dt_interval(0, 0, cast(id AS int)) AS event_time,
+                         id AS write_seq, id AS x, id % 5000 = 7 AS deleted FROM range(60000)""")
+        got = ft.feature_dataset(h, ["x"])
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    join_lines = [line for line in plan.splitlines() if "Join" in line]
-    assert join_lines and all("_salt" in line for line in join_lines)
+        for k in conf:
+            spark.conf.unset(k)
+    assert "skew=true" in plan
+    last: dict = {}
+    for i in range(60000):
+        if i % 5000 == 7:
+            last["hot" if i % 3 == 0 else str(i % 997)] = i
+    want = sorted(i for i in range(60000) if i % 5000 != 7 and i > last.get("hot" if i % 3 == 0 else str(i % 997), -1))
+    assert sorted(r.x for r in rows) == want
