@@ -112,9 +112,15 @@ def fill_other(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(OTHER)) for c in cols})
 
 
-def fit_string_indexer(train: DataFrame, cols: list[str]):
+def fit_string_indexer(train: DataFrame, cols: list[str], max_levels: int = 100_000):
     """One multi-column indexer: frequency descending, ties alphabetical;
-    unseen labels get the extra index ``numLabels``."""
+    unseen labels get the extra index ``numLabels``. The vocabularies come to the
+    driver, so their sizes are checked first (by a sketch): a column with more
+    than ``max_levels`` is refused, never truncated; ``one_hot_long`` has no such list."""
+    sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
+    too_many = sorted(c for c, n in sizes.items() if n > max_levels)
+    if too_many:
+        raise ValueError(f"columns with more than {max_levels} levels: {too_many}")
     outs = [f"{c}__idx" for c in cols]
     return StringIndexer(inputCols=cols, outputCols=outs, handleInvalid="keep",
                          stringOrderType="frequencyDesc").fit(fill_other(train, cols))
@@ -143,6 +149,13 @@ def category_levels(df: DataFrame, cols: list[str], max_levels: int = 1000) -> d
     return {c: sorted(v) for c, v in got.items()}
 
 
+def one_hot_long(df: DataFrame, cols: list[str], key: str = "msno") -> DataFrame:
+    """The ones of a one-hot encoding as rows (key, column, level), for columns of
+    any number of levels: no list of levels on the driver, no wide schema."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in cols]))
+    return df.select(key, pairs.alias("p")).select(key, "p.*").where(F.col("level").isNotNull())
+
+
 def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     """``{col}_{level}`` 0/1 columns for every level (no level dropped)."""
     exprs = {}
@@ -230,6 +243,13 @@ def class_balance(df: DataFrame, label: str = "is_churn") -> DataFrame:
     return c.withColumn("ratio", F.floor(F.try_divide(F.col("n_major"), F.col("n_minor"))).cast("int"))
 
 
+def class_weights(df: DataFrame, label: str = "is_churn", out: str = "weight") -> DataFrame:
+    """The weight column that equals oversampling (minority rows count
+    ``max(1, int(major/minor))`` times) without repeating a row."""
+    ratio = class_balance(df, label).select(F.greatest(F.coalesce("ratio", F.lit(1)), F.lit(1))).scalar()
+    return df.withColumn(out, F.when(F.col(label) == 1, ratio).otherwise(F.lit(1)).cast("double"))
+
+
 def oversample(df: DataFrame, label: str = "is_churn") -> DataFrame:
     """Minority rows repeated ``max(1, int(major/minor))`` times; majority rows
     once. The ratio is a scalar subquery (one aggregate), applied row-wise:

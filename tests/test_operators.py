@@ -508,3 +508,13 @@ def test_kmeans_baselines_keep_rows_with_missing_values(spark):
     from churnlab.operators import explain
     df = spark.createDataFrame([(0.0, 1.0), (None, 1.0), (10.0, None), (10.0, 3.0)], "a double, b double")
     assert len(explain.kmeans_baselines(df, ["a", "b"], k=2)) == 2
+
+
+def test_one_hot_long_and_weights(spark):
+    df = spark.createDataFrame([("1", "a", 0), ("2", None, 0), ("3", "b", 1), ("4", "a", 0)], "msno string, g string, is_churn int")
+    assert sorted(map(tuple, prep.one_hot_long(df, ["g"]).collect())) == [("1", "g", "a"), ("3", "g", "b"), ("4", "g", "a")]
+    weights = {r.msno: r.weight for r in prep.class_weights(df).collect()}
+    assert weights == {"1": 1.0, "2": 1.0, "3": 3.0, "4": 1.0}
+    assert sum(weights.values()) == prep.oversample(df).count()
+    with pytest.raises(ValueError):
+        prep.fit_string_indexer(spark.range(50).selectExpr("cast(id as string) as c"), ["c"], max_levels=10)
