@@ -11,18 +11,30 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.session import cut_lineage, ship_package
 
+#: Arrow batches of texts, where the session still has Spark's defaults: a worker
+#: holds some copies of a batch, and an executor has a worker for each core.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+            "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
 #: Python tasks work on slices of about this many bytes of text.
 SLICE_BYTES = 8 << 20
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+def prepare(spark: SparkSession) -> None:
+    """Called by every operator: the package on the executors, small batches."""
+    ship_package(spark)
+    for key, (default, own) in _BATCHES.items():
+        if spark.conf.get(key, None) == default:
+            spark.conf.set(key, own)
+
+
 def with_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(_id long, _doc, _text, *keep): one row per input row, ``_id`` unique.
 
@@ -32,7 +44,7 @@ def with_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     become documents of their own, the null ids the smallest. The numbering is
     written out, so that a task run anew gives the same numbers.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     base = docs.select(F.col(f"`{id_col}`").alias("_doc"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"), *keep)
     if isinstance(base.schema["_doc"].dataType, _INTEGRAL):

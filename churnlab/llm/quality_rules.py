@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.session import ship_package
+from churnlab.llm.common import prepare
 
 SYMBOLS = "#*$%&|<>"
 PHRASES = ("all rights reserved", "apache license", "cookie policy", "enable javascript", "lorem ipsum", "privacy policy",
@@ -116,7 +116,7 @@ def _judge_rows(max_lost: float):
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: float = 0.5) -> DataFrame:
     """One row per input row: the id, the counts of ``judge``, base_failed, kept."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     base = docs.select(F.col(f"`{id_col}`").alias("_doc"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     schema = ", ".join(f"{f} {t}" for f, t in _FIELDS)
     out = base.mapInArrow(_judge_rows(max_lost), f"_doc {base.schema['_doc'].dataType.simpleString()}, {schema}")
@@ -131,10 +131,11 @@ def clean_lines(text: str | None) -> str:
 
 def keep_good(docs: DataFrame, text_col: str = "text", max_lost: float = 0.5) -> DataFrame:
     """The rows that pass, with all columns of ``docs``."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
-    @F.pandas_udf("boolean")
-    def kept(texts):
-        return texts.map(lambda t: judge(t, max_lost)[-1], na_action=None).astype(bool)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            yield batch.filter(pa.array([judge(t, max_lost)[-1] for t in texts], pa.bool_()))
 
-    return docs.where(kept(F.col(f"`{text_col}`").cast("string")))
+    return docs.mapInArrow(run, docs.schema)

@@ -204,12 +204,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept, removed, spans = [], [], []
         for text, own in zip(batch.column("_text").to_pylist(), batch.column("own").to_pylist()):
-            raw = text.encode()
-            s = np.array([x["s"] for x in own or []], np.int64)
-            e = s + np.array([x["n"] for x in own or []], np.int64)
-            _, s, e = _merged(np.zeros_like(s), s, e)
-            at = [0, *np.stack((s, e), axis=1).ravel().tolist(), len(raw)]
-            kept.append(b"".join(raw[x:y] for x, y in zip(at[::2], at[1::2])))
+            raw, s, e = _without(text, own)
+            kept.append(raw)
             removed.append(int((e - s).sum()))
             spans.append([{"start": x, "end": y} for x, y in zip(s.tolist(), e.tolist())])
         yield pa.RecordBatch.from_arrays(
@@ -218,12 +214,25 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(kept, pa.binary())], ["_id", "_doc", "n_removed", "spans", "kept_bytes"])
 
 
+def _without(text: str, own: list[dict] | None) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """(bytes left, starts, ends of the maximal removed runs)."""
+    raw = text.encode()
+    s = np.array([x["s"] for x in own or []], np.int64)
+    e = s + np.array([x["n"] for x in own or []], np.int64)
+    _, s, e = _merged(np.zeros_like(s), s, e)
+    at = [0, *np.stack((s, e), axis=1).ravel().tolist(), len(raw)]
+    return b"".join(raw[x:y] for x, y in zip(at[::2], at[1::2])), s, e
+
+
+def _intervals(base: DataFrame, width: int, k: int) -> DataFrame:
+    return repeated_bytes(base, width, k).groupBy("_id").agg(F.collect_list(F.struct("s", "n")).alias("own"))
+
+
 def cut_repeats(base: DataFrame, width: int = 100, k: int = 64) -> DataFrame:
     """Per document: _id, _doc, n_removed, ``spans`` (maximal removed runs of
     bytes) and ``kept_bytes`` (the others, which may not be valid UTF-8)."""
-    own = repeated_bytes(base, width, k).groupBy("_id").agg(F.collect_list(F.struct("s", "n")).alias("own"))
     kind = base.schema["_doc"].dataType.simpleString()
-    return base.join(own, "_id", "left").select("_id", "_doc", "_text", "own").mapInArrow(
+    return base.join(_intervals(base, width, k), "_id", "left").select("_id", "_doc", "_text", "own").mapInArrow(
         _cut, f"_id long, _doc {kind}, n_removed long, spans array<struct<start:long,end:long>>, kept_bytes binary")
 
 
@@ -234,17 +243,18 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       "n_removed", "spans", "kept_bytes")
 
 
-def _as_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        text = [b.decode("utf-8", "ignore") for b in batch.column("kept_bytes").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(text, pa.string())], ["_id", "_text"])
+        text = [_without(t, own)[0].decode("utf-8", "ignore")
+                for t, own in zip(batch.column("_text").to_pylist(), batch.column("own").to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(text, pa.string())], ["_id", "_new"])
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 100) -> DataFrame:
     """``docs`` with repeated strings cut out of the text; characters of which
     only a part is left go as well. All rows stay, texts without a repeat as they are."""
     base = with_rest(docs, id_col, text_col)
-    cut = cut_repeats(base.drop("_rest"), width).where(F.col("n_removed") > 0).select("_id", "kept_bytes")
-    cut = cut_lineage(cut.mapInArrow(_as_text, "_id long, _text string"), "cut_texts").withColumnRenamed("_text", "_new")
+    own = _intervals(base.drop("_rest"), width, 64)
+    cut = cut_lineage(base.select("_id", "_text").join(own, "_id").mapInArrow(_cut_texts, "_id long, _new string"), "cut_texts")
     rows = base.join(cut, "_id", "left").withColumn("_text", F.coalesce("_new", "_text")).drop("_new")
     return restored(rows, docs, id_col, text_col)

@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnlab.llm.common import with_ids
-from churnlab.session import cut_lineage, scratch_path, ship_package, shuffle_cleanup
+from churnlab.llm.common import prepare, with_ids
+from churnlab.session import cut_lineage, scratch_path, shuffle_cleanup
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -148,7 +148,7 @@ def _chunks(spark: SparkSession, path: str) -> DataFrame:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(record, type, refers, payload_bytes, payload_digest) of the records that
     are reached; a revisit has the size and digest of the payload it refers to."""
-    ship_package(spark)
+    prepare(spark)
     found = cut_lineage(_chunks(spark, path).mapInArrow(_candidates, _CANDIDATES), "warc_candidates")
     step = F.col("size") + len(_MAGIC)
     splits = found.groupBy("file", "block").agg(F.sum(step).alias("length"))
