@@ -7,14 +7,15 @@
    times or more, or spelled out with separators becomes a lattice: each place
    has its possible letters, each with a cost. Viterbi decoding under the language
    model picks the most likely original.
-3. Lexicon: for each restored word, and each word beginning of 4 to 6 letters,
-   the number of labelled toxic and other documents that hold it, counted before
+3. Lexicon: learned from at most ``max_rows`` labelled rows (those with the
+   smallest hashed ids). For each restored word, and each word beginning of 4 to 6
+   letters, the number of toxic and other documents that hold it, counted before
    the shuffle; the ``max_terms`` terms of the highest log-odds (in standard
    errors) are the lexicon. Two more lexicons are learned from one half of the
    labelled rows each.
 4. Score: per document, the strongest weights, their sums and densities; boosted
-   trees are fitted on at most ``max_rows`` labelled rows, whose numbers come from
-   the lexicon of the other half, so that a word seen once can't vouch for itself.
+   trees are fitted on the same rows, whose numbers come from the lexicon of the
+   other half, so that a word seen once can't vouch for itself.
 
 Null and empty texts hold no term and get a score like any other.
 """
@@ -22,6 +23,7 @@ Null and empty texts hold no term and get a score like any other.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -82,7 +84,6 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 _SIGN, _DROP, _ONE, _TWO, _SPLIT, _KEEP_SIGN = 1.0, 0.5, 0.5, 1.5, 3.0, 12.0
 _SEPARATORS = ".-_*~'`,/\\"
 _RUN = re.compile(r"(.)\1{2,}", re.S)
-_SPELLED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+(€£¡])(?:[ .\-_*~/](?:[^\W_]|[@$!|+(€£¡])){3,}(?![^\W_])")
 _MARKUP = re.compile(r"([$|+])\1\1")
 _EDGE = ".,;:?!\"'()[]{}<>*%&#|$+~`"
 
@@ -149,58 +150,109 @@ def _obfuscated(token: str) -> bool:
 
 
 class Restorer:
-    """Restores words; a cache holds the readings of recent ones."""
+    """Restores words; readings of recent tokens are kept."""
 
     def __init__(self, cost: np.ndarray):
         self.read = lru_cache(maxsize=50_000)(lambda t: tuple(decode(t, cost).split()))
 
-    def words(self, text: str) -> list[str]:
-        """The restored lower-case words of a text. A word with signs at its edge
-        is read with and without them (they may be letters: ``a$$``)."""
-        text = text.lower()
-        out = []
-        for m in _SPELLED.finditer(text):
-            out += self.read(m[0])
-        for raw in text.split():
-            token = raw.strip(_EDGE)
-            if not token:
+    def token(self, raw: str) -> list[str]:
+        """The words of one lower-case token. A word with signs at its edge is
+        read with and without them (they may be letters: ``$tupid``)."""
+        token = raw.strip(_EDGE)
+        if not token:
+            return []
+        if token.isalpha() and not _RUN.search(token):
+            out = [token]
+        elif _obfuscated(token):
+            out = list(self.read(token))
+            if token.isalpha():  # repeated letters: the reading with all of them doubled, too
+                out.append(_RUN.sub(r"\1\1", token))
+        else:
+            out = [x for x in re.split(r"[\W\d_]+", token) if x]
+        if raw != token:
+            outer = raw.strip(".,;:?\"'()")
+            if outer != token and (outer[0] in "$|+" or outer[-1] in "$|+") and not _MARKUP.search(outer) and _obfuscated(outer):
+                out += self.read(outer)
+        return out
+
+    def spelled(self, tokens: list[str]) -> list[str]:
+        """The words spelled out over runs of at least four one-character tokens."""
+        out, run = [], []
+        for t in [*tokens, ""]:
+            if len(t) == 1 and (t.isalpha() or t in LEET):
+                run.append(t)
                 continue
-            if token.isalpha() and not _RUN.search(token):
-                out.append(token)
-            elif _obfuscated(token):
-                out += self.read(token)
-                if token.isalpha():  # repeated letters: the reading with all of them doubled, too
-                    out.append(_RUN.sub(r"\1\1", token))
-            else:
-                out += [x for x in re.split(r"[\W\d_]+", token) if x]
-            if raw != token:
-                outer = raw.strip(".,;:?\"'()")
-                if outer != token and (outer[0] in "$|+" or outer[-1] in "$|+") and not _MARKUP.search(outer) and _obfuscated(outer):
-                    out += self.read(outer)
+            if len(run) >= 4:
+                out += self.read(" ".join(run))
+            run = []
         return out
 
+    def words(self, text: str) -> list[str]:
+        """The restored lower-case words of a text."""
+        tokens = text.lower().split()
+        return self.spelled(tokens) + [w for t in tokens for w in self.token(t)]
+
 
 # --- the lexicons -------------------------------------------------------
 
 BEGINNINGS = (4, 5, 6)
 
 
-def terms(words: list[str]) -> dict[str, int]:
-    """How often each word and each word beginning occurs."""
-    out: dict[str, int] = {}
-    for w in words:
-        out[w] = out.get(w, 0) + 1
-        for k in BEGINNINGS:
-            if len(w) >= k:
-                p = "^" + w[:k]
-                out[p] = out.get(p, 0) + 1
-    return out
+def terms(word: str) -> list[str]:
+    """A word and its beginnings."""
+    return [word, *("^" + word[:k] for k in BEGINNINGS if len(word) >= k)]
+
+
+class Terms:
+    """How often each term occurs in a text; with ``known``, of those alone. What
+    a token gives is kept for ``most`` tokens at a time."""
+
+    def __init__(self, cost: np.ndarray, known: set[str] | None = None, most: int = 100_000):
+        self.restorer, self.known, self.most = Restorer(cost), known, most
+        self.of: dict[str, tuple[str, ...]] = {}
+        if known is not None:
+            self.whole = {t for t in known if t[0] != "^"}
+            self.begin = [(k, {t[1:] for t in known if t[0] == "^" and len(t) == k + 1}) for k in BEGINNINGS]
+
+    def _terms(self, words: list[str]) -> tuple[str, ...]:
+        out: list[str] = []
+        for w in words:
+            if self.known is None:
+                out += terms(w)
+                continue
+            if w in self.whole:
+                out.append(w)
+            for k, begin in self.begin:
+                if w[:k] in begin:  # a shorter word is in none, as those have k letters
+                    out.append("^" + w[:k])
+        return tuple(out)
+
+    def count(self, text: str) -> tuple[dict[str, int], int]:
+        """(times by term, number of tokens)."""
+        tokens = text.lower().split()
+        found: dict[str, int] = {}
+        counts = Counter(tokens)
+        of = self.of
+        if len(of) > self.most:
+            of.clear()
+        for token, n in counts.items():
+            own = of.get(token)
+            if own is None:
+                own = of[token] = self._terms(self.restorer.token(token))
+            for t in own:
+                found[t] = found.get(t, 0) + n
+        if sum([counts[t] for t in counts if len(t) == 1]) >= 4:
+            one = np.fromiter(map(len, tokens), np.int64, len(tokens)) == 1
+            if (one[3:] & one[2:-1] & one[1:-2] & one[:-3]).any():
+                for t in self._terms(self.restorer.spelled(tokens)):
+                    found[t] = found.get(t, 0) + 1
+        return found, len(tokens)
 
 
 def _term_counts(cost: np.ndarray, flush: int = 200_000):
     """Pre-aggregated (term, n0, n1, t0, t1): documents and toxic documents of either half."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, held = Restorer(cost), {}
+        reader, held = Terms(cost), {}
 
         def out() -> pa.RecordBatch:
             x = np.array(list(held.values()), np.int64).reshape(-1, 4)
@@ -208,7 +260,7 @@ def _term_counts(cost: np.ndarray, flush: int = 200_000):
                                               ["term", "n0", "n1", "t0", "t1"])
         for batch in batches:
             for text, label, half in zip(*(batch.column(c).to_pylist() for c in ("_text", "label", "half"))):
-                for t in terms(restorer.words(text)):
+                for t in reader.count(text)[0]:
                     row = held.get(t)
                     if row is None:
                         row = held[t] = [0, 0, 0, 0]
@@ -244,12 +296,14 @@ def lexicons(learn: DataFrame, cost: np.ndarray, max_terms: int, least: int = 3)
 
 
 def _numbers(found: dict[str, int], n_words: int, weights: dict[str, float]) -> list[float]:
-    hits = sorted(((weights[t], k) for t, k in found.items() if t in weights), reverse=True)
-    w = [x for x, _ in hits]
-    total = sum(x * k for x, k in hits)
+    hits = [(weights[t], k) for t, k in found.items() if t in weights]
+    if not hits:
+        return [0.0] * 10 + [np.log1p(n_words)]
+    w, times = zip(*hits)
+    total, count = sum([x * k for x, k in hits]), sum(times)
     size = max(1, n_words)
-    return [*(w + [0.0] * 4)[:4], sum(w), float(len(w)), total / size, sum(k for _, k in hits) / size, float(sum(k for _, k in hits)),
-            float(max((k for _, k in hits), default=0)), np.log1p(n_words)]
+    return [*(sorted(w, reverse=True) + [0.0] * 4)[:4], sum(w), float(len(w)), total / size, count / size, float(count),
+            float(max(times)), np.log1p(n_words)]
 
 
 _WIDTH = 11
@@ -257,15 +311,13 @@ _WIDTH = 11
 
 def _features(cost: np.ndarray, weights: list[dict[str, float]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(cost)
-        known = set().union(*weights)
+        reader = Terms(cost, set().union(*weights), most=300_000)
         for batch in batches:
             cols = [[] for _ in weights]
             for text in batch.column("_text").to_pylist():
-                words = restorer.words(text)
-                found = {t: k for t, k in terms(words).items() if t in known}
+                found, n = reader.count(text)
                 for c, w in zip(cols, weights):
-                    c.append(_numbers(found, len(words), w))
+                    c.append(_numbers(found, n, w))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_doc"), *(pa.array(c, pa.list_(pa.float32(), _WIDTH)).cast(pa.list_(pa.float32())) for c in cols)],
                 ["_id", "_doc", "x0", "x1", "x"])
@@ -282,11 +334,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     cost = language_model(base)
     half = F.pmod(F.xxhash64("_doc"), F.lit(2)).cast("int")
     own = with_labels(base.select("_id", "_doc"), labels, label_col, id_col).where(remainder("_doc", folds) != held_out)
-    own = cut_lineage(own.select("_id", "label", half.alias("half")), "labelled")
-    weights = lexicons(base.join(own, "_id"), cost, max_terms)
+    own = cut_lineage(own.select("_id", "label", half.alias("half")).orderBy(F.xxhash64("_id"), "_id", "label").limit(max_rows), "labelled")
+    # At most max_rows small rows, so the texts stay where they are read.
+    weights = lexicons(base.join(F.broadcast(own), "_id"), cost, max_terms)
     kind = base.schema["_doc"].dataType.simpleString()
     numbers = cut_lineage(base.mapInArrow(_features(cost, weights),
                                           f"_id long, _doc {kind}, x0 array<float>, x1 array<float>, x array<float>"), "toxicity")
-    learn = numbers.join(own, "_id").select("_id", "label", F.when(F.col("half") == 0, F.col("x1")).otherwise(F.col("x0")).alias("x"))
+    learn = numbers.join(F.broadcast(own), "_id").select("_id", "label", F.when(F.col("half") == 0, F.col("x1")).otherwise(F.col("x0")).alias("x"))
     trees = fit_sample(learn, "x", max_rows, least=5.0)
     return scored(numbers, trees, "x", id_col, remainder(id_col, folds) == held_out, threshold)
