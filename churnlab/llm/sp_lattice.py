@@ -6,8 +6,9 @@ over all documents. For the ``lexicon_words`` most frequent words the lattice is
 relation: substrings of bounded length are exploded, equi-joined to the piece
 table, grouped by word as edges (rank, start, end), and folded by Spark's
 ``aggregate``. That lexicon, of a size bounded by the parameter, goes to all
-tasks, which encode every document in one pass. Words outside it go through the
-same fold in the task, so every word of every text is encoded the same way.
+tasks, which encode every document in one pass. Words outside it are encoded in
+the task by the same rule (``merged``, or ``fold`` for very long words and runs of
+spaces), so every word of every text is encoded the same way.
 
 The fold is over edges in order of rank, not over positions: the models here
 are merge (BPE) models, whose encoding is not the path of the best total score.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -41,7 +43,6 @@ _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Words of the relational lexicon: their boundaries fit in the bits of a long,
 #: and one U+2581 at most (its runs are joined apart, see ``_space_runs``).
 MAX_WORD = 62
-_PLAIN = re.compile(f"{SPACE}?[^{SPACE}]{{1,{MAX_WORD - 1}}}")
 
 
 class Vocabulary:
@@ -69,30 +70,31 @@ class Vocabulary:
         self.runs = {len(p) for p in self.id if len(p) > 1 and set(p) == {SPACE}}
         for k in self.runs:
             del self.rank[SPACE * k]
-        starts: set[str] = set()
+        #: Rank of every piece of two characters or more, and -1 for what only begins one.
+        self.begin: dict[str, int] = {}
         for p in self.rank:
-            starts.update(p[:k] for k in range(2, len(p) + 1))
-        self.starts = starts
+            for k in range(2, len(p) + 1):
+                self.begin.setdefault(p[:k], -1)
+        self.begin.update((p, r) for p, r in self.rank.items() if len(p) > 1)
 
     def fold(self, word: str) -> int:
         """The boundaries that stay, as bits 0..len(word)."""
-        rank, starts, n = self.rank, self.starts, len(word)
-        edges = []
+        get, n, edges = self.begin.get, len(word), []
         for s in range(n - 1):
             for e in range(s + 2, min(n, s + self.longest) + 1):
-                sub = word[s:e]
-                if sub not in starts:
+                r = get(word[s:e])
+                if r is None:
                     break
-                r = rank.get(sub)
-                if r is not None:
+                if r >= 0:
                     edges.append((r, s, e))
         edges.sort()
-        mask = (1 << (n + 1)) - 1
+        mask = (2 << n) - 1
         for _, s, e in edges:
-            if mask >> s & 1 and mask >> e & 1:
-                inner = (mask >> (s + 1)) & ((1 << (e - s - 1)) - 1)
+            ends = (1 << s) | (1 << e)
+            if mask & ends == ends:
+                inner = mask & ((1 << e) - (2 << s))
                 if inner and not inner & (inner - 1):
-                    mask &= ~(inner << (s + 1))
+                    mask ^= inner
         return self._space_runs(word, mask) if SPACE * 2 in word else mask
 
     def _space_runs(self, word: str, mask: int) -> int:
@@ -113,14 +115,43 @@ class Vocabulary:
         at = np.cumsum([0, *sizes]).tolist()
         return (mask >> (single + 1) << (single + 1)) | sum(1 << b for b in at)
 
+    def merged(self, word: str) -> list[int]:
+        """The pieces of a word by joining its best-ranked neighbours, leftmost
+        first, until none can be: what ``fold`` and ``ids`` give, in half the time
+        for short words."""
+        get, last = self.rank.get, len(self.rank) + 1
+        parts = list(word)
+        ranks = [get(a + b, last) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            r = min(ranks)
+            if r == last:
+                break
+            i = ranks.index(r)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(parts[i] + parts[i + 1], last)
+            if i:
+                ranks[i - 1] = get(parts[i - 1] + parts[i], last)
+        out = []
+        for p in parts:
+            i = self.id.get(p)
+            out += [self.byte[x] for x in p.encode()] if i is None else [i]
+        return out
+
     def ids(self, word: str, mask: int) -> list[int]:
         """The pieces between the boundaries of a word."""
-        out, a = [], 0
-        for b in range(1, len(word) + 1):
-            if mask >> b & 1:
-                i = self.id.get(word[a:b])
-                out += [self.byte[x] for x in word[a:b].encode()] if i is None else [i]
-                a = b
+        out, a, mask = [], 0, mask >> 1
+        while mask:
+            step = (mask & -mask).bit_length()
+            b = a + step
+            mask >>= step
+            i = self.id.get(word[a:b])
+            if i is None:
+                out += [self.byte[x] for x in word[a:b].encode()]
+            else:
+                out.append(i)
+            a = b
         return out
 
     def decode(self, ids) -> str:
@@ -135,14 +166,32 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    """The words of a text. One U+2581 in front of each is left out; a word that
+    has none there, or more, keeps its own and begins with a line feed, which
+    stands for "written in full" (no word begins with one otherwise, as a U+2581
+    comes first)."""
+    if not text:
+        return []
+    if SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " " and text[0] != "\n" and " \n" not in text:
+        return text.split(" ")
+    out = []
+    for w in _WORD.findall(SPACE + text.replace(" ", SPACE)):
+        plain = w[0] == SPACE and len(w) > 1 and w[1] not in (SPACE, "\n")
+        out.append(w[1:] if plain else "\n" + w)
+    return out
+
+
+def spelled(word: str) -> str:
+    """A word of ``words`` in full."""
+    return word[1:] if word[0] == "\n" else SPACE + word
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch], flush: int = 300_000) -> Iterator[pa.RecordBatch]:
     held: Counter[str] = Counter()
 
     def out() -> pa.RecordBatch:
-        some = [(w, n) for w, n in held.items() if _PLAIN.fullmatch(w)]
+        # A word met once among so many is no frequent one; the lexicon's choice changes the work only.
+        some = [(spelled(w), n) for w, n in held.items() if n > 1 and len(w) < MAX_WORD and w[0] != "\n"]
         return pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.string()), pa.array([n for _, n in some], pa.int64())],
                                           ["word", "n"])
     for batch in batches:
@@ -185,31 +234,48 @@ _OUT = {"ids": pa.list_(pa.int32()), "decoded": pa.string(), "n_ids": pa.int64()
 _SQL = {"ids": "array<int>", "decoded": "string", "n_ids": "long", "ids_crc32": "long", "decoded_sha256": "string"}
 
 
-def _encode(path: str, lexicon: dict[str, int], columns: tuple[str, ...]):
-    back = any(c.startswith("decoded") for c in columns)
+#: Encodings a Python worker keeps between its tasks: of the lexicon's words, and of some others.
+_KEPT: dict = {}
+_RARE_WORDS = 200_000
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(path)
-        known: dict[str, list[int]] = {}
 
-        @lru_cache(maxsize=100_000)
-        def rare(w: str) -> list[int]:
-            return v.ids(w, v.fold(w))
+def _kept(key: str) -> tuple[dict[str, tuple], dict[str, tuple]]:
+    if _KEPT.get("key") != key:
+        _KEPT.clear()
+        _KEPT.update(key=key, known={}, rare={})
+    return _KEPT["known"], _KEPT["rare"]
+
 
-        def encode(w: str) -> list[int]:
-            ids = known.get(w)
+def _encode(path: str, lexicon, columns: tuple[str, ...]):
+    """``lexicon``: a broadcast of boundaries by word."""
+    back = any(c.startswith("decoded") for c in columns)
+    key = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, masks = vocabulary(path), lexicon.value
+        known, rare = _kept(key)
+
+        def encode(w: str) -> tuple:
+            mask = masks.get(w)
+            if mask is not None:
+                ids = known[w] = tuple(v.ids(SPACE + w, mask))
+                return ids
+            ids = rare.get(w)
             if ids is None:
-                mask = lexicon.get(w)
-                if mask is None:
-                    return rare(w)
-                ids = known[w] = v.ids(w, mask)
+                full = spelled(w)
+                ids = v.merged(full) if len(full) <= MAX_WORD and w[0] != "\n" else v.ids(full, v.fold(full))
+                if len(rare) >= _RARE_WORDS:
+                    rare.clear()
+                ids = rare[w] = tuple(ids)
             return ids
 
         for batch in batches:
             for part in text_slices(batch):
                 out: dict[str, list] = {c: [] for c in columns}
                 for text in part.column("_text").to_pylist():
-                    ids = [i for w in words(text) for i in encode(w)]
+                    ids: list[int] = []
+                    for w in words(text):
+                        ids += known.get(w) or encode(w)
                     packed = np.array(ids, "<i4")
                     text = v.decode(ids) if back else None
                     for c, values in out.items():
@@ -221,15 +287,16 @@ def _encode(path: str, lexicon: dict[str, int], columns: tuple[str, ...]):
     return run
 
 
-def sp_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = 200_000,
+def sp_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = 400_000,
               columns: tuple[str, ...] = ("ids",)) -> DataFrame:
     """One row per input row: the id and ``columns``: ``ids``; ``decoded``, the
     text that the ids give back (a U+2581 of the input is a space there);
     ``n_ids``, ``ids_crc32`` (little-endian 32-bit ids), ``decoded_sha256``."""
     base = with_ids(docs, id_col, text_col)
     lexicon = lattice_lexicon(frequent_words(base, lexicon_words), path).toArrow()
-    masks = dict(zip(lexicon.column("word").to_pylist(), lexicon.column("mask").to_pylist()))
+    masks = dict(zip((w[1:] for w in lexicon.column("word").to_pylist()), lexicon.column("mask").to_pylist()))
     schema = f"_doc {base.schema['_doc'].dataType.simpleString()}, " + ", ".join(f"{c} {_SQL[c]}" for c in columns)
+    masks = docs.sparkSession.sparkContext.broadcast(masks)  # at most lexicon_words entries
     return base.select("_doc", "_text").mapInArrow(_encode(path, masks, columns), schema).withColumnRenamed("_doc", id_col)
 
 
