@@ -46,17 +46,20 @@ def _byte_characters() -> dict[str, int]:
 @lru_cache(maxsize=2)
 def byte_bpe(path: str):
     """An encoder with the ids of the byte-level BPE file ``path`` (``tokenizers``
-    JSON): its vocabulary as merge ranks, which its ids are. Special tokens of the
-    file are ordinary text."""
+    JSON): its vocabulary as merge ranks, which its ids are. The file's added tokens
+    are found in a text first, as ``tokenizers`` does, and have their own ids."""
     import public_tokenizers
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     byte = _byte_characters()
-    special = {t["content"] for t in spec.get("added_tokens", ())}
+    added = spec.get("added_tokens", ())
+    if odd := [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"]]:
+        raise ValueError(f"added tokens that take in or need their surroundings: {odd}")
+    special = {t["content"]: t["id"] for t in added}
     ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def _piece_rows(path: str, capacity: int, end_id: int, keep_ids: bool):
@@ -66,7 +69,7 @@ def _piece_rows(path: str, capacity: int, end_id: int, keep_ids: bool):
             for part in text_slices(batch):
                 rows, tokens = [], []
                 for i, text in zip(part.column("_id").to_pylist(), part.column("_text").to_pylist()):
-                    ids = np.append(encoder.encode_to_numpy(text, disallowed_special=()), end_id).astype("<u4")
+                    ids = np.append(encoder.encode_to_numpy(text, allowed_special="all"), end_id).astype("<u4")
                     at = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                     for k, (a, b) in enumerate(zip(at, at[1:])):
                         rows.append((i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())))

@@ -87,3 +87,15 @@ def test_whole_table_ids(spark):
     got = best_fit_packing(frame(spark, rows), PATH, keep_ids=True).collect()
     want = sorted((i, k, ids) for i, p in want_ids(rows, 1024).values() for k, (_, ids) in enumerate(p))
     assert sorted((r.doc_id, r.piece, list(r.ids)) for r in got) == want
+
+
+def test_added_tokens(spark):
+    """The file's added token, spelled out in a text, has the id the library gives it."""
+    t = Tokenizer.from_file(PATH)
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>"), (3, "x\n\n <|endoftext|>  y 12<|endoftext|>'s"),
+            (4, "<|endoftext| > <|ENDOFTEXT|> <|endoftext"), (5, "é<|endoftext|>日本 " * 300)]
+    got = best_fit_packing(frame(spark, rows), PATH, keep_ids=True).orderBy("doc_id", "piece").collect()
+    for i, text in rows:
+        ids = [x for r in got if r.doc_id == i for x in r.ids]
+        assert ids == [*t.encode(text, add_special_tokens=False).ids, 2]
+    assert [x for r in got if r.doc_id == 1 for x in r.ids] == [64, 220, 50256, 275, 2]
