@@ -74,18 +74,19 @@ def repeat_words(words: list[bytes], n: int = 5) -> int:
     return int((np.cumsum(twice) > 0).sum())
 
 
-def judge(text: str | None, max_lost: float) -> tuple:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
-    n_failed_lines, lost_words, base_failed, kept)."""
+def clean(text: str | None, max_lost: float) -> tuple[tuple, str | None]:
+    """What ``judge`` gives, and the text without its failing lines (None for a
+    rejected document)."""
     raw = (text or "").encode()
     words = raw.split()  # of bytes: at ASCII white space only
     joined = b"".join(words)
     chars = len(joined.decode())
     symbols = len(raw) - len(raw.translate(None, _SYMBOLS))
-    seen, dup, lines, failed, lost = set(), 0, 0, 0, 0
+    seen, dup, lines, failed, lost, left = set(), 0, 0, 0, 0, []
     for line in raw.split(b"\n"):
         n = len(line.split())
         if not n:
+            left.append(line)
             continue
         lines += 1
         if line in seen:
@@ -94,9 +95,19 @@ def judge(text: str | None, max_lost: float) -> tuple:
         if line_fails(line, n):
             failed += 1
             lost += n
+        else:
+            left.append(line)
     repeated = repeat_words(words)
     base = len(words) < 10 or 100 * repeated > 20 * len(words)
-    return (len(words), chars, symbols, dup, repeated, lines, failed, lost, base, not base and lost <= max_lost * len(words))
+    kept = not base and lost <= max_lost * len(words)
+    counts = (len(words), chars, symbols, dup, repeated, lines, failed, lost, base, kept)
+    return counts, (b"\n".join(left).decode() if failed else text) if kept else None
+
+
+def judge(text: str | None, max_lost: float) -> tuple:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
+    n_failed_lines, lost_words, base_failed, kept)."""
+    return clean(text, max_lost)[0]
 
 
 _FIELDS = (("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"),
@@ -108,18 +119,20 @@ def _judge_rows(max_lost: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"long": pa.int64(), "boolean": pa.bool_()}
         for batch in batches:
-            rows = [judge(t, max_lost) for t in batch.column("_text").to_pylist()]
-            cols = [pa.array([r[k] for r in rows], kinds[t]) for k, (_, t) in enumerate(_FIELDS)]
-            yield pa.RecordBatch.from_arrays([batch.column("_doc"), *cols], ["_doc", *[f for f, _ in _FIELDS]])
+            rows = [clean(t, max_lost) for t in batch.column("_text").to_pylist()]
+            cols = [pa.array([r[k] for r, _ in rows], kinds[t]) for k, (_, t) in enumerate(_FIELDS)]
+            yield pa.RecordBatch.from_arrays([batch.column("_doc"), *cols, pa.array([x for _, x in rows], pa.string())],
+                                             ["_doc", *[f for f, _ in _FIELDS], "kept_text"])
     return run
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: float = 0.5) -> DataFrame:
-    """One row per input row: the id, the counts of ``judge``, base_failed, kept."""
+    """One row per input row: the id, the counts of ``judge``, base_failed, kept,
+    and ``kept_text``, the text without its failing lines (null where rejected)."""
     prepare(docs.sparkSession)
     base = docs.select(F.col(f"`{id_col}`").alias("_doc"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     schema = ", ".join(f"{f} {t}" for f, t in _FIELDS)
-    out = base.mapInArrow(_judge_rows(max_lost), f"_doc {base.schema['_doc'].dataType.simpleString()}, {schema}")
+    out = base.mapInArrow(_judge_rows(max_lost), f"_doc {base.schema['_doc'].dataType.simpleString()}, {schema}, kept_text string")
     return out.withColumnRenamed("_doc", id_col)
 
 
@@ -130,12 +143,13 @@ def clean_lines(text: str | None) -> str:
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", max_lost: float = 0.5) -> DataFrame:
-    """The rows that pass, with all columns of ``docs``."""
+    """The rows that pass, their texts without failing lines, with all columns of ``docs``."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            yield batch.filter(pa.array([judge(t, max_lost)[-1] for t in texts], pa.bool_()))
+            at = batch.schema.get_field_index(text_col)
+            texts = pa.array([clean(t, max_lost)[1] for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            yield batch.set_column(at, batch.schema.field(at), texts).filter(texts.is_valid())
 
     return docs.mapInArrow(run, docs.schema)

@@ -93,7 +93,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlab.llm.quality_rules import quality_rules
 
-    return quality_rules(read_table(spark, sf_dir, "documents"), max_lost=0.5)
+    return quality_rules(read_table(spark, sf_dir, "documents"), max_lost=0.5).drop("kept_text")
 
 
 def _op7_sql() -> str:
