@@ -40,9 +40,10 @@ def with_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
 
     Where the id column is integral, without nulls and unique, ``_id`` is that
     column and nothing is moved. Otherwise rows are sorted by (id with nulls
-    first, text) and numbered in that order: repeated ids and repeated rows
-    become documents of their own, the null ids the smallest. The numbering is
-    written out, so that a task run anew gives the same numbers.
+    first, XXH64 of the text, text) and numbered in that order, which does not
+    depend on the number of partitions: repeated ids and repeated rows become
+    documents of their own, the null ids the smallest. The numbering is written
+    out, so that a task run anew gives the same numbers.
     """
     prepare(docs.sparkSession)
     base = docs.select(F.col(f"`{id_col}`").alias("_doc"),
@@ -53,7 +54,7 @@ def with_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
             return base.select(F.col("_doc").cast("long").alias("_id"), "_doc", "_text", *keep)
     ordered = base.withColumn("_h", F.xxhash64("_text"))
     ordered = (ordered.repartitionByRange(F.col("_doc").asc_nulls_first(), "_h")
-               .sortWithinPartitions(F.col("_doc").asc_nulls_first(), "_text").drop("_h"))
+               .sortWithinPartitions(F.col("_doc").asc_nulls_first(), "_h", "_text").drop("_h"))
     return cut_lineage(ordered.select(F.monotonically_increasing_id().alias("_id"), "_doc", "_text", *keep), "ids")
 
 

@@ -16,7 +16,10 @@ linked, and one link to the least of them is enough. A group has at most as
 many members as a word has neighbours (65 for radius 2), however many copies.
 
 Equal fingerprints are one node. Null and empty texts have fingerprint zero and
-are linked like any other; every input row is a document of its own.
+are linked like any other; every input row is a document of its own, so repeated
+rows and repeated or null ids are linked too (ties go to the first in the order
+of ``with_ids``). A text of any length is read whole. An empty table gives an
+empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import with_ids
+from churnlab.llm.common import restored, with_ids, with_rest
 from churnlab.llm.components import components
 from churnlab.session import cut_lineage
 
@@ -118,3 +121,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     out = near_groups(with_ids(docs, id_col, text_col), shingle, radius)
     return out.select(F.col("_doc").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                       F.col("least._doc").alias("component_id"))
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 2) -> DataFrame:
+    """The first row of each group of near copies (the one with the smallest id),
+    with all columns of ``docs``."""
+    base = with_rest(docs, id_col, text_col)
+    gone = cut_lineage(near_groups(base.drop("_rest"), shingle, radius).where("_id != least._id").select("_id"), "near_copies")
+    return restored(base.join(gone, "_id", "left_anti"), docs, id_col, text_col)

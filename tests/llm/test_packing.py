@@ -17,7 +17,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def want_ids(rows, capacity):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     out = {}
     for n, (i, text) in enumerate(rows):
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 2]

@@ -4,20 +4,22 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from churnlab.llm.quality_rules import judge
+from churnlab.llm.common import with_ids
+from churnlab.llm.quality_rules import clean_lines, judge
 
-from .frames import AWKWARD, random_texts
+from .frames import AWKWARD, frame, random_texts
 from .test_dedup import brute_components, brute_fp
+from .test_packing import want_ids
 from .test_suffix_dedup import brute as brute_suffixes
 
 
 def plain(rows):
     """[(doc_id, text)] after each of the first four stages."""
-    out = [[(i, t) for i, t in rows if judge(t, 0.5)[-1]]]
+    out = [[(i, clean_lines(t)) for i, t in rows if judge(t, 0.5)[-1]]]
     last = {t: i for i, t in sorted(out[0])}
     out.append([(i, t) for i, t in out[0] if last[t] == i])
     ids = sorted(out[1])
-    roots = brute_components([brute_fp(t, 5) for _, t in ids], 4)
+    roots = brute_components([brute_fp(t, 3) for _, t in ids], 2)
     out.append([r for k, r in enumerate(ids) if roots[k] == k])
     out.append([(i, kept.decode("utf-8", "ignore")) for i, _, _, _, kept in brute_suffixes(out[2], 100)])
     return out
@@ -51,13 +53,50 @@ def test_stages(spark, tmp_path):
     assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in total) == sorted((r.doc_id, r.piece, r.ids_crc32) for r in packed)
 
 
-@pytest.mark.parametrize("n", [0, 13])
-def test_awkward(spark, tmp_path, n):
-    """Null and repeated ids, null texts and no rows at all pass through every stage."""
-    docs = table(spark, AWKWARD, tmp_path).limit(n)
+def near_roots(texts):
+    """Smallest position of each text's group of near copies."""
+    return brute_components([brute_fp(t, 3) for t in texts], 2)
+
+
+@pytest.mark.parametrize("rows", [[], AWKWARD])
+def test_awkward(spark, tmp_path, rows):
+    """Null and repeated ids, null texts and no rows at all: what each stage alone leaves of them."""
+    docs = table(spark, AWKWARD, tmp_path).limit(len(rows))
+    texts = [t for _, t in rows]
+    ordered = [(r._id, r._text) for r in with_ids(docs).orderBy("_id").collect()]
+    kept = [t for _, _, _, _, t in brute_suffixes(ordered, 100)]
+    sizes = [len(p) for _, p in want_ids(rows, 1024).values()]
+    want = {"quality_rules": sorted(clean_lines(t) for t in texts if judge(t, 0.5)[-1]),
+            "exact_dedup": sorted({t or "" for t in texts}),
+            "simhash_near_dedup": len(set(near_roots(texts))),
+            "suffix_dedup": sorted(t.decode("utf-8", "ignore") for t in kept),
+            "best_fit_packing": sum(sizes)}
     for name, stage in corpus_pipeline.STAGES:
-        got = stage(spark, docs, str(tmp_path))
-        assert got.count() == (len({t or "" for _, t in AWKWARD}) if name == "exact_dedup" and n else got.count())
+        got = stage(spark, docs, str(tmp_path)).collect()
+        assert (len(got) if isinstance(want[name], int) else sorted(r.text or "" for r in got)) == want[name], name
+
+
+def test_near_stage_keeps_the_first_of_a_group(spark, tmp_path):
+    """Copies that differ in one word of many are one group; other texts stay."""
+    base = random_texts(1, 5, words=300, size=400)[0][1] + " end of it all"
+    rows = [(k, t) for k, t in enumerate([base, base + " more", base.replace(" end", " END"), "another text " * 5, base])]
+    rows += [(100 + i, t) for i, t in random_texts(60, 9, words=300, size=80)]
+    got = corpus_pipeline.STAGES[2][1](spark, table(spark, rows, tmp_path), str(tmp_path)).collect()
+    roots = near_roots([t for _, t in rows])
+    assert sorted(r.doc_id for r in got) == [rows[k][0] for k in sorted(set(roots))]
+
+
+def test_order_of_repeated_ids(spark):
+    """Rows of one id are numbered alike whatever the number of partitions."""
+    seen = set()
+    for n in (1, 4, 8):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            docs = frame(spark, [(5 if i % 3 else None, f"t{i % 700}") for i in range(2000)])
+            seen.add(tuple(r._text for r in with_ids(docs).orderBy("_id").collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(seen) == 1
 
 
 def test_clean_documents_stay(spark):
