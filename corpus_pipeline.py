@@ -2,7 +2,11 @@
 
 Each stage is one operator with its production parameters, applied to all that
 the stage before it has kept. Stage tables are written as Parquet and read back,
-so a stage that is lost is run again from files.
+so a stage that is lost is run again from files. Every row is a document, with
+repeated or null ids too (``churnlab.llm.common.with_ids`` orders them). A null
+text counts as empty and is rejected by the first stage; texts of any length are
+read whole; other columns pass through whatever their names. An empty table
+gives an empty table at every stage.
 """
 
 from __future__ import annotations
@@ -30,10 +34,11 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (Jaccard similarity of five-word shingles of 0.8 or more) the row with the smallest id stays."""
-    from churnlab.llm.near_copies import drop_near
+    """Of each group of SimHash near copies (fingerprints of three-word shingles, linked at
+    two or fewer differing bits) the row with the smallest id stays."""
+    from churnlab.llm.simhash import drop_near
 
-    return drop_near(docs, shingle=5, least=(4, 5))
+    return drop_near(docs, shingle=3, radius=2)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
