@@ -148,6 +148,74 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5, held_out=0, threshold=0.5)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlab.llm.fim import fill_in_middle, restored_text
+
+    out = fill_in_middle(read_table(spark, sf_dir, "documents"), seed=1, plain_from=90, spm_below=20)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha256_hex("output").alias("output_sha256"),
+                      F.sha2(F.encode(restored_text(), "UTF-8"), 256).alias("restored_sha256"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+draws AS (SELECT doc_id, t, length(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+            ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+cuts AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM draws),
+parts AS (SELECT *, t[1:a] AS pre, t[a + 1:b] AS mid, t[b + 1:] AS suf FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+                        WHEN 'spm' THEN concat('<S>', suf, '<P>', pre, '<M>', mid) ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlab.llm.divergence import source_divergence
+
+    return source_divergence(read_table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
+
+
+OP12_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+           FROM documents),
+words AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+grps AS (SELECT DISTINCT lang, source FROM d),
+shares AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(t.total, 0) + l.v)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v)::HUGEINT AS q
+           FROM grps g JOIN kept k ON g.lang = k.lang JOIN langs l ON l.lang = g.lang
+           LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+           LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+         FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM grps a JOIN grps b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from churnlab.llm.token_rans import token_round_trip
+
+    return token_round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_warc": op2_warc,
@@ -159,5 +227,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_token_files": op13_token_files,
 }
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": _op7_sql()}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op7_quality_rules": _op7_sql(),
+                          "op11_fill_in_middle": OP11_SQL, "op12_source_divergence": OP12_SQL}
