@@ -30,6 +30,8 @@ whatever their names, are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +40,14 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import prepare
+from churnlab.llm.common import prepare, text_slices
 from churnlab.session import cut_lineage, scratch_path, shuffle_cleanup
 
-#: A term: a run of ASCII letters and characters beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: A term is a run of ASCII letters, lower-cased, and characters beyond ASCII (bytes from 0x80).
+_LETTERS = bytes(c | 0x20 if chr(c) in ascii_uppercase else c if c >= 0x80 or chr(c) in ascii_lowercase else 0x20 for c in range(256))
 SCALE = 1_000_000_000
 #: Entries in a block of terms, on average.
 BLOCK_ENTRIES = 100_000
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _COUNTS = "_k int, source string, tid long, term string, n long"
 
 
@@ -59,15 +60,29 @@ def _written(rows: DataFrame, name: str, *parts: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def terms_of(text: bytes) -> list[bytes]:
+    """The terms of a UTF-8 text, in order."""
+    return text.translate(_LETTERS).split()
+
+
+def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in text_slices(batch):
+            lists = [terms_of(t) for t in part.column("_text").cast(pa.large_binary()).to_pylist()]
+            ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+            flat = pa.array(list(chain.from_iterable(lists)), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([part.column("_k"), part.column("source"), pa.ListArray.from_arrays(ends, flat)],
+                                             ["_k", "source", "terms"])
+
+
 def term_lists(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> tuple[DataFrame, dict[int, str]]:
     """(_k, source, terms) of every document, a folder for each language, and the
     languages by number."""
     text = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    rows = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
+    rows = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("_text"))
     langs = sorted(r.lang for r in rows.select("lang").distinct().collect())
-    numbers = docs.sparkSession.createDataFrame(list(enumerate(langs)), "_k int, lang string")
-    terms = F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(TERM), 0)
-    rows = rows.join(numbers, "lang").select("_k", "source", terms.alias("terms"))
+    number = F.array_position(F.array(*map(F.lit, langs)).cast("array<string>"), F.col("lang")) - 1
+    rows = rows.select(number.cast("int").alias("_k"), "source", "_text").mapInArrow(_term_rows, "_k int, source string, terms array<string>")
     return _written(rows, "terms", "_k"), dict(enumerate(langs))
 
 
@@ -180,7 +195,7 @@ def pair_values(entries: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-                      min_docs: int = 3, top_terms: int = 200, max_terms: int = 1_000_000) -> DataFrame:
+                      min_docs: int = 3, top_terms: int = 200, max_terms: int = 2_000_000) -> DataFrame:
     """(lang, source, part, item, value, rank). Part ``pair``: the divergence of the
     group from every other source of its language, all ranks. Part ``term``: the
     terms with a larger share in the group than in its language, ``top_terms`` ranks."""

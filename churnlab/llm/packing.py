@@ -35,7 +35,7 @@ from churnlab.session import cut_lineage
 SHARD_PIECES = 100_000
 
 
-def _byte_characters() -> dict[str, int]:
+def byte_characters() -> dict[str, int]:
     """The printable character that stands for each byte in byte-level vocabularies:
     itself where Latin-1 prints it, else the next free one from U+0100."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -53,7 +53,7 @@ def byte_bpe(path: str):
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    byte = _byte_characters()
+    byte = byte_characters()
     added = spec.get("added_tokens", ())
     if odd := [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"]]:
         raise ValueError(f"added tokens that take in or need their surroundings: {odd}")

@@ -29,27 +29,39 @@ gives files without frames. Other columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.functions.running import running_totals
 from churnlab.llm.common import prepare, text_slices, with_ids
+from churnlab.llm.packing import byte_characters
 from churnlab.session import cut_lineage, scratch_path, shuffle_cleanup
 
 MAGIC = b"RANSFRM1"
 FRAME_TOKENS, BLOCK_TOKENS, LANES = 1 << 18, 8192, 32
 #: Frames in a file, at most, and ids in a file, on average.
 FILE_FRAMES, FILE_TOKENS = 64, 4_000_000
-#: Distinct words whose ids a task keeps, and the longest word kept (bytes).
-KEPT_WORDS, KEPT_BYTES = 200_000, 64
+#: Distinct words in each of the two generations that a worker keeps, and the longest word kept (bytes).
+KEPT_WORDS, KEPT_BYTES = 300_000, 64
+# A public file's normalizer and pre-tokenizer, to tell whether the direct way holds.
+_NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+                                               {"type": "Lowercase"}]}
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words that ``_NORMAL`` leaves as they are and ``_SPLIT`` cuts like ``_PIECE`` (no apostrophe).
+_PLAIN = re.compile(r"[!-&(-@\[-~ß-öø-ÿ]+")
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 _HEAD = struct.Struct("<8sQQQII")
 _LOW = np.uint64(1 << 31)
 
@@ -62,32 +74,76 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
-class WordEncoder:
-    """Ids of texts by the ``tokenizers`` file ``path``, whose pre-tokenizer drops
-    white space and never spans it. So a text's ids are its words' ids in a row, and
-    the library is asked once for each word that is not kept from before."""
+class WordIds(dict):
+    """Ids of words (bytes without ASCII white space) by the ``tokenizers`` file ``path``.
+
+    Words are kept in two generations of at most ``KEPT_WORDS``: a full one becomes
+    the old one, and words that are met again move on. Others are encoded by the
+    library. Where the file has the lower-casing, letter-run pre-tokenizer of
+    ``_NORMAL`` and ``_SPLIT``, a word of lower-case Latin letters, digits and signs is cut by
+    that rule here, and its pieces go to the library's model at once; any other word
+    goes through the whole library.
+    """
 
     def __init__(self, path: str):
-        self.library, self.kept = _library(path), {}
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() for t in texts]  # of bytes: at ASCII white space
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        ids = self.kept
-        missing = list({w for words in split for w in words if w not in ids})
-        if missing:
-            coded = self.library.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            ids = {w: np.array(c.ids, "<u4").tobytes() for w, c in zip(missing, coded)}
-            own = ids
-            self.kept.update((w, x) for w, x in own.items() if len(w) <= KEPT_BYTES)
-            return [b"".join([own[w] if w in own else self.kept[w] for w in words]) for words in split]
-        return [b"".join([ids[w] for w in words]) for words in split]
+        super().__init__()
+        self.library, self.model, self.old = _library(path), _library(path).model, {}
+        spec = json.loads(self.library.to_str())
+        pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.direct = (spec["normalizer"] == _NORMAL and len(pre) == 2 and spec["model"]["type"] == "BPE" and not spec["model"]["dropout"]
+                       and pre[0] == {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}
+                       and pre[1]["type"] == "ByteLevel" and not pre[1]["add_prefix_space"] and not pre[1]["use_regex"])
+        self.marks = [t["content"].encode().lower() if self.direct else t["content"].encode() for t in spec["added_tokens"]]
+        self.byte = {b: c for c, b in byte_characters().items()}
+        self.kind = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.width = array(self.kind).itemsize
+        #: Signs that stand alone after letters, with their ids.
+        self.signs = {c.encode(): array(self.kind, self.whole(c)).tobytes() for c in ".,;:!?)" if self.direct}
+
+    def __missing__(self, word: bytes) -> bytes:
+        got = self.old.get(word)
+        if got is None and word[-1:] in self.signs and word[:-1].isalpha():
+            got = self[word[:-1]] + self.signs[word[-1:]]
+        if got is None:
+            got = array(self.kind, self._encoded(word)).tobytes()
+        if len(word) <= KEPT_BYTES:
+            if len(self) >= KEPT_WORDS:
+                self.old = dict(self)
+                self.clear()
+            self[word] = got
+        return got
+
+    def _encoded(self, word: bytes) -> list[int]:
+        text, short = word.decode(), self.direct and len(word) <= KEPT_BYTES
+        if short and word.islower() and word.isalpha():  # of bytes: a-z
+            return [t.id for t in self.model.tokenize(text)]
+        if short and _PLAIN.fullmatch(text):
+            pieces = _PIECE.findall(text)
+            if not text.isascii():
+                pieces = ["".join([self.byte[b] for b in p.encode()]) for p in pieces]
+            return [t.id for p in pieces for t in self.model.tokenize(p)]
+        return self.whole(text)
+
+    def whole(self, text: str) -> list[int]:
+        return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def of(self, text: bytes) -> bytes:
+        """Ids of a text: its words' ids in a row, since the pre-tokenizer drops white space."""
+        low = text.lower() if self.direct else text  # of bytes: A-Z
+        for mark in self.marks:
+            if mark in low:  # added tokens count as they are spelled, wherever they stand
+                return array(self.kind, self.whole(text.decode())).tobytes()
+        return b"".join(map(self.__getitem__, low.split()))  # of bytes: at ASCII white space
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """Kept by the worker from task to task."""
+    return WordIds(path)
 
 
 def splits_at_space(path: str) -> bool:
-    """Whether the file's pre-tokenizer drops white space, as ``WordEncoder`` needs, and
+    """Whether the file's pre-tokenizer drops white space, as ``WordIds`` needs, and
     no added token holds any."""
     t = _library(path)
     if any(c.isspace() for x in t.get_added_tokens_decoder().values() for c in x.content):
@@ -98,31 +154,38 @@ def splits_at_space(path: str) -> bool:
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path) if splits_at_space(path) else None
-        end = np.array([end_id], "<u4").tobytes()
+        words = word_ids(path)
+        end, pack = array(words.kind, [end_id]).tobytes(), zstandard.ZstdCompressor(level=1)
+        by_word = splits_at_space(path)
         for batch in batches:
             for part in text_slices(batch, limit=1 << 20):
-                texts = part.column("_text").to_pylist()
-                if encoder:
-                    ids = encoder([t.encode() for t in texts])
+                texts = part.column("_text").cast(pa.large_binary()).to_pylist()
+                if by_word:
+                    ids = [words.of(t) + end for t in texts]
                 else:
-                    ids = [np.array(c.ids, "<u4").tobytes() for c in _library(path).encode_batch_fast(texts, add_special_tokens=False)]
-                ids = [x + end for x in ids]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                                                  pa.array(ids, pa.binary())], ["_id", "n", "ids"])
+                    ids = [array(words.kind, words.whole(t.decode())).tobytes() + end for t in texts]
+                n = [len(x) // words.width for x in ids]
+                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(n, pa.int64()), pa.array(map(pack.compress, ids), pa.binary())],
+                                                 ["_id", "n", "ids"])
     return run
 
 
+def _unpacked(n: int, ids: bytes) -> np.ndarray:
+    raw = zstandard.decompress(ids)
+    return np.frombuffer(raw, f"<u{len(raw) // n}")
+
+
 def tokenised(base: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(_id, n, ids) of ``with_ids`` rows, written out: texts are tokenised once."""
+    """(_id, n, ids) of ``with_ids`` rows, the ids compressed, written out: texts are
+    tokenised once."""
     return cut_lineage(base.select("_id", "_text").mapInArrow(_encode(path, end_id), "_id long, n long, ids binary"), "tokens")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.zeros(0, np.int64)
     for batch in batches:
-        for part in text_slices(batch, "ids"):
-            got = np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u4"))
+        for part in text_slices(batch, "ids", 1 << 20):
+            got = np.bincount(np.concatenate(list(map(_unpacked, part.column("n").to_pylist(), part.column("ids").to_pylist()))))
             if len(got) > len(count):
                 count, got = got, count
             count[: len(got)] += got
@@ -147,27 +210,26 @@ class Table:
         """(words of each block, first states [block, lane]) of ids."""
         n = len(ids)
         blocks, steps = -(-n // BLOCK_TOKENS), BLOCK_TOKENS // LANES
-        rows = np.zeros(blocks * BLOCK_TOKENS, np.int64)
-        rows[:n] = ids
-        there = np.arange(len(rows)) < n
-        rows, there = (x.reshape(blocks, steps, LANES).transpose(1, 0, 2) for x in (rows, there))
-        state = np.full((blocks, LANES), _LOW)
-        words, owner = [], []
-        top = np.uint64(63) - self.bits
+        # A symbol of the whole range's frequency changes no state: it fills the last block.
+        freq = np.full(blocks * BLOCK_TOKENS, np.uint64(1) << self.bits)
+        start = np.zeros(len(freq), np.uint64)
+        freq[:n], start[:n] = self.freq[ids], self.start[ids]
+        by_step = lambda x: np.ascontiguousarray(x.reshape(blocks, steps, LANES).transpose(1, 0, 2)).reshape(steps, -1)
+        freq, start = by_step(freq), by_step(start)
+        limit, grow = freq << (np.uint64(63) - self.bits), (np.uint64(1) << self.bits) - freq
+        state = np.full(blocks * LANES, _LOW)
+        words, lane = [], []
         for k in range(steps - 1, -1, -1):
-            f, on = self.freq[rows[k]], there[k]
-            out = on & ((state >> top) >= f)
-            words.append(state[out].astype("<u4"))
-            owner.append(np.nonzero(out)[0])
-            state = np.where(out, state >> np.uint64(32), state)
-            f = np.where(on, f, np.uint64(1))
-            q = state // f
-            state = np.where(on, (q << self.bits) + (state - q * f) + self.start[rows[k]], state)
-        owner = np.concatenate(owner[::-1]) if owner else np.zeros(0, np.int64)
-        words = np.concatenate(words[::-1]) if words else np.zeros(0, "<u4")
+            out = np.flatnonzero(state >= limit[k])
+            given = state[out]
+            words.append(given.astype("<u4"))
+            lane.append(out)
+            state[out] = given >> np.uint64(32)
+            state += state // freq[k] * grow[k] + start[k]
         # Step by step, lane by lane: the order in which the decoder reads them.
-        order = np.argsort(owner, kind="stable")
-        return np.split(words[order], np.cumsum(np.bincount(owner, minlength=blocks))[:-1]), state
+        owner, words = np.concatenate(lane[::-1]) // LANES, np.concatenate(words[::-1])
+        words = words[np.argsort(owner, kind="stable")]
+        return np.split(words, np.cumsum(np.bincount(owner, minlength=blocks))[:-1]), state.reshape(blocks, LANES)
 
     def decode(self, words: np.ndarray, first: np.ndarray, state: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Ids of blocks, whose words begin at ``first`` of ``words``."""
@@ -207,15 +269,15 @@ def scaled(ids: list[int], counts: list[int]) -> Table:
     return Table(np.array(ids, np.int64), freq, bits)
 
 
-def frame(table: Table, docs: list[tuple[int, bytes]]) -> bytes:
-    """A frame of documents (key, ids as little-endian unsigned 32-bit)."""
-    ids = np.frombuffer(b"".join(x for _, x in docs), "<u4")
+def frame(table: Table, docs: list[tuple[int, np.ndarray]]) -> bytes:
+    """A frame of documents (key, unsigned 32-bit ids)."""
+    ids = np.concatenate([x for _, x in docs])
     coded = [table.encode(ids[a:a + FRAME_TOKENS]) for a in range(0, len(ids), FRAME_TOKENS)]
     words, state = [w for x, _ in coded for w in x], np.concatenate([s for _, s in coded])
     sizes = np.array([len(w) for w in words], np.int64)
     first = np.cumsum(sizes) - sizes
     check = [zlib.crc32(ids[a:a + BLOCK_TOKENS].tobytes()) for a in range(0, len(ids), BLOCK_TOKENS)]
-    index = np.array([(i, len(x) // 4) for i, x in docs], "<i8")
+    index = np.array([(i, len(x)) for i, x in docs], "<i8")
     directory = first.astype("<u8").tobytes() + state.astype("<u8").tobytes() + np.array(check, "<u4").tobytes()
     parts = [zlib.compress(x, 1) for x in (index.tobytes(), directory)]
     body = b"".join([struct.pack("<Q", len(parts[0])), parts[0], struct.pack("<Q", len(parts[1])), parts[1], *[w.tobytes() for w in words]])
@@ -278,9 +340,9 @@ def _frames(table: Table):
             return pa.RecordBatch.from_arrays([pa.array([frame(table, docs)], pa.binary())], ["value"])
 
         for batch in batches:
-            for i, ids in zip(batch.column("_id").to_pylist(), batch.column("ids")):
-                docs.append((i, ids.as_py()))
-                size += len(docs[-1][1]) // 4
+            for i, n, ids in zip(batch.column("_id").to_pylist(), batch.column("n").to_pylist(), batch.column("ids")):
+                docs.append((i, _unpacked(n, ids.as_py()).astype("<u4")))
+                size += n
                 if size >= FRAME_TOKENS:
                     yield made()
                     docs, size = [], 0
@@ -294,15 +356,15 @@ def write_tokens(tokens: DataFrame, path: str) -> None:
     ``path/ids``, the frequency table under ``path/table``."""
     spark = tokens.sparkSession
     # As many rows as the vocabulary has ids.
-    counts = tokens.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
+    counts = tokens.select("n", "ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").collect()
     table = scaled([r["id"] for r in counts], [r["n"] for r in counts])
     rows = [(int(i), int(table.freq[i]), int(table.bits)) for i in table.ids]
     files = -(-sum(r["n"] for r in counts) // FILE_TOKENS) or 1
     with shuffle_cleanup(spark):
         spark.createDataFrame(rows, "id long, freq long, bits int").coalesce(1).write.parquet(f"{path}/table")
-        ordered = tokens.select("_id", "ids").repartitionByRange(files, "_id").sortWithinPartitions("_id")
+        ordered = tokens.repartitionByRange(files, "_id").sortWithinPartitions("_id")
         # The text writer writes the bytes of a string as they are.
-        (ordered.select("_id", "ids").mapInArrow(_frames(table), "value binary").select(F.col("value").cast("string"))
+        (ordered.mapInArrow(_frames(table), "value binary").select(F.col("value").cast("string"))
          .write.option("maxRecordsPerFile", FILE_FRAMES).text(f"{path}/ids"))
 
 

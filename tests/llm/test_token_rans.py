@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from churnlab.llm import token_rans
 from churnlab.llm.common import with_ids
-from churnlab.llm.token_rans import Frame, WordEncoder, frame as make_frame, read_tokens, scaled, token_files, token_round_trip
+from churnlab.llm.token_rans import Frame, WordIds, frame as make_frame, read_tokens, scaled, token_files, token_round_trip
 
 from .frames import AWKWARD, frame, random_texts
 
@@ -67,17 +67,26 @@ def test_many_files(spark, monkeypatch, tmp_path):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(st.characters(codec="utf-8"), max_size=30), max_size=5))
 def test_words_as_the_library(texts):
-    got = WordEncoder(PATH)([t.encode() for t in texts])
-    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    words = WordIds(PATH)
+    assert words.direct
+    assert [np.frombuffer(words.of(t.encode()), "<u2").tolist() for t in texts] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_every_plain_character():
+    """Each character and pair that the direct way takes, as the library has it."""
+    words = WordIds(PATH)
+    chars = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x100), 0x131, 0x17F, 0x1C5, 0x300, 0x345, 0x3C2, 0x1E9E, 0x212B)]
+    texts = [f"{a}{b}{c}" for a in chars for b in "aéZ7'." for c in ("", "s", "!")]
+    assert [np.frombuffer(words.of(t.encode()), "<u2").tolist() for t in texts] == [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_kept_words_are_bounded(monkeypatch):
     monkeypatch.setattr(token_rans, "KEPT_WORDS", 5)
-    encoder = WordEncoder(PATH)
-    for k in range(6):
+    words = WordIds(PATH)
+    for k in range(9):
         text = " ".join(f"word{j}x" for j in range(k, k + 4)) + " " + "y" * 200
-        assert np.frombuffer(encoder([text.encode()])[0], "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
-        assert len(encoder.kept) <= 10 and all(len(w) <= 64 for w in encoder.kept)
+        assert np.frombuffer(words.of(text.encode()), "<u2").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+        assert len(words) <= 5 and len(words.old) <= 5 and all(len(w) <= 64 for w in words)
 
 
 def coded(n, seed=0, most=3000):
@@ -91,10 +100,10 @@ def coded(n, seed=0, most=3000):
 def test_frame_sizes(n):
     ids, table = coded(n, n)
     assert table.freq.sum() == 1 << int(table.bits) and table.freq[np.unique(ids)].min() >= 1
-    docs = [(k, x.tobytes()) for k, x in enumerate(np.array_split(ids, min(n, 70)))]
+    docs = list(enumerate(np.array_split(ids, min(n, 70))))
     raw = b"\n" + make_frame(table, docs)
     got = Frame(memoryview(raw), 1, table)
-    assert [(k, x.tobytes()) for k, x in got.documents()] == docs
+    assert [(k, x.tolist()) for k, x in got.documents()] == [(k, x.tolist()) for k, x in docs]
     for a, b in ((0, n), (n // 3, n // 2), (n - 1, n), (n // 2, n // 2), (min(n, 8191), min(n, 8193))):
         assert got.read_range(a, b).tolist() == ids[a:b].tolist()
 
@@ -102,13 +111,13 @@ def test_frame_sizes(n):
 def test_size_is_near_the_entropy():
     ids, table = coded(200_000)
     p = np.bincount(ids)[np.unique(ids)] / len(ids)
-    assert len(make_frame(table, [(0, ids.tobytes())])) * 8 / len(ids) < 1.06 * -(p * np.log2(p)).sum()
+    assert len(make_frame(table, [(0, ids)])) * 8 / len(ids) < 1.06 * -(p * np.log2(p)).sum()
 
 
 def test_a_block_is_read_alone():
     """Damage to one block's words leaves the others readable, and is noticed there."""
     ids, table = coded(50_000)
-    one = Frame(memoryview(make_frame(table, [(0, ids.tobytes())])), 0, table)
+    one = Frame(memoryview(make_frame(table, [(0, ids)])), 0, table)
     one.words = one.words.copy()
     one.words[int(one.first[2]) + 5] ^= 1 << 7
     assert one.read_range(0, 2 * 8192).tolist() == ids[: 2 * 8192].tolist()
@@ -119,7 +128,7 @@ def test_a_block_is_read_alone():
 
 def test_damaged_frames():
     ids, table = coded(5000)
-    raw = make_frame(table, [(0, ids.tobytes())])
+    raw = make_frame(table, [(0, ids)])
     other = coded(5000, 9)[1]
     broken = bytearray(raw)
     broken[-3] ^= 1
