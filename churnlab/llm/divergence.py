@@ -15,7 +15,7 @@ evaluated: by blocks of terms, each task adding its pairs up before the shuffle.
 
 A vocabulary passes through the driver and is broadcast, as CountVectorizer does.
 Its size is bounded: a language with more than ``max_terms`` distinct terms
-(counted by a sketch) is dealt by a hash of the term into slices, each with all
+(counted over all texts in a part of the hash range) is dealt by a hash of the term into slices, each with all
 occurrences of its terms and a CountVectorizer of its own. Document counts and
 sums stay exact, and the slices partition one written table, so the work stays in
 proportion to the input. There is one fit for each language and slice.
@@ -29,8 +29,8 @@ whatever their names, are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from itertools import chain
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
@@ -46,6 +46,10 @@ from churnlab.session import cut_lineage, scratch_path, shuffle_cleanup
 #: A term is a run of ASCII letters, lower-cased, and characters beyond ASCII (bytes from 0x80).
 _LETTERS = bytes(c | 0x20 if chr(c) in ascii_uppercase else c if c >= 0x80 or chr(c) in ascii_lowercase else 0x20 for c in range(256))
 SCALE = 1_000_000_000
+#: Distinct terms are counted in one of so many parts of the hash range, to size slices.
+SAMPLED = 64
+#: Sums that a task holds before it gives them out.
+HELD_ENTRIES = 4_000_000
 #: Entries in a block of terms, on average.
 BLOCK_ENTRIES = 100_000
 _COUNTS = "_k int, source string, tid long, term string, n long"
@@ -60,30 +64,77 @@ def _written(rows: DataFrame, name: str, *parts: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def terms_of(text: bytes) -> list[bytes]:
-    """The terms of a UTF-8 text, in order."""
-    return text.translate(_LETTERS).split()
+def normal(text: bytes) -> bytes:
+    """The terms of a UTF-8 text in order, with one space between."""
+    return b" ".join(text.translate(_LETTERS).split())
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row (_kind 0) for each text, and for each slice of texts and language a row
+    (_kind 1) with those of its distinct terms whose hash falls in a SAMPLED-th of all."""
     for batch in batches:
         for part in text_slices(batch):
-            lists = [terms_of(t) for t in part.column("_text").cast(pa.large_binary()).to_pylist()]
-            ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-            flat = pa.array(list(chain.from_iterable(lists)), pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([part.column("_k"), part.column("source"), pa.ListArray.from_arrays(ends, flat)],
-                                             ["_k", "source", "terms"])
-
-
-def term_lists(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> tuple[DataFrame, dict[int, str]]:
-    """(_k, source, terms) of every document, a folder for each language, and the
-    languages by number."""
+            ks, texts = part.column("_k").to_pylist(), [normal(t) for t in part.column("_text").cast(pa.large_binary()).to_pylist()]
+            found: dict[int, set[bytes]] = {k: set() for k in ks}
+            for k, t in zip(ks, texts):
+                found[k].update(t.split())
+            picked = [b" ".join([t for t in ts if zlib.crc32(t) % SAMPLED == 0]) for ts in found.values()]
+            sources = pa.chunked_array([part.column("source"), pa.nulls(len(found), pa.string())]).combine_chunks()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*ks, *found], pa.int32()), pa.array([0] * len(ks) + [1] * len(found), pa.int32()), sources,
+                 pa.array(texts + picked, pa.binary()).cast(pa.string())], ["_k", "_kind", "source", "text"])
+
+
+def term_texts(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> tuple[DataFrame, dict[int, str]]:
+    """(_k, _kind, source, text), a folder for each language and kind (``_term_rows``),
+    and the languages by number."""
     text = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     rows = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("_text"))
     langs = sorted(r.lang for r in rows.select("lang").distinct().collect())
     number = F.array_position(F.array(*map(F.lit, langs)).cast("array<string>"), F.col("lang")) - 1
-    rows = rows.select(number.cast("int").alias("_k"), "source", "_text").mapInArrow(_term_rows, "_k int, source string, terms array<string>")
-    return _written(rows, "terms", "_k"), dict(enumerate(langs))
+    rows = rows.select(number.cast("int").alias("_k"), "source", "_text").mapInArrow(_term_rows, "_k int, _kind int, source string, text string")
+    return _written(rows, "terms", "_k", "_kind"), dict(enumerate(langs))
+
+
+def _terms(text: str = "text") -> Column:
+    return F.when(F.col(text) == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
+
+
+def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    key, value = np.concatenate(keys), np.concatenate(values)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(value[order], first) if len(key) else value
+
+
+def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(source, idx, n): sparse vectors (source, indices, values) added up by source.
+    At most about HELD_ENTRIES sums are held; more are given out and begun anew."""
+    number: dict[str, int] = {}
+    keys, values, held = [], [], 0
+
+    def given():
+        key, value = _summed(keys, values)
+        names = pa.array(list(number), pa.string()).take(pa.array(key >> 32))
+        return pa.RecordBatch.from_arrays([names, pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(value)], ["source", "idx", "n"])
+
+    for batch in batches:
+        group = np.array([number.setdefault(s, len(number)) for s in batch.column("source").to_pylist()], np.int64)
+        idx, n = batch.column("indices"), batch.column("values")
+        size = np.diff(np.asarray(idx.offsets))
+        key, value = _summed([np.repeat(group << 32, size) + np.asarray(idx.flatten())], [np.asarray(n.flatten()).astype(np.int64)])
+        keys.append(key)
+        values.append(value)
+        held += len(key)
+        if held > HELD_ENTRIES:
+            keys, values = ([x] for x in _summed(keys, values))
+            held = len(keys[0])
+            if held > HELD_ENTRIES // 2:
+                yield given()
+                keys, values, held = [], [], 0
+    if keys:
+        yield given()
 
 
 def vector_sums(rows: DataFrame, min_docs: int) -> DataFrame | None:
@@ -101,22 +152,22 @@ def vector_sums(rows: DataFrame, min_docs: int) -> DataFrame | None:
     model.save(path)  # the driver's JVM writes it; nothing comes to Python
     vocabulary = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("idx", "term"))
     vector = F.unwrap_udt("vector")
-    entries = model.transform(rows).select("source", F.inline(F.arrays_zip(vector["indices"].alias("idx"), vector["values"].alias("n"))))
-    sums = entries.groupBy("source", "idx").agg(F.sum(F.col("n").cast("long")).alias("n"))
+    sums = model.transform(rows).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
+    sums = sums.mapInArrow(_group_sums, "source string, idx int, n long").groupBy("source", "idx").agg(F.sum("n").alias("n"))
     return sums.join(vocabulary, "idx")
 
 
-def term_counts(lists: DataFrame, langs: dict[int, str], min_docs: int, max_terms: int) -> DataFrame:
+def term_counts(texts: DataFrame, langs: dict[int, str], min_docs: int, max_terms: int) -> DataFrame:
     """(_k, source, tid, term, n): occurrences of every kept term in every group that
     has it; ``tid`` numbers the terms of a language."""
-    spark = lists.sparkSession
+    spark = texts.sparkSession
     if not langs:
         return spark.createDataFrame([], _COUNTS)
-    distinct = lists.select("_k", F.explode("terms").alias("t")).groupBy("_k").agg(F.approx_count_distinct("t", 0.03).alias("n"))
-    slices = {r["_k"]: -(-r["n"] // max_terms) for r in distinct.collect()}
+    sampled = texts.where("_kind = 1").select("_k", F.explode(_terms()).alias("t")).groupBy("_k").agg(F.countDistinct("t").alias("n"))
+    slices = {r["_k"]: -(-SAMPLED * r["n"] // max_terms) for r in sampled.collect()}
     out = []
     for k in langs:
-        own, n = lists.where(F.col("_k") == k), slices.get(k, 0)
+        own, n = texts.where((F.col("_k") == k) & (F.col("_kind") == 0)).select("source", _terms().alias("terms")), slices.get(k, 1)
         if n > 1:
             dealt = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda s: F.struct(
                 s.cast("int").alias("_slice"), F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(n)) == s).alias("terms")))
@@ -201,12 +252,12 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     terms with a larger share in the group than in its language, ``top_terms`` ranks."""
     spark = docs.sparkSession
     prepare(spark)
-    lists, langs = term_lists(docs, text_col, lang_col, source_col)
-    counts = term_counts(lists, langs, min_docs, max_terms)
+    texts, langs = term_texts(docs, text_col, lang_col, source_col)
+    counts = term_counts(texts, langs, min_docs, max_terms)
     terms = cut_lineage(counts.groupBy("_k", "tid").agg(F.sum("n").alias("lang_n")), "lang_terms")
     sizes = terms.groupBy("_k").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
     totals = counts.groupBy("_k", "source").agg(F.sum("n").alias("total"))
-    groups = lists.groupBy("_k", "source").agg(F.count("*").alias("docs")).join(totals, ["_k", "source"], "left").join(sizes, "_k", "left")
+    groups = texts.where("_kind = 0").groupBy("_k", "source").agg(F.count("*").alias("docs")).join(totals, ["_k", "source"], "left").join(sizes, "_k", "left")
     groups = groups.na.fill(0, ["v", "total", "lang_total"]).withColumns({
         "g": (F.row_number().over(Window.partitionBy("_k").orderBy("source")) - 1).cast("int"),
         "none": F.when(F.col("v") > 0, share("0", "total", "v")).otherwise(1)})

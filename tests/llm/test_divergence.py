@@ -5,10 +5,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from churnlab.llm import divergence
-from churnlab.llm.divergence import source_divergence, term_lists
+from churnlab.llm.divergence import source_divergence, term_texts
 
 SCHEMA = "doc_id long, text string, lang string, source string, _k int, idx int, term string, terms string, n string, vector string"
 
@@ -66,14 +67,17 @@ def test_against_plain(spark, rows):
 def test_slices_and_blocks(spark, monkeypatch):
     """Vocabularies dealt to many slices, terms to many blocks, few ranks."""
     monkeypatch.setattr(divergence, "BLOCK_ENTRIES", 20)
-    rows = made(4, 120)
-    got = source_divergence(frame(spark, rows), min_docs=2, top_terms=5, max_terms=15)
+    written, put = [], divergence._written
+    monkeypatch.setattr(divergence, "_written", lambda rows, name, *parts: written.append(name) or put(rows, name, *parts))
+    rows = made(4, 120, 400)
+    got = source_divergence(frame(spark, rows), min_docs=2, top_terms=5, max_terms=20)
     assert sorted(map(tuple, got.collect())) == brute(rows, 2, 5)
+    assert written.count("slices") >= 2
 
 
 def test_empty(spark):
     assert source_divergence(frame(spark, AWKWARD).limit(0)).count() == 0
-    assert term_lists(frame(spark, AWKWARD).limit(0), "text", "lang", "source")[1] == {}
+    assert term_texts(frame(spark, AWKWARD).limit(0), "text", "lang", "source")[1] == {}
 
 
 def test_shares_are_exact(spark):
@@ -83,6 +87,24 @@ def test_shares_are_exact(spark):
     assert got == 1 + 10**9 * (n + 1) // (total + v)
 
 
+def test_group_sums_given_out(monkeypatch):
+    """Sums that are given out in parts add up to the whole."""
+    monkeypatch.setattr(divergence, "HELD_ENTRIES", 30)
+    rnd, want, batches = np.random.default_rng(1), Counter(), []
+    for _ in range(12):
+        rows = [(f"s{rnd.integers(3)}", sorted(rnd.choice(40, rnd.integers(0, 9), replace=False).tolist())) for _ in range(5)]
+        values = [[float(rnd.integers(1, 9)) for _ in i] for _, i in rows]
+        for (s, i), v in zip(rows, values):
+            want.update({(s, x): int(y) for x, y in zip(i, v)})
+        batches.append(pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows]), pa.array([i for _, i in rows], pa.list_(pa.int32())),
+                                                   pa.array(values, pa.list_(pa.float64()))], ["source", "indices", "values"]))
+    got, parts = Counter(), list(divergence._group_sums(iter(batches)))
+    for b in parts:
+        for s, i, n in zip(*(b.column(c).to_pylist() for c in ("source", "idx", "n"))):
+            got[s, i] += n
+    assert got == want and len(parts) > 1 and not list(divergence._group_sums(iter([])))
+
+
 def test_pair_sums_of_a_block():
     rnd = np.random.default_rng(0)
     none = np.array([3, 5, 2], np.int64)
