@@ -54,7 +54,7 @@ FRAME_TOKENS, BLOCK_TOKENS, LANES = 1 << 18, 8192, 32
 #: Frames in a file, at most, and ids in a file, on average.
 FILE_FRAMES, FILE_TOKENS = 64, 4_000_000
 #: Distinct words in each of the two generations that a worker keeps, and the longest word kept (bytes).
-KEPT_WORDS, KEPT_BYTES = 300_000, 64
+KEPT_WORDS, KEPT_BYTES = 500_000, 64
 # A public file's normalizer and pre-tokenizer, to tell whether the direct way holds.
 _NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
                                                {"type": "Lowercase"}]}
