@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.functions import ratio
+from churnlab.session import cut_lineage
 
 
 def _in_facet(facet: str, values: list) -> Column:
@@ -123,3 +124,28 @@ def flip_test(model, rows: DataFrame, facet: str, facet_values: list, counterfac
                    F.count_if((F.col("_p0") == 0) & (F.col("_p1") == 1)).alias("n_up"),
                    F.count_if((F.col("_p0") == 1) & (F.col("_p1") == 0)).alias("n_down"))
     return c.withColumn("ft", ratio(F.col("n_up") - F.col("n_down"), "n_d"))
+
+
+def nearest_pairs(df: DataFrame, features: list[str], key: str = "msno", pred: str = "prediction", facet: str = "gender",
+                  facet_values: list = ("female",), steps: int = 1000, **options) -> DataFrame:
+    """One row per facet-d row: its key and prediction, the nearest facet-a row (key
+    ``near``, prediction ``near_pred``) and the squared distance ``d2`` over the
+    standardised features on a grid of ``steps`` to a standard deviation."""
+    from churnlab.operators.nearest import nearest_points, on_grid
+
+    d = _in_facet(facet_column(df, facet), list(facet_values))
+    rows = on_grid(df, features, "v", steps).select(F.col(key).cast("string").alias("key"), F.col(pred).cast("double").alias("value"), "v", d.alias("d"))
+    rows = cut_lineage(rows, "points")
+    asked = rows.where("d")
+    found = nearest_points(asked, rows.where("NOT d"), **options).select("v", "d2", F.col("key").alias("near"), F.col("value").alias("near_pred"))
+    return asked.join(found, "v", "left").select(F.col("key").alias(key), F.col("value").alias(pred), "near", "near_pred", "d2")
+
+
+def flip_test_nearest(df: DataFrame, features: list[str], key: str = "msno", pred: str = "prediction", facet: str = "gender",
+                      facet_values: list = ("female",), **options) -> DataFrame:
+    """Q14 flip test: FT = (d rows predicted 0 whose nearest a row is predicted 1, less
+    the reverse) / n_d. Nearest rows are exact; equally near ones: the smallest key."""
+    p, q = F.col(pred), F.col("near_pred")
+    pairs = nearest_pairs(df, features, key, pred, facet, facet_values, **options)
+    c = pairs.agg(F.count(F.lit(1)).alias("n_d"), F.count_if((p == 0) & (q == 1)).alias("n_up"), F.count_if((p == 1) & (q == 0)).alias("n_down"))
+    return c.withColumn("ft", ratio(F.col("n_up") - F.col("n_down"), "n_d"))

@@ -7,17 +7,26 @@ numbers reach the driver, never rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Imputer, StringIndexer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlab.functions import hash_bucket
 from churnlab.functions.hashing import MODULO
 from churnlab.functions.running import running_totals
+from churnlab.functions.selection import kth_smallest
+from churnlab.session import cut_lineage
 
 OTHER = "other"
 
 
+def present(c: str) -> Column:
+    """The column as double, NaN as NULL: both are missing values here, as in pandas."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 # ---------------------------------------------------------------- F10 split
 def split_assign(df: DataFrame, weights=(0.7, 0.2, 0.1), names=("train", "test", "validation"),
                  seed: int = 200, key: str = "msno", out: str = "split") -> DataFrame:
@@ -38,6 +47,30 @@ def split_assign(df: DataFrame, weights=(0.7, 0.2, 0.1), names=("train", "test",
     return df.withColumn(out, expr)
 
 
+def key_hash(key: str, seed: int) -> Column:
+    """60 bits of md5(key|seed)."""
+    return F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), 1, 15), 16, 10).cast("long")
+
+
+def split_exact(df: DataFrame, stages: list[tuple[float, str, int]], rest: str, key: str = "msno", out: str = "split") -> DataFrame:
+    """Splits of exact sizes. A stage (share, name, seed) takes ``ceil(share * n)`` of the
+    ``n`` rows that the stages before it left, those with the smallest key hashes under its
+    seed; what is left in the end is ``rest``. Sizes are exact for unique keys; rows that
+    share a key stay together. The same rows whatever the partitioning, without a sort:
+    a threshold is found by ``kth_smallest``, in a few passes over the keys."""
+    keys, name = cut_lineage(df.select(key), "split_keys"), F.lit(None).cast("string")
+    left, n = keys, keys.count()
+    for share, stage, seed in stages:
+        take = math.ceil(share * n - 1e-9)
+        if not take:
+            continue
+        edge = kth_smallest(left, key_hash(key, seed), [take])[0]
+        name = F.coalesce(name, F.when(key_hash(key, seed) <= edge, F.lit(stage)))
+        left = left.where(key_hash(key, seed) > edge)
+        n = left.count()
+    return df.withColumn(out, F.coalesce(name, F.lit(rest)))
+
+
 # ----------------------------------------------------------- F11/F12 impute
 def fit_mean_imputer(train: DataFrame, cols: list[str]):
     """MLlib Imputer (mean): fit on the training rows, one aggregate."""
@@ -67,7 +100,7 @@ def long_value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     aggregate with map-side combine (the input of exact quantiles and exact
     distinct counts)."""
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
+        F.struct(F.lit(c).alias("column"), present(c).alias("v")) for c in cols]))
     return (df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
               .groupBy("column", "v").agg(F.count(F.lit(1)).alias("k")))
 
@@ -104,7 +137,7 @@ def fit_median_imputer(train: DataFrame, cols: list[str]) -> dict[str, float | N
 
 def impute_with(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
     return df.withColumns({
-        c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double")) for c, v in values.items()})
+        c: F.coalesce(present(c), F.lit(v).cast("double")) for c, v in values.items()})
 
 
 # ---------------------------------------------------- F13/F14 string index
@@ -116,7 +149,7 @@ def fit_string_indexer(train: DataFrame, cols: list[str], max_levels: int = 100_
     """One multi-column indexer: frequency descending, ties alphabetical;
     unseen labels get the extra index ``numLabels``. The vocabularies come to the
     driver, so their sizes are checked first (by a sketch): a column with more
-    than ``max_levels`` is refused, never truncated; ``one_hot_long`` has no such list."""
+    than ``max_levels`` is refused, never truncated; ``fit_dictionary`` has no such limit."""
     sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first().asDict()
     too_many = sorted(c for c, n in sizes.items() if n > max_levels)
     if too_many:
@@ -126,6 +159,34 @@ def fit_string_indexer(train: DataFrame, cols: list[str], max_levels: int = 100_
                          stringOrderType="frequencyDesc").fit(fill_other(train, cols))
 
 
+def fit_dictionary(train: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, level, n, index) written out: the vocabularies of ``fit_string_indexer``
+    (frequency descending, ties alphabetical, missing values as ``OTHER``) for columns of any
+    number of levels. Levels are counted with map-side combine and ranked by running counts
+    over range slices; nothing comes to the driver."""
+    levels = (fill_other(train.select(*cols), cols)
+              .select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in cols])).alias("p"))
+              .select("p.*").groupBy("column", "level").agg(F.count(F.lit(1)).alias("n")))
+    order = levels.withColumns({"order": F.struct((-F.col("n")).alias("n"), F.col("level").alias("level")), "one": F.lit(1)})
+    ranked = running_totals(order, "order", ["one"], group="column")
+    return cut_lineage(ranked.select("column", "level", "n", (F.col("cum_one") - 1).alias("index")), "dictionary")
+
+
+def dictionary_index(df: DataFrame, dictionary: DataFrame, cols: list[str], small: int = 100_000) -> DataFrame:
+    """``cols`` as their indices in ``dictionary``; unseen levels get the extra index, the
+    number of levels. A column with at most ``small`` levels (counted) is looked up in a
+    broadcast; a larger one by a join on the level, where a written dictionary on its own
+    side lets Spark split the partitions of hot levels by their measured size."""
+    sizes = {r["column"]: r["k"] for r in dictionary.groupBy("column").agg(F.count(F.lit(1)).alias("k")).collect()}
+    out = fill_other(df, cols)
+    for c in cols:
+        own = dictionary.where(F.col("column") == c).select(F.col("level").alias(c), F.col("index").alias("_index"))
+        if sizes.get(c, 0) <= small:
+            own = F.broadcast(own)
+        out = out.join(own, c, "left").withColumn(c, F.coalesce("_index", F.lit(sizes.get(c, 0))).cast("double")).drop("_index")
+    return out.select(*df.columns)
+
+
 def string_index(df: DataFrame, model, cols: list[str]) -> DataFrame:
     out = model.transform(fill_other(df, cols))
     return out.withColumns({c: F.col(f"{c}__idx") for c in cols}).drop(*[f"{c}__idx" for c in cols])
@@ -196,13 +257,13 @@ def _quoted(name: str) -> str:
 def fit_outlier_means(train: DataFrame, cols: list[str], z: float = 3.0) -> dict[str, dict]:
     """Per column: mean, sample std, mean of inliers (|z| < z) and the number
     of outliers (|z| > z). Two aggregates in total, whatever the column count."""
-    st = train.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                   *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()
+    st = train.agg(*[F.avg(present(c)).alias(f"m_{c}") for c in cols],
+                   *[F.stddev_samp(present(c)).alias(f"s_{c}") for c in cols]).first()
     aggs = []
     for c in cols:
         m, s = st[f"m_{c}"], st[f"s_{c}"]
-        zc = (F.col(c) - F.lit(m)) / F.lit(s) if s else F.lit(0.0)
-        aggs += [F.avg(F.when(F.abs(zc) < z, F.col(c))).alias(f"in_{c}"),
+        zc = (present(c) - F.lit(m)) / F.lit(s) if s else F.lit(0.0)
+        aggs += [F.avg(F.when(F.abs(zc) < z, present(c))).alias(f"in_{c}"),
                  F.count_if(F.abs(zc) > z).alias(f"n_{c}")]
     inl = train.agg(*aggs).first()
     return {c: {"mean": st[f"m_{c}"], "std": st[f"s_{c}"], "inlier_mean": inl[f"in_{c}"],
@@ -214,16 +275,16 @@ def outliers_to_mean(df: DataFrame, stats: dict[str, dict], z: float = 3.0) -> D
     for c, s in stats.items():
         if not s["std"]:
             continue
-        zc = (F.col(c) - F.lit(s["mean"])) / F.lit(s["std"])
-        exprs[c] = F.when(F.abs(zc) > z, F.lit(s["inlier_mean"])).otherwise(F.col(c).cast("double"))
+        zc = (present(c) - F.lit(s["mean"])) / F.lit(s["std"])
+        exprs[c] = F.when(F.abs(zc) > z, F.lit(s["inlier_mean"])).otherwise(present(c))
     return df.withColumns(exprs)
 
 
 # ------------------------------------------------------------- F18 scaling
 def fit_standardizer(train: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and POPULATION std per column (sklearn's StandardScaler rule)."""
-    r = train.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                  *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+    """Mean and POPULATION std per column (sklearn's StandardScaler rule) of the values that are there."""
+    r = train.agg(*[F.avg(present(c)).alias(f"m_{c}") for c in cols],
+                  *[F.stddev_pop(present(c)).alias(f"s_{c}") for c in cols]).first()
     return {c: (r[f"m_{c}"], r[f"s_{c}"]) for c in cols}
 
 
@@ -231,7 +292,7 @@ def standardize(df: DataFrame, stats: dict[str, tuple[float, float]]) -> DataFra
     exprs = {}
     for c, (m, s) in stats.items():
         scale = s if s else 1.0  # constant column: centre only (sklearn rule)
-        exprs[c] = (F.col(c).cast("double") - F.lit(m)) / F.lit(scale)
+        exprs[c] = (present(c) - F.lit(m)) / F.lit(scale)
     return df.withColumns(exprs)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlab.operators import evaluation as ev, explain, model as mdl
+from churnlab.operators import boosting, evaluation as ev, explain, model as mdl
 from churnlab.plans import features
 from churnlab.plans.job import run_model_job, split_frames
 from churnlab.plans.oracle import with_views
@@ -32,6 +32,22 @@ def q_train_gbt(spark, sf_dir):
     return spark.createDataFrame(mdl.feature_importances(mdl.train_gbt(_frames(spark, sf_dir)["train"])), schema)
 
 
+@register("train_boosted")
+def q_train_boosted(spark, sf_dir):
+    """Every node of the second-order trees: depth 5, eta 0.2, gamma 4, min_child_weight 6, subsample 0.7, 50 rounds."""
+    model = boosting.train_boosted(_frames(spark, sf_dir)["train"], mdl.FEATURE_INPUTS)
+    return spark.createDataFrame(boosting.tree_rows(model), boosting.TREE_SCHEMA)
+
+
+@register("score_boosted")
+def q_score_boosted(spark, sf_dir):
+    """Held-out rows scored by the second-order trees of ten rounds."""
+    fr = _frames(spark, sf_dir)
+    model = boosting.train_boosted(fr["train"], mdl.FEATURE_INPUTS, num_round=10)
+    held_out = fr["test"].unionByName(fr["validation"])
+    return boosting.score_boosted(model, held_out).select("msno", "split", "is_churn", "score", "prediction")
+
+
 @register("loss_curve")
 def q_loss_curve(spark, sf_dir):
     fr = _frames(spark, sf_dir)

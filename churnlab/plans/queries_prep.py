@@ -9,6 +9,7 @@ from churnlab.plans import features
 from churnlab.plans.oracle import CATS, FEATURE_DOUBLES, IMPUTE, LOGS, OUTLIER, SCALE, with_views
 from churnlab.plans.registry import register
 from churnlab.schemas import LEVELS
+from churnlab.sources import adapters
 
 
 @register("split_assign", with_views("SELECT msno, split FROM split", "split"))
@@ -75,3 +76,47 @@ def q_oversampled(spark, sf_dir):
 @register("features_final", with_views("SELECT * FROM final", "final"), round_cols=tuple(FEATURE_DOUBLES))
 def q_features_final(spark, sf_dir):
     return features.final(spark, sf_dir)
+
+
+# ------------------------------------------------- exact splits, dictionaries
+EXACT_STAGES = [(0.33, "test", 42), (0.125, "validation", 43)]  # fixed values: 67/33, then 87.5/12.5 of the rest
+
+
+def _hash_sql(seed):
+    return f"CAST(('0x' || substr(md5(msno || '|{seed}'), 1, 15)) AS BIGINT)"
+
+
+@register("split_exact", with_views(f"""
+SELECT msno, CASE WHEN k1 <= ceil(0.33 * n1) THEN 'test' WHEN k2 <= ceil(0.125 * n2) THEN 'validation' ELSE 'train' END AS split
+FROM (SELECT *, row_number() OVER (PARTITION BY k1 <= ceil(0.33 * n1) ORDER BY {_hash_sql(43)}) AS k2,
+             count(*) OVER (PARTITION BY k1 <= ceil(0.33 * n1)) AS n2
+      FROM (SELECT msno, row_number() OVER (ORDER BY {_hash_sql(42)}) AS k1, count(*) OVER () AS n1 FROM features_clean) a) b""",
+    "features_clean"))
+def q_split_exact(spark, sf_dir):
+    return prep.split_exact(features.clean(spark, sf_dir).select("msno"), EXACT_STAGES, "train")
+
+
+_LEVELS_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", coalesce(CAST({c} AS VARCHAR), 'other') AS level, count(*) AS n FROM {t} GROUP BY 2"
+    for c, t in (("msno", "transactions"), ("transaction_date", "transactions")))
+
+
+@register("dictionary_levels", with_views(f"""
+SELECT "column", level, n, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, level) - 1 AS index
+FROM ({_LEVELS_SQL}) v""", "transactions"))
+def q_dictionary_levels(spark, sf_dir):
+    """The vocabularies of columns with many levels: users and dates of the transactions."""
+    return prep.fit_dictionary(adapters.transactions(spark, sf_dir), ["msno", "transaction_date"])
+
+
+@register("dictionary_index", with_views(f"""
+SELECT t.transaction_date AS raw_date, t.plan_list_price, CAST(u.index AS DOUBLE) AS msno, CAST(d.index AS DOUBLE) AS transaction_date
+FROM transactions t
+JOIN (SELECT level, row_number() OVER (ORDER BY n DESC, level) - 1 AS index FROM ({_LEVELS_SQL}) v WHERE "column" = 'msno') u ON u.level = t.msno
+JOIN (SELECT level, row_number() OVER (ORDER BY n DESC, level) - 1 AS index FROM ({_LEVELS_SQL}) v WHERE "column" = 'transaction_date') d
+  ON d.level = CAST(t.transaction_date AS VARCHAR)""", "transactions"))
+def q_dictionary_index(spark, sf_dir):
+    """Transactions with user and date as indices of their own vocabularies; users by the join that any vocabulary takes."""
+    t = adapters.transactions(spark, sf_dir).select("msno", "transaction_date", "plan_list_price", F.col("transaction_date").alias("raw_date"))
+    dictionary = prep.fit_dictionary(t, ["msno", "transaction_date"])
+    return prep.dictionary_index(t, dictionary, ["msno", "transaction_date"], small=1000)

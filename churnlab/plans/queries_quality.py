@@ -104,6 +104,37 @@ def q_bias_posttrain(spark, sf_dir):
     return bias.posttraining_bias(bias_frame(spark, sf_dir), "is_churn", "prediction", "gender", ["female"])
 
 
+# Nearest rows over the standardised columns of the pandas path, in DuckDB by comparing all with all.
+def _grid_sql(c):
+    return f"coalesce(round((f.{c} - m.m_{c}) / CASE WHEN m.s_{c} = 0 THEN 1.0 ELSE m.s_{c} END * 1000), 0.0)::BIGINT AS {c}"
+
+
+view("flip_points", ["aged", "predictions"], "SELECT f.msno, p.prediction, coalesce(f.gender IN ('female'), false) AS d, "
+     + ", ".join(_grid_sql(c) for c in features.SCALE_COLUMNS) + " FROM aged f JOIN predictions p USING (msno), (SELECT "
+     + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in features.SCALE_COLUMNS) + " FROM aged) m")
+view("flip_pairs", ["flip_points"], "SELECT msno, prediction, near, near_pred, d2 FROM (SELECT x.msno, x.prediction, y.msno AS near, "
+     "y.prediction AS near_pred, " + " + ".join(f"(x.{c} - y.{c}) * (x.{c} - y.{c})" for c in features.SCALE_COLUMNS)
+     + " AS d2, row_number() OVER (PARTITION BY x.msno ORDER BY d2, y.msno) AS k FROM flip_points x, flip_points y "
+     "WHERE x.d AND NOT y.d) z WHERE k = 1")
+
+
+def flip_frame(spark, sf_dir):
+    return cut_lineage(adapters.with_predictions(features.aged(spark, sf_dir)).drop("score"), "flip")
+
+
+@register("bias_flip_pairs", with_views("SELECT * FROM flip_pairs", "flip_pairs"))
+def q_bias_flip_pairs(spark, sf_dir):
+    return bias.nearest_pairs(flip_frame(spark, sf_dir), features.SCALE_COLUMNS)
+
+
+@register("bias_flip_nearest", with_views("""
+SELECT n_d, n_up, n_down, (n_up - n_down) / nullif(n_d, 0) AS ft
+FROM (SELECT count(*) AS n_d, count(*) FILTER (WHERE prediction = 0 AND near_pred = 1) AS n_up,
+             count(*) FILTER (WHERE prediction = 1 AND near_pred = 0) AS n_down FROM flip_pairs) c""", "flip_pairs"), round_cols=("ft",))
+def q_bias_flip_nearest(spark, sf_dir):
+    return bias.flip_test_nearest(flip_frame(spark, sf_dir), features.SCALE_COLUMNS)
+
+
 # -------------------------------------------------------------- quality
 # The checked table is the split per-user frame before imputation and encoding;
 # its training rows are the baseline, its validation rows the incoming data.
