@@ -31,6 +31,17 @@ def assert_unique_key(df: DataFrame, key: str) -> None:
         raise ValueError(f"key {key!r} is not unique")
 
 
+def unique_by(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with the check in its plan that no key occurs twice: a repeated key raises
+    when the rows are computed, instead of doubling a user in a join. The rows are
+    exchanged by the key, as the join that follows needs them."""
+    others = [c for c in df.columns if c != key]
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*others)).alias("_row"))
+    fault = F.raise_error(F.concat(F.lit(f"key {key!r} is not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))
+    own = F.when(F.col("_n") > 1, fault.cast(df.schema[key].dataType)).otherwise(F.col(key))
+    return rows.select(own.alias(key), "_row.*").select(df.columns)
+
+
 def features_joined(train: DataFrame, txn: DataFrame, members: DataFrame, log_feats: DataFrame) -> DataFrame:
     """labels LEFT JOIN transactions LEFT JOIN members LEFT JOIN logs on msno.
 
@@ -39,7 +50,7 @@ def features_joined(train: DataFrame, txn: DataFrame, members: DataFrame, log_fe
     reordered. A hot user is still one row per side here.
     """
     return (train.join(txn, on="msno", how="left")
-                 .join(members, on="msno", how="left")
+                 .join(unique_by(members, "msno"), on="msno", how="left")
                  .join(log_feats, on="msno", how="left"))
 
 

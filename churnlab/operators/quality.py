@@ -24,11 +24,12 @@ QUANTILES = (0.25, 0.5, 0.75)
 
 def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct: bool = False) -> DataFrame:
     """(column, n, n_missing, mean, total, std, min, max, n_distinct, integral,
-    p25, p50, p75, type, min_text, max_text) per column, of any atomic type.
+    p25, p50, p75, type, min_text, max_text, total_text) per column, of any atomic type.
 
     Counts and moments come from ONE aggregate turned into one row per column
     with ``inline``. Moments and quartiles are NULL where a column is not numeric;
-    there ``min_text``/``max_text`` hold its range in text form. With
+    there ``min_text``/``max_text`` hold its range in text form; for whole numbers
+    they, and ``total_text``, hold the exact figures that a double may round. With
     ``exact_distinct`` distinct counts and quartiles are exact: rows are counted
     per (column, value) once, written out, and both read that table; otherwise a
     HyperLogLog++ sketch and ``percentile_approx`` inside the same aggregate.
@@ -39,9 +40,12 @@ def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct:
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
+        whole = isinstance(types[c], _INTEGRAL)
+        exact = F.sum(F.col(c).cast("decimal(38,0)")) if whole else F.lit(None).cast("string")
         aggs += [F.count_if(F.col(c).isNull()).alias(f"m{i}"), F.avg(x).alias(f"a{i}"), F.sum(x).alias(f"s{i}"),
+                 exact.cast("string").alias(f"st{i}"),
                  F.stddev_samp(x).alias(f"d{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 *[(f(c).cast("string") if c not in numeric else F.lit(None).cast("string")).alias(f"{n}{i}")
+                 *[(f(c).cast("string") if whole or c not in numeric else F.lit(None).cast("string")).alias(f"{n}{i}")
                    for f, n in ((F.min, "lt"), (F.max, "ht"))]]
         if not exact_distinct:
             aggs += [F.approx_count_distinct(F.col(c)).alias(f"k{i}"),
@@ -56,7 +60,7 @@ def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct:
         *[(F.lit(None).cast("double") if exact_distinct else F.col(f"q{i}")[j]).alias(q)
           for j, q in enumerate(_QNAMES)],
         F.lit(types[c].simpleString()).alias("type"), F.col(f"lt{i}").alias("min_text"),
-        F.col(f"ht{i}").alias("max_text")) for i, c in enumerate(cols)])
+        F.col(f"ht{i}").alias("max_text"), F.col(f"st{i}").alias("total_text")) for i, c in enumerate(cols)])
     prof = wide.select(F.inline(rows))
     if exact_distinct:
         from churnlab.operators.prep import quantiles_from_counts
@@ -76,7 +80,7 @@ def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct:
 
 _QNAMES = ("p25", "p50", "p75")
 PROFILE_FIELDS = ["column", "n", "n_missing", "mean", "total", "std", "min", "max", "n_distinct", "integral", *_QNAMES,
-                  "type", "min_text", "max_text"]
+                  "type", "min_text", "max_text", "total_text"]
 
 
 def value_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -111,12 +115,13 @@ def suggest_constraints(profile: DataFrame, domains: DataFrame | None = None) ->
     return out
 
 
-def domain_violations(current_rows: DataFrame, domains: DataFrame) -> DataFrame:
+def domain_violations(current_rows: DataFrame, domains: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(column, check='domain', baseline_value=NULL, observed_value=#rows whose
     non-null value lies outside the baseline domain). Rows are counted per
     (column, value) before the anti-join with the domain rows."""
-    have = {r["column"] for r in domains.select("column").distinct().collect()}  # column names
-    cols = [c for c in current_rows.columns if c in have]
+    if cols is None:
+        cols = [r["column"] for r in domains.select("column").distinct().collect()]  # column names
+    cols = [c for c in current_rows.columns if c in set(cols)]
     if not cols:
         return current_rows.sparkSession.createDataFrame(
             [], "column string, check string, baseline_value double, observed_value double")
@@ -128,14 +133,15 @@ def domain_violations(current_rows: DataFrame, domains: DataFrame) -> DataFrame:
 
 
 def drift_violations(baseline: DataFrame, current: DataFrame, mean_shift_stds: float = 1.0,
-                     domains: DataFrame | None = None, current_rows: DataFrame | None = None) -> DataFrame:
+                     domains: DataFrame | None = None, current_rows: DataFrame | None = None,
+                     domain_cols: list[str] | None = None) -> DataFrame:
     """One row per violated check: (column, check, baseline_value, observed_value).
 
     Checks: completeness fell; negative values where the baseline had none;
     mean moved by more than ``mean_shift_stds`` baseline standard deviations;
     column missing from the current data, or of another type there (reported
     without values); with ``domains`` and the current rows, values outside a
-    baseline category domain. Profiles are one row per
+    baseline category domain (of ``domain_cols``, the columns that have one). Profiles are one row per
     column, so their join is small and bounded by the column count.
     """
     b = suggest_constraints(baseline).withColumnRenamed("type", "b_type").join(
@@ -158,12 +164,13 @@ def drift_violations(baseline: DataFrame, current: DataFrame, mean_shift_stds: f
                  F.coalesce(F.col("non_negative") & (F.col("c_min") < 0), F.lit(False)).alias("bad")),
         F.struct(F.lit("mean_shift").alias("check"), F.col("b_mean").alias("baseline_value"),
                  F.col("c_mean").alias("observed_value"),
-                 F.coalesce(F.abs(F.col("c_mean") - F.col("b_mean")) > F.lit(mean_shift_stds) * F.col("b_std"),
+                 # a baseline of one value has no deviation: any other mean is a shift
+                 F.coalesce(F.abs(F.col("c_mean") - F.col("b_mean")) > F.lit(mean_shift_stds) * F.coalesce("b_std", F.lit(0.0)),
                             F.lit(False)).alias("bad")),
     )
     out = j.select("column", F.inline(checks)).where("bad").drop("bad")
     if domains is not None and current_rows is not None:
-        out = out.unionByName(domain_violations(current_rows, domains))
+        out = out.unionByName(domain_violations(current_rows, domains, domain_cols))
     return out
 
 

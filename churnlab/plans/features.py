@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.operators import prep
-from churnlab.operators.assemble import features_clean, rare_bucketed
+from churnlab.operators.assemble import features_clean, rare_bucketed, unique_by
 from churnlab.operators.logs import log_means
 from churnlab.operators.members import age_capped, drop_incomplete, members_filled, tenure_years
 from churnlab.operators.transactions import labelled_txn_features
@@ -20,7 +20,7 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     LEFT JOIN members LEFT JOIN log means."""
     labelled = labelled_txn_features(adapters.transaction_history(spark, sf_dir), "activity_date",
                                      adapters.AS_OF, adapters.HORIZON_DAYS)
-    return (labelled.join(members_filled(adapters.members(spark, sf_dir)), on="msno", how="left")
+    return (labelled.join(unique_by(members_filled(adapters.members(spark, sf_dir)), "msno"), on="msno", how="left")
                     .join(log_means(adapters.user_logs(spark, sf_dir)), on="msno", how="left"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnlab.operators import bias, profile, quality
+from churnlab.operators import bias, drift, profile, quality, sketches
 from churnlab.plans import features
 from churnlab.plans.oracle import parse_ymd, view, with_views
 from churnlab.plans.registry import register
@@ -149,12 +149,14 @@ def _profile_sql(where, table="split"):
         t = _TYPES.get(c, "double")
         x = f"CAST({c} AS DOUBLE)" if t != "string" else "CAST(NULL AS DOUBLE)"
         quartiles = ", ".join(f"quantile_cont({x}, {q}) AS p{round(100 * q)}" for q in (0.25, 0.5, 0.75))
-        text = (f"min({c})", f"max({c})") if t == "string" else ("CAST(NULL AS VARCHAR)",) * 2
+        text = (f"CAST(min({c}) AS VARCHAR)", f"CAST(max({c}) AS VARCHAR)") if t in ("string", "int") else ("CAST(NULL AS VARCHAR)",) * 2
+        total_text = f"CAST(sum({c}) AS VARCHAR)" if t == "int" else "CAST(NULL AS VARCHAR)"
         parts.append(
             f"SELECT '{c}' AS feature, count(*) AS n, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, avg({x}) AS mean, "
             f"sum({x}) AS total, stddev_samp({x}) AS std, min({x}) AS min, max({x}) AS max, "
             f"count(DISTINCT {c}) AS n_distinct, {'true' if t == 'int' else 'false'} AS integral, {quartiles}, "
-            f"'{t}' AS type, {text[0]} AS min_text, {text[1]} AS max_text FROM {table} WHERE {where}")
+            f"'{t}' AS type, {text[0]} AS min_text, {text[1]} AS max_text, "
+            f"{total_text} AS total_text FROM {table} WHERE {where}")
     return " UNION ALL ".join(parts)
 
 
@@ -216,10 +218,66 @@ def q_drift_violations(spark, sf_dir):
     train, incoming = _rows(spark, sf_dir)
     base, cur = (quality.profile_table(x, PROFILE_COLS) for x in (train, incoming))
     domains = quality.category_domains(train, CATEGORICAL_COLUMNS)
-    return (quality.drift_violations(base, cur, mean_shift_stds=0.05, domains=domains, current_rows=incoming)
+    return (quality.drift_violations(base, cur, mean_shift_stds=0.05, domains=domains, current_rows=incoming,
+                                     domain_cols=CATEGORICAL_COLUMNS)
             .withColumnRenamed("column", "feature"))
 
 
+# ------------------------------------------------- distribution drift, merged sketches
+DRIFT_NUMERIC = [c for c in PROFILE_COLS if c not in CATEGORICAL_COLUMNS and c != "is_churn"]
+
+
+def _ks_sql(c):
+    return f"""SELECT '{c}' AS feature, 'ks' AS "check", max(nb) AS n_baseline, max(nc) AS n_current, max(abs(cb / nb - cc / nc)) AS distance,
+       sqrt(-ln(0.05 / 2) / 2) * sqrt((max(nb) + max(nc)) / (max(nb) * max(nc))) AS threshold
+FROM (SELECT sum(b) OVER (ORDER BY v) AS cb, sum(c) OVER (ORDER BY v) AS cc, sum(b) OVER () AS nb, sum(c) OVER () AS nc
+      FROM (SELECT CAST({c} AS DOUBLE) AS v, count(*) FILTER (WHERE split = 'train') AS b, count(*) FILTER (WHERE split = 'validation') AS c
+            FROM split WHERE {c} IS NOT NULL AND split <> 'test' GROUP BY 1) g) w"""
+
+
+def _tv_sql(c):
+    return f"""SELECT '{c}' AS feature, 'tv' AS "check", max(nb) AS n_baseline, max(nc) AS n_current, sum(abs(b / nb - c / nc)) / 2 AS distance,
+       sqrt((count(*) * ln(2) + ln(2 / 0.05)) / (2 * max(nb))) + sqrt((count(*) * ln(2) + ln(2 / 0.05)) / (2 * max(nc))) AS threshold
+FROM (SELECT *, sum(b) OVER () AS nb, sum(c) OVER () AS nc
+      FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) FILTER (WHERE split = 'train') AS b, count(*) FILTER (WHERE split = 'validation') AS c
+            FROM split WHERE {c} IS NOT NULL AND split <> 'test' GROUP BY 1) g) w"""
+
+
+@register("distribution_drift", with_views(
+    "SELECT feature, \"check\", n_baseline::BIGINT AS n_baseline, n_current::BIGINT AS n_current, distance, threshold, distance > threshold AS drifted FROM ("
+    + " UNION ALL ".join([_ks_sql(c) for c in DRIFT_NUMERIC] + [_tv_sql(c) for c in CATEGORICAL_COLUMNS]) + ") d WHERE n_baseline > 0 AND n_current > 0",
+    "split"), round_cols=("distance", "threshold"))
+def q_distribution_drift(spark, sf_dir):
+    """Training rows against validation rows, every column."""
+    train, incoming = _rows(spark, sf_dir)
+    return drift.distribution_drift(train, incoming, DRIFT_NUMERIC, CATEGORICAL_COLUMNS).withColumnRenamed("column", "feature")
+
+
+_LOG_COLS = ["num_25", "num_50", "num_75", "num_985", "num_100", "num_unq", "total_secs"]
+
+
+@register("profile_merged", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) AS n, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, CAST(sum({c}) AS DOUBLE) AS total, avg({c}) AS mean, "
+    f"stddev_samp({c}) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, true AS quartiles_ok, true AS distinct_ok FROM user_logs" for c in _LOG_COLS),
+    "user_logs"), round_cols=("mean", "std"))
+def q_profile_merged(spark, sf_dir):
+    """The usage logs' profile merged from sketches that were stored month by month, the last
+    month in a second run; the sketches' quartiles and distinct counts against the data."""
+    logs = cut_lineage(adapters.user_logs(spark, sf_dir).withColumn("month", F.floor(F.col("date") / 100).cast("int")), "logs")
+    path = export_dir(spark, "sketches")
+    last = logs.agg(F.max("month")).first()[0]
+    sketches.add_parts(logs.where(F.col("month") < F.lit(last)), path, "month", _LOG_COLS)
+    sketches.add_parts(logs, path, "month", _LOG_COLS)
+    prof = cut_lineage(sketches.merged_profile(sketches.stored_sketches(spark, path)), "merged")
+    errors = sketches.rank_errors(logs, prof, _LOG_COLS)
+    exact = logs.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in _LOG_COLS])))
+    exact = exact.groupBy("column").agg(F.count_distinct("v").alias("d"))
+    near = F.abs(F.col("n_distinct") - F.col("d")) <= F.greatest(F.lit(2.0), 0.08 * F.col("d"))  # five standard errors
+    return (prof.join(errors, "column", "left").join(exact, "column")
+            .select(F.col("column").alias("feature"), "n", "n_missing", "total", "mean", "std", "min", "max",
+                    (F.coalesce("rank_error", F.lit(0.0)) <= 2 * sketches.RANK_ERROR).alias("quartiles_ok"), near.alias("distinct_ok")))
+
+
 # ----------------------------------------------------------- descriptive
 @register("dist_churn", with_views("""
 SELECT is_churn, count(*) AS n, count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM train) AS share

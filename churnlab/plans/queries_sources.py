@@ -98,3 +98,21 @@ SELECT msno, event_time, {', '.join(HISTORY_COLS)} FROM (
 WHERE rn = 1 AND NOT deleted""", "history"))
 def q_feature_dataset_asof(spark, sf_dir):
     return feature_table.feature_dataset_asof(written_history(spark, sf_dir), ASOF, HISTORY_COLS)
+
+
+WRITTEN_AT = _dt.datetime(2024, 1, 31, 12, 30, 5)
+
+
+@register("feature_ingest", with_views(f"""
+SELECT msno, revenue, regist_trans, TIMESTAMP '{WRITTEN_AT.isoformat(sep=' ')}' AS event_time,
+       '{WRITTEN_AT.isoformat()}.000Z' AS event_time_iso, false AS deleted, DATE '{WRITTEN_AT.date().replace(day=1)}' AS event_month
+FROM txn_features""", "txn_features"))
+def q_feature_ingest(spark, sf_dir):
+    """Users' transaction features stamped with the time of their write, appended and read back."""
+    from churnlab.operators.transactions import txn_features
+    from churnlab.sources import adapters
+
+    path = csv_io.export_dir(spark, "ingest")
+    rows = txn_features(adapters.transactions(spark, sf_dir)).select("msno", "revenue", "regist_trans")
+    feature_table.append_history(feature_table.stamped(rows, at=WRITTEN_AT), path)
+    return feature_table.read_history(spark, path).select("msno", "revenue", "regist_trans", "event_time", "event_time_iso", "deleted", "event_month")

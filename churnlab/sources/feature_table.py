@@ -11,7 +11,9 @@ row hash. Dataset rules:
 * one row per (key, event_time): the latest write wins;
 * a deletion at time t removes the key's records with event_time <= t;
   a key whose latest record is a deletion has no rows;
-* ``as_of``: the latest surviving record per key with event_time <= as_of.
+* ``as_of``: the latest surviving record per key with event_time <= as_of;
+* a record without a ``deleted`` flag is not a deletion; one without a write
+  sequence counts as written before all that have one.
 
 All steps are aggregates (``max_by`` with partial aggregation) plus one join to
 the written one-row-per-deleted-key table; no per-key window, so a hot key is
@@ -52,9 +54,18 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _flagged(history: DataFrame) -> DataFrame:
+    return history.withColumn("deleted", F.coalesce("deleted", F.lit(False)))
+
+
+def _order(*cols: str) -> F.Column:
+    """Sort key for ``max_by`` under which a NULL is the smallest, and no row is left out."""
+    return F.struct(*[x for c in cols for x in (F.col(c).isNotNull().alias(f"has_{c}"), F.col(c).alias(c))])
+
+
 def _latest_per_event(history: DataFrame, key: str, event_time: str, seq: str, cols: list[str]) -> DataFrame:
     payload = F.struct(*[F.col(c) for c in cols], F.col("deleted"), F.col(seq))
-    return (history.groupBy(key, event_time).agg(F.max_by(payload, F.col(seq)).alias("r"))
+    return (history.groupBy(key, event_time).agg(F.max_by(payload, _order(seq)).alias("r"))
                    .select(key, event_time, "r.*"))
 
 
@@ -66,7 +77,8 @@ def feature_dataset(history: DataFrame, cols: list[str], key: str = "msno", even
     out (one row per deleted key). Both sides of the join then have a shuffle of
     their own, so Spark can split the partition of a key that holds much of the
     records, into as many parts as its measured size asks for."""
-    latest = history.groupBy(key, event_time).agg(F.max_by("deleted", seq).alias("deleted"))
+    history = _flagged(history)
+    latest = history.groupBy(key, event_time).agg(F.max_by("deleted", _order(seq)).alias("deleted"))
     deletions = cut_lineage(latest.where("deleted").groupBy(key).agg(F.max(event_time).alias("_deleted_at")), "deletions")
     rec = _latest_per_event(history, key, event_time, seq, cols).where(~F.col("deleted"))
     kept = rec.join(deletions, key, "left").where(F.col("_deleted_at").isNull() | (F.col(event_time) > F.col("_deleted_at")))
@@ -78,10 +90,10 @@ def feature_dataset_asof(history: DataFrame, as_of: _dt.datetime, cols: list[str
     """The latest surviving record per key up to ``as_of``. On a written history
     the months after it are not read."""
     cut = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-    h = history.where(F.col(event_time) <= cut)
+    h = _flagged(history).where(F.col(event_time) <= cut)
     if "event_month" in history.columns:
         h = h.where(F.col("event_month") <= F.lit(as_of.date().replace(day=1)))
     payload = F.struct(F.col(event_time), *[F.col(c) for c in cols], F.col("deleted"))
-    latest = (h.groupBy(key).agg(F.max_by(payload, F.struct(F.col(event_time), F.col(seq))).alias("r"))
+    latest = (h.groupBy(key).agg(F.max_by(payload, _order(event_time, seq)).alias("r"))
                 .select(key, "r.*"))
     return latest.where(~F.col("deleted")).select(key, event_time, *cols)

@@ -54,6 +54,8 @@ def test_matches_oracle(spark, con, name):
 #: Rows of the queries without an oracle, and the range of one of their columns.
 _EXPECTED = {
     "train_gbt": (lambda n: n == 19, "importance", 0, 1),
+    "train_boosted": (lambda n: n >= 50, "cover", 0, 1e9),
+    "score_boosted": (lambda n: n > 10, "score", 0, 1),
     "loss_curve": (lambda n: n == 100, "logloss", 0, 10),
     "score_batch": (lambda n: n > 20, "score", 0, 1),
     "model_job_gate": (lambda n: n == 1, "auc_score", 0, 1),
