@@ -49,10 +49,10 @@ SCALE = 1_000_000_000
 #: Distinct terms are counted in one of so many parts of the hash range, to size slices.
 SAMPLED = 64
 #: Sums that a task holds before it gives them out.
-HELD_ENTRIES = 4_000_000
+HELD_ENTRIES = 1_500_000
 #: Entries in a block of terms, on average.
 BLOCK_ENTRIES = 100_000
-_COUNTS = "_k int, source string, tid long, term string, n long"
+_COUNTS = "_k int, tid long, term string, lang_n long, held array<struct<source: string, n: long>>"
 
 
 def _written(rows: DataFrame, name: str, *parts: str) -> DataFrame:
@@ -64,20 +64,22 @@ def _written(rows: DataFrame, name: str, *parts: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def normal(text: bytes) -> bytes:
-    """The terms of a UTF-8 text in order, with one space between."""
-    return b" ".join(text.translate(_LETTERS).split())
+def terms_of(text: bytes) -> list[bytes]:
+    """The terms of a UTF-8 text, in order."""
+    return text.translate(_LETTERS).split()
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row (_kind 0) for each text, and for each slice of texts and language a row
+    """A row (_kind 0) for each text, its terms with one space between, and for each slice of texts and language a row
     (_kind 1) with those of its distinct terms whose hash falls in a SAMPLED-th of all."""
     for batch in batches:
         for part in text_slices(batch):
-            ks, texts = part.column("_k").to_pylist(), [normal(t) for t in part.column("_text").cast(pa.large_binary()).to_pylist()]
+            ks, texts = part.column("_k").to_pylist(), []
             found: dict[int, set[bytes]] = {k: set() for k in ks}
-            for k, t in zip(ks, texts):
-                found[k].update(t.split())
+            for k, t in zip(ks, part.column("_text").cast(pa.large_binary()).to_pylist()):
+                terms = terms_of(t)
+                found[k].update(terms)
+                texts.append(b" ".join(terms))
             picked = [b" ".join([t for t in ts if zlib.crc32(t) % SAMPLED == 0]) for ts in found.values()]
             sources = pa.chunked_array([part.column("source"), pa.nulls(len(found), pa.string())]).combine_chunks()
             yield pa.RecordBatch.from_arrays(
@@ -138,8 +140,9 @@ def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def vector_sums(rows: DataFrame, min_docs: int) -> DataFrame | None:
-    """(source, idx, term, n): sums of the documents' sparse vectors by source;
-    None if no term is in ``min_docs`` documents."""
+    """(idx, term, lang_n, held): sums of the documents' sparse vectors, a row for each
+    kept term with its total and the groups (source, n) that have it; None if no term is in
+    ``min_docs`` documents."""
     spark = rows.sparkSession
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=(1 << 31) - 1)
     try:
@@ -153,13 +156,16 @@ def vector_sums(rows: DataFrame, min_docs: int) -> DataFrame | None:
     vocabulary = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("idx", "term"))
     vector = F.unwrap_udt("vector")
     sums = model.transform(rows).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
-    sums = sums.mapInArrow(_group_sums, "source string, idx int, n long").groupBy("source", "idx").agg(F.sum("n").alias("n"))
+    # Tasks have added up their own; one exchange by term then serves both aggregates.
+    sums = sums.mapInArrow(_group_sums, "source string, idx int, n long").repartition("idx")
+    sums = sums.groupBy("idx", "source").agg(F.sum("n").alias("n"))
+    sums = sums.groupBy("idx").agg(F.sum("n").alias("lang_n"), F.collect_list(F.struct("source", "n")).alias("held"))
     return sums.join(vocabulary, "idx")
 
 
 def term_counts(texts: DataFrame, langs: dict[int, str], min_docs: int, max_terms: int) -> DataFrame:
-    """(_k, source, tid, term, n): occurrences of every kept term in every group that
-    has it; ``tid`` numbers the terms of a language."""
+    """(_k, tid, term, lang_n, held): every kept term with its occurrences in the language
+    and in every group that has it; ``tid`` numbers the terms of a language."""
     spark = texts.sparkSession
     if not langs:
         return spark.createDataFrame([], _COUNTS)
@@ -175,7 +181,7 @@ def term_counts(texts: DataFrame, langs: dict[int, str], min_docs: int, max_term
         for s in range(n):
             sums = vector_sums(own.where(F.col("_slice") == s) if n > 1 else own, min_docs)
             if sums is not None:
-                sums = sums.select(F.lit(k).alias("_k"), "source", (F.lit(s << 32) + F.col("idx")).alias("tid"), "term", "n")
+                sums = sums.select(F.lit(k).alias("_k"), (F.lit(s << 32) + F.col("idx")).alias("tid"), "term", "lang_n", "held")
                 out.append(cut_lineage(sums, "counts"))
     if not out:
         return spark.createDataFrame([], _COUNTS)
@@ -254,16 +260,15 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     prepare(spark)
     texts, langs = term_texts(docs, text_col, lang_col, source_col)
     counts = term_counts(texts, langs, min_docs, max_terms)
-    terms = cut_lineage(counts.groupBy("_k", "tid").agg(F.sum("n").alias("lang_n")), "lang_terms")
-    sizes = terms.groupBy("_k").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
-    totals = counts.groupBy("_k", "source").agg(F.sum("n").alias("total"))
+    sizes = counts.groupBy("_k").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
+    totals = counts.select("_k", F.inline("held")).groupBy("_k", "source").agg(F.sum("n").alias("total"))
     groups = texts.where("_kind = 0").groupBy("_k", "source").agg(F.count("*").alias("docs")).join(totals, ["_k", "source"], "left").join(sizes, "_k", "left")
     groups = groups.na.fill(0, ["v", "total", "lang_total"]).withColumns({
         "g": (F.row_number().over(Window.partitionBy("_k").orderBy("source")) - 1).cast("int"),
         "none": F.when(F.col("v") > 0, share("0", "total", "v")).otherwise(1)})
     groups = cut_lineage(groups, "groups")
-    entries = (counts.join(groups, ["_k", "source"]).withColumn("p", share("n", "total", "v"))
-               .join(terms, ["_k", "tid"]).withColumn("q", share("lang_n", "lang_total", "v")))
+    shares = counts.join(sizes, "_k").select("_k", "tid", "term", share("lang_n", "lang_total", "v").alias("q"), F.inline("held"))
+    entries = shares.join(groups.drop("docs"), ["_k", "source"]).withColumn("p", share("n", "total", "v"))
     entries = cut_lineage(entries.select("_k", "source", "g", "tid", "term", "p", "q"), "entries")
     pairs = pair_values(entries, groups).withColumn("part", F.lit("pair"))
     over = entries.where("p > q").select("_k", "source", F.col("term").alias("item"), divergence(F.col("p"), F.col("q")).alias("value"))
