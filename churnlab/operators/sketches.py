@@ -14,7 +14,7 @@ decimals); the variance is merged by its parts' sums of squares about their mean
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.operators.prep import present
@@ -24,8 +24,9 @@ SCHEMA = ("part string, column string, type string, n long, n_missing long, tota
           "min double, max double, kll binary, hll binary")
 
 
-def sketch_rows(df: DataFrame, part: str, cols: list[str]) -> DataFrame:
-    """Rows of ``SCHEMA``: one for each part and column. Moments, range and KLL are NULL
+def sketch_rows(df: DataFrame, part: str | Column, cols: list[str], group: Column | None = None) -> DataFrame:
+    """Rows of ``SCHEMA``: one for each part and column. ``part`` is a column, or names
+    the value of ``group``. Moments, range and KLL are NULL
     where a column is not numeric; NULL and NaN are missing."""
     types = {f.name: f.dataType for f in df.schema.fields}
     aggs, rows = [F.count(F.lit(1)).alias("_n")], []
@@ -43,8 +44,9 @@ def sketch_rows(df: DataFrame, part: str, cols: list[str]) -> DataFrame:
                              F.col(f"m{i}").alias("n_missing"), F.col(f"s{i}").alias("total"), F.col(f"f{i}").alias("sum"), F.col(f"a{i}").alias("mean"),
                              F.col(f"v{i}").alias("m2"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"), F.col(f"q{i}").alias("kll"),
                              F.col(f"d{i}").alias("hll")))
-    wide = df.groupBy(F.col(part).cast("string").alias("part")).agg(*aggs)
-    return wide.select("part", F.inline(F.array(*rows)))
+    key = F.col(part).cast("string") if isinstance(part, str) else part
+    wide = df.groupBy(key.alias("part") if group is None else group).agg(*aggs)
+    return wide.select("part" if group is None else key.alias("part"), F.inline(F.array(*rows)))
 
 
 def stored_sketches(spark: SparkSession, path: str) -> DataFrame:
