@@ -82,8 +82,12 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 #: Bits of the channel: a sign read as a letter, a separator dropped, a run of letters cut to
 #: one or to two, a separator kept, a sign that is none of the letters.
 _SIGN, _DROP, _ONE, _TWO, _SPLIT, _KEEP_SIGN = 1.0, 0.5, 0.5, 1.5, 3.0, 12.0
-_SEPARATORS = ".-_*~'`,/\\"
 _RUN = re.compile(r"(.)\1{2,}", re.S)
+_DOUBLE = re.compile(r"([^\W\d_])\1")
+#: What may stand after a character that is spelled on its own.
+_AFTER = ".,;:?!\"')"
+#: Characters in a row, each a token, from which they are read as a word.
+SPELLED = 3
 _MARKUP = re.compile(r"([$|+])\1\1")
 _EDGE = ".,;:?!\"'()[]{}<>*%&#|$+~`"
 
@@ -100,11 +104,11 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             read = [(x, _SIGN) for x in LEET[c]] + [(" ", _KEEP_SIGN)]
         elif c.isalpha():
             read = [(c, 0.0)]
-        elif c in _SEPARATORS or c == " ":
-            read = [("", _DROP), (" ", _SPLIT)]
         else:
-            read = [(" ", 0.0)]
-        if n >= 3 and (c.isalpha() or c in LEET):
+            read = [("", _DROP), (" ", _SPLIT)]
+        if n == 2 and c.isalpha():
+            out.append([(c * 2, 0.0), (c, _ONE)])
+        elif n >= 3 and (c.isalpha() or c in LEET):
             out.append([(x * k, cost + (_ONE if k == 1 else _TWO)) for x, cost in read for k in ((1, 2) if x.strip() else (1,))])
         else:
             out += [read] * (n if c.isalpha() or c in LEET else 1)
@@ -141,12 +145,17 @@ def decode(token: str, cost: np.ndarray) -> str:
 
 
 def _obfuscated(token: str) -> bool:
-    """Whether a lower-case word, its outer signs gone, needs the channel."""
+    """Whether a lower-case word, its outer signs gone, goes to the lattice: with a letter,
+    every one that holds a sign or a digit, a run of three or two doubled letters."""
     if token.isalpha():
-        return _RUN.search(token) is not None
-    letters = sum(c.isalpha() for c in token)
-    signs = sum(c in LEET or c in _SEPARATORS for c in token)
-    return letters >= 2 and letters + signs == len(token) and 2 * letters >= signs
+        return _RUN.search(token) is not None or len(_DOUBLE.findall(token)) > 1
+    return any(map(str.isalpha, token))
+
+
+def single(token: str) -> str:
+    """The one character that a token is, but for signs after it; else an empty text."""
+    c = token if len(token) == 1 else token[:1] if not token[1:].strip(_AFTER) else ""
+    return c if c and (c.isalpha() or c in LEET) else ""
 
 
 class Restorer:
@@ -157,32 +166,38 @@ class Restorer:
 
     def token(self, raw: str) -> list[str]:
         """The words of one lower-case token. A word with signs at its edge is
-        read with and without them (they may be letters: ``$tupid``)."""
+        read with and without them (they may be letters: ``$tupid``, ``(lown``). Tokens
+        without a letter are numbers and signs, and no words."""
         token = raw.strip(_EDGE)
         if not token:
             return []
-        if token.isalpha() and not _RUN.search(token):
-            out = [token]
-        elif _obfuscated(token):
+        if _obfuscated(token):
             out = list(self.read(token))
             if token.isalpha():  # repeated letters: the reading with all of them doubled, too
                 out.append(_RUN.sub(r"\1\1", token))
+            else:  # and the words between the signs
+                out += [x for x in re.split(r"[\W\d_]+", token) if len(x) > 1 and x not in out]
+        elif token.isalpha():
+            out = [token]
+            if _DOUBLE.search(token):  # one doubled letter, with and without its double
+                out.append(_DOUBLE.sub(r"\1", token))
         else:
-            out = [x for x in re.split(r"[\W\d_]+", token) if x]
+            out = []
         if raw != token:
-            outer = raw.strip(".,;:?\"'()")
-            if outer != token and (outer[0] in "$|+" or outer[-1] in "$|+") and not _MARKUP.search(outer) and _obfuscated(outer):
-                out += self.read(outer)
+            outer = raw.strip(".,;:?\"'")
+            edge = outer != token and (outer[:1] in LEET or outer[-1:] in LEET)
+            if edge and not _MARKUP.search(outer) and any(map(str.isalpha, outer)):
+                out += [x for x in self.read(outer) if x not in out]
         return out
 
     def spelled(self, tokens: list[str]) -> list[str]:
-        """The words spelled out over runs of at least four one-character tokens."""
+        """The words spelled out over runs of at least ``SPELLED`` one-character tokens."""
         out, run = [], []
         for t in [*tokens, ""]:
-            if len(t) == 1 and (t.isalpha() or t in LEET):
-                run.append(t)
+            if c := single(t):
+                run.append(c)
                 continue
-            if len(run) >= 4:
+            if len(run) >= SPELLED:
                 out += self.read(" ".join(run))
             run = []
         return out
@@ -241,11 +256,10 @@ class Terms:
                 own = of[token] = self._terms(self.restorer.token(token))
             for t in own:
                 found[t] = found.get(t, 0) + n
-        if sum([counts[t] for t in counts if len(t) == 1]) >= 4:
-            one = np.fromiter(map(len, tokens), np.int64, len(tokens)) == 1
-            if (one[3:] & one[2:-1] & one[1:-2] & one[:-3]).any():
-                for t in self._terms(self.restorer.spelled(tokens)):
-                    found[t] = found.get(t, 0) + 1
+        alone = {t for t in counts if single(t)}
+        if sum([counts[t] for t in alone]) >= SPELLED:
+            for t in self._terms(self.restorer.spelled(tokens)):
+                found[t] = found.get(t, 0) + 1
         return found, len(tokens)
 
 

@@ -112,6 +112,30 @@ def test_restoring(spark):
         assert plain in read(f"well {odd} then"), odd
 
 
+def test_planted_obfuscations():
+    """Every way to hide a word reaches the lattice and is undone, under the language model of the sf0.01 texts."""
+    import pyarrow.parquet as pq
+    from churnlab.llm import toxicity
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).rename_columns(["_text"])
+    counts = list(toxicity._trigrams(iter(texts.to_batches())))
+
+    class Held:  # the counted trigrams, in the place of a frame
+        def select(self, *_): return self
+        mapInArrow = groupBy = agg = lambda self, *_: self
+        def toArrow(self):
+            import pyarrow as pa
+            return pa.Table.from_batches(counts).group_by("gram").aggregate([("n", "sum")]).rename_columns(["gram", "n"])
+
+    read = Restorer(language_model(Held())).words
+    for odd, plain in [("1053r", "loser"), ("m---o---r---o---n", "moron"), ("l***o***s***e***r", "loser"), ("i:d:i:o:t", "idiot"),
+                       ("s=c=u=m", "scum"), ("!diot", "idiot"), ("(lown", "clown"), ("iddiott", "idiot"), ("s c u m.", "scum"),
+                       ("i d i o t!", "idiot"), ("scumm", "scum"), ("l0s3r", "loser"), ("m.o.r.o.n", "moron"), ("idiot,", "idiot"),
+                       ("you-idiot", "idiot"), ("well-known", "known"), ("better", "better")]:
+        assert plain in read(f"well {odd} then"), (odd, read(odd))
+    assert read("12:30 3.14 2024-01-05 455 km") == ["km"]
+
+
 def test_language_model_counts_every_text(spark):
     one = language_model(with_ids(frame(spark, [(1, "ab")])))
     many = language_model(with_ids(frame(spark, [(i, "ab") for i in range(50)])))
