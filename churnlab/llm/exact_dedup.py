@@ -13,6 +13,10 @@ tasks at run time.
 Null texts count as empty, and empty texts are equal to each other. Rows that
 repeat an id are documents of their own (see ``common.with_ids``), so exactly
 one row of a group stays. An empty table gives an empty result.
+
+Texts of any length are compared whole. Of equal texts under one id the last in the
+order of ``with_ids`` stays. Other columns, whatever their names, are not read here, and
+pass through ``drop_exact`` unchanged.
 """
 
 from __future__ import annotations

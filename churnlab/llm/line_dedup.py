@@ -13,6 +13,12 @@ never text.
 
 Null and empty texts have one empty line. Lines with a key shorter than
 ``min_chars`` are always kept. Every input row is a document of its own.
+
+Repeated rows and rows with repeated or null ids are numbered by ``with_ids`` and
+count one by one towards ``min_docs``; texts of any length are read whole; which of
+equal lines comes first, where one is kept, goes by that numbering and the line's
+place. An empty table gives an empty result; other columns, whatever their names, are
+not read.
 """
 
 from __future__ import annotations

@@ -13,6 +13,11 @@ large against the few sequences it leaves open.
 
 A null text is empty: one piece with the end id only. Every input row is a
 document of its own.
+
+Repeated rows and rows with repeated or null ids are numbered by ``with_ids``; a text
+of any length is cut into as many pieces as it needs. Pieces of one length are placed in
+the order of that numbering. An empty table gives an empty result; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

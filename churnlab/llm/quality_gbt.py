@@ -4,6 +4,12 @@ Statistics are computed in one pass over the texts and written out (a few dozen
 numbers a row). The trees are fitted on at most ``max_rows`` labelled rows, which
 is all that comes to the driver, and all rows are scored from the written table.
 Null and empty texts have all-zero statistics and get a score like any other.
+
+Repeated rows, and rows with repeated or null ids, are each scored; a null id is not
+held out and has no label; every label of an id is learned as it stands. Texts of any
+length are read whole. A score equal to the threshold counts as 1. Without labels all
+scores are equal; an empty table gives an empty result; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations

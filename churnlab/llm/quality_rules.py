@@ -15,6 +15,11 @@ many words in repeated 5-word windows.
 
 A null or empty text has no words and is rejected. Each row is judged by its own
 text alone, in one pass without a shuffle.
+
+Repeated rows, and rows with repeated or null ids, are each judged; texts of any length
+are read whole; a document at exactly ``max_lost`` stays. An empty table gives an empty
+result; other columns, whatever their names, are not read, and pass through
+``keep_good`` unchanged.
 """
 
 from __future__ import annotations

@@ -18,6 +18,10 @@ What no piece covers becomes byte pieces. ``tests/llm`` compares with the
 ``sentencepiece`` library.
 
 Null and empty texts have no pieces.
+
+Repeated rows, and rows with repeated or null ids, are each encoded; texts and words
+of any length are encoded whole; edges of one rank are folded from the left. An empty
+table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -205,7 +209,8 @@ def _count_rows(batches: Iterator[pa.RecordBatch], flush: int = 300_000) -> Iter
 
 
 def frequent_words(base: DataFrame, most: int) -> DataFrame:
-    """(word): the most frequent ones of those the relation can hold; counts cover all texts."""
+    """(word): the most frequent ones of those the relation can hold, by counts over all texts
+    that leave out words met once between two flushes of a task. The choice changes the work only."""
     counts = base.select("_text").mapInArrow(_count_rows, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return cut_lineage(counts.orderBy(F.desc("n"), "word").limit(most).select("word"), "words")
 

@@ -22,8 +22,12 @@ known to be shared there and then: its runs are dealt by their digests, not by
 the anchor, and one marker row tells the other tasks. Reducers stream over
 sorted rows and hold one row back.
 
-Null texts count as empty. Rows are ordered by (id with nulls first, text) where
-ids repeat; otherwise by id.
+Null texts count as empty. Rows are ordered by id; where ids repeat, by ``with_ids``.
+
+Repeated rows and rows with repeated or null ids are documents of their own in the
+order of ``with_ids``, so of equal strings the first in that order stays. Texts of any
+length are read whole; matches never cross documents. An empty table gives an empty
+result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

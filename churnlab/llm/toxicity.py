@@ -3,9 +3,9 @@
 1. Language model: character trigrams over a-z, a class for other letters and a
    word boundary, counted over the whole of all documents. Tasks count into an
    array and emit one row per trigram, so what is gathered is bounded by 28^3.
-2. Channel: a word with digits or signs for letters, with letters repeated three
-   times or more, or spelled out with separators becomes a lattice: each place
-   has its possible letters, each with a cost. Viterbi decoding under the language
+2. Channel: a word that holds a digit or sign beside a letter, letters repeated three
+   times or more or two doubled letters, or that is spelled out, becomes a lattice: each
+   place has its possible letters, each with a cost. Viterbi decoding under the language
    model picks the most likely original.
 3. Lexicon: learned from at most ``max_rows`` labelled rows (those with the
    smallest hashed ids). For each restored word, and each word beginning of 4 to 6
@@ -18,6 +18,13 @@
    other half, so that a word seen once can't vouch for itself.
 
 Null and empty texts hold no term and get a score like any other.
+
+Repeated rows, and rows with repeated or null ids, are each scored; a null id is not
+held out and has no label; every label of an id is learned as it stands. Texts and words
+of any length are read whole. Of readings of one cost the first is taken; terms of one
+weight go by their text; a score equal to the threshold counts as 1. Without labels all
+scores are equal; an empty table gives an empty result; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,12 @@ together again from their chunks.
 The chain of one file is followed in one task, on two numbers per candidate;
 ``max_records`` bounds the records of the files written here. A null payload is
 empty; a null URL leaves out its header; line breaks in a URL become spaces.
-Every row is a record, ordered by id (null first) and payload where ids repeat.
+Every row is a record, ordered by id (null first), and by ``with_ids`` where ids repeat.
+
+Repeated rows are records of their own, and of equal payloads the last in that order
+is the response; a payload of any length is one record. An empty table gives archives
+without records and an empty result; columns other than id, URL and payload, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
