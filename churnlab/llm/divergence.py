@@ -30,6 +30,7 @@ whatever their names, are not read.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from string import ascii_lowercase, ascii_uppercase
 
@@ -70,35 +71,38 @@ def terms_of(text: bytes) -> list[bytes]:
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row (_kind 0) for each text, its terms with one space between, and for each slice of texts and language a row
-    (_kind 1) with those of its distinct terms whose hash falls in a SAMPLED-th of all."""
+    """A row (_kind 0) for each text: its distinct terms in ``once``, the further occurrences in ``again``, with one space
+    between. And for each slice of texts and language a row (_kind 1) whose ``once`` has those of its distinct terms whose
+    hash falls in a SAMPLED-th of all."""
     for batch in batches:
         for part in text_slices(batch):
-            ks, texts = part.column("_k").to_pylist(), []
+            ks, once, again = part.column("_k").to_pylist(), [], []
             found: dict[int, set[bytes]] = {k: set() for k in ks}
             for k, t in zip(ks, part.column("_text").cast(pa.large_binary()).to_pylist()):
-                terms = terms_of(t)
+                terms = Counter(terms_of(t))
                 found[k].update(terms)
-                texts.append(b" ".join(terms))
-            picked = [b" ".join([t for t in ts if zlib.crc32(t) % SAMPLED == 0]) for ts in found.values()]
+                once.append(b" ".join(terms))
+                again.append(b" ".join([t for t, n in terms.items() if n > 1 for _ in range(n - 1)]))
+            once += [b" ".join([t for t in ts if zlib.crc32(t) % SAMPLED == 0]) for ts in found.values()]
+            again += [b""] * len(found)
             sources = pa.chunked_array([part.column("source"), pa.nulls(len(found), pa.string())]).combine_chunks()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*ks, *found], pa.int32()), pa.array([0] * len(ks) + [1] * len(found), pa.int32()), sources,
-                 pa.array(texts + picked, pa.binary()).cast(pa.string())], ["_k", "_kind", "source", "text"])
+                 pa.array(once, pa.binary()).cast(pa.string()), pa.array(again, pa.binary()).cast(pa.string())], ["_k", "_kind", "source", "once", "again"])
 
 
 def term_texts(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> tuple[DataFrame, dict[int, str]]:
-    """(_k, _kind, source, text), a folder for each language and kind (``_term_rows``),
+    """(_k, _kind, source, once, again), a folder for each language and kind (``_term_rows``),
     and the languages by number."""
     text = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     rows = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("_text"))
     langs = sorted(r.lang for r in rows.select("lang").distinct().collect())
     number = F.array_position(F.array(*map(F.lit, langs)).cast("array<string>"), F.col("lang")) - 1
-    rows = rows.select(number.cast("int").alias("_k"), "source", "_text").mapInArrow(_term_rows, "_k int, _kind int, source string, text string")
+    rows = rows.select(number.cast("int").alias("_k"), "source", "_text").mapInArrow(_term_rows, "_k int, _kind int, source string, once string, again string")
     return _written(rows, "terms", "_k", "_kind"), dict(enumerate(langs))
 
 
-def _terms(text: str = "text") -> Column:
+def _terms(text: str) -> Column:
     return F.when(F.col(text) == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
 
 
@@ -142,11 +146,12 @@ def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def vector_sums(rows: DataFrame, min_docs: int) -> DataFrame | None:
     """(idx, term, lang_n, held): sums of the documents' sparse vectors, a row for each
     kept term with its total and the groups (source, n) that have it; None if no term is in
-    ``min_docs`` documents."""
+    ``min_docs`` documents. ``rows``: (source, once, again), arrays of a document's distinct terms and of their further
+    occurrences; document counts need the first alone, so the fit reads nothing else."""
     spark = rows.sparkSession
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=(1 << 31) - 1)
     try:
-        model = vectorizer.fit(rows)
+        model = vectorizer.fit(rows.select(F.col("once").alias("terms")))
     except IllegalArgumentException as e:
         if "vocabulary size should be > 0" not in str(e):
             raise
@@ -155,7 +160,7 @@ def vector_sums(rows: DataFrame, min_docs: int) -> DataFrame | None:
     model.save(path)  # the driver's JVM writes it; nothing comes to Python
     vocabulary = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("idx", "term"))
     vector = F.unwrap_udt("vector")
-    sums = model.transform(rows).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
+    sums = model.transform(rows.select("source", F.concat("once", "again").alias("terms"))).select("source", vector["indices"].alias("indices"), vector["values"].alias("values"))
     # Tasks have added up their own; one exchange by term then serves both aggregates.
     sums = sums.mapInArrow(_group_sums, "source string, idx int, n long").repartition("idx")
     sums = sums.groupBy("idx", "source").agg(F.sum("n").alias("n"))
@@ -169,15 +174,15 @@ def term_counts(texts: DataFrame, langs: dict[int, str], min_docs: int, max_term
     spark = texts.sparkSession
     if not langs:
         return spark.createDataFrame([], _COUNTS)
-    sampled = texts.where("_kind = 1").select("_k", F.explode(_terms()).alias("t")).groupBy("_k").agg(F.countDistinct("t").alias("n"))
+    sampled = texts.where("_kind = 1").select("_k", F.explode(_terms("once")).alias("t")).groupBy("_k").agg(F.countDistinct("t").alias("n"))
     slices = {r["_k"]: -(-SAMPLED * r["n"] // max_terms) for r in sampled.collect()}
     out = []
     for k in langs:
-        own, n = texts.where((F.col("_k") == k) & (F.col("_kind") == 0)).select("source", _terms().alias("terms")), slices.get(k, 1)
+        own, n = texts.where((F.col("_k") == k) & (F.col("_kind") == 0)).select("source", *(_terms(c).alias(c) for c in ("once", "again"))), slices.get(k, 1)
         if n > 1:
             dealt = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda s: F.struct(
-                s.cast("int").alias("_slice"), F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(n)) == s).alias("terms")))
-            own = _written(own.select("source", F.inline(dealt)).where(F.size("terms") > 0).hint("rebalance", "_slice"), "slices", "_slice")
+                s.cast("int").alias("_slice"), *(F.filter(c, lambda t: F.pmod(F.xxhash64(t), F.lit(n)) == s).alias(c) for c in ("once", "again"))))
+            own = _written(own.select("source", F.inline(dealt)).where(F.size("once") > 0).hint("rebalance", "_slice"), "slices", "_slice")
         for s in range(n):
             sums = vector_sums(own.where(F.col("_slice") == s) if n > 1 else own, min_docs)
             if sums is not None:
