@@ -31,7 +31,7 @@ from churnlab.operators.prep import exact_quantiles, key_hash, present
 from churnlab.session import cut_lineage, ship_package
 
 STAGED = 10
-_UNIT = float(1 << 24)
+UNIT = float(1 << 24)
 # The reference's boosted-tree settings.
 PARAMS = dict(max_depth=5, eta=0.2, gamma=4.0, min_child_weight=6.0, subsample=0.7, num_round=50)
 
@@ -122,7 +122,7 @@ def drawn(u: np.ndarray, turn: int, share: float) -> np.ndarray:
 def gradients(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradients and hessians in units of 2^-24."""
     p = 1 / (1 + np.exp(-margin))
-    return np.rint((p - y) * _UNIT), np.rint(p * (1 - p) * _UNIT)
+    return np.rint((p - y) * UNIT), np.rint(p * (1 - p) * UNIT)
 
 
 def _histograms(model: Boosted, staged: int, tree: Tree, level: int, turn: int, share: float, width: int):
@@ -174,7 +174,7 @@ def _grow(model: Boosted, rows: DataFrame, staged: int, turn: int, p: dict) -> T
                 .groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow())
         g, h = (np.zeros((1 << level) * n * width) for _ in range(2))
         slot = np.asarray(sums.column("slot"))
-        g[slot], h[slot] = np.asarray(sums.column("g")) / _UNIT, np.asarray(sums.column("h")) / _UNIT
+        g[slot], h[slot] = np.asarray(sums.column("g")) / UNIT, np.asarray(sums.column("h")) / UNIT
         g, h = g.reshape(-1, n, width), h.reshape(-1, n, width)
         opened = []
         for node in open_nodes:
@@ -191,6 +191,18 @@ def _grow(model: Boosted, rows: DataFrame, staged: int, turn: int, p: dict) -> T
     return tree
 
 
+def loss_sums(model: Boosted):
+    """(loss, n) of a task's binned rows: log-loss in units of 2^-24."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss = n = 0
+        for batch in batches:
+            y, margin = np.asarray(batch.column("y")), model.margin(_matrix(batch, len(model.cols)))
+            loss += int(np.rint(np.logaddexp(0, np.where(y == 1, -margin, margin)) * UNIT).sum())
+            n += len(y)
+        yield pa.RecordBatch.from_arrays([pa.array([loss], pa.int64()), pa.array([n], pa.int64())], ["loss", "n"])
+    return run
+
+
 def _margins(model: Boosted, staged: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,27 +211,54 @@ def _margins(model: Boosted, staged: int):
     return run
 
 
-def train_boosted(train: DataFrame, cols: list[str], label: str = "is_churn", key: str = "msno", seed: int = 42, max_bins: int = 64,
-                  reg_lambda: float = 1.0, **params) -> Boosted:
-    """Fit on the rows of ``train`` that have a label 0 or 1. ``params`` as in ``PARAMS``."""
-    ship_package(train.sparkSession)
+_BINNED = "u long, y double, bins binary, margin double"
+
+
+@dataclass
+class Run:
+    """A fit that can be carried on: the model so far, its binned rows, the settings, and how many trees the rows' margins hold."""
+
+    model: Boosted
+    rows: DataFrame
+    params: dict
+    staged: int = 0
+
+
+def settings(reg_lambda: float = 1.0, **params) -> dict:
     p = {**PARAMS, "reg_lambda": reg_lambda, **params}
     if unknown := set(p) - set(PARAMS) - {"reg_lambda"}:
         raise ValueError(f"unknown parameters: {sorted(unknown)}")
+    return p
+
+
+def binned(df: DataFrame, cols: list[str], label: str = "is_churn", key: str = "msno", seed: int = 42, max_bins: int = 64,
+           edges: list[np.ndarray] | None = None) -> tuple[list[np.ndarray], DataFrame]:
+    """The bin edges (fitted on ``df`` where not given) and the rows with a label 0 or 1, binned and written."""
     if not 1 <= max_bins <= 255:
         raise ValueError("max_bins must be between 1 and 255")
-    rows = train.where(F.col(label).isin(0, 1))
-    model = Boosted(cols, fit_edges(rows, cols, max_bins), p["max_depth"])
-    schema = "u long, y double, bins binary, margin double"
-    rows = cut_lineage(rows.select(F.coalesce(key_hash(key, seed), F.lit(0)).alias("u"), F.col(label).cast("double").alias("y"), *_inputs(cols))
-                       .mapInArrow(_binned(model), schema), "binned")
-    staged = 0
-    for turn in range(p["num_round"]):
+    ship_package(df.sparkSession)
+    rows = df.where(F.col(label).isin(0, 1))
+    edges = fit_edges(rows, cols, max_bins) if edges is None else edges
+    rows = rows.select(F.coalesce(key_hash(key, seed), F.lit(0)).alias("u"), F.col(label).cast("double").alias("y"), *_inputs(cols))
+    return edges, cut_lineage(rows.mapInArrow(_binned(Boosted(cols, edges, 0)), _BINNED), "binned")
+
+
+def carry_on(run: Run, rounds: int) -> Run:
+    """Trees are grown until the model has ``rounds``: the same ones, however often the fit stops between."""
+    for turn in range(len(run.model.trees), rounds):
         if turn and turn % STAGED == 0:
-            rows = cut_lineage(rows.mapInArrow(_margins(model, staged), schema), "margins")
-            staged = turn
-        model.trees.append(_grow(model, rows, staged, turn, p))
-    return model
+            run.rows = cut_lineage(run.rows.mapInArrow(_margins(run.model, run.staged), _BINNED), "margins")
+            run.staged = turn
+        run.model.trees.append(_grow(run.model, run.rows, run.staged, turn, run.params))
+    return run
+
+
+def train_boosted(train: DataFrame, cols: list[str], label: str = "is_churn", key: str = "msno", seed: int = 42, max_bins: int = 64,
+                  reg_lambda: float = 1.0, **params) -> Boosted:
+    """Fit on the rows of ``train`` that have a label 0 or 1. ``params`` as in ``PARAMS``."""
+    p = settings(reg_lambda, **params)
+    edges, rows = binned(train, cols, label, key, seed, max_bins)
+    return carry_on(Run(Boosted(cols, edges, p["max_depth"]), rows, p), p["num_round"]).model
 
 
 def score_boosted(model: Boosted, df: DataFrame, threshold: float = 0.5) -> DataFrame:

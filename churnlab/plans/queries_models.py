@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlab.operators import boosting, evaluation as ev, explain, model as mdl
+from churnlab.operators import boosting, evaluation as ev, explain, model as mdl, tuning
 from churnlab.plans import features
 from churnlab.plans.job import run_model_job, split_frames
 from churnlab.plans.oracle import with_views
@@ -100,6 +100,21 @@ def q_tuned_scores(spark, sf_dir):
     return mdl.score(best, fr["test"]).select("msno", "is_churn", "score", "prediction")
 
 
+@register("tune_hyperband")
+def q_tune_hyperband(spark, sf_dir):
+    """Six trials over the brackets of 1 to 10 rounds; a trial that goes on keeps its trees."""
+    fr = _frames(spark, sf_dir)
+    return tuning.hyperband(fr["train"], fr["validation"], mdl.FEATURE_INPUTS)[0]
+
+
+@register("hyperband_scores")
+def q_hyperband_scores(spark, sf_dir):
+    """Test rows scored by the winner of the brackets."""
+    fr = _frames(spark, sf_dir)
+    winner = tuning.hyperband(fr["train"], fr["validation"], mdl.FEATURE_INPUTS)[1]
+    return boosting.score_boosted(winner, fr["test"]).select("msno", "is_churn", "score", "prediction")
+
+
 def _mode_sql(c):
     return (f"(SELECT v FROM (SELECT {c} AS v, count(*) AS n FROM final WHERE split = 'train' AND {c} IS NOT NULL "
             f"GROUP BY 1) m ORDER BY n DESC, v ASC LIMIT 1) AS {c}")

@@ -12,6 +12,7 @@ import atexit
 import os
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
 from contextlib import contextmanager
@@ -29,6 +30,9 @@ _LOCAL_DEFAULTS = {
 }
 #: Removes the shuffle files of a SQL execution when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Writers inside ``shuffle_cleanup`` for each session, and the setting before the first.
+_CLEANING: dict[int, tuple[int, str | None]] = {}
+_CLEANING_LOCK = threading.Lock()
 #: Scratch tables written by this process: (session, path).
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
@@ -91,16 +95,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 @contextmanager
 def shuffle_cleanup(spark: SparkSession):
     """Free the shuffle files of the executions inside as soon as each ends.
-    Only for executions whose result is written out."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    Only for executions whose result is written out. Threads may write at once:
+    the setting goes back when the last of them is done."""
+    with _CLEANING_LOCK:
+        writers, before = _CLEANING.get(id(spark), (0, None))
+        if not writers:
+            before = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _CLEANING[id(spark)] = (writers + 1, before)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        with _CLEANING_LOCK:
+            writers, before = _CLEANING.pop(id(spark))
+            if writers > 1:
+                _CLEANING[id(spark)] = (writers - 1, before)
+            elif before is None:
+                spark.conf.unset(_CLEANUP)
+            else:
+                spark.conf.set(_CLEANUP, before)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -63,6 +63,8 @@ _EXPECTED = {
     "model_job_bias": (lambda n: n == 1, "dppl", -1, 1),
     "tune_gbt": (lambda n: n > 6, "val_logloss", 0, 10),
     "tuned_scores": (lambda n: n > 10, "score", 0, 1),
+    "tune_hyperband": (lambda n: n == 9, "val_logloss", 0, 10),
+    "hyperband_scores": (lambda n: n > 10, "score", 0, 1),
     "shap_local": (lambda n: n > 19 and n % 19 == 0, "f_x", 0, 1),
     "shap_kmeans": (lambda n: n > 19 and n % 19 == 0, "f_x", 0, 1),
     "shap_global": (lambda n: n == 19, "mean_abs_shap", 0, 1),
