@@ -82,24 +82,48 @@ def q_feature_history_append(spark, sf_dir):
         "msno", "event_time", "write_seq", *HISTORY_COLS, "deleted", "event_month")
 
 
-@register("feature_dataset", with_views(f"""
+_DATASET = with_views(f"""
 SELECT msno, event_time, {', '.join(HISTORY_COLS)} FROM history_dedup d
 WHERE NOT deleted AND event_time > coalesce((SELECT max(event_time) FROM history_dedup x
                                              WHERE x.msno = d.msno AND x.deleted), TIMESTAMP '1900-01-01')""",
-    "history_dedup"))
+    "history_dedup")
+_ASOF = with_views(f"""
+SELECT msno, event_time, {', '.join(HISTORY_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY msno ORDER BY event_time DESC, write_seq DESC) AS rn
+  FROM history WHERE event_time <= TIMESTAMP '{ASOF.isoformat(sep=' ')}') h
+WHERE rn = 1 AND NOT deleted""", "history")
+
+
+@register("feature_dataset", _DATASET)
 def q_feature_dataset(spark, sf_dir):
     return feature_table.feature_dataset(written_history(spark, sf_dir), HISTORY_COLS)
 
 
-@register("feature_dataset_asof", with_views(f"""
-SELECT msno, event_time, {', '.join(HISTORY_COLS)} FROM (
-  SELECT *, row_number() OVER (PARTITION BY msno ORDER BY event_time DESC, write_seq DESC) AS rn
-  FROM history WHERE event_time <= TIMESTAMP '{ASOF.isoformat(sep=' ')}') h
-WHERE rn = 1 AND NOT deleted""", "history"))
+@register("feature_dataset_asof", _ASOF)
 def q_feature_dataset_asof(spark, sf_dir):
     return feature_table.feature_dataset_asof(written_history(spark, sf_dir), ASOF, HISTORY_COLS)
 
 
+def bucketed_history(spark, sf_dir, buckets=8):
+    """The history as a bucketed table: records, then deletions, in two appends."""
+    path = csv_io.export_dir(spark, "feature_buckets")
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    recs = history_records(spark, sf_dir)
+    feature_table.append_bucketed(recs.where(~F.col("deleted")), table, path, buckets)
+    feature_table.append_bucketed(recs.where(F.col("deleted")), table, path, buckets)
+    return spark.table(table)
+
+
+@register("feature_dataset_bucketed", _DATASET)
+def q_feature_dataset_bucketed(spark, sf_dir):
+    return feature_table.bucketed_dataset(bucketed_history(spark, sf_dir), HISTORY_COLS)
+
+
+@register("feature_asof_bucketed", _ASOF)
+def q_feature_asof_bucketed(spark, sf_dir):
+    return feature_table.bucketed_dataset_asof(bucketed_history(spark, sf_dir), ASOF, HISTORY_COLS)
+
+
 WRITTEN_AT = _dt.datetime(2024, 1, 31, 12, 30, 5)
 
 

@@ -15,6 +15,12 @@ row hash. Dataset rules:
 * a record without a ``deleted`` flag is not a deletion; one without a write
   sequence counts as written before all that have one.
 
+The bucketed form (``append_bucketed``) stores the history as an external table
+clustered by (key, slot of the event time) and partitioned by month. De-duplication and the
+newest record of a slot then run inside the buckets, and no step moves the
+history; what moves is one row per key (and slot, for the as-of dataset). A hot key lies in
+up to ``SLOTS`` buckets, not in one.
+
 All steps are aggregates (``max_by`` with partial aggregation) plus one join to
 the written one-row-per-deleted-key table; no per-key window, so a hot key is
 combined map-side or split at run time rather than sorted in a single task.
@@ -31,6 +37,11 @@ from churnlab.functions.dates import iso_utc
 from churnlab.session import cut_lineage
 
 
+#: Slots that the records of a key are spread over in the bucketed form. Part of the stored format.
+SLOTS = 32
+_SLOT = "event_slot"
+
+
 def stamped(df: DataFrame, event_time: str = "event_time", at: _dt.datetime | None = None) -> DataFrame:
     """Records of one write with their event time: ``at`` (now, in UTC, if not
     given) for all of them, beside its ISO text."""
@@ -39,11 +50,14 @@ def stamped(df: DataFrame, event_time: str = "event_time", at: _dt.datetime | No
     return out.withColumn(f"{event_time}_iso", iso_utc(F.col(event_time)))
 
 
+def _stored(df: DataFrame, event_time: str) -> DataFrame:
+    out = df.withColumn("event_month", F.trunc(F.to_date(event_time), "month"))
+    return out if "deleted" in df.columns else out.withColumn("deleted", F.lit(False))
+
+
 def append_history(df: DataFrame, path: str, event_time: str = "event_time", key: str = "msno",
                    num_partitions: int | None = None) -> None:
-    out = df.withColumn("event_month", F.trunc(F.to_date(event_time), "month"))
-    if "deleted" not in df.columns:
-        out = out.withColumn("deleted", F.lit(False))
+    out = _stored(df, event_time)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row_hash = F.xxhash64(*[F.col(c) for c in out.columns])
     (out.repartitionByRange(n, "event_month", key, row_hash)
@@ -97,3 +111,40 @@ def feature_dataset_asof(history: DataFrame, as_of: _dt.datetime, cols: list[str
     latest = (h.groupBy(key).agg(F.max_by(payload, _order(event_time, seq)).alias("r"))
                 .select(key, "r.*"))
     return latest.where(~F.col("deleted")).select(key, event_time, *cols)
+
+
+def append_bucketed(df: DataFrame, table: str, path: str, buckets: int, event_time: str = "event_time", key: str = "msno") -> None:
+    """Append records to the external table ``table`` at ``path``, made by the first append. A record is
+    exchanged once, here; later appends must name the same number of buckets (Spark refuses
+    another). A record without an event time is in slot 0."""
+    slot = F.coalesce(F.pmod(F.xxhash64(event_time), F.lit(SLOTS)), F.lit(0)).cast("int")
+    out = _stored(df, event_time).withColumn(_SLOT, slot)
+    (out.repartition(buckets, key, _SLOT).write.mode("append").format("parquet").option("path", path)
+        .partitionBy("event_month").bucketBy(buckets, key, _SLOT).sortBy(key, _SLOT).saveAsTable(table))
+
+
+def bucketed_dataset(history: DataFrame, cols: list[str], key: str = "msno", event_time: str = "event_time",
+                     seq: str = "write_seq") -> DataFrame:
+    """``feature_dataset`` of a bucketed history. The deletion times (one row per deleted
+    key) are repeated for each slot, so that they come to the records."""
+    history = _flagged(history)
+    flags = history.groupBy(key, _SLOT, event_time).agg(F.max_by("deleted", _order(seq)).alias("deleted"))
+    deletions = cut_lineage(flags.where("deleted").groupBy(key).agg(F.max(event_time).alias("_deleted_at")), "deletions")
+    ends = deletions.withColumn(_SLOT, F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    payload = F.struct(*cols, "deleted")
+    rec = history.groupBy(key, _SLOT, event_time).agg(F.max_by(payload, _order(seq)).alias("r")).select(key, _SLOT, event_time, "r.*")
+    kept = rec.where(~F.col("deleted")).join(ends, [key, _SLOT], "left")
+    kept = kept.where(F.col("_deleted_at").isNull() | (F.col(event_time) > F.col("_deleted_at")))
+    return kept.select(key, event_time, *cols)
+
+
+def bucketed_dataset_asof(history: DataFrame, as_of: _dt.datetime, cols: list[str], key: str = "msno",
+                          event_time: str = "event_time", seq: str = "write_seq") -> DataFrame:
+    """``feature_dataset_asof`` of a bucketed history: the newest record of every (key, slot)
+    inside the buckets, then of the key over its slots."""
+    h = (_flagged(history).where(F.col(event_time) <= F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz"))
+         .where(F.col("event_month") <= F.lit(as_of.date().replace(day=1))))
+    payload, order = F.struct(event_time, *cols, "deleted"), _order(event_time, seq)
+    slots = h.groupBy(key, _SLOT).agg(F.max_by(payload, order).alias("r"), F.max(order).alias("o"))
+    latest = slots.groupBy(key).agg(F.max_by("r", "o").alias("r")).select(key, "r.*")
+    return latest.where(~F.col("deleted")).select(key, event_time, *cols)
