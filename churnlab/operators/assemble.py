@@ -54,20 +54,24 @@ def features_joined(train: DataFrame, txn: DataFrame, members: DataFrame, log_fe
                  .join(log_feats, on="msno", how="left"))
 
 
-def category_counts(df: DataFrame, cols: list[str] = RARE_COLUMNS) -> DataFrame:
+def category_counts(df: DataFrame, cols: list[str] = RARE_COLUMNS, total: int | None = None) -> DataFrame:
     """(feature, value, n, share) for several columns in ONE aggregate.
 
     ``n`` counts non-null values, so the NULL group has n = 0 and is always
-    rare; ``share`` is over all rows, whose number is the sum of one column's
+    rare; ``share`` is over all rows. Their number is ``total`` where the caller has
+    it (of a written table it stands in the files' footers), else the sum of one column's
     row counts (written out, so that the input is read once).
     """
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols
     ]))
-    counted = cut_lineage(df.select(pairs.alias("p")).select("p.*").groupBy("feature", "value")
-                          .agg(F.count("value").alias("n"), F.count(F.lit(1)).alias("_rows")), "category_counts")
-    total = counted.where(F.col("feature") == cols[0]).select(F.sum("_rows")).scalar()
-    return counted.select("feature", "value", "n", (F.col("n") / total).alias("share"))
+    counted = df.select(pairs.alias("p")).select("p.*").groupBy("feature", "value").agg(F.count("value").alias("n"), F.count(F.lit(1)).alias("_rows"))
+    if total is None:
+        counted = cut_lineage(counted, "category_counts")
+        of_rows = counted.where(F.col("feature") == cols[0]).select(F.sum("_rows")).scalar()
+    else:
+        of_rows = F.lit(total)
+    return counted.select("feature", "value", "n", (F.col("n") / of_rows).alias("share"))
 
 
 def rare_categories(df: DataFrame, cols: list[str] = RARE_COLUMNS, min_share: float = RARE_SHARE) -> DataFrame:
@@ -75,11 +79,11 @@ def rare_categories(df: DataFrame, cols: list[str] = RARE_COLUMNS, min_share: fl
 
 
 def frequent_values(df: DataFrame, cols: list[str] = RARE_COLUMNS,
-                    min_share: float = RARE_SHARE) -> dict[str, list[str]]:
+                    min_share: float = RARE_SHARE, total: int | None = None) -> dict[str, list[str]]:
     """Values kept per column: at most ``1/min_share`` each, by arithmetic."""
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be in (0, 1]")
-    rows = category_counts(df, cols).where(F.col("share") >= min_share).select("feature", "value").collect()
+    rows = category_counts(df, cols, total).where(F.col("share") >= min_share).select("feature", "value").collect()
     kept = {c: [] for c in cols}
     for r in rows:
         kept[r["feature"]].append(r["value"])
@@ -97,9 +101,10 @@ def apply_buckets(df: DataFrame, kept: dict[str, list[str]]) -> DataFrame:
 
 
 def rare_bucketed(df: DataFrame, cols: list[str] = RARE_COLUMNS, min_share: float = RARE_SHARE) -> DataFrame:
-    """The fit and the output both read the frame, so it is written out once."""
+    """The fit and the output both read the frame, so it is written out once; its
+    number of rows then comes from the files' footers."""
     df = cut_lineage(df, "bucketed")
-    return apply_buckets(df, frequent_values(df, cols, min_share))
+    return apply_buckets(df, frequent_values(df, cols, min_share, df.count()))
 
 
 def log1p_features(df: DataFrame, cols: list[str] = LOG1P_COLUMNS) -> DataFrame:

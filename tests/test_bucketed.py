@@ -56,3 +56,15 @@ def test_no_exchange_of_the_history(spark, history):
 def test_hot_key_lies_in_many_buckets(history):
     hot = history[1].where("msno = 'hot'").select(F.input_file_name().alias("f")).distinct().collect()
     assert len({re.search(r"_(\d{5})\.c", r.f)[1] for r in hot}) == 4
+
+
+def test_rare_values_with_a_known_total(spark):
+    """The number of rows, counted or given, gives the same shares; an empty frame has none."""
+    from churnlab.operators import assemble
+
+    df = spark.createDataFrame([(str(i % 7) if i % 5 else None, i % 3) for i in range(100)], "a string, b int")
+    got = [sorted(map(tuple, assemble.category_counts(df, ["a", "b"], total=n).collect()), key=str) for n in (None, 100)]
+    assert got[0] == got[1] and len(got[0]) == 11
+    kept = assemble.frequent_values(df, ["a", "b"], 0.12)
+    assert kept == assemble.frequent_values(df, ["a", "b"], 0.12, total=100) and kept["b"]
+    assert assemble.rare_bucketed(df.limit(0), ["a"], 0.5).count() == 0
