@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlab.operators.prep import exact_quantiles, key_hash, present
+from churnlab.operators.prep import quantile_grid, key_hash, present
 from churnlab.session import cut_lineage, ship_package
 
 STAGED = 10
@@ -91,7 +91,7 @@ def fit_edges(train: DataFrame, cols: list[str], max_bins: int) -> list[np.ndarr
     """Bin edges: distinct exact quantiles, at most ``max_bins - 1`` a column."""
     probs = [k / max_bins for k in range(1, max_bins)]
     got = {r["column"]: sorted({v for k, v in r.asDict().items() if k != "column" and v is not None})
-           for r in exact_quantiles(train, cols, probs).collect()}
+           for r in quantile_grid(train, cols, probs).collect()}
     return [np.array(got.get(c, []), float) for c in cols]
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from churnlab.functions import hash_bucket
 from churnlab.functions.hashing import MODULO
 from churnlab.functions.running import running_totals
-from churnlab.functions.selection import kth_smallest
+from churnlab.functions.selection import kth_smallest, quantile_values
 from churnlab.session import cut_lineage
 
 OTHER = "other"
@@ -84,21 +84,29 @@ def impute_mean(df: DataFrame, model, cols: list[str]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics
-    (rank h = (n-1)p + 1), all columns in one distributed pass:
-    (column, q_<i> for each p in ``probs``). The median is p = 0.5 (mean of
-    the two middle values for even n).
+    (rank h = (n-1)p + 1), all columns at once: (column, q_<i> for each p in
+    ``probs``). The median is p = 0.5 (mean of the two middle values for even n).
 
-    Values are counted per (column, distinct value) with map-side combine,
-    then a running count along the value order (sliced by quantile bounds,
-    see ``running_totals``) finds the ranks; one row per column comes back.
+    The columns are written once and ranges around the wanted ranks narrowed by
+    counting (``quantile_values``), so the shuffle does not grow with the number of
+    distinct values. Meant for a few ``probs``; for many of them see ``quantile_grid``.
     """
+    rows = cut_lineage(df.select(*[present(c).alias(f"c{i}") for i, c in enumerate(cols)]), "quantile_columns")
+    pairs = rows.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("v")) for i, c in enumerate(cols)])))
+    schema = ", ".join(["column string", *[f"q_{i} double" for i in range(len(probs))]])
+    return df.sparkSession.createDataFrame([(c, *q) for c, (_, q) in quantile_values(pairs, probs).items()], schema)
+
+
+def quantile_grid(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """The same as ``exact_quantiles`` for any number of ``probs``: values are counted per
+    (column, distinct value) with map-side combine, then a running count along the value order
+    (sliced by range partitions, see ``running_totals``) finds all ranks."""
     return quantiles_from_counts(long_value_counts(df, cols), probs)
 
 
 def long_value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, v, k): rows per distinct non-null value of each column, one
-    aggregate with map-side combine (the input of exact quantiles and exact
-    distinct counts)."""
+    aggregate with map-side combine."""
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), present(c).alias("v")) for c in cols]))
     return (df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())

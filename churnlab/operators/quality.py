@@ -30,9 +30,9 @@ def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct:
     with ``inline``. Moments and quartiles are NULL where a column is not numeric;
     there ``min_text``/``max_text`` hold its range in text form; for whole numbers
     they, and ``total_text``, hold the exact figures that a double may round. With
-    ``exact_distinct`` distinct counts and quartiles are exact: rows are counted
-    per (column, value) once, written out, and both read that table; otherwise a
-    HyperLogLog++ sketch and ``percentile_approx`` inside the same aggregate.
+    ``exact_distinct`` distinct counts and quartiles are exact: the one by a count of distinct
+    (column, value) rows, the other by ranges narrowed around the wanted ranks (``exact_quantiles``; NaN
+    is not ranked); otherwise a HyperLogLog++ sketch and ``percentile_approx`` inside the same aggregate.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = cols or [c for c, t in types.items() if isinstance(t, T.AtomicType)]
@@ -63,15 +63,14 @@ def profile_table(df: DataFrame, cols: list[str] | None = None, exact_distinct:
         F.col(f"ht{i}").alias("max_text"), F.col(f"st{i}").alias("total_text")) for i, c in enumerate(cols)])
     prof = wide.select(F.inline(rows))
     if exact_distinct:
-        from churnlab.operators.prep import quantiles_from_counts
-        counts = cut_lineage(value_pairs(df, cols).where(F.col("value").isNotNull())
-                             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("k")), "value_counts")
-        dc = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))  # one row per column
-        numbers = counts.where(F.col("column").isin(sorted(numeric))).withColumn("v", F.col("value").cast("double"))
-        # values equal as doubles (beyond 2^53) are one step of the running count
-        numbers = numbers.groupBy("column", "v").agg(F.sum("k").alias("k"))
-        qs = quantiles_from_counts(numbers, list(QUANTILES)).select(
-            "column", *[F.col(f"q_{j}").alias(q) for j, q in enumerate(_QNAMES)])
+        from churnlab.operators.prep import exact_quantiles
+        dc = (value_pairs(df, cols).where(F.col("value").isNotNull()).groupBy("column")
+              .agg(F.count_distinct("value").alias("n_distinct")))  # one row per column
+        ranked = [c for c in cols if c in numeric]
+        if ranked:
+            qs = exact_quantiles(df, ranked, list(QUANTILES)).select("column", *[F.col(f"q_{j}").alias(q) for j, q in enumerate(_QNAMES)])
+        else:
+            qs = prof.select("column", *_QNAMES).limit(0)
         prof = (prof.drop("n_distinct", *_QNAMES).join(dc, "column", "left").join(qs, "column", "left")
                     .withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)).cast("bigint"))
                     .select(*PROFILE_FIELDS))

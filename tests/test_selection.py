@@ -2,13 +2,14 @@
 
 import math
 import random
+import statistics
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from churnlab.functions.selection import kth_smallest
+from churnlab.functions.selection import kth_smallest, quantile_values
 from churnlab.operators import bias, drift, nearest, prep, quality, sketches
 from churnlab.operators.assemble import unique_by
 from churnlab.sources import feature_table
@@ -23,6 +24,39 @@ def test_kth_smallest(spark):
     assert kth_smallest(df, F.col("x"), ranks) == [sorted(values)[r - 1] for r in ranks]
 
 
+@pytest.mark.parametrize("limit", [10_000, 50, 1])
+def test_quantile_values(spark, limit):
+    """Small limits and coarse sketches force many rounds; one column has a hot value, one two values, one a single row."""
+    rnd = random.Random(2)
+    data = {"wide": [rnd.gauss(0, 1e6) for _ in range(3000)], "hot": [5.0] * 1500 + [rnd.random() * 10 for _ in range(1500)],
+            "two": [1.0, 2.0] * 400, "one": [-3.5], "edges": [float("inf"), float("-inf"), 0.0, -0.0, 5e-324, 1.0, 1.0],
+            "whole": [float(rnd.randrange(40)) for _ in range(999)]}
+    rows = [(c, v) for c, values in data.items() for v in values] + [("none", None), ("one", None)]
+    pairs = spark.createDataFrame(rows, "column string, v double").repartition(5).cache()
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = quantile_values(pairs, probs, limit=limit, accuracy=40, grid=10)
+    pairs.unpersist()
+    assert got.keys() == data.keys()
+    for c, values in data.items():
+        assert got[c][0] == len(values)
+        values = sorted(values)
+        for p, q in zip(probs, got[c][1]):
+            h = (len(values) - 1) * p
+            a, b = values[math.floor(h)], values[math.ceil(h)]
+            assert q == (a + (b - a) * (h + 1 - math.floor(h + 1)) if a != b else a), (c, p)
+
+
+def test_quantiles_agree(spark):
+    """Ranges and the table of distinct values give the same; an empty table gives no rows."""
+    df = spark.range(2000).select((F.col("id") * 7919 % 1013).cast("double").alias("a"), F.when(F.col("id") % 3 > 0, F.lit(1)).alias("b"),
+                                  F.lit(None).cast("int").alias("c"))
+    cols, probs = ["a", "b", "c"], [0.1, 0.5, 0.99]
+    sets = [{tuple(r) for r in f(df, cols, probs).collect()} for f in (prep.exact_quantiles, prep.quantile_grid)]
+    assert sets[0] == sets[1] and {r[0] for r in sets[0]} == {"a", "b"}
+    assert prep.exact_quantiles(df.limit(0), cols, probs).count() == 0
+    assert prep.exact_medians(df, cols) == {"a": statistics.median(float(i * 7919 % 1013) for i in range(2000)), "b": 1.0, "c": None}
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 97, 1000])
 def test_split_exact(spark, n):
     df = spark.range(n).select(F.col("id").cast("string").alias("msno"))
