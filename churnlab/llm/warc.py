@@ -14,8 +14,12 @@ the chain of successors reaches. Offsets within a split are made absolute by
 the sums of the splits before it. A payload that spans several candidates is put
 together again from their chunks.
 
-The chain of one file is followed in one task, on two numbers per candidate;
-``max_records`` bounds the records of the files written here. A null payload is
+No task holds a file's candidates: jumping is done within parts of ``part_bytes`` of a
+file, each of which gives a link from every offset at which it may be entered to the one at which
+that chain leaves it; joins that double the links find the entries that the chain from offset 0
+takes (one a part at most, as offsets rise), and from these the parts mark their records.
+
+A length or page id that is no 64-bit number makes a candidate none, or its id null. A null payload is
 empty; a null URL leaves out its header; line breaks in a URL become spaces.
 Every row is a record, ordered by id (null first), and by ``with_ids`` where ids repeat.
 
@@ -93,12 +97,12 @@ def parse_head(chunk: bytes) -> tuple[int, dict[str, str]] | None:
             return None
         fields[m[1].decode().lower()] = m[2].decode("utf-8", "replace")
         at = m.end()
-    return (at + 2, fields) if fields.get("content-length", "").isdigit() else None
+    return (at + 2, fields) if re.fullmatch(r"[0-9]{1,18}", fields.get("content-length", "")) else None
 
 
 def _urn(value: str | None) -> int | None:
-    m = re.fullmatch(r"<urn:x-page:(-?\d+)>", value or "")
-    return int(m[1]) if m else None
+    m = re.fullmatch(r"<urn:x-page:(-?[0-9]{1,19})>", value or "")
+    return int(m[1]) if m and -(1 << 63) <= int(m[1]) < 1 << 63 else None
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,23 +129,66 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["file", "block", "seq", "rel", "size", "head", "body", "type", "record", "refers", "sha1"])
 
 
-def reachable(offsets: np.ndarray, successors: np.ndarray) -> np.ndarray:
-    """Which candidates (in order of their offsets) the chain from offset 0 reaches, by pointer jumping."""
+def _jumps(offsets: np.ndarray, successors: np.ndarray) -> np.ndarray:
+    """The place of each candidate's successor among the sorted candidates; their number if it is none of them."""
     n = len(offsets)
     jump = np.minimum(np.searchsorted(offsets, successors), n)
-    jump[(jump < n) & (offsets[np.minimum(jump, n - 1)] != successors)] = n  # no candidate there
-    jump = np.append(jump, n)
-    reach = np.zeros(n + 1, bool)
-    reach[0] = n > 0 and offsets[0] == 0
+    jump[(jump < n) & (offsets[np.minimum(jump, n - 1)] != successors)] = n
+    return np.append(jump, n)
+
+
+def reachable(offsets: np.ndarray, successors: np.ndarray, start: int = 0) -> np.ndarray:
+    """Which candidates (in order of their offsets) the chain from ``start`` reaches, by pointer jumping."""
+    n, jump = len(offsets), _jumps(offsets, successors)
+    reach = np.append(offsets == start, False)
     for _ in range(max(1, n).bit_length() + 1):
         reach[jump[reach]] = True
         jump = jump[jump]
     return reach[:n]
 
 
-def _chain(rows: pd.DataFrame) -> pd.DataFrame:
+def exits(offsets: np.ndarray, successors: np.ndarray) -> np.ndarray:
+    """For each candidate the first offset of its chain that is no candidate here, by pointer jumping."""
+    n, jump = len(offsets), _jumps(offsets, successors)
+    last = np.where(jump < n, jump, np.arange(n + 1))  # a chain stays at its last candidate
+    for _ in range(max(1, n).bit_length() + 1):
+        last = last[last]
+    return successors[last[:n]]
+
+
+def _part_links(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("offset", ignore_index=True)
+    rows["exit"] = exits(rows["offset"].to_numpy(np.int64), rows["next"].to_numpy(np.int64))
+    return rows.loc[rows["entry"], ["file", "offset", "exit"]]
+
+
+def _part_chain(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("offset", ignore_index=True)
-    return rows[reachable(rows["offset"].to_numpy(np.int64), rows["next"].to_numpy(np.int64))]
+    reach = reachable(rows["offset"].to_numpy(np.int64), rows["next"].to_numpy(np.int64), int(rows["start"].iloc[0]))
+    return rows.loc[reach, ["file", "offset", "next"]]
+
+
+def chains(heads: DataFrame, part_bytes: int = 16 << 20) -> DataFrame:
+    """The rows of ``heads`` (file, offset, next) that the chain from offset 0 of their file reaches."""
+    part = lambda c: F.floor(F.col(c) / part_bytes).cast("long")
+    rows = cut_lineage(heads.withColumn("part", part("offset")), "warc_heads")
+    # A part may be entered where a candidate of another one ends.
+    ends = rows.where(part("next") != F.col("part")).select("file", F.col("next").alias("offset")).distinct()
+    marked = (rows.join(ends.withColumn("met", F.lit(True)), ["file", "offset"], "left")
+              .withColumn("entry", F.coalesce("met", F.lit(False)) | (F.col("offset") == 0)))
+    links = cut_lineage(marked.select("file", "part", "offset", "next", "entry").groupBy("file", "part")
+                        .applyInPandas(_part_links, "file string, offset long, exit long"), "warc_links")
+    begin = links.select("file", F.col("offset").alias("exit"))
+    jump = cut_lineage(links.join(begin, ["file", "exit"], "left_semi").select("file", "offset", "exit"), "warc_jumps")
+    reach = links.where("offset = 0").select("file", "offset")
+    while not jump.isEmpty():  # a round doubles the parts that a link passes
+        step = reach.join(jump, ["file", "offset"]).select("file", F.col("exit").alias("offset"))
+        reach = cut_lineage(reach.unionByName(step), "warc_entries")
+        onward = jump.select("file", F.col("offset").alias("exit"), F.col("exit").alias("onward"))
+        jump = cut_lineage(jump.join(onward, ["file", "exit"]).select("file", "offset", F.col("onward").alias("exit")), "warc_jumps")
+    entries = reach.select("file", part("offset").alias("part"), F.col("offset").alias("start"))
+    return (rows.join(entries, ["file", "part"]).select("file", "part", "offset", "next", "start").groupBy("file", "part")
+            .applyInPandas(_part_chain, "file string, offset long, next long"))
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -150,7 +197,7 @@ def _chunks(spark: SparkSession, path: str) -> DataFrame:
                     F.col("value").cast("binary").alias("value")))
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, part_bytes: int = 16 << 20) -> DataFrame:
     """(record, type, refers, payload_bytes, payload_digest) of the records that
     are reached; a revisit has the size and digest of the payload it refers to."""
     prepare(spark)
@@ -165,13 +212,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     placed = cut_lineage(placed.drop("base", "rel"), "warc_placed")
     heads = placed.where("head is not null").select("file", "offset", (F.col("offset") + len(_MAGIC) + F.col("head")
                                                                       + F.col("body") + len(_END)).alias("next"))
-    chain = cut_lineage(heads.groupBy("file").applyInPandas(_chain, "file string, offset long, next long"), "warc_chain")
+    chain = cut_lineage(chains(heads, part_bytes), "warc_chain")
     records = placed.join(chain, ["file", "offset"])
     whole = records.where("sha1 is not null").select("record", "type", "refers", F.col("body").alias("payload_bytes"), "sha1")
     broken = cut_lineage(records.where("sha1 is null").select("file", "offset", "next", "head", "body", "type", "record", "refers"),
                          "warc_broken")
     if not broken.isEmpty():
-        whole = whole.unionByName(_rejoined(spark, path, placed, broken))
+        lengths = splits.groupBy("file").agg(F.max(F.col("base") + F.col("length")).alias("end"))
+        whole = whole.unionByName(_rejoined(spark, path, placed, broken.join(lengths, "file"), part_bytes))
     whole = cut_lineage(whole, "warc_records")
     full = whole.where("type = 'response'").select(F.col("record").alias("refers"), F.col("payload_bytes").alias("n"), F.col("sha1").alias("d"))
     return (whole.join(full, "refers", "left")
@@ -188,17 +236,21 @@ def _hash_spans(rows: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def _rejoined(spark: SparkSession, path: str, placed: DataFrame, broken: DataFrame) -> DataFrame:
+def _rejoined(spark: SparkSession, path: str, placed: DataFrame, broken: DataFrame, part_bytes: int) -> DataFrame:
     """Records whose payload holds version lines, from their chunks. A group is one payload."""
-    spans = broken.withColumnRenamed("offset", "start")
-    chain = placed.select("file", "block", "seq", "offset")
-    # A chunk belongs to the last broken record that starts at or before it, if that reaches so far.
-    marks = chain.join(spans.select("file", F.col("start").alias("offset"), "next", "record", "type", "refers", "head", "body"),
-                       ["file", "offset"], "left")
-    last = Window.partitionBy("file").orderBy("offset")
-    names = ["next", "record", "type", "refers", "head", "body"]
-    owned = marks.withColumn("o", F.last(F.when(F.col("next").isNotNull(), F.struct(*names)), ignorenulls=True).over(last))
-    owned = cut_lineage(owned.where(F.col("offset") < F.col("o.next")).select("file", "block", "seq", F.col("offset").alias("at"), "o.*"), "warc_owned")
+    part = lambda c: F.floor(c / part_bytes).cast("long")
+    names = ["start", "next", "record", "type", "refers", "head", "body"]
+    spans = broken.withColumnRenamed("offset", "start").withColumn("o", F.struct(*names))
+    # A record stands in every part of the file that it reaches into, at its start or at that of the part. A chunk
+    # belongs to the last record before it there, if that reaches so far.
+    last_byte = F.greatest("start", F.least("next", "end") - 1)
+    spans = spans.select("file", "o", F.explode(F.sequence(part(F.col("start")), part(last_byte))).alias("part"))
+    spans = spans.withColumn("offset", F.greatest("o.start", F.col("part") * part_bytes))
+    chunks = placed.select("file", "block", "seq", "offset", part(F.col("offset")).alias("part"))
+    window = Window.partitionBy("file", "part").orderBy("offset", F.col("o").isNull())
+    owned = (chunks.unionByName(spans, allowMissingColumns=True).withColumn("owner", F.last("o", ignorenulls=True).over(window))
+             .where("o is null").where(F.col("offset") < F.col("owner.next")))
+    owned = cut_lineage(owned.select("file", "block", "seq", F.col("offset").alias("at"), "owner.*").drop("start"), "warc_owned")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = None
