@@ -126,14 +126,15 @@ def append_bucketed(df: DataFrame, table: str, path: str, buckets: int, event_ti
 def bucketed_dataset(history: DataFrame, cols: list[str], key: str = "msno", event_time: str = "event_time",
                      seq: str = "write_seq") -> DataFrame:
     """``feature_dataset`` of a bucketed history. The deletion times (one row per deleted
-    key) are repeated for each slot, so that they come to the records."""
+    key) are repeated for each slot, so that they come to the records. They are as many as the
+    deleted keys, and Spark's size estimate leaves the repeats out: a merge join, never a broadcast."""
     history = _flagged(history)
     flags = history.groupBy(key, _SLOT, event_time).agg(F.max_by("deleted", _order(seq)).alias("deleted"))
     deletions = cut_lineage(flags.where("deleted").groupBy(key).agg(F.max(event_time).alias("_deleted_at")), "deletions")
     ends = deletions.withColumn(_SLOT, F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
     payload = F.struct(*cols, "deleted")
     rec = history.groupBy(key, _SLOT, event_time).agg(F.max_by(payload, _order(seq)).alias("r")).select(key, _SLOT, event_time, "r.*")
-    kept = rec.where(~F.col("deleted")).join(ends, [key, _SLOT], "left")
+    kept = rec.where(~F.col("deleted")).join(ends.hint("merge"), [key, _SLOT], "left")
     kept = kept.where(F.col("_deleted_at").isNull() | (F.col(event_time) > F.col("_deleted_at")))
     return kept.select(key, event_time, *cols)
 

@@ -53,6 +53,13 @@ def test_no_exchange_of_the_history(spark, history):
     assert re.search(r"PartitionFilters: \[[^\]]*event_month", asof) and "Bucketed: true" in asof
 
 
+def test_deletion_times_are_not_broadcast(spark, history):
+    """However small Spark takes them to be, before the plan runs and while it does."""
+    out = ft.bucketed_dataset(history[1], ["x"])
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true" and "Broadcast" not in plan_of(out)
+    assert out.count() and "Broadcast" not in plan_of(out) and "SortMergeJoin" in plan_of(out)
+
+
 def test_hot_key_lies_in_many_buckets(history):
     hot = history[1].where("msno = 'hot'").select(F.input_file_name().alias("f")).distinct().collect()
     assert len({re.search(r"_(\d{5})\.c", r.f)[1] for r in hot}) == 4
