@@ -4,7 +4,9 @@ MLlib's boosted trees have no counterpart to ``gamma`` and count rows where
 ``min_child_weight`` sums hessians. Here a tree grows level by level from
 histograms: a task adds up gradients and hessians of its rows by (node, feature,
 bin), Spark adds the tasks', and only these sums, at most ``2^depth * features *
-bins`` rows, reach the driver, which picks the splits. With logistic loss a row has
+bins`` rows, reach the driver, which picks the splits. Of two siblings the lighter
+one alone is added up, the other is what is left of its parent; the sums of the last
+level's leaves follow from the splits above them. With logistic loss a row has
 gradient p - y and hessian p (1 - p); a split's loss reduction is
 ``GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)`` and must be positive and at least
 ``gamma``; both sides need a hessian of ``min_child_weight``; a leaf is
@@ -12,7 +14,8 @@ gradient p - y and hessian p (1 - p); a split's loss reduction is
 Sums are of whole numbers (units of 2^-24), so trees are the same however rows are
 dealt. Rows are drawn for a round by a hash of key and round.
 
-Rows are binned once and written; the margin of finished trees is written anew
+Rows are binned once and written as blocks (the rows of an Arrow batch, column by column,
+as bytes), dealt over all cores; the margin of finished trees is written anew
 every ``STAGED`` rounds, and later trees are added on the fly.
 """
 
@@ -53,13 +56,15 @@ class Tree:
         return Tree(np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, bool), np.zeros(n), np.zeros(n), np.zeros(n))
 
     def leaves(self, bins: np.ndarray, depth: int) -> np.ndarray:
-        """The node that each row (a row of bins) has come to."""
-        node, at = np.ones(len(bins), np.int64), np.arange(len(bins))
+        """The node that each row of bins [feature, row] has come to."""
+        n, split, number = bins.shape[1], self.feature >= 0, np.arange(len(self.feature))
+        first, left = np.where(split, self.feature, 0) * n, np.where(split, 2 * number, number)
+        # The missing bin 0 goes left as it is; less one, in 8 bits, it is 255 and goes right. A leaf lets no bin pass.
+        less = (split & ~self.missing_left).astype(np.uint8)
+        last = np.where(split, self.bin - less, 255).astype(np.uint8)
+        flat, at, node = bins.reshape(-1), np.arange(n), np.ones(n, np.int64)
         for _ in range(depth):
-            f = self.feature[node]
-            b = bins[at, np.maximum(f, 0)]
-            right = np.where(b == 0, ~self.missing_left[node], b > self.bin[node])
-            node = np.where(f >= 0, 2 * node + right, node)
+            node = left[node] + (flat[first[node] + at] - less[node] > last[node])
         return node
 
 
@@ -73,15 +78,15 @@ class Boosted:
     trees: list[Tree] = field(default_factory=list)
 
     def bins(self, batch: pa.RecordBatch) -> np.ndarray:
-        """Bin of each row and column: 0 where missing, else 1 + the number of edges below the value."""
-        out = np.zeros((batch.num_rows, len(self.cols)), np.uint8)
+        """Bin of each column and row: 0 where missing, else 1 + the number of edges below the value."""
+        out = np.zeros((len(self.cols), batch.num_rows), np.uint8)
         for j, c in enumerate(self.cols):
             x = np.asarray(batch.column(f"_x{j}"), float)
-            out[:, j] = np.where(np.isnan(x), 0, 1 + np.searchsorted(self.edges[j], x, "left"))
+            out[j] = np.where(np.isnan(x), 0, 1 + np.searchsorted(self.edges[j], x, "left"))
         return out
 
     def margin(self, bins: np.ndarray, first: int = 0) -> np.ndarray:
-        out = np.zeros(len(bins))
+        out = np.zeros(bins.shape[1])
         for t in self.trees[first:]:
             out += t.value[t.leaves(bins, self.depth)]
         return out
@@ -102,14 +107,18 @@ def _inputs(cols: list[str]) -> list:
 def _binned(model: Boosted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [r.tobytes() for r in model.bins(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("y"), pa.array(rows, pa.binary()), pa.array(np.zeros(len(rows)))],
-                                             ["u", "y", "bins", "margin"])
+            if batch.num_rows:
+                parts = (np.asarray(batch.column("u"), np.int64), np.asarray(batch.column("y")).astype(np.uint8), model.bins(batch), np.zeros(batch.num_rows))
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts], ["u", "y", "bins", "margin"])
     return run
 
 
-def _matrix(batch: pa.RecordBatch, n: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, n)
+def _blocks(batch: pa.RecordBatch, n: int) -> Iterator[dict[str, np.ndarray]]:
+    """The blocks of a batch; ``bins`` as [feature, row]."""
+    kinds = {"u": np.int64, "y": np.uint8, "bins": np.uint8, "margin": float}
+    for k in range(batch.num_rows):
+        one = {c: np.frombuffer(batch.column(c)[k].as_buffer(), kinds[c]) for c in batch.schema.names}
+        yield one | {"bins": one["bins"].reshape(n, -1)}
 
 
 def drawn(u: np.ndarray, turn: int, share: float) -> np.ndarray:
@@ -125,24 +134,29 @@ def gradients(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.rint((p - y) * UNIT), np.rint(p * (1 - p) * UNIT)
 
 
-def _histograms(model: Boosted, staged: int, tree: Tree, level: int, turn: int, share: float, width: int):
-    """(slot, g, h): sums by (node of the level, feature, bin)."""
-    n = len(model.cols)
+def _histograms(model: Boosted, staged: int, tree: Tree, level: int, asked: list[int], turn: int, share: float, width: int):
+    """(slot, g, h): sums by (place of the node in ``asked``, feature, bin)."""
+    n, size = len(model.cols), len(asked) * width
+    place = np.full(2 << level, -1)
+    place[asked] = np.arange(len(asked))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g_all, h_all = (np.zeros((1 << level) * n * width, np.int64) for _ in range(2))
+        sums = np.zeros((2, n, size), np.int64)
         for batch in batches:
-            take = drawn(np.asarray(batch.column("u")), turn, share)
-            bins = _matrix(batch, n)[take]
-            margin = np.asarray(batch.column("margin"))[take] + model.margin(bins, staged)
-            g, h = gradients(margin, np.asarray(batch.column("y"))[take])
-            node = tree.leaves(bins, level) - (1 << level)  # rows that came to a leaf before have a negative number
-            on = node >= 0
-            slot = ((node[on, None] * n + np.arange(n)) * width + bins[on]).ravel()
-            for total, x in ((g_all, g), (h_all, h)):
-                total += np.bincount(slot, np.repeat(x[on], n), len(total)).astype(np.int64)
-        used = np.flatnonzero((g_all != 0) | (h_all != 0))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(g_all[used]), pa.array(h_all[used])], ["slot", "g", "h"])
+            for block in _blocks(batch, n):
+                take = np.flatnonzero(drawn(block["u"], turn, share))
+                bins = block["bins"][:, take]
+                at = place[tree.leaves(bins, level)]
+                on = np.flatnonzero(at >= 0)
+                bins, at, take = bins[:, on], at[on] * width, take[on]
+                of_rows = gradients(block["margin"][take] + model.margin(bins, staged), block["y"][take])
+                for j in range(n):
+                    slot = at + bins[j]
+                    for total, x in zip(sums[:, j], of_rows):
+                        total += np.bincount(slot, x, size).astype(np.int64)
+        g, h = (x.reshape(n, -1, width).transpose(1, 0, 2).ravel() for x in sums)
+        used = np.flatnonzero((g != 0) | (h != 0))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(g[used]), pa.array(h[used])], ["slot", "g", "h"])
     return run
 
 
@@ -166,28 +180,39 @@ def best_split(g: np.ndarray, h: np.ndarray, gamma: float, min_child_weight: flo
     return best if best[0] > 0 and best[0] >= gamma else None
 
 
-def _grow(model: Boosted, rows: DataFrame, staged: int, turn: int, p: dict) -> Tree:
+def _summed(model: Boosted, rows: DataFrame, staged: int, tree: Tree, level: int, asked: list[int], turn: int, share: float) -> dict[int, np.ndarray]:
+    """The histograms [g or h, feature, bin] of the nodes ``asked`` of a level, whole numbers."""
     n, width = len(model.cols), max(len(e) for e in model.edges) + 2
-    tree, open_nodes = Tree.empty(model.depth), [1]
+    sums = (rows.mapInArrow(_histograms(model, staged, tree, level, asked, turn, share, width), "slot long, g long, h long")
+            .groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow())
+    out = np.zeros((2, len(asked) * n * width), np.int64)
+    out[:, np.asarray(sums.column("slot"))] = np.asarray(sums.column("g")), np.asarray(sums.column("h"))
+    return dict(zip(asked, out.reshape(2, -1, n, width).swapaxes(0, 1)))
+
+
+def _grow(model: Boosted, rows: DataFrame, staged: int, turn: int, p: dict) -> Tree:
+    tree = Tree.empty(model.depth)
+    open_nodes = _summed(model, rows, staged, tree, 0, [1], turn, p["subsample"])
+    totals = {1: open_nodes[1][:, 0].sum(axis=1)}
     for level in range(model.depth + 1):
-        sums = (rows.mapInArrow(_histograms(model, staged, tree, level, turn, p["subsample"], width), "slot long, g long, h long")
-                .groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow())
-        g, h = (np.zeros((1 << level) * n * width) for _ in range(2))
-        slot = np.asarray(sums.column("slot"))
-        g[slot], h[slot] = np.asarray(sums.column("g")) / UNIT, np.asarray(sums.column("h")) / UNIT
-        g, h = g.reshape(-1, n, width), h.reshape(-1, n, width)
-        opened = []
-        for node in open_nodes:
-            k = node - (1 << level)
-            total_g, tree.cover[node] = g[k, 0].sum(), h[k, 0].sum()
-            tree.value[node] = -p["eta"] * total_g / (tree.cover[node] + p["reg_lambda"])
-            split = best_split(g[k], h[k], p["gamma"], p["min_child_weight"], p["reg_lambda"]) if level < model.depth else None
+        parents = {}
+        for node, (g, tree.cover[node]) in ((k, x / UNIT) for k, x in totals.items()):
+            tree.value[node] = -p["eta"] * g / (tree.cover[node] + p["reg_lambda"])
+            split = level < model.depth and best_split(*(open_nodes[node] / UNIT), p["gamma"], p["min_child_weight"], p["reg_lambda"])
             if split:
                 tree.gain[node], tree.feature[node], tree.bin[node], tree.missing_left[node] = split
-                opened += [2 * node, 2 * node + 1]
-        open_nodes = opened
-        if not open_nodes:
+                parents[node] = open_nodes[node]
+        before, totals = totals, {}
+        for node, sums in parents.items():
+            f, cut = tree.feature[node], tree.bin[node]
+            left = sums[:, f, 0 if tree.missing_left[node] else 1:cut + 1].sum(axis=1)
+            totals |= {2 * node: left, 2 * node + 1: before[node] - left}
+        if not totals:
             break
+        if level + 1 < model.depth:
+            lighter = [2 * k + int(totals[2 * k + 1][1] < totals[2 * k][1]) for k in parents]
+            open_nodes = _summed(model, rows, staged, tree, level + 1, lighter, turn, p["subsample"])
+            open_nodes |= {k ^ 1: parents[k // 2] - open_nodes[k] for k in lighter}
     return tree
 
 
@@ -196,9 +221,10 @@ def loss_sums(model: Boosted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loss = n = 0
         for batch in batches:
-            y, margin = np.asarray(batch.column("y")), model.margin(_matrix(batch, len(model.cols)))
-            loss += int(np.rint(np.logaddexp(0, np.where(y == 1, -margin, margin)) * UNIT).sum())
-            n += len(y)
+            for block in _blocks(batch, len(model.cols)):
+                y, margin = block["y"], model.margin(block["bins"])
+                loss += int(np.rint(np.logaddexp(0, np.where(y == 1, -margin, margin)) * UNIT).sum())
+                n += len(y)
         yield pa.RecordBatch.from_arrays([pa.array([loss], pa.int64()), pa.array([n], pa.int64())], ["loss", "n"])
     return run
 
@@ -206,17 +232,17 @@ def loss_sums(model: Boosted):
 def _margins(model: Boosted, staged: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margin = np.asarray(batch.column("margin")) + model.margin(_matrix(batch, len(model.cols)), staged)
-            yield batch.set_column(3, "margin", pa.array(margin))
+            margin = [(x["margin"] + model.margin(x["bins"], staged)).tobytes() for x in _blocks(batch, len(model.cols))]
+            yield batch.set_column(3, "margin", pa.array(margin, pa.binary()))
     return run
 
 
-_BINNED = "u long, y double, bins binary, margin double"
+_BINNED = "u binary, y binary, bins binary, margin binary"
 
 
 @dataclass
 class Run:
-    """A fit that can be carried on: the model so far, its binned rows, the settings, and how many trees the rows' margins hold."""
+    """A fit that can be carried on: the model so far, its blocks of binned rows, the settings, and how many trees the rows' margins hold."""
 
     model: Boosted
     rows: DataFrame
@@ -233,14 +259,16 @@ def settings(reg_lambda: float = 1.0, **params) -> dict:
 
 def binned(df: DataFrame, cols: list[str], label: str = "is_churn", key: str = "msno", seed: int = 42, max_bins: int = 64,
            edges: list[np.ndarray] | None = None) -> tuple[list[np.ndarray], DataFrame]:
-    """The bin edges (fitted on ``df`` where not given) and the rows with a label 0 or 1, binned and written."""
+    """The bin edges (fitted on ``df`` where not given) and the rows with a label 0 or 1, binned and written in blocks. The
+    blocks are dealt over all cores: a frame of few files would leave most of them idle in every pass."""
     if not 1 <= max_bins <= 255:
         raise ValueError("max_bins must be between 1 and 255")
     ship_package(df.sparkSession)
     rows = df.where(F.col(label).isin(0, 1))
     edges = fit_edges(rows, cols, max_bins) if edges is None else edges
     rows = rows.select(F.coalesce(key_hash(key, seed), F.lit(0)).alias("u"), F.col(label).cast("double").alias("y"), *_inputs(cols))
-    return edges, cut_lineage(rows.mapInArrow(_binned(Boosted(cols, edges, 0)), _BINNED), "binned")
+    blocks = rows.mapInArrow(_binned(Boosted(cols, edges, 0)), _BINNED)
+    return edges, cut_lineage(blocks.repartition(df.sparkSession.sparkContext.defaultParallelism), "binned")
 
 
 def carry_on(run: Run, rounds: int) -> Run:

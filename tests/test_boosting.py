@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 from churnlab.operators import boosting as B
 from churnlab.operators.prep import key_hash
@@ -103,6 +104,21 @@ def test_any_partitioning(frame):
     assert rows[0] == rows[1] and rows[0]
 
 
+def test_blocks_over_the_cores_and_passes_of_a_tree(spark, frame, monkeypatch):
+    """One file of rows is dealt over several tasks; a tree takes a pass for each level of splits, none for the leaves."""
+    calls, to_arrow = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda df: calls.append(df) or to_arrow(df))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        edges, rows = B.binned(frame[0].coalesce(1), COLS, max_bins=12)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(rows.inputFiles()) > 1
+    run = B.carry_on(B.Run(B.Boosted(COLS, edges, 3), rows, B.settings(max_depth=3, gamma=0.0, min_child_weight=0.0)), 2)
+    assert all((t.cover[8:] > 0).any() for t in run.model.trees) and len(calls) == 2 * 3
+    assert B.tree_rows(run.model) == B.tree_rows(B.train_boosted(frame[0], COLS, max_bins=12, max_depth=3, gamma=0.0, min_child_weight=0.0, num_round=2))
+
+
 def test_edge_cases(spark, frame):
     df = frame[0]
     empty = B.train_boosted(df.limit(0), COLS, num_round=2)
