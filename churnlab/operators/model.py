@@ -35,9 +35,18 @@ def gbt_pipeline(inputs: list[str] = FEATURE_INPUTS, label: str = "is_churn", se
     return Pipeline(stages=[assembler, gbt])
 
 
+def over_cores(rows: DataFrame, least: int = 50_000) -> DataFrame:
+    """A written frame over all cores, where each gets at least ``least`` rows. A split is
+    read by as many tasks as there are files that hold it, and a fit passes over these partitions
+    for every level of every tree. Smaller frames stay as they are, and so do the rows that
+    MLlib draws from them (it draws partition by partition)."""
+    n = max(rows.sparkSession.sparkContext.defaultParallelism, len(rows.inputFiles()))
+    return rows.repartition(n) if rows.count() >= n * least else rows
+
+
 def train_gbt(train: DataFrame, inputs: list[str] = FEATURE_INPUTS, label: str = "is_churn", seed: int = 42,
               **params) -> PipelineModel:
-    return gbt_pipeline(inputs, label, seed, **params).fit(train.withColumn(label, F.col(label).cast("double")))
+    return gbt_pipeline(inputs, label, seed, **params).fit(over_cores(train).withColumn(label, F.col(label).cast("double")))
 
 
 def feature_importances(model: PipelineModel, inputs: list[str] = FEATURE_INPUTS) -> list[tuple[str, float]]:

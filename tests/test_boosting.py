@@ -119,6 +119,17 @@ def test_blocks_over_the_cores_and_passes_of_a_tree(spark, frame, monkeypatch):
     assert B.tree_rows(run.model) == B.tree_rows(B.train_boosted(frame[0], COLS, max_bins=12, max_depth=3, gamma=0.0, min_child_weight=0.0, num_round=2))
 
 
+def test_gbt_reads_few_files_by_all_cores(spark, tmp_path):
+    """A frame of one file is dealt over the cores where it is large, and left alone where it is small."""
+    from churnlab.operators import model
+
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    parts = lambda df: df.rdd.getNumPartitions()
+    assert parts(model.over_cores(rows, least=100)) == spark.sparkContext.defaultParallelism > parts(model.over_cores(rows)) == parts(rows) == 1
+    assert sorted(r.id for r in model.over_cores(rows, least=100).collect()) == list(range(1000))
+
+
 def test_edge_cases(spark, frame):
     df = frame[0]
     empty = B.train_boosted(df.limit(0), COLS, num_round=2)
