@@ -204,6 +204,9 @@ class Table:
         self.freq, self.start = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
         self.freq[ids], self.start[ids] = freq, start
         self.slot = np.repeat(self.ids, freq.astype(np.int64))
+        #: For the decoder, by slot: the id's frequency, the place of the slot among the id's.
+        self.slot_freq = self.freq[self.slot]
+        self.slot_place = np.arange(len(self.slot), dtype=np.uint64) - self.start[self.slot]
         self.crc = zlib.crc32(self.ids.tobytes() + freq.astype("<u8").tobytes() + bytes([bits]))
 
     def encode(self, ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -236,19 +239,22 @@ class Table:
         blocks = len(sizes)
         steps = -(-int(sizes.max(initial=0)) // LANES)
         out = np.zeros((steps, blocks, LANES), "<u4")
-        at, state = first.astype(np.int64)[:, None], state.copy()
+        at, state = first.astype(np.int64)[:, None] - 1, state.copy()
         lane, mask = np.arange(LANES), np.uint64((1 << int(self.bits)) - 1)
-        words = np.append(words, np.zeros(1, "<u4"))
+        words = np.append(words, np.zeros(1, "<u4")).astype(np.uint64)
+        # Up to here all blocks take every lane: all but a frame's last are equally long.
+        full = int(sizes.min(initial=BLOCK_TOKENS)) // LANES
         for k in range(steps):
-            on = k * LANES + lane < sizes[:, None]
             low = state & mask
-            ids = self.slot[low]
-            out[k] = ids
-            state = np.where(on, self.freq[ids] * (state >> self.bits) + low - self.start[ids], state)
-            need = on & (state < _LOW)
-            turn = np.cumsum(need, axis=1)
-            read = words[np.where(need, at + turn - 1, len(words) - 1)].astype(np.uint64)
-            state = np.where(need, (state << np.uint64(32)) | read, state)
+            out[k] = self.slot[low]
+            then = self.slot_freq[low] * (state >> self.bits) + self.slot_place[low]
+            if k >= full:
+                then = np.where(k * LANES + lane < sizes[:, None], then, state)
+            # A lane that has ended stands at ``_LOW`` and needs no word.
+            need = then < _LOW
+            turn = need.cumsum(axis=1)
+            read = words.take(at + turn, mode="clip")
+            state = np.where(need, (then << np.uint64(32)) | read, then)
             at = at + turn[:, -1:]
         flat = out.transpose(1, 0, 2).reshape(blocks, -1)
         if (state[:] != _LOW).any():
